@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from functools import reduce
+from operator import or_
 from typing import Protocol
 
 import pyarrow as pa
@@ -17,11 +19,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agorameter.functions.text import chunk_text, lower_words
+from agorameter.functions.text import chunk_sql
 from agorameter.schemas import CHUNK_SIZE, EMOTIONS, SENTIMENTS
 
-#: Vocabularies by kind. A probability field is called ``<kind>_<label>``, because
-#: a word such as "love" may be a label of more than one kind.
+#: Vocabularies by kind of score.
 LABELS = {"sentiment": SENTIMENTS, "emotion": EMOTIONS}
 
 #: What a missing text or a failed model call gives.
@@ -29,17 +30,15 @@ DEFAULT_SENTIMENT = ("neutral", 0.0, 1.0, 0.0)
 DEFAULT_EMOTION = "null"
 
 
-def field_name(kind: str, label: str) -> str:
-    return f"{kind}_{label}"
-
-
 class Scorer(Protocol):
-    """Gives, for an array of chunks, an array of structs with one probability per label.
+    """Scores chunks of text.
 
-    NULL chunks must give NULL. A NULL probability marks a failed call.
+    For an array of chunks, given as SQL expression, it gives an array of structs with one
+    field per kind, each an array of probabilities in vocabulary order. NULL chunks give
+    NULL; a NULL field marks a failed call.
     """
 
-    def chunk_scores(self, chunks: Column, kinds: Sequence[str]) -> Column: ...
+    def chunk_scores(self, chunks: str, kinds: Sequence[str]) -> Column: ...
 
 
 class LexiconScorer:
@@ -67,38 +66,41 @@ class LexiconScorer:
         if "neutral" in self._words["sentiment"]:
             raise ValueError("neutral has a fixed weight and takes no words")
 
-    def _weight(self, hits: Column, kind: str, label: str) -> Column:
+    def _weight(self, kind: str, label: str) -> str:
         if (kind, label) == ("sentiment", "neutral"):
-            return F.lit(self.NEUTRAL_WEIGHT)
+            return f"{self.NEUTRAL_WEIGHT}D"
         words = self._words[kind].get(label, ())
-        if not words:
-            return F.lit(1.0)
-        return F.size(F.filter(hits, lambda w: w.isin(list(words)))) + F.lit(1.0)
+        return f"1D + size(filter(hits, w -> {_is_one_of('w', words)}))"
 
-    def chunk_scores(self, chunks: Column, kinds: Sequence[str]) -> Column:
+    def _probabilities(self, kind: str) -> str:
+        weights = ", ".join(self._weight(kind, label) for label in LABELS[kind])
+        total = "aggregate(weights, 0D, (sum, w) -> sum + w)"
+        shares = "transform(weights, w -> w / total)"
+        return _let("weights", f"array({weights})", _let("total", total, shares))
+
+    def chunk_scores(self, chunks: str, kinds: Sequence[str]) -> Column:
         lexicon = sorted({w for k in kinds for ws in self._words[k].values() for w in ws})
         # Keep the few lexicon words of a chunk first: one set lookup per word, however
-        # many labels there are.
-        hits = F.transform(
-            chunks, lambda c: F.filter(lower_words(c), lambda w: w.isin(lexicon or [""]))
-        )
-        fields = [(k, label) for k in kinds for label in LABELS[k]]
-        weights = F.transform(
-            hits,
-            lambda h: F.struct(*[self._weight(h, k, x).alias(field_name(k, x)) for k, x in fields]),
-        )
+        # many labels there are. As SQL text this takes one call to the JVM; built column
+        # by column it would take over a thousand.
+        words = r"regexp_extract_all(lower(chunk), r'\p{L}+', 0)"
+        hits = f"filter({words}, w -> {_is_one_of('w', lexicon)})"
+        scores = ", ".join(f"'{k}', {self._probabilities(k)}" for k in kinds)
+        per_chunk = _let("hits", hits, f"named_struct({scores})")
+        return F.expr(f"transform({chunks}, chunk -> {per_chunk})")
+
+
+def _is_one_of(name: str, words: Sequence[str]) -> str:
+    """SQL condition; Spark turns more than a few words into a hash set."""
+    if not words:
+        return "false"
+    escaped = [w.replace("\\", "\\\\").replace("'", "\\'") for w in words]
+    return f"{name} IN ('" + "', '".join(escaped) + "')"
 
-        def shares(weight: Column) -> Column:
-            result = []
-            for kind in kinds:
-                total = sum_columns([weight[field_name(kind, x)] for x in LABELS[kind]])
-                result += [
-                    (weight[field_name(kind, x)] / total).alias(field_name(kind, x))
-                    for x in LABELS[kind]
-                ]
-            return F.struct(*result)
 
-        return F.transform(weights, shares)
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` standing for a value that is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
 #: A loaded model: texts in, one ``{label: probability}`` mapping per text out.
@@ -126,29 +128,30 @@ class ModelScorer:
         # Names this scorer's models in the workers: functions lose their identity there.
         self._id = uuid.uuid4().hex
 
-    def chunk_scores(self, chunks: Column, kinds: Sequence[str]) -> Column:
+    def chunk_scores(self, chunks: str, kinds: Sequence[str]) -> Column:
         missing = [k for k in kinds if k not in self._loaders]
         if missing:
             raise ValueError(f"no model for {missing}")
         loaders = {k: self._loaders[k] for k in kinds}
         batch_size, scorer_id = self._batch_size, self._id
-        names = [field_name(k, x) for k in kinds for x in LABELS[k]]
 
         def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for lists in batches:
-                columns = []
-                for kind, loader in loaders.items():
-                    predict = _loaded((scorer_id, kind), loader)
-                    columns += _label_columns(lists, predict, LABELS[kind], batch_size)
-                chunk_structs = pa.StructArray.from_arrays(columns, names)
+                columns = [
+                    _chunk_probabilities(
+                        lists, _loaded((scorer_id, kind), loader), LABELS[kind], batch_size
+                    )
+                    for kind, loader in loaders.items()
+                ]
+                chunk_structs = pa.StructArray.from_arrays(columns, list(loaders))
                 nulls = lists.is_null() if lists.null_count else None
                 yield pa.ListArray.from_arrays(_offsets(lists), chunk_structs, mask=nulls)
 
-        element = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+        element = T.StructType([T.StructField(k, T.ArrayType(T.DoubleType())) for k in kinds])
         # Non-deterministic keeps the optimizer from calling the model twice when a later
         # filter reads a score.
         udf = F.arrow_udf(score, T.ArrayType(element)).asNondeterministic()
-        return udf(chunks)
+        return udf(F.expr(chunks))
 
 
 _MODELS: dict[tuple[str, str], Predict] = {}
@@ -166,10 +169,10 @@ def _offsets(lists: pa.ListArray) -> pa.Array:
     return pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])
 
 
-def _label_columns(
+def _chunk_probabilities(
     lists: pa.ListArray, predict: Predict, labels: Sequence[str], batch_size: int
-) -> list[pa.Array]:
-    """One array per label over the flattened chunks; NULL for the chunks of failed rows."""
+) -> pa.Array:
+    """One list of probabilities per flattened chunk; NULL for the chunks of failed rows."""
     chunks = lists.flatten().to_pylist()
     bounds = _offsets(lists).to_pylist()
     scores = _predict_all(predict, chunks, labels, batch_size)
@@ -177,17 +180,15 @@ def _label_columns(
         if None in scores[begin:end]:
             # The call may have failed because of another row's chunk: try this row alone.
             alone = _predict_all(predict, chunks[begin:end], labels, batch_size)
-            if None in alone:
-                alone = [[None] * len(labels)] * (end - begin)
-            scores[begin:end] = alone
-    return [pa.array([s[i] for s in scores], pa.float64()) for i in range(len(labels))]
+            scores[begin:end] = [None] * (end - begin) if None in alone else alone
+    return pa.array(scores, pa.list_(pa.float64()))
 
 
 def _predict_all(
     predict: Predict, chunks: Sequence[str], labels: Sequence[str], batch_size: int
-) -> list[list[float | None] | None]:
+) -> list[list[float] | None]:
     """Probabilities in label order per chunk; None for every chunk of a failed call."""
-    scores: list[list[float | None] | None] = []
+    scores: list[list[float] | None] = []
     for start in range(0, len(chunks), batch_size):
         batch = chunks[start : start + batch_size]
         try:
@@ -201,7 +202,7 @@ def _predict_all(
 
 
 def score_text(
-    text: Column | str,
+    text: str,
     scorer: Scorer,
     kinds: Sequence[str] = ("sentiment", "emotion"),
     chunk_size: int = CHUNK_SIZE,
@@ -209,6 +210,8 @@ def score_text(
 ) -> Column:
     """Struct with the sentiment label and means, and the emotion label.
 
+    ``text`` is a column name or an SQL expression.
+
     * sentiment: mean probability over the chunks, every chunk counting the same, and
       the label with the highest mean;
     * emotion: the label with the highest sum over the chunks;
@@ -219,86 +222,66 @@ def score_text(
     With ``errors`` the struct also has ``score_error``, true after a failed call.
     """
     kinds = tuple(kinds)
-    fields = [field_name(k, x) for k in kinds for x in LABELS[k]]
-    scores = scorer.chunk_scores(chunk_text(text, chunk_size), kinds)
-    zero = F.struct(F.lit(0).alias("chunks"), *[F.lit(0.0).alias(f) for f in fields])
+    scores = scorer.chunk_scores(chunk_sql(text, chunk_size), kinds)
+    zero = F.struct(
+        F.lit(0).alias("chunks"),
+        *[F.array_repeat(F.lit(0.0), F.lit(len(LABELS[k]))).alias(k) for k in kinds],
+    )
 
-    def add(acc: Column, chunk: Column) -> Column:
+    def add(sums: Column, chunk: Column) -> Column:
         return F.struct(
-            (acc["chunks"] + 1).alias("chunks"), *[(acc[f] + chunk[f]).alias(f) for f in fields]
+            (sums["chunks"] + 1).alias("chunks"),
+            *[F.zip_with(sums[k], chunk[k], lambda a, b: a + b).alias(k) for k in kinds],
         )
 
-    def finish(acc: Column) -> Column:
-        columns = []
-        for kind in kinds:
-            columns += _sentiment_fields(acc) if kind == "sentiment" else [_emotion_field(acc)]
+    def finish(sums: Column) -> Column:
+        fields = []
+        if "sentiment" in kinds:
+            fields += _sentiment_fields(sums["sentiment"], sums["chunks"])
+        if "emotion" in kinds:
+            label = F.coalesce(first_highest(sums["emotion"], EMOTIONS), F.lit(DEFAULT_EMOTION))
+            fields.append(label.alias("emotion_label"))
         if errors:
-            columns.append(_any_null([acc[f] for f in fields]).alias("score_error"))
-        return F.struct(*columns)
+            failed = reduce(or_, [sums[k].isNull() for k in kinds])
+            fields.append(failed.alias("score_error"))
+        return F.struct(*fields)
 
     defaults = []
-    for kind in kinds:
-        if kind == "sentiment":
-            label, *means = DEFAULT_SENTIMENT
-            defaults.append(F.lit(label).alias("sentiment_label"))
-            defaults += [F.lit(m).cast("float").alias(x) for x, m in zip(SENTIMENTS, means)]
-        else:
-            defaults.append(F.lit(DEFAULT_EMOTION).alias("emotion_label"))
+    if "sentiment" in kinds:
+        label, *means = DEFAULT_SENTIMENT
+        defaults.append(F.lit(label).alias("sentiment_label"))
+        defaults += [F.lit(m).cast("float").alias(x) for x, m in zip(SENTIMENTS, means)]
+    if "emotion" in kinds:
+        defaults.append(F.lit(DEFAULT_EMOTION).alias("emotion_label"))
     if errors:
         defaults.append(F.lit(False).alias("score_error"))
     # A NULL array folds to NULL, so the default is the NULL-text case.
     return F.coalesce(F.aggregate(scores, zero, add, finish), F.struct(*defaults))
 
 
-def sentiment(text: Column | str, scorer: Scorer, chunk_size: int = CHUNK_SIZE) -> Column:
+def sentiment(text: str, scorer: Scorer, chunk_size: int = CHUNK_SIZE) -> Column:
     """Struct ``sentiment_label, negative, neutral, positive``."""
     return score_text(text, scorer, ("sentiment",), chunk_size)
 
 
-def emotion(text: Column | str, scorer: Scorer, chunk_size: int = CHUNK_SIZE) -> Column:
+def emotion(text: str, scorer: Scorer, chunk_size: int = CHUNK_SIZE) -> Column:
     """Struct ``emotion_label``."""
     return score_text(text, scorer, ("emotion",), chunk_size)
 
 
-def _sentiment_fields(acc: Column) -> list[Column]:
-    names = [field_name("sentiment", x) for x in SENTIMENTS]
-    divisor = F.greatest(acc["chunks"], F.lit(1))
-    failed = _any_null([acc[n] for n in names])
-    means = [acc[n] / divisor for n in names]
+def _sentiment_fields(sums: Column, chunks: Column) -> list[Column]:
     default_label, *default_means = DEFAULT_SENTIMENT
-    label = F.when(failed, F.lit(default_label)).otherwise(first_highest(means, SENTIMENTS))
+    divisor = F.greatest(chunks, F.lit(1))
+    means = F.transform(sums, lambda s: s / divisor)
+    label = F.coalesce(first_highest(means, SENTIMENTS), F.lit(default_label))
+    # Labels are decided in double precision; only the output is narrowed.
     return [label.alias("sentiment_label")] + [
-        # Labels are decided in double precision; only the output is narrowed.
-        F.when(failed, F.lit(d)).otherwise(m).cast("float").alias(x)
-        for x, m, d in zip(SENTIMENTS, means, default_means)
+        F.coalesce(sums[i] / divisor, F.lit(default)).cast("float").alias(name)
+        for i, (name, default) in enumerate(zip(SENTIMENTS, default_means))
     ]
 
 
-def _emotion_field(acc: Column) -> Column:
-    sums = [acc[field_name("emotion", x)] for x in EMOTIONS]
-    label = F.when(_any_null(sums), F.lit(DEFAULT_EMOTION)).otherwise(first_highest(sums, EMOTIONS))
-    return label.alias("emotion_label")
-
-
-def first_highest(values: Sequence[Column], labels: Sequence[str]) -> Column:
-    """Label of the highest value; the first one wins a tie."""
-    best = F.greatest(*values) if len(values) > 1 else values[0]
-    choice = F.when(values[0] == best, F.lit(labels[0]))
-    for value, label in zip(values[1:], labels[1:]):
-        choice = choice.when(value == best, F.lit(label))
-    return choice
-
-
-def sum_columns(columns: Sequence[Column]) -> Column:
-    """Left-to-right sum."""
-    total = columns[0]
-    for column in columns[1:]:
-        total = total + column
-    return total
-
-
-def _any_null(columns: Sequence[Column]) -> Column:
-    flag = columns[0].isNull()
-    for column in columns[1:]:
-        flag = flag | column.isNull()
-    return flag
+def first_highest(values: Column, labels: Sequence[str]) -> Column:
+    """Label of the highest value in an array; the first one wins a tie. NULL for NULL."""
+    names = F.split(F.lit(",".join(labels)), ",")
+    return F.element_at(names, F.array_position(values, F.array_max(values)).cast("int"))

@@ -8,20 +8,24 @@ from pyspark.sql import functions as F
 from agorameter.schemas import CHUNK_SIZE, WATCH_URL
 
 
-def chunk_text(text: Column | str, size: int = CHUNK_SIZE) -> Column:
+def chunk_text(text: str, size: int = CHUNK_SIZE) -> Column:
     """Consecutive slices of ``size`` code points; the last may be short.
 
-    Empty text has no chunk, NULL text gives NULL. One greedy match per slice reads
-    the text once, where repeated ``substring`` would rescan it for every slice.
+    ``text`` is a column name or an SQL expression. Empty text has no chunk, NULL text
+    gives NULL.
     """
-    if size < 1:
-        raise ValueError("size must be positive")
-    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{int(size)}}}"), F.lit(0))
+    return F.expr(chunk_sql(text, size))
+
 
+def chunk_sql(text: str, size: int = CHUNK_SIZE) -> str:
+    """``chunk_text`` as SQL text.
 
-def lower_words(text: Column | str) -> Column:
-    """Lower-cased runs of letters."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
+    One greedy match per slice reads the text once, where repeated ``substring`` would
+    rescan it for every slice.
+    """
+    if size < 1:
+        raise ValueError("size must be positive")
+    return f"regexp_extract_all({text}, '(?s).{{1,{int(size)}}}', 0)"
 
 
 def transcript(segments: Column | str) -> Column:
@@ -44,5 +48,14 @@ def strip_whitespace(text: Column | str) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def expand_once(struct: Column) -> Column:
+    """The fields of a struct as columns, for ``select``.
+
+    A later filter on the fields stays above this step. Behind ``struct.*`` the optimizer
+    would move it below and compute the struct a second time, or once per condition.
+    """
+    return F.inline(F.array(struct))
+
+
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value

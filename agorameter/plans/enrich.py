@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from agorameter.functions.lexicon import default_scorer
 from agorameter.functions.scoring import Scorer, score_text
-from agorameter.functions.text import chunk_text
+from agorameter.functions.text import chunk_text, expand_once
 from agorameter.operators.messages import parse_messages, select_renamed
 from agorameter.schemas import (
     CHUNK_SIZE,
@@ -39,9 +39,7 @@ def score_records(
     scores = score_text(dataset.text, scorer or default_scorer(), kinds, chunk_size, errors)
     text = () if dataset.text in dataset.columns else (dataset.text,)
     selected = select_renamed(records, dataset.columns + text, dict(dataset.renames))
-    return selected.select(*dataset.columns, scores.alias("scores")).select(
-        *dataset.columns, "scores.*"
-    )
+    return selected.select(*dataset.columns, expand_once(scores))
 
 
 def enrich(

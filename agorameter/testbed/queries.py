@@ -184,11 +184,11 @@ def _chunk_sql(kind: str, labels) -> str:
 
 
 def _chunk_scores(spark, folder, kind, labels):
-    scores = scorer().chunk_scores(text.chunk_text("text"), [kind])
+    scores = scorer().chunk_scores(text.chunk_sql("text"), [kind])
     exploded = inputs.documents(spark, folder).select(
         "doc_id", F.posexplode(scores).alias("chunk_no", "p")
     )
-    named = [F.col("p")[scoring.field_name(kind, x)].alias(x) for x in labels]
+    named = [F.col("p")[kind][i].alias(x) for i, x in enumerate(labels)]
     return rounded(exploded.select("doc_id", "chunk_no", *named), *labels)
 
 
@@ -204,7 +204,7 @@ def chunk_emotion(spark, folder):
 
 def _scored(df: DataFrame, keys: list[str], score) -> DataFrame:
     """Keys and the fields of a score struct."""
-    return df.select(*keys, score.alias("score")).select(*keys, "score.*")
+    return df.select(*keys, text.expand_once(score))
 
 
 _DOCUMENTS = "SELECT doc_id, text FROM documents"
@@ -632,7 +632,7 @@ def published_between(spark, folder):
 )
 def keyword_search(spark, folder):
     found = collect.keyword_search(
-        inputs.documents(spark, folder), "text", "Election|WHERON | c++|ÊTION"
+        inputs.table(spark, folder, "documents"), "text", "Election|WHERON | c++|ÊTION"
     )
     return found.select("doc_id")
 
@@ -654,10 +654,13 @@ def first_seen(spark, folder):
     return collect.first_seen(rows, "url", "page_id")
 
 
-@register("SELECT text, min(doc_id) AS doc_id FROM documents GROUP BY text")
+@register("SELECT sha256(text) AS digest, min(doc_id) AS doc_id FROM documents GROUP BY 1")
 def first_seen_texts(spark, folder):
-    """Exact copies of a text reduced to the first."""
-    return collect.first_seen(inputs.documents(spark, folder), "text", "doc_id")
+    """Exact copies of a text reduced to the first; only digests are shuffled."""
+    rows = inputs.table(spark, folder, "documents").select(
+        F.sha2("text", 256).alias("digest"), "doc_id"
+    )
+    return collect.first_seen(rows, "digest", "doc_id")
 
 
 @register("SELECT 'https://www.youtube.com/watch?v=' || page_id AS url, page_id FROM pages")
