@@ -8,11 +8,12 @@ partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agorameter.functions.scoring import sum_columns
 from agorameter.functions.time import event_time
 from agorameter.schemas import (
     FACEBOOK,
@@ -66,9 +67,13 @@ def emotion_share(df: DataFrame, dimension: str) -> DataFrame:
     return label_shares(df, [dimension], "emotion_label")
 
 
+def _reaction_sum() -> Column:
+    return reduce(add, [F.coalesce(F.col(r).cast("long"), F.lit(0)) for r in REACTIONS])
+
+
 def post_engagement(df: DataFrame, dimensions: Sequence[str] = ("sentiment_label",)) -> DataFrame:
     """Reactions by sentiment label: total per kind, overall sum and mean per record."""
-    reactions = sum_columns([F.coalesce(F.col(r).cast("long"), F.lit(0)) for r in REACTIONS])
+    reactions = _reaction_sum()
     return df.groupBy(*dimensions).agg(
         F.count("*").alias("records"),
         *[F.sum(F.col(r).cast("long")).alias(f"sum_{r}") for r in REACTIONS],
@@ -135,7 +140,7 @@ def cross_media(
     ``subject`` is the candidate or the channel; ``engagement`` the sum of reactions, the
     likes of a video, or the votes of a comment.
     """
-    reactions = sum_columns([F.coalesce(F.col(r).cast("long"), F.lit(0)) for r in REACTIONS])
+    reactions = _reaction_sum()
     parts = [
         _common(posts, FACEBOOK, POSTS.name, "uuid", None, "candidate", reactions),
         _common(
@@ -150,10 +155,7 @@ def cross_media(
             F.col("comment_votes").cast("long"), time="comment_published_at",
         ),
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
 def bias_breakdown(df: DataFrame) -> DataFrame:
