@@ -284,4 +284,4 @@ def _sentiment_fields(sums: Column, chunks: Column) -> list[Column]:
 def first_highest(values: Column, labels: Sequence[str]) -> Column:
     """Label of the highest value in an array; the first one wins a tie. NULL for NULL."""
     names = F.split(F.lit(",".join(labels)), ",")
-    return F.element_at(names, F.array_position(values, F.array_max(values)).cast("int"))
+    return F.get(names, (F.array_position(values, F.array_max(values)) - 1).cast("int"))
