@@ -19,7 +19,12 @@ from agorameter.session import build_session
 from agorameter.sinks.files import write_channel_files
 from agorameter.sinks.topics import write_topic_files, write_topics
 from agorameter.sources.files import read_flat_comments, read_flat_videos, read_raw_videos
-from agorameter.sources.tables import jdbc_options, read_exported_table, read_jdbc_table
+from agorameter.sources.tables import (
+    hash_predicates,
+    jdbc_options,
+    read_exported_table,
+    read_jdbc_table,
+)
 from agorameter.sources.topics import stream_topic, stream_topic_files
 from agorameter.streaming import jobs
 
@@ -36,6 +41,7 @@ def arguments() -> argparse.ArgumentParser:
 
     ingest = commands.add_parser("ingest", help="tables and flat records to topics")
     ingest.add_argument("--jdbc-url", help="database of the two tables")
+    ingest.add_argument("--jdbc-parts", type=int, default=16, help="parallel table reads")
     ingest.add_argument("--posts", default=POSTS_SECTION, help="table name, or export folder")
     ingest.add_argument("--post-comments", default=COMMENTS_SECTION, help="the same for comments")
     ingest.add_argument("--videos", required=True)
@@ -71,7 +77,8 @@ def run_flatten(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     def table(name: str) -> DataFrame:
         if args.jdbc_url:
-            return read_jdbc_table(spark, jdbc_options(args.jdbc_url, name))
+            parts = hash_predicates("uuid", args.jdbc_parts)
+            return read_jdbc_table(spark, jdbc_options(args.jdbc_url, name), parts)
         return read_exported_table(spark, name)
 
     messages = ingest(

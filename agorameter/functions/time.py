@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 def iso_string(moment: Column | str) -> Column:
     """ISO-8601 local time; six fraction digits only when the fraction is not zero."""
-    return F.regexp_replace(
-        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", ""
-    )
+    precise = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.replace(precise, F.lit(".000000"), F.lit(""))
 
 
 def epoch_iso_string(seconds: Column | str) -> Column:

@@ -94,20 +94,14 @@ def with_channel(df: DataFrame, channel: str, state: str, bias: str) -> DataFram
     )
 
 
-#: Above this many channels the metadata is joined by shuffle instead of broadcast.
-MAX_BROADCAST_CHANNELS = 100_000
-
-
 def with_channel_metadata(df: DataFrame, channels: DataFrame) -> DataFrame:
     """Attach ``channel_bias`` and ``state`` by channel; unknown channels get NULL.
 
-    ``channels`` is reduced to one row per channel. It is broadcast after its size was
-    checked, so a channel that holds most rows does not end up in one task; a larger
-    one is left to the optimizer.
+    ``channels`` is reduced to one row per channel. Spark broadcasts it while its size is
+    below ``spark.sql.autoBroadcastJoinThreshold``, so that a channel with most of the rows
+    stays spread; beyond that it joins by shuffle and splits skewed partitions.
     """
     dimension = channels.groupBy("channel").agg(
         F.min("channel_bias").alias("channel_bias"), F.min("state").alias("state")
     )
-    if dimension.limit(MAX_BROADCAST_CHANNELS + 1).count() <= MAX_BROADCAST_CHANNELS:
-        dimension = F.broadcast(dimension)
     return df.join(dimension, "channel", "left")

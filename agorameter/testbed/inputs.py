@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorameter.functions.text import watch_url
+from agorameter.functions.text import expand_once, watch_url
 from agorameter.functions.time import epoch_iso_string
 from agorameter.operators.messages import to_messages
 from agorameter.operators.normalize import (
@@ -54,6 +54,10 @@ def _reactions(size: Column) -> list[Column]:
     return [(size % d).cast("int").alias(name) for name, d in COUNTERS.items()]
 
 
+def post_time() -> Column:
+    return F.timestamp_seconds(F.lit(START) + (F.col("doc_id") * 86_399) % 12_096_000)
+
+
 def posts_table(spark: SparkSession, folder: str) -> DataFrame:
     """documents as the relational posts table."""
     return documents(spark, folder).select(
@@ -61,9 +65,7 @@ def posts_table(spark: SparkSession, folder: str) -> DataFrame:
         F.timestamp_seconds(F.lit(START + 14_000_000) + F.col("doc_id") % 86_400).alias(
             "retrieving_time"
         ),
-        F.timestamp_seconds(F.lit(START) + (F.col("doc_id") * 86_399) % 12_096_000).alias(
-            "timestamp"
-        ),
+        post_time().alias("timestamp"),
         F.col("source").alias("candidate"),
         F.col("text").alias("content"),
         *_reactions(F.col("n_chars")),
@@ -123,7 +125,11 @@ def plain_videos(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("n_chars") * 37 % 1_000_000).cast("int").alias("views"),
         F.col("text").alias("fullText"),
         F.lit(YOUTUBE).alias("social"),
-        F.transform(F.slice(lines, F.lit(2), F.size(lines)), comment).alias("comments"),
+        expand_once(
+            F.struct(
+                F.transform(F.slice(lines, F.lit(2), F.size(lines)), comment).alias("comments")
+            )
+        ),
     )
 
 
@@ -164,7 +170,7 @@ def tagged_events(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "error", COMMENTS_SECTION)
         .when(kind == "purchase", "Stories")
     )
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events")).select(
         "event_id",
         "ts",
         "value",

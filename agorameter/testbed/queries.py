@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from agorameter.functions import scoring, text, time
 from agorameter.operators import collect, messages, normalize, route
-from agorameter.plans import enrich, reports
+from agorameter.plans import enrich, links, reports
 from agorameter.schemas import (
     DATASETS,
     EMOTIONS,
@@ -669,6 +669,28 @@ def watch_urls(spark, folder):
     return inputs.table(spark, folder, "pages").select(text.watch_url(video).alias("url"), "page_id")
 
 
+@register(
+    f"""SELECT CAST(floor(date_diff('second', TIMESTAMP '2024-09-11', published) / 864000.0)
+                 AS INTEGER) AS tile_no, strftime(published, '%Y-%m-%dT%H:%M:%SZ') AS published, url
+        FROM (SELECT {sql.POST_TIME} AS published,
+                     'https://www.youtube.com/watch?v=' || doc_id AS url FROM documents
+              WHERE lang = 'en' AND source = 'src3'
+                AND (contains(lower(text), 'wheron') OR contains(lower(text), 'the')))
+        WHERE published >= TIMESTAMP '2024-09-11' AND published < TIMESTAMP '2025-01-20'"""
+)
+def video_links(spark, folder):
+    """documents as search results: English ones are videos, their source is the channel."""
+    items = inputs.table(spark, folder, "documents").select(
+        F.when(F.col("lang") == "en", "video").otherwise("playlist").alias("type"),
+        F.col("source").alias("channel_id"),
+        F.col("doc_id").cast("string").alias("video_id"),
+        F.col("text").alias("title"),
+        inputs.post_time().alias("published"),
+    )
+    found = links.video_links(items, "2024-09-11", "2025-01-20", "wheron|The", "src3")
+    return found.withColumn("published", time.utc_string("published"))
+
+
 @register("SELECT event_id, event_type, value FROM events ORDER BY ts DESC, event_id")
 def newest_first(spark, folder):
     ordered = collect.newest_first(inputs.table(spark, folder, "events"), "ts", "event_id")

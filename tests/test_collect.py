@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from agorameter.operators import collect
+from agorameter.plans import links
 from tests.conftest import plan_of
 
 
@@ -137,3 +138,20 @@ def test_orders(spark):
     newest = [tuple(r) for r in collect.newest_first(df, "votes", "id").collect()]
     assert newest == sorted(rows, key=lambda r: (-r[2], r[1]))
     assert "rangepartitioning(video" in plan_of(collect.popular_first(df, "video", "votes", "id"))
+
+
+def test_video_links(spark):
+    items = spark.sql(
+        """SELECT * FROM VALUES
+             ('video', 'abc', 'a', 'Harris speaks', timestamp '2024-09-02 00:00:00'),
+             ('video', 'abc', 'b', 'the ELECTIONS', timestamp '2024-09-05 00:00:00'),
+             ('video', 'abc', 'c', 'trump', timestamp '2024-09-12 00:00:00'),
+             ('video', 'abc', 'a', 'Harris speaks', timestamp '2024-09-13 00:00:00'),
+             ('video', 'abc', 'd', 'weather', timestamp '2024-09-02 00:00:00'),
+             ('video', 'fox', 'e', 'trump', timestamp '2024-09-02 00:00:00'),
+             ('playlist', 'abc', 'f', 'trump', timestamp '2024-09-02 00:00:00'),
+             ('video', 'abc', 'g', 'trump', timestamp '2024-09-21 00:00:00')
+           AS t(type, channel_id, video_id, title, published)"""
+    )
+    rows = links.video_links(items, "2024-09-01", "2024-09-21", channel="abc").collect()
+    assert [(r.tile_no, r.url[-1]) for r in rows] == [(0, "b"), (0, "a"), (1, "c")]

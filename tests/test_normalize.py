@@ -4,6 +4,7 @@ from datetime import datetime
 
 from agorameter.operators import normalize as n
 from agorameter.schemas import FLAT_VIDEO, FLAT_VIDEO_COMMENT, RAW_VIDEO
+from tests.conftest import plan_of
 
 
 def raw(spark):
@@ -85,15 +86,19 @@ def test_channel_metadata(spark):
     assert tuple(constants) == (0, "CBSNews", "LEAN_DEMOCRAT", "NY")
 
 
-def test_large_channel_tables_are_not_broadcast(spark, monkeypatch):
-    channels = spark.range(10).selectExpr(
+def test_only_small_channel_tables_are_broadcast(spark, tmp_path):
+    path = str(tmp_path / "channels")
+    spark.range(10).selectExpr(
         "CAST(id AS string) channel", "'x' channel_bias", "'y' state"
-    )
+    ).write.parquet(path)
     videos = spark.range(10).selectExpr("CAST(id AS string) channel")
-    assert "strategy=broadcast" in _logical(n.with_channel_metadata(videos, channels))
-    monkeypatch.setattr(n, "MAX_BROADCAST_CHANNELS", 9)
-    assert "broadcast" not in _logical(n.with_channel_metadata(videos, channels))
-
-
-def _logical(df) -> str:
-    return df._jdf.queryExecution().optimizedPlan().toString()
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    joined = n.with_channel_metadata(videos, spark.read.parquet(path))
+    assert "BroadcastHashJoin" in plan_of(joined)
+    spark.conf.set(threshold, "100")
+    try:
+        joined = n.with_channel_metadata(videos, spark.read.parquet(path))
+        assert "BroadcastHashJoin" not in plan_of(joined)
+        assert joined.filter("state = 'y'").count() == 10
+    finally:
+        spark.conf.unset(threshold)

@@ -95,6 +95,13 @@ def test_jdbc_options():
         tables.jdbc_options("jdbc:x", "Posts", partitions=4)
 
 
+def test_hash_predicates_are_a_partition(spark):
+    df = spark.sql("SELECT IF(id % 9 = 0, NULL, concat('k', id)) AS uuid, id FROM range(500)")
+    parts = [df.filter(p).collect() for p in tables.hash_predicates("uuid", 7)]
+    assert sorted(r.id for part in parts for r in part) == list(range(500))
+    assert all(len(part) > 30 for part in parts)
+
+
 def test_search_options():
     options = jobs.search_options("http://node", 9200, VIDEO_COMMENTS)
     assert options["es.batch.write.retry.count"] == "10"
