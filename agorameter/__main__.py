@@ -18,7 +18,14 @@ from agorameter.schemas import COMMENTS_SECTION, DATASETS, POSTS_SECTION
 from agorameter.session import build_session
 from agorameter.sinks.files import write_channel_files
 from agorameter.sinks.topics import write_topic_files, write_topics
-from agorameter.sources.files import read_flat_comments, read_flat_videos, read_raw_videos
+from agorameter.sources.files import (
+    ARRAY,
+    FORMS,
+    LINES,
+    read_flat_comments,
+    read_flat_videos,
+    read_raw_videos,
+)
 from agorameter.sources.tables import (
     hash_predicates,
     jdbc_options,
@@ -37,7 +44,7 @@ def arguments() -> argparse.ArgumentParser:
     flatten.add_argument("--raw", required=True, help="files of collected videos")
     flatten.add_argument("--videos", required=True, help="output folder of flat videos")
     flatten.add_argument("--video-comments", required=True, help="output folder of comments")
-    flatten.add_argument("--lines", action="store_true", help="input has one record per line")
+    flatten.add_argument("--form", choices=FORMS, default=ARRAY, help="form of the raw files")
 
     ingest = commands.add_parser("ingest", help="tables and flat records to topics")
     ingest.add_argument("--jdbc-url", help="database of the two tables")
@@ -46,7 +53,7 @@ def arguments() -> argparse.ArgumentParser:
     ingest.add_argument("--post-comments", default=COMMENTS_SECTION, help="the same for comments")
     ingest.add_argument("--videos", required=True)
     ingest.add_argument("--video-comments", required=True)
-    ingest.add_argument("--lines", action="store_true", help="video files have line records")
+    ingest.add_argument("--form", choices=FORMS, default=LINES, help="form of the video files")
     ingest.add_argument("--rejects", required=True, help="folder for records without a topic")
 
     enrich = commands.add_parser("enrich", help="topics to enriched records")
@@ -69,7 +76,7 @@ def arguments() -> argparse.ArgumentParser:
 
 
 def run_flatten(spark: SparkSession, args: argparse.Namespace) -> None:
-    videos = usable_videos(read_raw_videos(spark, args.raw, args.lines))
+    videos = usable_videos(read_raw_videos(spark, args.raw, args.form))
     write_channel_files(flatten_videos(videos), args.videos)
     write_channel_files(flatten_comments(videos), args.video_comments)
 
@@ -84,8 +91,8 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = ingest(
         table(args.posts),
         table(args.post_comments),
-        read_flat_videos(spark, args.videos, args.lines),
-        read_flat_comments(spark, args.video_comments, args.lines),
+        read_flat_videos(spark, args.videos, args.form),
+        read_flat_comments(spark, args.video_comments, args.form),
         names={name: args.topic_prefix + name for name in DATASETS},
     )
     if args.servers:
@@ -113,8 +120,10 @@ def run_enrich(spark: SparkSession, args: argparse.Namespace) -> None:
             return jobs.start_table_sink(
                 records, f"{args.out}/{name}", checkpoint, trigger, name=name
             )
-        options = jobs.search_options(args.search, args.search_port, DATASETS[name])
-        return jobs.start_search_sink(records, topic, checkpoint, options, trigger, name=name)
+        options = jobs.search_options(args.search, args.search_port)
+        return jobs.start_search_sink(
+            records, topic, checkpoint, options, trigger, name, key=DATASETS[name].key
+        )
 
     starters = [lambda name=name: start(name) for name in args.dataset]
     (jobs.run_together if args.interval else jobs.run_in_turn)(starters)

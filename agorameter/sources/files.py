@@ -12,37 +12,65 @@ from agorameter.functions.text import strip_whitespace
 from agorameter.schemas import FLAT_VIDEO, FLAT_VIDEO_COMMENT, RAW_VIDEO
 
 
+#: One array per file, one record per line, or an array pretty-printed record by record.
+ARRAY, LINES, INDENTED = FORMS = ("array", "lines", "indented")
+
+
 def read_json_records(
-    spark: SparkSession, paths: str | Sequence[str], schema: StructType, lines: bool = False
+    spark: SparkSession, paths: str | Sequence[str], schema: StructType, form: str = ARRAY
 ) -> DataFrame:
     """JSON files with a fixed schema, one row per record.
 
-    A file holds one array of records, or with ``lines`` one record per line. An array
-    file cannot be split, so its size bounds the work of one task; prefer line files
-    for large collections. Columns that stem from folder names are left out.
+    A file holds one array of records (``array``), or one record per line (``lines``). An
+    array file cannot be split, so the largest file bounds the time of the job; an array
+    written with an indent of four blanks can be, as ``indented``. Columns that stem from
+    folder names are left out.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    records = spark.read.schema(schema).option("multiLine", not lines).json(paths)
+    if form not in FORMS:
+        raise ValueError(f"form has to be one of {FORMS}")
+    if form == INDENTED:
+        return _indented_records(spark, paths, schema)
+    records = spark.read.schema(schema).option("multiLine", form == ARRAY).json(paths)
     return records.select(*schema.names)
 
 
+def _indented_records(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
+    """Records of pretty-printed arrays, cut where a brace ends a line at the first level.
+
+    A JSON string has no raw line end, so the cut cannot fall into a value; deeper levels
+    have more blanks. This lets many tasks read parts of one large file.
+    """
+    pieces = spark.read.option("lineSep", "\n    },\n").text(paths, wholetext=False)
+    value = F.col("value")
+    kept = pieces.select("value").filter(~value.rlike(r"\A\s*(\[\s*\])?\s*\z"))
+    is_last = value.rlike(r"\n    \}\s*\]\s*\z")
+    closed = F.when(is_last, F.regexp_replace(value, r"\]\s*\z", "")).otherwise(
+        F.concat(value, F.lit("}"))
+    )
+    record = F.when(
+        value.rlike(r"\A(\[\n)?    \{\n"), F.regexp_replace(closed, r"\A\[\n", "")
+    ).otherwise(F.raise_error(F.lit("not a JSON array indented by four blanks")))
+    return kept.select(F.from_json(record, schema).alias("data")).select("data.*")
+
+
 def read_raw_videos(
-    spark: SparkSession, paths: str | Sequence[str], lines: bool = False
+    spark: SparkSession, paths: str | Sequence[str], form: str = ARRAY
 ) -> DataFrame:
     """Collected videos with their nested comments."""
-    return read_json_records(spark, paths, RAW_VIDEO, lines)
+    return read_json_records(spark, paths, RAW_VIDEO, form)
 
 
 def read_flat_videos(
-    spark: SparkSession, paths: str | Sequence[str], lines: bool = False
+    spark: SparkSession, paths: str | Sequence[str], form: str = ARRAY
 ) -> DataFrame:
-    return read_json_records(spark, paths, FLAT_VIDEO, lines)
+    return read_json_records(spark, paths, FLAT_VIDEO, form)
 
 
 def read_flat_comments(
-    spark: SparkSession, paths: str | Sequence[str], lines: bool = False
+    spark: SparkSession, paths: str | Sequence[str], form: str = ARRAY
 ) -> DataFrame:
-    return read_json_records(spark, paths, FLAT_VIDEO_COMMENT, lines)
+    return read_json_records(spark, paths, FLAT_VIDEO_COMMENT, form)
 
 
 def read_links(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from agorameter.schemas import WRITE_RETRIES, WRITE_RETRY_WAIT, Dataset
+from agorameter.schemas import WRITE_RETRIES, WRITE_RETRY_WAIT
 
 #: Process what is there and stop, or a processing interval such as "1 minute".
 AVAILABLE_NOW = "available now"
@@ -47,21 +47,24 @@ def start_table_sink(
     return writer.start(path)
 
 
-def search_options(nodes: str, port: int, dataset: Dataset | None = None) -> dict[str, str]:
-    """Options of a search index writer with retries.
+#: Helper column with the id of a search document; it is not stored as a field.
+DOCUMENT_ID = "document_id"
 
-    With a dataset that has a one-column key, that column becomes the document id, so a
-    repeated batch overwrites its documents instead of adding them again.
-    """
-    options = {
+
+def search_options(nodes: str, port: int) -> dict[str, str]:
+    """Options of a search index writer with retries."""
+    return {
         "es.nodes": nodes,
         "es.port": str(port),
         "es.batch.write.retry.count": str(WRITE_RETRIES),
         "es.batch.write.retry.wait": WRITE_RETRY_WAIT,
     }
-    if dataset is not None and len(dataset.key) == 1:
-        options["es.mapping.id"] = dataset.key[0]
-    return options
+
+
+def with_document_id(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Add a document id made of the record's key, or a random one where it has none."""
+    keyed = reduce(and_, [F.col(c).isNotNull() for c in key])
+    return df.withColumn(DOCUMENT_ID, F.when(keyed, F.concat_ws("|", *key)).otherwise(F.uuid()))
 
 
 def start_search_sink(
@@ -71,8 +74,15 @@ def start_search_sink(
     options: dict[str, str],
     trigger: str = AVAILABLE_NOW,
     name: str | None = None,
+    key: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Append to a search index; needs the search store's package on the classpath."""
+    """Append to a search index; needs the search store's package on the classpath.
+
+    With a key a repeated batch overwrites its documents instead of adding them again.
+    """
+    if key:
+        df = with_document_id(df, key)
+        options = options | {"es.mapping.id": DOCUMENT_ID, "es.mapping.exclude": DOCUMENT_ID}
     return _writer(df, checkpoint, trigger, name).format("es").options(**options).start(index)
 
 

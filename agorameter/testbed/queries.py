@@ -235,27 +235,29 @@ def emotion_conversations(spark, folder):
     return _scored(df, ["uuid"], scoring.emotion("text", scorer()))
 
 
-_GAPS = """SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE text END AS text
-           FROM documents"""
+_GAPS = """SELECT doc_id || '-text' AS id, text FROM documents
+           UNION ALL SELECT doc_id || '-empty', '' FROM documents
+           UNION ALL SELECT doc_id || '-none', NULL FROM documents"""
 
 
 def _with_gaps(spark, folder) -> DataFrame:
-    """documents, some with NULL and some with empty text."""
-    rest = F.col("doc_id") % 3
-    return inputs.documents(spark, folder).withColumn(
-        "text", F.when(rest == 1, F.lit("")).when(rest == 2, F.col("text"))
+    """Every document with its text, with an empty one, and with none."""
+    variants = F.create_map(
+        F.lit("text"), F.col("text"), F.lit("empty"), F.lit(""), F.lit("none"), F.lit(None)
     )
+    rows = inputs.documents(spark, folder).select("doc_id", F.explode(variants))
+    return rows.select(F.concat_ws("-", "doc_id", "key").alias("id"), F.col("value").alias("text"))
 
 
-@register(sql.rounded(sql.sentiment(_GAPS, "doc_id", "text")))
+@register(sql.rounded(sql.sentiment(_GAPS, "id", "text")))
 def sentiment_defaults(spark, folder):
     df = _with_gaps(spark, folder)
-    return rounded(_scored(df, ["doc_id"], scoring.sentiment("text", scorer())))
+    return rounded(_scored(df, ["id"], scoring.sentiment("text", scorer())))
 
 
-@register(sql.emotion(_GAPS, "doc_id", "text"))
+@register(sql.emotion(_GAPS, "id", "text"))
 def emotion_defaults(spark, folder):
-    return _scored(_with_gaps(spark, folder), ["doc_id"], scoring.emotion("text", scorer()))
+    return _scored(_with_gaps(spark, folder), ["id"], scoring.emotion("text", scorer()))
 
 
 @register(
@@ -532,7 +534,7 @@ def channel_files(spark, folder):
     """Flat videos written per channel and read back."""
     path = shared_folder(spark, "videos")
     file_sinks.write_channel_files(normalize.flatten_videos(inputs.raw_videos(spark, folder)), path)
-    return files.read_flat_videos(spark, path, lines=True)
+    return files.read_flat_videos(spark, path, files.LINES)
 
 
 @register(
@@ -544,7 +546,7 @@ def nested_files(spark, folder):
     """Nested videos written as files, read back and flattened."""
     path = shared_folder(spark, "raw-videos")
     inputs.raw_videos(spark, folder).write.json(path)
-    flat = normalize.flatten_comments(files.read_raw_videos(spark, path, lines=True))
+    flat = normalize.flatten_comments(files.read_raw_videos(spark, path, files.LINES))
     return flat.groupBy("id_video", "channel").agg(
         F.count("*").alias("comments"), F.sum("comment_votes").alias("votes")
     )

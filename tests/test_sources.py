@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from agorameter import session
 from agorameter.operators.messages import to_messages
-from agorameter.schemas import FLAT_VIDEO, POSTS, VIDEO_COMMENTS
+from agorameter.schemas import FLAT_VIDEO, POSTS, RAW_VIDEO
 from agorameter.sinks import files as file_sinks
 from agorameter.sinks import topics as topic_sinks
 from agorameter.sources import files, tables, topics
@@ -26,6 +26,41 @@ def test_json_array_files(spark, tmp_path):
     }
 
 
+def test_indented_arrays_are_read_in_parts(spark, tmp_path):
+    """Many tasks share one file, and get what a reader of the whole file gets."""
+
+    def video(i):
+        comments = [
+            {"cid": f"{i}-{j}", "text": "}, {\n    },\n ]", "votes": j, "author": "é😀"}
+            for j in range(i % 4)
+        ]
+        return {"id_video": str(i), "title": "\n    },\n" * (i % 3), "likes": i, "comments": comments}
+
+    for name, n in (("ABC", 300), ("FOX", 1), ("NBC", 0)):
+        with open(tmp_path / f"{name}.json", "w") as file:
+            json.dump([video(i) for i in range(n)], file, indent=4)
+    (tmp_path / "NYT.json").write_text(json.dumps([{"views": "59", "likes": 1}], indent=4) + "\n")
+    size = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(size, "2000")
+    try:
+        parts = files.read_raw_videos(spark, f"{tmp_path}/*.json", files.INDENTED)
+        assert parts.rdd.getNumPartitions() > 20
+        found = sorted(map(repr, parts.collect()))
+    finally:
+        spark.conf.unset(size)
+    whole = files.read_raw_videos(spark, f"{tmp_path}/*.json")
+    assert found == sorted(map(repr, whole.collect())) and len(found) == 302
+    assert parts.schema.simpleString() == RAW_VIDEO.simpleString()
+
+
+def test_other_arrays_are_not_taken_for_indented_ones(spark, tmp_path):
+    (tmp_path / "ABC.json").write_text('[{"id_video": "a"}, {"id_video": "b"}]')
+    with pytest.raises(Exception, match="indented by four blanks"):
+        files.read_raw_videos(spark, str(tmp_path), files.INDENTED).collect()
+    with pytest.raises(ValueError):
+        files.read_raw_videos(spark, str(tmp_path), "pretty")
+
+
 def test_raw_video_files(spark, tmp_path):
     video = {"id_video": "v", "comments": [{"cid": "c", "text": "t", "votes": 1}], "likes": 3}
     (tmp_path / "ABC.json").write_text(json.dumps([video, {"id_video": "w", "comments": []}]))
@@ -54,7 +89,7 @@ def test_channel_files_keep_the_channel(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "videos").glob("channel_code=*")) == [
         "channel_code=ABC", "channel_code=FOX",
     ]
-    back = files.read_flat_videos(spark, path, lines=True)
+    back = files.read_flat_videos(spark, path, files.LINES)
     assert back.columns == FLAT_VIDEO.names
     assert {(r.channel, r.id_video) for r in back.collect()} == {("ABC", "v1"), ("FOX", "v2")}
 
@@ -102,12 +137,15 @@ def test_hash_predicates_are_a_partition(spark):
     assert all(len(part) > 30 for part in parts)
 
 
-def test_search_options():
-    options = jobs.search_options("http://node", 9200, VIDEO_COMMENTS)
+def test_search_options(spark):
+    options = jobs.search_options("http://node", 9200)
     assert options["es.batch.write.retry.count"] == "10"
     assert options["es.batch.write.retry.wait"] == "100ms"
-    assert options["es.mapping.id"] == "comment_id"
-    assert "es.mapping.id" not in jobs.search_options("http://node", 9200, POSTS)
+    df = spark.createDataFrame(
+        [("a", "1"), ("a", "2"), (None, None), (None, None)], "uuid string, retrieving_time string"
+    )
+    ids = [r.document_id for r in jobs.with_document_id(df, POSTS.key).collect()]
+    assert ids[:2] == ["a|1", "a|2"] and len(set(ids)) == 4 and None not in ids
 
 
 def test_exported_table_and_union(spark, tmp_path):

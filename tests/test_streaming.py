@@ -164,14 +164,14 @@ def test_command_line(spark, tmp_path):
         {"channel": "ABC", "id_video": "v2", "social": "youtube", "comments": []},
         {"channel": "FOX", "id_video": "v3", "fullText": "x", "social": "z", "comments": []},
     ]
-    (tmp_path / "ABC.json").write_text(json.dumps(raw))
+    (tmp_path / "ABC.json").write_text(json.dumps(raw, indent=4))
     spark.sql("SELECT 'p1' uuid, timestamp '2024-09-01 00:00:00' timestamp, 'great' content").write.parquet(folder["posts"])
     spark.sql("SELECT 'k1' uuid, 'p1' post_id, 'hmm' content").write.parquet(folder["fbc"])
 
-    cli.main(["flatten", "--raw", f"{tmp_path}/ABC.json", "--videos", folder["v"],
+    cli.main(["flatten", "--raw", f"{tmp_path}/ABC.json", "--form", "indented", "--videos", folder["v"],
               "--video-comments", folder["c"]])
     cli.main(["ingest", "--posts", folder["posts"], "--post-comments", folder["fbc"],
-              "--videos", folder["v"], "--video-comments", folder["c"], "--lines",
+              "--videos", folder["v"], "--video-comments", folder["c"],
               "--topics", folder["t"], "--rejects", folder["rejects"]])
     datasets = [a for name in DATASETS for a in ("--dataset", name)]
     cli.main(["enrich", *datasets, "--topics", folder["t"], "--out", folder["out"],
