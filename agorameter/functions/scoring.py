@@ -42,7 +42,9 @@ class Scorer(Protocol):
 
 
 class LexiconScorer:
-    """Counts opinion words; runs as plain Spark expressions.
+    """Counts opinion words, in any case; runs as plain Spark expressions.
+
+    A word of the text is a run of letters, so lexicon words have to be letters only.
 
     The weight of a label is 1 plus its word hits in the chunk (neutral has the fixed
     weight 2); its probability is the weight's share of the total.
@@ -56,8 +58,8 @@ class LexiconScorer:
         emotion: Mapping[str, Iterable[str]] | None = None,
     ) -> None:
         self._words = {
-            "sentiment": {k: tuple(v) for k, v in sentiment.items()},
-            "emotion": {k: tuple(v) for k, v in (emotion or {}).items()},
+            "sentiment": {k: tuple(w.lower() for w in v) for k, v in sentiment.items()},
+            "emotion": {k: tuple(w.lower() for w in v) for k, v in (emotion or {}).items()},
         }
         for kind, words in self._words.items():
             unknown = set(words) - set(LABELS[kind])
@@ -222,6 +224,8 @@ def score_text(
     With ``errors`` the struct also has ``score_error``, true after a failed call.
     """
     kinds = tuple(kinds)
+    if not kinds or set(kinds) - set(LABELS):
+        raise ValueError(f"kinds have to be some of {list(LABELS)}")
     scores = scorer.chunk_scores(chunk_sql(text, chunk_size), kinds)
     zero = F.struct(
         F.lit(0).alias("chunks"),

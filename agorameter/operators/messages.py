@@ -36,12 +36,16 @@ def malformed_messages(df: DataFrame, schema: StructType, value: str = "value")
     return df.withColumn(CORRUPT, parsed[CORRUPT]).filter(F.col(CORRUPT).isNotNull())
 
 
-def select_renamed(df: DataFrame, columns: tuple[str, ...], renames: Mapping[str, str]) -> DataFrame:
+def select_renamed(
+    df: DataFrame, columns: tuple[str, ...], renames: Mapping[str, str]
+) -> DataFrame:
     """Rename, then keep ``columns`` in the order given."""
     return df.withColumnsRenamed(dict(renames)).select(*columns)
 
 
-def to_messages(df: DataFrame, topic: Column | str = "topic", key: Column | None = None) -> DataFrame:
+def to_messages(
+    df: DataFrame, topic: Column | str = "topic", key: Column | None = None
+) -> DataFrame:
     """Rows as JSON messages ``(key, value, topic)``; NULL fields are left out."""
     topic = F.col(topic) if isinstance(topic, str) else topic
     body = [c for c in df.columns if c != "topic"]

@@ -71,7 +71,9 @@ def enrich_videos(messages: DataFrame, scorer: Scorer | None = None, **options)
     return enrich(messages, VIDEOS, scorer, **options)
 
 
-def enrich_video_comments(messages: DataFrame, scorer: Scorer | None = None, **options) -> DataFrame:
+def enrich_video_comments(
+    messages: DataFrame, scorer: Scorer | None = None, **options
+) -> DataFrame:
     return enrich(messages, VIDEO_COMMENTS, scorer, **options)
 
 

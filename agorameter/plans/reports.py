@@ -178,7 +178,9 @@ def bias_breakdown(df: DataFrame) -> DataFrame:
     )
 
 
-def latest_snapshot(df: DataFrame, key: str = "uuid", version: str = "retrieving_time") -> DataFrame:
+def latest_snapshot(
+    df: DataFrame, key: str = "uuid", version: str = "retrieving_time"
+) -> DataFrame:
     """The latest version of each record. Equal versions are settled by the other columns.
 
     Spark keeps one row per key in every input partition before it shuffles.

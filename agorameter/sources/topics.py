@@ -31,12 +31,14 @@ def topic_options(
 
 def stream_topic(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
     """A topic as a stream; needs the Kafka package on the classpath."""
-    return spark.readStream.format("kafka").options(**topic_options(servers, topic, **options)).load()
+    chosen = topic_options(servers, topic, **options)
+    return spark.readStream.format("kafka").options(**chosen).load()
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
     """The present content of a topic as a batch."""
-    return spark.read.format("kafka").options(**topic_options(servers, topic, **options)).load()
+    chosen = topic_options(servers, topic, **options)
+    return spark.read.format("kafka").options(**chosen).load()
 
 
 def stream_topic_files(

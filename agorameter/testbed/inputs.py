@@ -183,4 +183,5 @@ def tagged_events(spark: SparkSession, folder: str) -> DataFrame:
 def event_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The same records as JSON messages, next to their id."""
     records = iso_datetimes(tagged_events(spark, folder))
-    return records.select("event_id", F.to_json(F.struct(*records.columns)).cast("binary").alias("value"))
+    body = F.to_json(F.struct(*records.columns))
+    return records.select("event_id", body.cast("binary").alias("value"))

@@ -1,1021 +1,18 @@
-"""Registered queries. Each entry pairs a DataFrame query with its SQL twin, if it has one."""
+"""All registered queries; importing this module fills the registry."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from typing import NamedTuple
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from agorameter.functions import scoring, text, time
-from agorameter.operators import collect, messages, normalize, route
-from agorameter.plans import enrich, links, reports
-from agorameter.schemas import (
-    DATASETS,
-    EMOTIONS,
-    FACEBOOK,
-    POST_COMMENTS,
-    POST_MESSAGE,
-    POSTS,
-    POSTS_SECTION,
-    SENTIMENTS,
-    VIDEO_COMMENTS,
-    VIDEOS,
-)
-from agorameter.session import shared_folder
-from agorameter.sinks import files as file_sinks
-from agorameter.sinks import topics as topic_sinks
-from agorameter.sources import files, tables, topics
-from agorameter.streaming import jobs, trends
-from agorameter.testbed import inputs, sql
-from agorameter.testbed.wordlists import letter_scorer, scorer
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-class Entry(NamedTuple):
-    query: Query
-    sql: str | None
-
-
-REGISTRY: dict[str, Entry] = {}
-
-
-def register(twin: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function's name."""
-
-    def add(query: Query) -> Query:
-        REGISTRY[query.__name__] = Entry(query, twin)
-        return query
-
-    return add
-
-
-def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Six decimals, so that both engines print the same value."""
-    return df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in columns or SENTIMENTS})
-
-
-def shipped(spark: SparkSession) -> None:
-    """Make the package importable in the Python workers, wherever the driver was started."""
-    import shutil
-    import tempfile
-    from pathlib import Path
-
-    import agorameter
-
-    if getattr(spark.sparkContext, "_agorameter_shipped", False):
-        return
-    # Only staged here: the driver serves the file to all workers.
-    root = Path(agorameter.__file__).parent
-    archive = shutil.make_archive(
-        f"{tempfile.mkdtemp(prefix='agorameter-')}/agorameter", "zip", root.parent, root.name
-    )
-    spark.sparkContext.addPyFile(archive)
-    spark.sparkContext._agorameter_shipped = True
-
-
-# --- messages -----------------------------------------------------------------------------
-
-
-@register("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
-def parse_json(spark, folder):
-    return (
-        inputs.table(spark, folder, "events")
-        .withColumn("data", F.from_json("props", "k int"))
-        .select("event_id", "data.*")
-    )
-
-
-@register(
-    f"""SELECT event_id, social, section, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts
-        FROM ({sql.EVENT_TAGS})"""
-)
-def decode_messages(spark, folder):
-    schema = "event_id bigint, social string, section string, ts string"
-    parsed = messages.parse_messages(inputs.event_messages(spark, folder), StructType.fromDDL(schema))
-    # Times with a zero fraction have no digits after the second.
-    fraction = F.when(F.length("ts") == 19, F.concat("ts", F.lit(".000000"))).otherwise(F.col("ts"))
-    return parsed.withColumn("ts", fraction)
-
-
-@register(
-    """SELECT event_id, substring(props, 1, length(props) - 1) AS _corrupt_record
-       FROM events WHERE event_type = 'error'"""
-)
-def malformed_messages(spark, folder):
-    """The messages of one kind lack their closing brace."""
-    cut = F.expr("substring(props, 1, length(props) - 1)")
-    sent = F.when(F.col("event_type") == "error", cut).otherwise(F.col("props"))
-    rows = inputs.table(spark, folder, "events").select(
-        "event_id", sent.cast("binary").alias("value")
-    )
-    return messages.malformed_messages(rows, StructType.fromDDL("k int")).drop("value")
-
-
-@register(
-    """SELECT event_id, event_type,
-              CASE event_type WHEN 'click' THEN '59'
-                   WHEN 'view' THEN CAST(event_id % 1000 AS VARCHAR) END AS views,
-              CASE event_type WHEN 'click' THEN '59' WHEN 'signup' THEN '3000000000'
-                   WHEN 'view' THEN CAST(event_id % 1000 AS VARCHAR) END AS long_views
-       FROM events"""
-)
-def strict_counters(spark, folder):
-    """A counter of another type, or too large for it, becomes NULL; the row stays."""
-    kind = F.col("event_type")
-    views = (
-        F.when(kind == "click", "59")
-        .when(kind == "error", '"59"')
-        .when(kind == "purchase", "59.0")
-        .when(kind == "signup", "3000000000")
-        .otherwise((F.col("event_id") % 1_000).cast("string"))
-    )
-    events = inputs.table(spark, folder, "events").withColumn(
-        "value", F.concat(F.lit('{"views":'), views, F.lit("}"))
-    )
-    return events.select(
-        "event_id",
-        "event_type",
-        F.from_json("value", "views int")["views"].cast("string").alias("views"),
-        F.from_json("value", "views bigint")["views"].cast("string").alias("long_views"),
-    )
-
-
-@register(
-    f"""SELECT timestamp, channel, channel_bias, state, title, url_video, id_video, views,
-               video_likes, comments FROM ({sql.VIDEOS})"""
-)
-def select_video_columns(spark, folder):
-    parsed = messages.parse_messages(inputs.video_messages(spark, folder), VIDEOS.message)
-    return messages.select_renamed(parsed, VIDEOS.columns, dict(VIDEOS.renames))
-
-
-# --- text and scoring -----------------------------------------------------------------------
-
-_CHUNKS = sql.chunks("SELECT doc_id, text FROM documents", "doc_id", "text")
-
-
-@register(f"SELECT doc_id, i AS chunk_no, chunk FROM ({_CHUNKS})")
-def chunk_text(spark, folder):
-    return enrich.chunk_table(inputs.documents(spark, folder), "doc_id", "text")
-
-
-@register(
-    """SELECT doc_id, CAST(ceil(length(text) / 500.0) AS INTEGER) AS chunks,
-              CAST(length(text) - 500 * (ceil(length(text) / 500.0) - 1) AS INTEGER) AS last_length
-       FROM documents"""
+from agorameter.testbed import (  # noqa: F401
+    collect_queries,
+    enrich_queries,
+    file_queries,
+    message_queries,
+    record_queries,
+    report_queries,
+    route_queries,
+    score_queries,
+    stream_queries,
 )
-def chunk_counts(spark, folder):
-    chunks = text.chunk_text("text")
-    return inputs.documents(spark, folder).select(
-        "doc_id",
-        F.size(chunks).alias("chunks"),
-        F.length(F.element_at(chunks, -1)).alias("last_length"),
-    )
-
-
-def _chunk_sql(kind: str, labels) -> str:
-    rows = sql.chunk_probabilities("SELECT doc_id, text FROM documents", "doc_id", "text", kind)
-    columns = ", ".join(f"round(p_{x}, 6) AS {x}" for x in labels)
-    return f"SELECT doc_id, i AS chunk_no, {columns} FROM ({rows})"
-
-
-def _chunk_scores(spark, folder, kind, labels):
-    scores = scorer().chunk_scores(text.chunk_sql("text"), [kind])
-    exploded = inputs.documents(spark, folder).select(
-        "doc_id", F.posexplode(scores).alias("chunk_no", "p")
-    )
-    named = [F.col("p")[kind][i].alias(x) for i, x in enumerate(labels)]
-    return rounded(exploded.select("doc_id", "chunk_no", *named), *labels)
-
-
-@register(_chunk_sql("sentiment", SENTIMENTS))
-def chunk_sentiment(spark, folder):
-    return _chunk_scores(spark, folder, "sentiment", SENTIMENTS)
-
-
-@register(_chunk_sql("emotion", EMOTIONS))
-def chunk_emotion(spark, folder):
-    return _chunk_scores(spark, folder, "emotion", EMOTIONS)
-
-
-def _scored(df: DataFrame, keys: list[str], score) -> DataFrame:
-    """Keys and the fields of a score struct."""
-    return df.select(*keys, text.expand_once(score))
-
-
-_DOCUMENTS = "SELECT doc_id, text FROM documents"
-_TURNS = "SELECT conv_id || '-' || turn AS uuid, text FROM conversations"
-
-
-@register(sql.rounded(sql.sentiment(_DOCUMENTS, "doc_id", "text")))
-def sentiment_documents(spark, folder):
-    df = inputs.documents(spark, folder)
-    return rounded(_scored(df, ["doc_id"], scoring.sentiment("text", scorer())))
-
-
-@register(sql.rounded(sql.sentiment(_TURNS, "uuid", "text")))
-def sentiment_conversations(spark, folder):
-    df = inputs.conversations(spark, folder).withColumn("uuid", F.concat_ws("-", "conv_id", "turn"))
-    return rounded(_scored(df, ["uuid"], scoring.sentiment("text", scorer())))
-
-
-@register(sql.emotion(_DOCUMENTS, "doc_id", "text"))
-def emotion_documents(spark, folder):
-    df = inputs.documents(spark, folder)
-    return _scored(df, ["doc_id"], scoring.emotion("text", scorer()))
-
-
-@register(sql.emotion(_TURNS, "uuid", "text"))
-def emotion_conversations(spark, folder):
-    df = inputs.conversations(spark, folder).withColumn("uuid", F.concat_ws("-", "conv_id", "turn"))
-    return _scored(df, ["uuid"], scoring.emotion("text", scorer()))
-
-
-_GAPS = """SELECT doc_id || '-text' AS id, text FROM documents
-           UNION ALL SELECT doc_id || '-empty', '' FROM documents
-           UNION ALL SELECT doc_id || '-none', NULL FROM documents"""
-
-
-def _with_gaps(spark, folder) -> DataFrame:
-    """Every document with its text, with an empty one, and with none."""
-    variants = F.create_map(
-        F.lit("text"), F.col("text"), F.lit("empty"), F.lit(""), F.lit("none"), F.lit(None)
-    )
-    rows = inputs.documents(spark, folder).select("doc_id", F.explode(variants))
-    return rows.select(F.concat_ws("-", "doc_id", "key").alias("id"), F.col("value").alias("text"))
-
-
-@register(sql.rounded(sql.sentiment(_GAPS, "id", "text")))
-def sentiment_defaults(spark, folder):
-    df = _with_gaps(spark, folder)
-    return rounded(_scored(df, ["id"], scoring.sentiment("text", scorer())))
-
-
-@register(sql.emotion(_GAPS, "id", "text"))
-def emotion_defaults(spark, folder):
-    return _scored(_with_gaps(spark, folder), ["id"], scoring.emotion("text", scorer()))
-
+from agorameter.testbed.registry import REGISTRY
 
-@register(
-    f"""SELECT *, contains(text, '@') AS score_error
-        FROM ({sql.rounded(sql.enriched(_DOCUMENTS, "doc_id", "text", lexicon=False))})"""
-)
-def model_scores(spark, folder):
-    """Both kinds by a Python model, which refuses some texts."""
-    shipped(spark)
-    df = inputs.documents(spark, folder)
-    score = scoring.score_text("text", letter_scorer(), errors=True)
-    return rounded(_scored(df, ["doc_id", "text"], score))
-
-
-# --- enrichment -----------------------------------------------------------------------------
-
-
-def posts(spark, folder) -> DataFrame:
-    return enrich.enrich_posts(inputs.post_messages(spark, folder), scorer())
-
-
-def post_comments(spark, folder) -> DataFrame:
-    return enrich.enrich_post_comments(inputs.comment_messages(spark, folder), scorer())
-
-
-def videos(spark, folder) -> DataFrame:
-    return enrich.enrich_videos(inputs.video_messages(spark, folder), scorer())
-
-
-def video_comments(spark, folder) -> DataFrame:
-    return enrich.enrich_video_comments(inputs.video_comment_messages(spark, folder), scorer())
-
-
-@register(sql.rounded(sql.ENRICHED_POSTS))
-def enrich_posts(spark, folder):
-    return rounded(posts(spark, folder))
-
-
-@register(sql.rounded(sql.ENRICHED_POST_COMMENTS))
-def enrich_post_comments(spark, folder):
-    return rounded(post_comments(spark, folder))
-
-
-@register(sql.rounded(sql.ENRICHED_VIDEOS))
-def enrich_videos(spark, folder):
-    return rounded(videos(spark, folder))
-
-
-@register(sql.rounded(sql.ENRICHED_VIDEO_COMMENTS))
-def enrich_video_comments(spark, folder):
-    return rounded(video_comments(spark, folder))
-
-
-@register(sql.rounded(sql.enriched(sql.POST_COMMENTS, "uuid", "content", lexicon=False)))
-def enrich_post_comments_by_model(spark, folder):
-    shipped(spark)
-    scored = enrich.enrich_post_comments(inputs.comment_messages(spark, folder), letter_scorer())
-    return rounded(scored)
-
-
-_POST_MOOD = f"""
-SELECT sentiment_label, count(*) AS records, round(avg(negative), 6) AS mean_negative,
-       round(avg(neutral), 6) AS mean_neutral, round(avg(positive), 6) AS mean_positive
-FROM ({sql.ENRICHED_POSTS}) GROUP BY sentiment_label"""
-
-
-@register(_POST_MOOD)
-def post_mood(spark, folder):
-    """Messages to scores to one line per label."""
-    summary = (
-        posts(spark, folder)
-        .groupBy("sentiment_label")
-        .agg(
-            F.count("*").alias("records"),
-            *[F.avg(F.col(x).cast("double")).alias(f"mean_{x}") for x in SENTIMENTS],
-        )
-    )
-    return rounded(summary, *[f"mean_{x}" for x in SENTIMENTS])
-
-
-# --- normalisation --------------------------------------------------------------------------
-
-
-@register(
-    """SELECT 'Posts' AS section, 'doc-' || doc_id AS uuid, CAST(NULL AS VARCHAR) AS post_id,
-              CAST(n_chars % 101 AS INTEGER) AS "like" FROM documents
-       UNION ALL
-       SELECT 'Comments_with_candidate_column', conv_id || '-' || turn, 'doc-' || (conv_id * 15),
-              CAST(length(text) % 101 AS INTEGER) FROM conversations"""
-)
-def union_inputs(spark, folder):
-    post_rows = normalize.tag(inputs.posts_table(spark, folder), FACEBOOK, POSTS_SECTION)
-    comment_rows = normalize.tag(
-        inputs.comments_table(spark, folder), FACEBOOK, "Comments_with_candidate_column"
-    )
-    return tables.union_inputs(post_rows, comment_rows).select("section", "uuid", "post_id", "like")
-
-
-@register("SELECT doc_id, source, 'facebook' AS social, 'Posts' AS section FROM documents")
-def tag_records(spark, folder):
-    df = inputs.table(spark, folder, "documents").select("doc_id", "source")
-    return normalize.tag(df, FACEBOOK, POSTS_SECTION)
-
-
-@register(
-    """SELECT event_id, CASE WHEN microsecond(ts) % 1000000 = 0
-                             THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
-                             ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS ts,
-              value, strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%S') AS minute FROM events"""
-)
-def iso_datetimes(spark, folder):
-    df = inputs.table(spark, folder, "events").select(
-        "event_id", "ts", "value", F.date_trunc("minute", "ts").alias("minute")
-    )
-    return normalize.iso_datetimes(df)
-
-
-@register(
-    "SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') AS moment FROM events"
-)
-def epoch_strings(spark, folder):
-    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
-    return inputs.table(spark, folder, "events").select(
-        "event_id", time.epoch_iso_string(seconds).alias("moment")
-    )
-
-
-@register("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS published FROM orders")
-def utc_strings(spark, folder):
-    return inputs.table(spark, folder, "orders").select(
-        "o_orderkey", time.utc_string("o_orderdate").alias("published")
-    )
-
-
-@register(
-    """SELECT event_id, CASE WHEN event_type IN ('click', 'view')
-                             THEN CAST(event_id % 100 AS INTEGER) ELSE 0 END AS votes FROM events"""
-)
-def parse_votes(spark, folder):
-    kind = F.col("event_type")
-    raw = (
-        F.when(kind.isin("click", "view"), (F.col("event_id") % 100).cast("string"))
-        .when(kind == "error", "")
-        .when(kind == "purchase", "1.2K")
-    )
-    return inputs.table(spark, folder, "events").select(
-        "event_id", text.parse_votes(raw).alias("votes")
-    )
-
-
-@register("SELECT doc_id, replace(lower(text), chr(10), ' ') AS fullText FROM documents")
-def join_transcript(spark, folder):
-    """Lines as transcript segments."""
-    segments = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("text")))
-    return inputs.documents(spark, folder).select("doc_id", text.transcript(segments).alias("fullText"))
-
-
-_FLAT_VIDEO_COLUMNS = (
-    "channel, channel_bias, state, url_video, id_video, title, timestamp AS video_timestamp, "
-)
-
-
-@register(
-    f"""SELECT {_FLAT_VIDEO_COLUMNS} video_likes, views, 'youtube' AS social,
-               comment_id AS comment_cid, comment_published_at, comment_author, comment_text,
-               comment_votes FROM ({sql.VIDEO_COMMENTS})"""
-)
-def flatten_comments(spark, folder):
-    return normalize.flatten_comments(inputs.raw_videos(spark, folder))
-
-
-_FLAT_VIDEOS = f"""SELECT {_FLAT_VIDEO_COLUMNS} fullText, video_likes, views, comments,
-                          'youtube' AS social FROM ({sql.VIDEOS})"""
-
-
-@register(_FLAT_VIDEOS)
-def flatten_videos(spark, folder):
-    return normalize.flatten_videos(inputs.raw_videos(spark, folder))
-
-
-_LABELLED = """SELECT d.doc_id, l.quality, CASE WHEN l.quality = 1 THEN text END AS fullText
-               FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
-
-
-def _labelled(spark, folder) -> DataFrame:
-    """documents as videos whose transcript is there only for good quality."""
-    labels = inputs.table(spark, folder, "labels").select("doc_id", "quality")
-    joined = inputs.documents(spark, folder).join(labels, "doc_id", "left")
-    return joined.select(
-        F.col("doc_id").alias("id_video"),
-        F.when(F.col("quality") == 1, F.col("text")).alias("fullText"),
-    )
-
-
-@register(f"SELECT doc_id AS id_video, fullText FROM ({_LABELLED}) WHERE fullText IS NOT NULL")
-def usable_videos(spark, folder):
-    return normalize.usable_videos(_labelled(spark, folder))
-
-
-@register(f"SELECT doc_id AS id_video FROM ({_LABELLED}) WHERE fullText IS NULL")
-def failed_videos(spark, folder):
-    return normalize.failed_videos(_labelled(spark, folder)).select("id_video")
-
-
-@register(
-    """SELECT doc_id, 'CBSNews' AS channel, 'LEAN_DEMOCRAT' AS channel_bias, 'NY' AS state
-       FROM documents"""
-)
-def channel_constants(spark, folder):
-    df = inputs.table(spark, folder, "documents").select("doc_id")
-    return normalize.with_channel(df, "CBSNews", "NY", "LEAN_DEMOCRAT")
-
-
-@register(
-    f"""SELECT c_custkey, 'NATION_' || c_nationkey AS channel, channel_bias, state FROM customer
-        LEFT JOIN ({sql.CHANNELS}) ON channel = 'NATION_' || c_nationkey"""
-)
-def channel_metadata(spark, folder):
-    rows = inputs.table(spark, folder, "customer").select(
-        "c_custkey", F.concat(F.lit("NATION_"), "c_nationkey").alias("channel")
-    )
-    return normalize.with_channel_metadata(rows, inputs.channels(spark, folder))
-
-
-# --- routing --------------------------------------------------------------------------------
-
-
-@register(f"SELECT event_id, topic FROM ({sql.EVENT_ROUTES}) WHERE topic IS NOT NULL")
-def route_messages(spark, folder):
-    routed = route.routed(route.route_messages(inputs.event_messages(spark, folder)))
-    return routed.select("event_id", "topic")
-
-
-@register(
-    f"""SELECT event_id, CASE WHEN social IS NULL THEN 'untagged'
-                              WHEN social = 'elsewhere' THEN 'unknown platform'
-                              ELSE 'no branch' END AS reject_reason
-        FROM ({sql.EVENT_ROUTES}) WHERE topic IS NULL"""
-)
-def route_rejects(spark, folder):
-    rejected = route.rejected(route.route_messages(inputs.event_messages(spark, folder)))
-    return rejected.select("event_id", "reject_reason")
-
-
-@register(
-    f"""SELECT topic, count(*) AS records, CAST(sum(event_id) AS BIGINT) AS ids
-        FROM ({sql.EVENT_ROUTES}) GROUP BY topic"""
-)
-def route_records(spark, folder):
-    """Typed records, counted per topic; the rejected ones have no topic."""
-    return (
-        route.with_route(inputs.tagged_events(spark, folder))
-        .groupBy("topic")
-        .agg(F.count("*").alias("records"), F.sum("event_id").alias("ids"))
-    )
-
-
-# --- files and topics -----------------------------------------------------------------------
-
-
-@register(
-    f"SELECT topic, count(*) AS records FROM ({sql.EVENT_ROUTES}) WHERE topic IS NOT NULL GROUP BY 1"
-)
-def topic_files(spark, folder):
-    """Messages sent to topic files and read back."""
-    path = shared_folder(spark, "topics")
-    routed = route.routed(route.route_messages(inputs.event_messages(spark, folder)))
-    topic_sinks.write_topic_files(routed.withColumn("key", F.lit(None).cast("binary")), path)
-    return topics.read_topic_files(spark, path).groupBy("topic").agg(F.count("*").alias("records"))
-
-
-@register(_FLAT_VIDEOS)
-def channel_files(spark, folder):
-    """Flat videos written per channel and read back."""
-    path = shared_folder(spark, "videos")
-    file_sinks.write_channel_files(normalize.flatten_videos(inputs.raw_videos(spark, folder)), path)
-    return files.read_flat_videos(spark, path, files.LINES)
-
-
-@register(
-    f"""SELECT id_video, channel, CAST(count(*) AS BIGINT) AS comments,
-               CAST(sum(comment_votes) AS BIGINT) AS votes
-        FROM ({sql.VIDEO_COMMENTS}) GROUP BY ALL"""
-)
-def nested_files(spark, folder):
-    """Nested videos written as files, read back and flattened."""
-    path = shared_folder(spark, "raw-videos")
-    inputs.raw_videos(spark, folder).write.json(path)
-    flat = normalize.flatten_comments(files.read_raw_videos(spark, path, files.LINES))
-    return flat.groupBy("id_video", "channel").agg(
-        F.count("*").alias("comments"), F.sum("comment_votes").alias("votes")
-    )
-
-
-@register("SELECT url FROM pages")
-def link_files(spark, folder):
-    """Links written with stray blanks, read back stripped."""
-    path = shared_folder(spark, "links")
-    padded = F.concat(F.lit(" \t"), "url", F.lit("  "))
-    file_sinks.write_links(inputs.table(spark, folder, "pages").select(padded.alias("url")), path)
-    return files.read_links(spark, path)
-
-
-@register('SELECT uuid, candidate, "like", love FROM (' + sql.POSTS + ")")
-def exported_table(spark, folder):
-    """The posts table exported and read back whole."""
-    path = shared_folder(spark, "export")
-    inputs.posts_table(spark, folder).write.parquet(path)
-    return tables.read_exported_table(spark, path).select("uuid", "candidate", "like", "love")
-
-
-# --- collection -----------------------------------------------------------------------------
-
-_TILES = """
-SELECT o_orderpriority, CAST(n AS INTEGER) AS tile_no,
-       strftime(lo + to_days(CAST(n * 10 AS INTEGER)), '%Y-%m-%dT%H:%M:%SZ') AS tile_start,
-       strftime(least(lo + to_days(CAST(n * 10 + 10 AS INTEGER)), hi), '%Y-%m-%dT%H:%M:%SZ')
-         AS tile_end
-FROM (SELECT o_orderpriority, lo, hi,
-             unnest(range(CAST(ceil(date_diff('day', lo, hi) / 10.0) AS BIGINT))) AS n
-      FROM (SELECT o_orderpriority, min(o_orderdate) AS lo, max(o_orderdate) AS hi
-            FROM orders GROUP BY 1))"""
-
-
-@register(_TILES)
-def date_tiles(spark, folder):
-    """The tiles of each priority's date range."""
-    ranges = (
-        inputs.table(spark, folder, "orders")
-        .groupBy("o_orderpriority")
-        .agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
-    )
-    return collect.date_tiles(ranges, "lo", "hi").select(
-        "o_orderpriority",
-        "tile_no",
-        time.utc_string("tile_start").alias("tile_start"),
-        time.utc_string("tile_end").alias("tile_end"),
-    )
-
-
-@register(
-    """SELECT CAST(floor(date_diff('day', TIMESTAMP '1992-01-01', o_orderdate) / 10.0) AS INTEGER)
-                AS tile_no, count(*) AS orders FROM orders GROUP BY 1"""
-)
-def tile_counts(spark, folder):
-    """Orders per tile."""
-    start = F.lit("1992-01-01").cast("timestamp_ntz")
-    tile = collect.tile_number(F.col("o_orderdate"), start)
-    return (
-        inputs.table(spark, folder, "orders")
-        .groupBy(tile.alias("tile_no"))
-        .agg(F.count("*").alias("orders"))
-    )
-
-
-@register(
-    """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
-       WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'"""
-)
-def published_between(spark, folder):
-    rows = collect.published_between(
-        inputs.table(spark, folder, "orders"),
-        "o_orderdate",
-        F.lit("1996-01-01").cast("timestamp_ntz"),
-        F.lit("1997-01-01").cast("timestamp_ntz"),
-    )
-    return rows.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
-
-
-@register(
-    """SELECT doc_id FROM documents
-       WHERE contains(lower(text), 'election') OR contains(lower(text), 'wheron')
-          OR contains(lower(text), 'c++') OR contains(lower(text), 'êtion')"""
-)
-def keyword_search(spark, folder):
-    found = collect.keyword_search(
-        inputs.table(spark, folder, "documents"), "text", "Election|WHERON | c++|ÊTION"
-    )
-    return found.select("doc_id")
-
-
-@register("SELECT event_id, ts::VARCHAR IS NOT NULL AS dated FROM events WHERE event_type = 'view'")
-def of_type(spark, folder):
-    items = inputs.table(spark, folder, "events").withColumnRenamed("event_type", "type")
-    return collect.of_type(items, "view").select("event_id", F.col("ts").isNotNull().alias("dated"))
-
-
-@register(
-    """SELECT regexp_replace(url, '[?#].*$', '') AS url, min(page_id) AS page_id
-       FROM pages GROUP BY 1"""
-)
-def first_seen(spark, folder):
-    """Page addresses without query and anchor, each once."""
-    plain = F.regexp_replace("url", r"[?#].*$", "")
-    rows = inputs.table(spark, folder, "pages").select(plain.alias("url"), "page_id")
-    return collect.first_seen(rows, "url", "page_id")
-
-
-@register("SELECT sha256(text) AS digest, min(doc_id) AS doc_id FROM documents GROUP BY 1")
-def first_seen_texts(spark, folder):
-    """Exact copies of a text reduced to the first; only digests are shuffled."""
-    rows = inputs.table(spark, folder, "documents").select(
-        F.sha2("text", 256).alias("digest"), "doc_id"
-    )
-    return collect.first_seen(rows, "digest", "doc_id")
-
-
-@register("SELECT 'https://www.youtube.com/watch?v=' || page_id AS url, page_id FROM pages")
-def watch_urls(spark, folder):
-    video = F.col("page_id").cast("string")
-    return inputs.table(spark, folder, "pages").select(text.watch_url(video).alias("url"), "page_id")
-
-
-@register(
-    f"""SELECT CAST(floor(date_diff('second', TIMESTAMP '2024-09-11', published) / 864000.0)
-                 AS INTEGER) AS tile_no, strftime(published, '%Y-%m-%dT%H:%M:%SZ') AS published, url
-        FROM (SELECT {sql.POST_TIME} AS published,
-                     'https://www.youtube.com/watch?v=' || doc_id AS url FROM documents
-              WHERE lang = 'en' AND source = 'src3'
-                AND (contains(lower(text), 'wheron') OR contains(lower(text), 'the')))
-        WHERE published >= TIMESTAMP '2024-09-11' AND published < TIMESTAMP '2025-01-20'"""
-)
-def video_links(spark, folder):
-    """documents as search results: English ones are videos, their source is the channel."""
-    items = inputs.table(spark, folder, "documents").select(
-        F.when(F.col("lang") == "en", "video").otherwise("playlist").alias("type"),
-        F.col("source").alias("channel_id"),
-        F.col("doc_id").cast("string").alias("video_id"),
-        F.col("text").alias("title"),
-        inputs.post_time().alias("published"),
-    )
-    found = links.video_links(items, "2024-09-11", "2025-01-20", "wheron|The", "src3")
-    return found.withColumn("published", time.utc_string("published"))
-
-
-@register("SELECT event_id, event_type, value FROM events ORDER BY ts DESC, event_id")
-def newest_first(spark, folder):
-    ordered = collect.newest_first(inputs.table(spark, folder, "events"), "ts", "event_id")
-    return ordered.select("event_id", "event_type", "value")
-
-
-@register(
-    f"""SELECT id_video, comment_id, comment_votes FROM ({sql.VIDEO_COMMENTS})
-        ORDER BY id_video, comment_votes DESC, comment_id"""
-)
-def popular_first(spark, folder):
-    flat = normalize.flatten_comments(inputs.raw_videos(spark, folder))
-    ordered = collect.popular_first(flat, "id_video", "comment_votes", "comment_cid")
-    return ordered.select("id_video", F.col("comment_cid").alias("comment_id"), "comment_votes")
-
-
-@register(
-    f"""SELECT id_video, comment_id, comment_votes, CAST(place AS INTEGER) AS popularity
-        FROM (SELECT *, row_number() OVER (PARTITION BY id_video
-                                           ORDER BY comment_votes DESC, comment_id) AS place
-              FROM ({sql.VIDEO_COMMENTS})) WHERE place <= 3"""
-)
-def most_popular(spark, folder):
-    flat = normalize.flatten_comments(inputs.raw_videos(spark, folder))
-    narrow = flat.select("id_video", F.col("comment_cid").alias("comment_id"), "comment_votes")
-    return collect.most_popular(narrow, 3, "id_video", "comment_votes", "comment_id")
-
-
-# --- reports --------------------------------------------------------------------------------
-
-
-def _day(column: str) -> str:
-    return f"CAST({column} AS TIMESTAMP)"
-
-
-def _timeline_sql(source: str, column: str = "timestamp") -> str:
-    return f"""SELECT strftime({_day(column)}, '%Y-%m-%d') AS bucket, count(*) AS records
-               FROM ({source}) GROUP BY 1"""
-
-
-def _as_day(df: DataFrame) -> DataFrame:
-    return df.withColumn("bucket", F.date_format("bucket", "yyyy-MM-dd"))
-
-
-def _parsed(spark, folder, messages_of, dataset) -> DataFrame:
-    """Records before scoring, which the report does not read."""
-    records = messages.parse_messages(messages_of(spark, folder), dataset.message)
-    return messages.select_renamed(records, dataset.columns, dict(dataset.renames))
-
-
-@register(_timeline_sql(sql.POSTS))
-def posts_over_time(spark, folder):
-    return _as_day(reports.records_over_time(_parsed(spark, folder, inputs.post_messages, POSTS)))
-
-
-@register(_timeline_sql(sql.POST_COMMENTS))
-def post_comments_over_time(spark, folder):
-    rows = _parsed(spark, folder, inputs.comment_messages, POST_COMMENTS)
-    return _as_day(reports.records_over_time(rows))
-
-
-@register(_timeline_sql(sql.VIDEOS))
-def videos_over_time(spark, folder):
-    return _as_day(reports.records_over_time(_parsed(spark, folder, inputs.video_messages, VIDEOS)))
-
-
-@register(_timeline_sql(sql.VIDEO_COMMENTS))
-def video_comments_over_time(spark, folder):
-    rows = _parsed(spark, folder, inputs.video_comment_messages, VIDEO_COMMENTS)
-    return _as_day(reports.records_over_time(rows))
-
-
-_MEANS = ", ".join(f"round(avg({x}), 6) AS mean_{x}" for x in SENTIMENTS)
-_COUNTS = ", ".join(
-    f"count(*) FILTER (sentiment_label = '{x}') AS {x}_records" for x in SENTIMENTS
-)
-_MEAN_COLUMNS = [f"mean_{x}" for x in SENTIMENTS]
-
-
-@register(
-    f"""SELECT strftime({_day("timestamp")}, '%Y-%m-%d') AS bucket, candidate, count(*) AS records,
-               {_MEANS}, {_COUNTS} FROM ({sql.ENRICHED_POSTS}) GROUP BY 1, 2"""
-)
-def sentiment_trend(spark, folder):
-    trend = reports.sentiment_trend(posts(spark, folder), ["candidate"])
-    return rounded(_as_day(trend), *_MEAN_COLUMNS)
-
-
-@register(
-    f"""SELECT candidate, emotion_label, count(*) AS records,
-               round(count(*) / sum(count(*)) OVER (PARTITION BY candidate), 6) AS share
-        FROM ({sql.ENRICHED_POSTS}) GROUP BY 1, 2"""
-)
-def emotion_share(spark, folder):
-    return rounded(reports.emotion_share(posts(spark, folder), "candidate"), "share")
-
-
-_REACTIONS = ", ".join(f'CAST(sum("{r}") AS BIGINT) AS sum_{r}' for r in inputs.COUNTERS)
-_REACTION_SUM = " + ".join(f'"{r}"' for r in inputs.COUNTERS)
-
-
-@register(
-    f"""SELECT sentiment_label, count(*) AS records, {_REACTIONS},
-               CAST(sum({_REACTION_SUM}) AS BIGINT) AS reactions,
-               round(avg({_REACTION_SUM}), 6) AS mean_reactions
-        FROM ({sql.ENRICHED_POSTS}) GROUP BY 1"""
-)
-def post_engagement(spark, folder):
-    return rounded(reports.post_engagement(posts(spark, folder)), "mean_reactions")
-
-
-_VIDEO_COUNTERS = ", ".join(
-    f"CAST(sum({c}) AS BIGINT) AS sum_{c}, round(avg({c}), 6) AS mean_{c}"
-    for c in ("views", "video_likes", "comments")
-)
-
-
-@register(
-    f"""SELECT sentiment_label, count(*) AS records, {_VIDEO_COUNTERS}
-        FROM ({sql.ENRICHED_VIDEOS}) GROUP BY 1"""
-)
-def video_engagement(spark, folder):
-    means = ("mean_views", "mean_video_likes", "mean_comments")
-    return rounded(reports.video_engagement(videos(spark, folder)), *means)
-
-
-@register(
-    f"""SELECT sentiment_label, count(*) AS records,
-               CAST(sum(comment_votes) AS BIGINT) AS sum_votes,
-               round(avg(comment_votes), 6) AS mean_votes
-        FROM ({sql.ENRICHED_VIDEO_COMMENTS}) GROUP BY 1"""
-)
-def comment_engagement(spark, folder):
-    return rounded(reports.comment_engagement(video_comments(spark, folder)), "mean_votes")
-
-
-def _common_sql(
-    source, platform, dataset, record, parent, subject, engagement, emotion, time_column
-) -> str:
-    return f"""SELECT '{platform}' AS platform, '{dataset}' AS dataset, {record} AS record_id,
-        {parent} AS parent_id,
-        strftime(CAST({time_column} AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') AS event_time,
-        {subject} AS subject, CAST({engagement} AS BIGINT) AS engagement, sentiment_label,
-        negative, neutral, positive, {emotion} AS emotion_label FROM ({sql.rounded(source)})"""
-
-
-_NO = "CAST(NULL AS VARCHAR)"
-
-
-@register(
-    " UNION ALL ".join(
-        [
-            _common_sql(sql.ENRICHED_POSTS, "facebook", "fb_posts", "uuid", _NO, "candidate",
-                        _REACTION_SUM, "emotion_label", "timestamp"),
-            _common_sql(sql.ENRICHED_POST_COMMENTS, "facebook", "fb_comments", "uuid", "post_id",
-                        "candidate", _REACTION_SUM, "emotion_label", "timestamp"),
-            _common_sql(sql.ENRICHED_VIDEOS, "youtube", "yt_videos", "id_video", _NO, "channel",
-                        "video_likes", _NO, "timestamp"),
-            _common_sql(sql.ENRICHED_VIDEO_COMMENTS, "youtube", "yt_comments", "comment_id",
-                        "id_video", "channel", "comment_votes", "emotion_label",
-                        "comment_published_at"),
-        ]
-    )
-)
-def cross_media(spark, folder):
-    table = reports.cross_media(
-        posts(spark, folder),
-        post_comments(spark, folder),
-        videos(spark, folder),
-        video_comments(spark, folder),
-    )
-    return rounded(table.withColumn("event_time", time.iso_string("event_time")))
-
-
-@register(
-    f"""SELECT channel_bias, channel, CAST(grouping(channel_bias) * 2 + grouping(channel) AS INTEGER)
-                 AS level, count(*) AS records, {_MEANS}, {_COUNTS}
-        FROM ({sql.ENRICHED_VIDEOS}) GROUP BY ROLLUP (channel_bias, channel)"""
-)
-def bias_breakdown(spark, folder):
-    breakdown = reports.bias_breakdown(videos(spark, folder))
-    counts = {f"{x}_records": F.col(f"{x}_records").cast("bigint") for x in SENTIMENTS}
-    return rounded(breakdown.withColumns(counts), *_MEAN_COLUMNS)
-
-
-@register(
-    """SELECT uuid, user_id, value FROM (
-         SELECT 'user-' || user_id AS uuid, user_id, value,
-                row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS place
-         FROM events) WHERE place = 1"""
-)
-def latest_snapshot(spark, folder):
-    """Events as snapshots of their user; the last one stays."""
-    snapshots = inputs.table(spark, folder, "events").select(
-        F.concat(F.lit("user-"), "user_id").alias("uuid"),
-        F.col("ts").alias("retrieving_time"),
-        "event_id",
-        "user_id",
-        "value",
-    )
-    return reports.latest_snapshot(snapshots).select("uuid", "user_id", "value")
-
-
-_COMMENT_MOOD = f"""
-SELECT post_id, count(*) AS comment_records,
-       {", ".join(f"round(avg({x}), 6) AS comment_{x}" for x in SENTIMENTS)}
-FROM ({sql.ENRICHED_POST_COMMENTS}) GROUP BY post_id"""
-_COMMENT_MEANS = [f"comment_{x}" for x in SENTIMENTS]
-
-
-@register(
-    f"""SELECT uuid, p.sentiment_label, coalesce(comment_records, 0) AS comment_records,
-               {", ".join(_COMMENT_MEANS)}
-        FROM ({sql.ENRICHED_POSTS}) p LEFT JOIN ({_COMMENT_MOOD}) c ON p.uuid = c.post_id"""
-)
-def comment_mood(spark, folder):
-    parents = posts(spark, folder).select("uuid", "sentiment_label")
-    mood = reports.comment_mood(parents, post_comments(spark, folder))
-    return rounded(mood, *_COMMENT_MEANS)
-
-
-@register(
-    f"""SELECT c.* FROM ({_COMMENT_MOOD}) c
-        WHERE NOT EXISTS (SELECT 1 FROM documents WHERE 'doc-' || doc_id = c.post_id)"""
-)
-def orphan_comments(spark, folder):
-    parents = _parsed(spark, folder, inputs.post_messages, POSTS)
-    orphans = reports.orphan_comments(parents, post_comments(spark, folder))
-    return rounded(orphans, *_COMMENT_MEANS)
-
-
-# --- streaming ------------------------------------------------------------------------------
-
-
-def _sent(spark, folder, *sources) -> str:
-    """Topic files holding the messages of the given inputs."""
-    path = shared_folder(spark, "sent")
-    for source in sources:
-        topic_sinks.write_topic_files(source(spark, folder), path)
-    return path
-
-
-@register(sql.rounded(sql.ENRICHED_POSTS))
-def stream_posts(spark, folder):
-    """Posts enriched by a streaming query that stops when all messages are done."""
-    stream = topics.stream_topic_files(spark, _sent(spark, folder, inputs.post_messages), "fb_posts")
-    out = shared_folder(spark, "stream-posts")
-    enriched = enrich.enrich_posts(stream, scorer())
-    jobs.run_in_turn([lambda: jobs.start_table_sink(enriched, f"{out}/table", f"{out}/checkpoint")])
-    return rounded(spark.read.schema(enriched.schema).parquet(f"{out}/table"))
-
-
-@register(
-    f"""SELECT 'fb_posts' AS dataset, sentiment_label, count(*) AS records
-        FROM ({sql.ENRICHED_POSTS}) GROUP BY 2
-        UNION ALL SELECT 'fb_comments', sentiment_label, count(*)
-        FROM ({sql.ENRICHED_POST_COMMENTS}) GROUP BY 2"""
-)
-def stream_datasets(spark, folder):
-    """Posts, then their comments, each by its own streaming query."""
-    sent = _sent(spark, folder, inputs.post_messages, inputs.comment_messages)
-    out = shared_folder(spark, "stream-datasets")
-
-    def starter(name):
-        stream = topics.stream_topic_files(spark, sent, name)
-        enriched = enrich.enrich(stream, DATASETS[name], scorer())
-        return lambda: jobs.start_table_sink(enriched, f"{out}/{name}", f"{out}/checkpoint/{name}")
-
-    names = ("fb_posts", "fb_comments")
-    jobs.run_in_turn([starter(n) for n in names])
-    labels = [
-        spark.read.parquet(f"{out}/{n}").select(F.lit(n).alias("dataset"), "sentiment_label")
-        for n in names
-    ]
-    return tables.union_inputs(*labels).groupBy("dataset", "sentiment_label").agg(
-        F.count("*").alias("records")
-    )
-
-
-@register(
-    f"SELECT topic, count(*) AS records FROM ({sql.EVENT_ROUTES}) WHERE topic IS NOT NULL GROUP BY 1"
-)
-def stream_routes(spark, folder):
-    """A stream of mixed messages, kept by topic."""
-    source, out = shared_folder(spark, "events"), shared_folder(spark, "stream-routes")
-    inputs.event_messages(spark, folder).write.parquet(source)
-    stream = spark.readStream.schema("event_id bigint, value binary").parquet(source)
-    routed = route.routed(route.route_messages(stream))
-    jobs.run_in_turn(
-        [
-            lambda: jobs.start_table_sink(
-                routed, f"{out}/table", f"{out}/checkpoint", partition_by=["topic"]
-            )
-        ]
-    )
-    kept = spark.read.parquet(f"{out}/table")
-    return kept.groupBy("topic").agg(F.count("*").alias("records"))
-
-
-@register(f"SELECT uuid, sentiment_label, emotion_label FROM ({sql.ENRICHED_POST_COMMENTS})")
-def stream_without_repeats(spark, folder):
-    """Messages that were sent twice, kept once by a repeatable batch writer."""
-    sent = _sent(spark, folder, inputs.comment_messages, inputs.comment_messages)
-    out = shared_folder(spark, "stream-batches")
-    stream = topics.stream_topic_files(spark, sent, "fb_comments")
-    enriched = enrich.enrich_post_comments(stream, scorer())
-    writer = jobs.batch_folder_writer(f"{out}/table", POST_COMMENTS.key)
-    jobs.run_in_turn([lambda: jobs.start_batch_sink(enriched, writer, f"{out}/checkpoint")])
-    kept = spark.read.parquet(f"{out}/table")
-    return kept.select("uuid", "sentiment_label", "emotion_label")
-
-
-@register(
-    f"""SELECT strftime({_day("timestamp")}, '%Y-%m-%d') AS bucket, candidate, count(*) AS records,
-               {_MEANS} FROM ({sql.ENRICHED_POSTS})
-        WHERE date_trunc('day', {_day("timestamp")}) + INTERVAL 1 DAY <=
-              (SELECT max({_day("timestamp")}) - INTERVAL 1 DAY FROM ({sql.POSTS}))
-        GROUP BY 1, 2"""
-)
-def stream_trend(spark, folder):
-    """Daily trend of a stream; days that may still get late records are not out yet."""
-    stream = topics.stream_topic_files(spark, _sent(spark, folder, inputs.post_messages), "fb_posts")
-    out = shared_folder(spark, "stream-trend")
-    trend = trends.streaming_trend(enrich.enrich_posts(stream, scorer()), ["candidate"])
-    jobs.run_in_turn([lambda: jobs.start_table_sink(trend, f"{out}/table", f"{out}/checkpoint")])
-    return rounded(_as_day(spark.read.parquet(f"{out}/table")), *_MEAN_COLUMNS)
+__all__ = ["REGISTRY"]

@@ -87,6 +87,9 @@ SELECT *, CASE WHEN social = 'facebook' AND section = 'Posts' THEN 'fb_posts'
                WHEN social = 'youtube' THEN 'yt_videos' END AS topic
 FROM ({EVENT_TAGS})"""
 
+ROUTE_COUNTS = f"""
+SELECT topic, count(*) AS records FROM ({EVENT_ROUTES}) WHERE topic IS NOT NULL GROUP BY topic"""
+
 
 def chunks(source: str, key: str, text: str) -> str:
     """Rows ``key, i, chunk``: 500 code points each."""
@@ -180,9 +183,12 @@ def rounded(source: str) -> str:
     return f"SELECT * REPLACE ({means}) FROM ({source})"
 
 
-def enriched(source: str, key: str, text: str, with_emotion: bool = True, lexicon: bool = True) -> str:
+def enriched(
+    source: str, key: str, text: str, with_emotion: bool = True, lexicon: bool = True
+) -> str:
     """All columns of source with the scores; ``key`` has to be unique."""
-    result = f"SELECT * FROM ({source}) JOIN ({sentiment(source, key, text, lexicon)}) USING ({key})"
+    scores = sentiment(source, key, text, lexicon)
+    result = f"SELECT * FROM ({source}) JOIN ({scores}) USING ({key})"
     if with_emotion:
         result += f" JOIN ({emotion(source, key, text, lexicon)}) USING ({key})"
     return result

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tests.conftest import plan_of
 from tools.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -27,3 +28,25 @@ def test_every_query_has_a_twin():
 def test_entry(spark):
     rows = entry(spark).collect()
     assert sum(r.records for r in rows) == 200
+
+
+BATCH = [
+    name for name in queries() if not name.startswith("stream_") and not name.endswith("_files")
+]
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_plan(spark, name):
+    """No pairs of all rows, no row-at-a-time Python, no single-partition collection of rows."""
+    plan = plan_of(queries()[name](spark, FOLDER))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan and "collect_list" not in plan
+    assert "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("name", [n for n in BATCH if n.startswith(("enrich_", "sentiment_d"))])
+def test_enrichment_has_no_shuffle(spark, name):
+    """Apart from widening the narrow test input and the small channel table."""
+    plan = plan_of(queries()[name](spark, FOLDER))
+    shuffles = [line for line in plan.splitlines() if "+- Exchange" in line]
+    assert all("RoundRobin" in x or "hashpartitioning(channel" in x for x in shuffles), shuffles

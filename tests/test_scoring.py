@@ -90,8 +90,19 @@ def test_lexicon_rejects_unknown_labels():
         LexiconScorer({"neutral": ["x"]})
 
 
+def test_lexicon_words_in_any_case(texts):
+    upper = LexiconScorer({"positive": ["GOOD"]})
+    assert texts(["Good"]).select(expand_once(scoring.sentiment("text", upper))).first().positive == 0.5
+
+
+def test_unknown_kinds():
+    with pytest.raises(ValueError):
+        score_text("text", LEXICON, kinds=("mood",))
+
+
 def test_default_lexicon(texts):
-    rows = scored(texts(["What a terrible, shameful disaster. Wrong!", "great and honest"]), default_scorer())
+    values = ["What a terrible, shameful disaster. Wrong!", "great and honest"]
+    rows = scored(texts(values), default_scorer())
     assert [r.sentiment_label for r in rows] == ["negative", "positive"]
 
 

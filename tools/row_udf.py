@@ -23,7 +23,7 @@ from agorameter.plans.enrich import enrich_posts  # noqa: E402
 from agorameter.schemas import EMOTIONS, POSTS, SENTIMENTS  # noqa: E402
 from agorameter.session import build_session  # noqa: E402
 from agorameter.testbed import inputs  # noqa: E402
-from agorameter.testbed.queries import shipped  # noqa: E402
+from agorameter.testbed.registry import shipped  # noqa: E402
 from agorameter.testbed.wordlists import EMOTION, SENTIMENT, letter_scorer, scorer  # noqa: E402
 
 WORD = re.compile(r"[^\W\d_]+")
