@@ -127,37 +127,64 @@ def _common_sql(
         {parent} AS parent_id,
         strftime(CAST({time_column} AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') AS event_time,
         {subject} AS subject, CAST({engagement} AS BIGINT) AS engagement, sentiment_label,
-        negative, neutral, positive, {emotion} AS emotion_label FROM ({sql.rounded(source)})"""
+        negative, neutral, positive, {emotion} AS emotion_label FROM ({source})"""
 
 
 _NO = "CAST(NULL AS VARCHAR)"
 
 
-@register(
-    " UNION ALL ".join(
-        [
-            _common_sql(sql.ENRICHED_POSTS, "facebook", "fb_posts", "uuid", _NO, "candidate",
-                        _REACTION_SUM, "emotion_label", "timestamp"),
-            _common_sql(sql.ENRICHED_POST_COMMENTS, "facebook", "fb_comments", "uuid", "post_id",
-                        "candidate", _REACTION_SUM, "emotion_label", "timestamp"),
-            _common_sql(sql.ENRICHED_VIDEOS, "youtube", "yt_videos", "id_video", _NO, "channel",
-                        "video_likes", _NO, "timestamp"),
-            _common_sql(sql.ENRICHED_VIDEO_COMMENTS, "youtube", "yt_comments", "comment_id",
-                        "id_video", "channel", "comment_votes", "emotion_label",
-                        "comment_published_at"),
-        ]
-    )
+_CROSS_MEDIA = " UNION ALL ".join(
+    [
+        _common_sql(sql.ENRICHED_POSTS, "facebook", "fb_posts", "uuid", _NO, "candidate",
+                    _REACTION_SUM, "emotion_label", "timestamp"),
+        _common_sql(sql.ENRICHED_POST_COMMENTS, "facebook", "fb_comments", "uuid", "post_id",
+                    "candidate", _REACTION_SUM, "emotion_label", "timestamp"),
+        _common_sql(sql.ENRICHED_VIDEOS, "youtube", "yt_videos", "id_video", _NO, "channel",
+                    "video_likes", _NO, "timestamp"),
+        _common_sql(sql.ENRICHED_VIDEO_COMMENTS, "youtube", "yt_comments", "comment_id",
+                    "id_video", "channel", "comment_votes", "emotion_label",
+                    "comment_published_at"),
+    ]
 )
-def cross_media(spark, folder):
-    table = reports.cross_media(
+
+
+def _all_media(spark, folder) -> DataFrame:
+    return reports.cross_media(
         posts(spark, folder),
         post_comments(spark, folder),
         videos(spark, folder),
         video_comments(spark, folder),
     )
+
+
+@register(sql.rounded(_CROSS_MEDIA))
+def cross_media(spark, folder):
+    table = _all_media(spark, folder)
     return rounded(table.withColumn("event_time", time.iso_string("event_time")))
 
 
+@register(
+    f"""SELECT strftime(date_trunc('month', {day_sql("event_time")}), '%Y-%m-%d') AS bucket,
+               platform, dataset, count(*) AS records, {MEANS_SQL}, {_COUNTS}
+        FROM ({_CROSS_MEDIA}) GROUP BY 1, 2, 3"""
+)
+def platform_trend(spark, folder):
+    """Monthly sentiment of all media side by side."""
+    dimensions = ["platform", "dataset"]
+    trend = reports.sentiment_trend(_all_media(spark, folder), dimensions, "event_time", "month")
+    return rounded(as_day(trend), *MEAN_COLUMNS)
+
+
+@register(
+    f"""SELECT platform, sentiment_label, count(*) AS records,
+               round(count(*) / sum(count(*)) OVER (PARTITION BY platform), 6) AS share
+        FROM ({_CROSS_MEDIA}) GROUP BY 1, 2"""
+)
+def sentiment_share(spark, folder):
+    shares = reports.label_shares(_all_media(spark, folder), ["platform"], "sentiment_label")
+    return rounded(shares, "share")
+
+
 @register(
     f"""SELECT channel_bias, channel,
                CAST(grouping(channel_bias) * 2 + grouping(channel) AS INTEGER) AS level,
