@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+
+from agorameter.llm import queries
+from agorameter.llm.common import table
+from agorameter.llm.secrets import redact, scan_secrets, span_digest
+
+FOLDER = "/root/testdata/sf0.001"
+ASSIGN = re.compile(
+    r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"""
+    r"""|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+LIVE = "ghp_" + "a1B2c3D4e5F6g7H8i9J0" * 2
+
+
+def brute(text):
+    text = text or ""
+    spans = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    spans += [
+        (m.start(), 1, "access", m.end())
+        for m in re.finditer("AKIA[A-Z0-9]+", text)
+        if len(m[0]) >= 16
+    ]
+    spans += [
+        (m.start(), 2, "hex", m.end())
+        for m in re.finditer("[0-9a-f]+", text)
+        if len(m[0]) >= 32
+    ]
+    spans.sort()
+    joined = ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
+    counts = [sum(s[2] == k for s in spans) for k in ("assign", "access", "hex")]
+    return (*counts, hashlib.sha256(joined.encode()).hexdigest())
+
+
+def check(scanned, texts):
+    got = sorted(
+        (r.doc_id, (r.n_assign, r.n_access, r.n_hex, r.base_sha256)) for r in scanned.collect()
+    )
+    assert got == sorted((i, brute(t)) for i, t in texts)
+
+
+def test_whole_table(spark):
+    rows = table(spark, FOLDER, "documents").select("doc_id", "text").collect()
+    check(queries.op2_secret_scan(spark, FOLDER), [tuple(r) for r in rows])
+
+
+@pytest.fixture
+def docs(spark):
+    texts = [
+        None,
+        "",
+        "é😀 Password = 'hunter2hunter2' and TOKEN:short, token=secret:abcdefghij",
+        "api_key: " + "f" * 40 + " AKIAABCDEFGHIJKL AKIASHORT",
+        "x " * 3000 + "passwd=" + "Zz9/" * 5000,
+        " ".join(f"secret={i:08d}" for i in range(600)),
+        LIVE,
+        "deadbeef" * 4,
+        "deadbeef" * 4,
+        "deadbeef" * 4,
+    ]
+    rows = [(i, t, f"s{i}", "en", i) for i, t in enumerate(texts)]
+    rows += [(6, LIVE, "s6", "en", 6), (None, "token=abcdefgh1", None, None, None)]
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, source string, spans string, key int"
+    )
+
+
+def test_edge_cases(spark, docs):
+    scanned = span_digest(scan_secrets(docs))
+    got = sorted(
+        (r.doc_id or -1, (r.n_assign, r.n_access, r.n_hex, r.base_sha256))
+        for r in scanned.collect()
+    )
+    assert got == sorted((r.doc_id or -1, brute(r.text)) for r in docs.collect())
+
+
+def test_verdicts(docs):
+    rows = {r.doc_id: r for r in scan_secrets(docs).collect()}
+    assert [s.kind for s in rows[6].spans] == ["github"]
+    assert rows[6].spans[0].verdict == "live"
+    assert rows[7].spans[0].verdict == "copied" and rows[7].spans[0].owners == 3
+    many = docs.limit(0).union(docs.where("doc_id = 6").distinct())
+    for i in range(3):
+        many = many.union(docs.where("doc_id = 6").distinct().selectExpr("100L + %d" % i, "text", "'o%d'" % i, "spans", "key"))
+    assert all(r.spans == [] for r in scan_secrets(many).collect())
+
+
+def test_redact(docs):
+    rows = {r.doc_id: r for r in redact(docs).collect()}
+    assert redact(docs).count() == docs.count() and redact(docs).columns == docs.columns
+    assert rows[0].text is None and rows[1].text == ""
+    assert rows[2].text == "é😀 [SECRET]' and TOKEN:short, token=secret:abcdefghij"
+    assert rows[3].text == "[SECRET] [SECRET] AKIASHORT"
+    assert rows[6].text == "[SECRET]" and rows[4].text.endswith(" [SECRET]")
+
+
+def test_empty_table(docs):
+    assert span_digest(scan_secrets(docs.limit(0))).collect() == []
