@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorameter.llm import secrets
+from agorameter.llm import packing, secrets
 from agorameter.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,5 +17,17 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.span_digest(secrets.scan_secrets(table(spark, folder, "documents")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scan,)}
+def word_vocabulary() -> str:
+    """The file of the lower-casing word vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_pack(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 2048 ids."""
+    return packing.pack(table(spark, folder, "documents"), word_vocabulary())
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scan, op4_pack)}
 SQL: dict[str, str] = {}
