@@ -4,14 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from agorameter.llm import packing, secrets
+from agorameter.llm import language, packing, secrets
 from agorameter.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def fold(parts: int) -> Column:
+    """The fold of a document: crc32 of its id as text, modulo ``parts``."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of all documents, learned from those outside fold 1 of 3."""
+    docs = table(spark, folder, "documents").withColumn("held_out", fold(3) == 1)
+    model = language.fit(docs.where(~F.col("held_out")))
+    return language.predict(docs, model, keep=["doc_id", "held_out"])
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of documents; a document is a repository, its source the owner."""
     return secrets.span_digest(secrets.scan_secrets(table(spark, folder, "documents")))
@@ -29,5 +42,5 @@ def op4_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), word_vocabulary())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scan, op4_pack)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op4_pack)}
 SQL: dict[str, str] = {}
