@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorameter.llm import language, packing, secrets
-from agorameter.llm.common import table
+from agorameter.llm import language, packing, quality, secrets
+from agorameter.llm.common import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,5 +42,17 @@ def op4_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), word_vocabulary())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op4_pack)}
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all documents, learned from the labels outside fold 0 of 5."""
+    docs = table(spark, folder, "documents")
+    vectors = cut(quality.with_statistics(docs, "doc_id", "text"))
+    labels = table(spark, folder, "labels").where(fold(5) != 0)
+    labelled = vectors.join(
+        labels.select(F.col("doc_id").alias("key"), F.col("quality").alias("label")), "key"
+    )
+    scored = quality.predict(vectors, quality.fit(labelled)).withColumnRenamed("key", "doc_id")
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op4_pack, op7_quality)}
 SQL: dict[str, str] = {}
