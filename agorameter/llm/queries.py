@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorameter.llm import language, packing, quality, secrets
+from agorameter.llm import language, packing, quality, secrets, sql, substrings
 from agorameter.llm.common import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,5 +54,20 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_secret_scan, op4_pack, op7_quality)}
-SQL: dict[str, str] = {}
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents in windows of 20 that also start earlier."""
+    docs = table(spark, folder, "documents")
+    return substrings.remove_repeats(docs, keep=["doc_id"], digest=True)
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_language_id,
+        op2_secret_scan,
+        op4_pack,
+        op7_quality,
+        op8_substring_dedup,
+    )
+}
+SQL: dict[str, str] = {"op8_substring_dedup": sql.SUBSTRINGS}
