@@ -53,6 +53,12 @@ def empty_safe(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table, in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 #: Slots of an id filter: one bit each, so a filter has 1 MB however many ids it holds.
 SLOTS = 1 << 23
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorameter.llm import language, packing, quality, secrets, sql, substrings
+from agorameter.llm import language, ngram_join, packing, quality, secrets, sql, substrings
 from agorameter.llm.common import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.span_digest(secrets.scan_secrets(table(spark, folder, "documents")))
 
 
+def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose three-word shingles are 90 per cent the same."""
+    return ngram_join.jaccard_components(table(spark, folder, "documents"), size=3, percent=90)
+
+
 def word_vocabulary() -> str:
     """The file of the lower-casing word vocabulary."""
     import public_tokenizers
@@ -65,9 +70,10 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_language_id,
         op2_secret_scan,
+        op3_ngram_join,
         op4_pack,
         op7_quality,
         op8_substring_dedup,
     )
 }
-SQL: dict[str, str] = {"op8_substring_dedup": sql.SUBSTRINGS}
+SQL: dict[str, str] = {"op3_ngram_join": sql.JACCARD, "op8_substring_dedup": sql.SUBSTRINGS}

@@ -27,3 +27,36 @@ SELECT t.doc_id, len(t.words)::BIGINT AS n_words,
        sha256(coalesce(k.body, '')) AS kept_sha256
 FROM texts t LEFT JOIN kept k ON k.doc_id = t.doc_id
 """
+
+JACCARD = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, list_aggregate(words[start : start + 2], 'string_agg', ' ') AS token
+    FROM (
+        SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 2))) AS start
+        FROM texts WHERE len(words) > 0
+    )
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM shingles x JOIN shingles y ON x.token = y.token AND x.doc_id <> y.doc_id
+    GROUP BY ALL
+), links AS (
+    SELECT a, b
+    FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * shared >= 90 * (p.n + q.n - shared)
+), reach AS (
+    SELECT a, b FROM links
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT t.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles,
+       least(t.doc_id, min(reach.b)) AS component_id
+FROM texts t LEFT JOIN sizes s ON s.doc_id = t.doc_id LEFT JOIN reach ON reach.a = t.doc_id
+GROUP BY t.doc_id
+"""
