@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorameter.llm import language, ngram_join, packing, quality, secrets, sql, substrings
+from agorameter.llm import embedding_dedup, language, ngram_join, packing, quality, secrets, sql, substrings
 from agorameter.llm.common import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def op4_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), word_vocabulary())
 
 
+def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of vectors with a cosine of 0.9 or more."""
+    return embedding_dedup.deduplicate(table(spark, folder, "embeddings"))
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of all documents, learned from the labels outside fold 0 of 5."""
     docs = table(spark, folder, "documents")
@@ -72,8 +77,13 @@ QUERIES: dict[str, Query] = {
         op2_secret_scan,
         op3_ngram_join,
         op4_pack,
+        op6_embedding_dedup,
         op7_quality,
         op8_substring_dedup,
     )
 }
-SQL: dict[str, str] = {"op3_ngram_join": sql.JACCARD, "op8_substring_dedup": sql.SUBSTRINGS}
+SQL: dict[str, str] = {
+    "op3_ngram_join": sql.JACCARD,
+    "op6_embedding_dedup": sql.EMBEDDINGS,
+    "op8_substring_dedup": sql.SUBSTRINGS,
+}

@@ -60,3 +60,28 @@ SELECT t.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles,
 FROM texts t LEFT JOIN sizes s ON s.doc_id = t.doc_id LEFT JOIN reach ON reach.a = t.doc_id
 GROUP BY t.doc_id
 """
+
+EMBEDDINGS = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, embedding::DOUBLE[] AS x
+    FROM embeddings
+    WHERE len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+      AND len(list_filter(embedding, lambda v: v <> 0)) > 0
+), links AS (
+    SELECT p.vec_id AS a, q.vec_id AS b
+    FROM good p JOIN good q ON p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+    WHERE list_cosine_similarity(p.x, q.x) >= 0.9
+), reach AS (
+    SELECT a, b FROM links
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), own AS (
+    SELECT a, count(DISTINCT b) AS n FROM links GROUP BY a
+), least_reached AS (
+    SELECT a, min(b) AS b FROM reach GROUP BY a
+)
+SELECT e.vec_id, coalesce(o.n, 0)::BIGINT AS n_links,
+       least(e.vec_id, r.b) AS component_id,
+       e.vec_id = least(e.vec_id, r.b) AS kept
+FROM embeddings e LEFT JOIN own o ON o.a = e.vec_id LEFT JOIN least_reached r ON r.a = e.vec_id
+"""
