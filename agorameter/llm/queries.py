@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorameter.llm import embedding_dedup, language, ngram_join, packing, quality, secrets, sql, substrings
+from agorameter.llm import (
+    embedding_dedup,
+    language,
+    licenses,
+    neighbours,
+    ngram_join,
+    packing,
+    quality,
+    secrets,
+    sql,
+    substrings,
+)
 from agorameter.llm.common import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +58,11 @@ def op4_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), word_vocabulary())
 
 
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of vectors with a cosine of 0.9 or more."""
     return embedding_dedup.deduplicate(table(spark, folder, "embeddings"))
@@ -70,6 +86,11 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(docs, keep=["doc_id"], digest=True)
 
 
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and detections of all documents."""
+    return licenses.summary(licenses.scan(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -77,9 +98,11 @@ QUERIES: dict[str, Query] = {
         op2_secret_scan,
         op3_ngram_join,
         op4_pack,
+        op5_neighbours,
         op6_embedding_dedup,
         op7_quality,
         op8_substring_dedup,
+        op10_license_scan,
     )
 }
 SQL: dict[str, str] = {
