@@ -15,6 +15,7 @@ columns are not read; texts of any length are scanned whole.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -145,15 +146,12 @@ class Detection(NamedTuple):
 
 def _lower(text: str) -> str:
     """A-Z to a-z; positions stay."""
-    return text.translate(_LOWER)
-
-
-_LOWER = {c: c + 32 for c in range(65, 91)}
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def detect(text: str) -> list[Detection]:
     """The detections that are left, by start."""
-    body = text.lower() if text.isascii() else _lower(text)
+    body = _lower(text)
     if not any(g in body for g in GATES) and not any(g in body for g in PASSAGE_GATES):
         return []
     present = {keyword for keyword in KEYWORDS if keyword in body}
@@ -168,12 +166,14 @@ def detect(text: str) -> list[Detection]:
 
 def resolve(found: list[Detection]) -> list[Detection]:
     """Detections without those that another one suppresses; the kept ones don't overlap."""
-    kept: list[Detection] = []
+    kept: list[Detection] = []  # sorted; none overlaps the next
     # Longer ones first within a priority: what lies inside them is suppressed.
     for d in sorted(found, key=lambda d: (d.priority, d.start - d.end, d.start, d.label)):
-        if all(d.end <= k.start or d.start >= k.end for k in kept):
-            kept.append(d)
-    return sorted(kept)
+        i = bisect_left(kept, (d.start,))
+        clear = i == 0 or kept[i - 1].end <= d.start
+        if clear and (i == len(kept) or d.end <= kept[i].start):
+            kept.insert(i, d)
+    return kept
 
 
 #: Lower case of A-Z; everything below 128 that is no letter or digit to a space.
