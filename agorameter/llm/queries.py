@@ -16,6 +16,7 @@ from agorameter.llm import (
     packing,
     quality,
     secrets,
+    sentencepiece,
     sql,
     substrings,
 )
@@ -86,6 +87,14 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(docs, keep=["doc_id"], digest=True)
 
 
+def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Number, checksum and round trip of the ids of all documents."""
+    import public_tokenizers
+
+    pieces = sentencepiece.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return sentencepiece.encode(table(spark, folder, "documents"), pieces, digest=True)
+
+
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and detections of all documents."""
     return licenses.summary(licenses.scan(table(spark, folder, "documents")))
@@ -102,6 +111,7 @@ QUERIES: dict[str, Query] = {
         op6_embedding_dedup,
         op7_quality,
         op8_substring_dedup,
+        op9_sentencepiece,
         op10_license_scan,
     )
 }
