@@ -1,4 +1,4 @@
-"""Time expressions. All of them read wall-clock time in the session time zone (UTC)."""
+"""Time expressions. Unless said otherwise they read wall-clock time in the session time zone."""
 
 from __future__ import annotations
 
@@ -18,8 +18,14 @@ def epoch_iso_string(seconds: Column | str) -> Column:
 
 
 def utc_string(moment: Column | str) -> Column:
-    """Second precision with a ``Z`` suffix, as search services expect it."""
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """Second precision with a ``Z`` suffix, as search services expect it.
+
+    An instant is shown in UTC whatever the session time zone; a time without zone as it is.
+    """
+    moment = F.col(moment) if isinstance(moment, str) else moment
+    in_utc = F.to_utc_timestamp(moment, F.current_timezone())
+    shown = F.when(F.typeof(moment) == "timestamp_ntz", moment).otherwise(in_utc)
+    return F.date_format(shown, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def event_time(text: Column | str) -> Column:

@@ -80,23 +80,20 @@ def popular_first(df: DataFrame, group: str, votes: str, *ties: str) -> DataFram
     return df.orderBy(group, F.desc(votes), *ties)
 
 
-#: Spark bounds groups before the shuffle up to this k (windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
+#: Parts that a group is split into before its best rows meet.
 SALTS = 256
 
 
 def most_popular(df: DataFrame, k: int, group: str, votes: str, *ties: str) -> DataFrame:
     """The ``k`` rows with most votes per group, numbered in ``popularity``.
 
-    Spark keeps only the first ``k`` of a group in every input partition before it
-    shuffles, so a large group does not gather in one task. Beyond the k it does this
-    for, the group is first reduced to the best ``k`` of each of its salted parts.
+    Two steps for every ``k``: a group is reduced to the best ``k`` of each of its salted
+    parts, then to the best of these, so a large group does not gather in one task.
     """
     order = [F.desc(votes), *ties]
-    if k > GROUP_LIMIT:
-        salt = F.pmod(F.xxhash64(votes, *ties), F.lit(SALTS))
-        part = Window.partitionBy(group, "_salt").orderBy(*order)
-        df = df.withColumn("_salt", salt).withColumn("_place", F.row_number().over(part))
-        df = df.filter(F.col("_place") <= k).drop("_salt", "_place")
+    salt = F.pmod(F.xxhash64(votes, *ties), F.lit(SALTS))
+    part = Window.partitionBy(group, "_salt").orderBy(*order)
+    df = df.withColumn("_salt", salt).withColumn("_place", F.row_number().over(part))
+    df = df.filter(F.col("_place") <= k).drop("_salt", "_place")
     place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     return df.withColumn("popularity", place).filter(F.col("popularity") <= k)

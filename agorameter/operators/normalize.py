@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agorameter.functions.time import iso_string
+from agorameter.schemas import FLAT_VIDEO
 
 #: Fields a flat video and a flat comment take over from the collected video.
 _VIDEO_FIELDS = {
@@ -65,11 +66,7 @@ def flatten_videos(videos: DataFrame) -> DataFrame:
         "comments": F.size("comments"),
         "social": F.col("social"),
     }
-    order = (
-        "channel", "channel_bias", "state", "url_video", "id_video", "title", "video_timestamp",
-        "fullText", "video_likes", "views", "comments", "social",
-    )
-    return videos.select(*[columns[c].alias(c) for c in order])
+    return videos.select(*[columns[c].alias(c) for c in FLAT_VIDEO.names])
 
 
 def is_usable() -> Column:
@@ -97,11 +94,11 @@ def with_channel(df: DataFrame, channel: str, state: str, bias: str) -> DataFram
 def with_channel_metadata(df: DataFrame, channels: DataFrame) -> DataFrame:
     """Attach ``channel_bias`` and ``state`` by channel; unknown channels get NULL.
 
-    ``channels`` is reduced to one row per channel. Spark broadcasts it while its size is
+    ``channels`` is reduced to one row per channel: of several the smallest pair, so that bias
+    and state are of one given row. Spark broadcasts it while its size is
     below ``spark.sql.autoBroadcastJoinThreshold``, so that a channel with most of the rows
     stays spread; beyond that it joins by shuffle and splits skewed partitions.
     """
-    dimension = channels.groupBy("channel").agg(
-        F.min("channel_bias").alias("channel_bias"), F.min("state").alias("state")
-    )
+    row = F.min(F.struct("channel_bias", "state")).alias("row")
+    dimension = channels.groupBy("channel").agg(row).select("channel", "row.*")
     return df.join(dimension, "channel", "left")

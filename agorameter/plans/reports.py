@@ -183,11 +183,14 @@ def latest_snapshot(
 ) -> DataFrame:
     """The latest version of each record. Equal versions are settled by the other columns.
 
-    Spark keeps one row per key in every input partition before it shuffles.
+    Records without a key, such as those of malformed messages, are all kept. Spark keeps one
+    row per key in every input partition before it shuffles.
     """
     ties = [F.asc(f"`{c}`") for c in df.columns if c not in (key, version)]
-    order = Window.partitionBy(key).orderBy(F.desc(version), *ties)
-    return df.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    order = Window.partitionBy(key, "_alone").orderBy(F.desc(version), *ties)
+    placed = df.withColumn("_alone", alone).withColumn("_place", F.row_number().over(order))
+    return placed.filter("_place = 1").drop("_place", "_alone")
 
 
 def mood_by_parent(comments: DataFrame, parent: str) -> DataFrame:

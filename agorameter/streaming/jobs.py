@@ -6,6 +6,7 @@ outlives them: it is what lets a query resume after a loss without repeating out
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 from operator import and_, or_
@@ -16,6 +17,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from agorameter.schemas import WRITE_RETRIES, WRITE_RETRY_WAIT
 
+#: How often queries that run together are looked at.
+POLL_SECONDS = 0.5
 #: Process what is there and stop, or a processing interval such as "1 minute".
 AVAILABLE_NOW = "available now"
 
@@ -62,9 +65,14 @@ def search_options(nodes: str, port: int) -> dict[str, str]:
 
 
 def with_document_id(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Add a document id made of the record's key, or a random one where it has none."""
+    """Add a document id: a digest of the whole record, and of its key where it has one.
+
+    A retry gives each record the same id. Versions of one key differ, so all are kept.
+    """
     keyed = reduce(and_, [F.col(c).isNotNull() for c in key])
-    return df.withColumn(DOCUMENT_ID, F.when(keyed, F.concat_ws("|", *key)).otherwise(F.uuid()))
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    named = F.to_json(F.when(keyed, F.struct(*key)))
+    return df.withColumn(DOCUMENT_ID, F.sha2(F.concat_ws("\n", named, record), 256))
 
 
 def start_search_sink(
@@ -78,7 +86,8 @@ def start_search_sink(
 ) -> StreamingQuery:
     """Append to a search index; needs the search store's package on the classpath.
 
-    With a key a repeated batch overwrites its documents instead of adding them again.
+    With a key a repeated batch overwrites its documents instead of adding them again;
+    different versions of a key stay apart.
     """
     if key:
         df = with_document_id(df, key)
@@ -119,8 +128,8 @@ def batch_folder_writer(
 ) -> Callable[[DataFrame, int], None]:
     """A repeatable batch writer: batch n replaces the folder ``batch_id=n``.
 
-    With ``key`` a batch keeps one row per key. Rows without a key value, such as those
-    of malformed messages, are all kept.
+    With ``key`` a batch keeps one row per key; across batches :func:`without_repeats` does.
+    Rows without a key value, such as those of malformed messages, are all kept.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -136,6 +145,21 @@ def _one_per_key(batch: DataFrame, key: Sequence[str]) -> DataFrame:
     return batch.withColumn("_salt", salt).dropDuplicates([*key, "_salt"]).drop("_salt")
 
 
+def without_repeats(df: DataFrame, key: Sequence[str], delay: str = "1 day") -> DataFrame:
+    """A stream in which each key comes once, also when it is repeated in a later batch.
+
+    A repeat is dropped if it arrives within ``delay``, by processing time; that bounds the
+    state to the keys of this time. Records without a key are all kept. With the version
+    among the key columns, each version of a record is kept.
+    """
+    no_key = reduce(or_, [F.col(c).isNull() for c in key])
+    marked = df.withColumns(
+        {"_alone": F.when(no_key, F.uuid()), "_arrived": F.current_timestamp()}
+    )
+    kept = marked.withWatermark("_arrived", delay).dropDuplicatesWithinWatermark([*key, "_alone"])
+    return kept.drop("_alone", "_arrived")
+
+
 def run_in_turn(starters: Iterable[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
     """Start each query after the one before has ended; returns the ended queries."""
     ended = []
@@ -147,8 +171,21 @@ def run_in_turn(starters: Iterable[Callable[[], StreamingQuery]]) -> list[Stream
 
 
 def run_together(starters: Iterable[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
-    """Start all queries, then wait for all of them."""
+    """Start all queries and wait for all of them.
+
+    When one fails the others are stopped and its error is raised, whichever it is.
+    """
     queries = [start() for start in starters]
-    for query in queries:
-        query.awaitTermination()
+    try:
+        while any(query.isActive for query in queries):
+            for query in queries:
+                if query.exception() is not None:
+                    query.awaitTermination()  # raises the error of the query
+            time.sleep(POLL_SECONDS)
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
     return queries

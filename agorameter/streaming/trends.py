@@ -16,6 +16,15 @@ def with_event_time(df: DataFrame, time: str, delay: str) -> DataFrame:
     return df.withColumn("event_time", event_time(time)).withWatermark("event_time", delay)
 
 
+def unreadable_times(df: DataFrame, time: str = "timestamp") -> DataFrame:
+    """The records that no window of :func:`streaming_trend` holds, as their time is unreadable.
+
+    No watermark ever passes them, so they are an output of their own, for example of
+    ``start_table_sink``.
+    """
+    return df.filter(event_time(time).isNull())
+
+
 def streaming_trend(
     df: DataFrame,
     dimensions: Sequence[str],

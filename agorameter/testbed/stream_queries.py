@@ -83,13 +83,13 @@ def stream_routes(spark, folder):
 
 @register(f"SELECT uuid, sentiment_label, emotion_label FROM ({sql.ENRICHED_POST_COMMENTS})")
 def stream_without_repeats(spark, folder):
-    """Messages that were sent twice, kept once by a repeatable batch writer."""
+    """Messages that were sent twice, in different batches, kept once."""
     sent = _sent(spark, folder, inputs.comment_messages, inputs.comment_messages)
     out = shared_folder(spark, "stream-batches")
-    stream = topics.stream_topic_files(spark, sent, "fb_comments")
+    stream = topics.stream_topic_files(spark, sent, "fb_comments", max_files=1)
     enriched = enrich.enrich_post_comments(stream, scorer())
-    writer = jobs.batch_folder_writer(f"{out}/table", POST_COMMENTS.key)
-    jobs.run_in_turn([lambda: jobs.start_batch_sink(enriched, writer, f"{out}/checkpoint")])
+    once = jobs.without_repeats(enriched, POST_COMMENTS.key)
+    jobs.run_in_turn([lambda: jobs.start_table_sink(once, f"{out}/table", f"{out}/checkpoint")])
     kept = spark.read.parquet(f"{out}/table")
     return kept.select("uuid", "sentiment_label", "emotion_label")
 

@@ -112,24 +112,15 @@ def best(rows, k):
     }
 
 
-@pytest.mark.parametrize("k", [1, 5])
+@pytest.mark.parametrize("k", [1, 5, 30])
 def test_most_popular(spark, k):
     rows = comment_rows()
     df = spark.createDataFrame(rows, "video string, id string, votes int").repartition(6)
     top = collect.most_popular(df, k, "video", "votes", "id")
-    assert plan_of(top).count("WindowGroupLimit") == 2, "groups are cut before the shuffle"
+    assert plan_of(top).count("WindowGroupLimit") == 4, "groups are cut before each shuffle"
     assert {(r.video, r.id, r.popularity) for r in top.collect()} == best(rows, k)
 
 
-def test_most_popular_beyond_the_group_limit(spark, monkeypatch):
-    monkeypatch.setattr(collect, "GROUP_LIMIT", 3)
-    rows = comment_rows()
-    df = spark.createDataFrame(rows, "video string, id string, votes int")
-    top = collect.most_popular(df, 7, "video", "votes", "id")
-    assert top.columns == ["video", "id", "votes", "popularity"]
-    assert {(r.video, r.id, r.popularity) for r in top.collect()} == best(rows, 7)
-
-
 def test_orders(spark):
     rows = comment_rows()
     df = spark.createDataFrame(rows, "video string, id string, votes int").repartition(6)

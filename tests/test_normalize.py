@@ -102,3 +102,13 @@ def test_only_small_channel_tables_are_broadcast(spark, tmp_path):
         assert joined.filter("state = 'y'").count() == 10
     finally:
         spark.conf.unset(threshold)
+
+
+def test_conflicting_channel_metadata_gives_one_real_row(spark):
+    channels = spark.createDataFrame(
+        [("ABC", "DEMOCRAT", "NY"), ("ABC", "LEAN", "CA")],
+        "channel string, channel_bias string, state string",
+    )
+    videos = spark.createDataFrame([("ABC",)], "channel string")
+    (row,) = n.with_channel_metadata(videos, channels).collect()
+    assert (row.channel_bias, row.state) == ("DEMOCRAT", "NY")

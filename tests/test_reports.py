@@ -182,3 +182,10 @@ def test_trend_reads_only_its_columns(spark, tmp_path):
     df.write.parquet(path)
     plan = plan_of(reports.records_over_time(spark.read.parquet(path)))
     assert "ReadSchema: struct<timestamp:string>" in plan
+
+
+def test_latest_snapshot_keeps_records_without_key(spark):
+    rows = [(None, "1"), (None, "1"), ("a", "1"), ("a", "2")]
+    df = spark.createDataFrame(rows, "uuid string, retrieving_time string")
+    found = sorted(map(tuple, reports.latest_snapshot(df).collect()), key=str)
+    assert found == [("a", "2"), (None, "1"), (None, "1")]

@@ -145,7 +145,10 @@ def test_search_options(spark):
         [("a", "1"), ("a", "2"), (None, None), (None, None)], "uuid string, retrieving_time string"
     )
     ids = [r.document_id for r in jobs.with_document_id(df, POSTS.key).collect()]
-    assert ids[:2] == ["a|1", "a|2"] and len(set(ids)) == 4 and None not in ids
+    again = [r.document_id for r in jobs.with_document_id(df, POSTS.key).collect()]
+    assert ids == again and len(set(ids)) == 3 and None not in ids
+    joined = spark.createDataFrame([("a|b", "c"), ("a", "b|c")], df.schema)
+    assert jobs.with_document_id(joined, POSTS.key).select("document_id").distinct().count() == 2
 
 
 def test_exported_table_and_union(spark, tmp_path):

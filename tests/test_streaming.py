@@ -91,6 +91,50 @@ def test_batch_sink(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
 
 
+def test_repeats_in_other_batches(spark, tmp_path):
+    """The same record twice, two versions of one key, and records without a key."""
+    source = str(tmp_path / "topics")
+    for version in ("1", "1", "2", None, None):
+        rows = [("a" if version else None, version)]
+        df = spark.createDataFrame(rows, "uuid string, retrieving_time string")
+        write_topic_files(to_messages(df, F.lit("fb_posts")), source)
+    stream = enrich.enrich_posts(stream_topic_files(spark, source, "fb_posts", max_files=1))
+    once = jobs.without_repeats(stream, POSTS.key)
+    out = str(tmp_path / "out")
+    jobs.run_in_turn([lambda: jobs.start_table_sink(once, out, str(tmp_path / "c"))])
+    found = [r.retrieving_time for r in spark.read.parquet(out).collect()]
+    assert sorted(found, key=str) == ["1", "2", None, None]
+
+
+def test_a_dead_query_ends_those_that_run_together(spark, tmp_path):
+    source = str(tmp_path / "topics")
+    send(spark, source, posts("a", 2))
+
+    def alive():
+        stream = enrich.enrich_posts(stream_topic_files(spark, source, "fb_posts"))
+        return jobs.start_table_sink(
+            stream, str(tmp_path / "out"), str(tmp_path / "c1"), "1 second", name="alive"
+        )
+
+    def dead():
+        stream = enrich.enrich_posts(stream_topic_files(spark, source, "fb_posts"))
+
+        def fail(batch, batch_id):
+            raise ValueError("no disk")
+
+        return jobs.start_batch_sink(stream, fail, str(tmp_path / "c2"), "1 second")
+
+    with pytest.raises(Exception, match="no disk"):
+        jobs.run_together([alive, dead])
+    assert not [q for q in spark.streams.active if q.name == "alive"]
+
+
+def test_unreadable_times_are_an_output(spark):
+    rows = [("2024-09-01T10:00:00",), ("soon",), (None,)]
+    df = spark.createDataFrame(rows, "timestamp string")
+    assert trends.unreadable_times(df).count() == 2
+
+
 def test_a_checkpoint_is_required(spark, tmp_path):
     stream = spark.readStream.schema("a int").parquet(str(tmp_path))
     with pytest.raises(ValueError):

@@ -93,3 +93,14 @@ def test_watch_url_and_strip(texts):
     rows = texts([" \tk8c\n"]).select(text.strip_whitespace("text").alias("v"))
     assert rows.first().v == "k8c"
     assert rows.select(text.watch_url("v")).first()[0] == "https://www.youtube.com/watch?v=k8c"
+
+
+def test_utc_string_in_any_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_seconds(1725184800) AS t, timestamp_ntz'2024-09-01 10:00:00' AS n")
+        row = df.select(time.utc_string("t").alias("t"), time.utc_string("n").alias("n")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert (row.t, row.n) == ("2024-09-01T10:00:00Z", "2024-09-01T10:00:00Z")
