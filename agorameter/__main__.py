@@ -8,10 +8,16 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from agorameter.functions.lexicon import default_scorer
 from agorameter.functions.models import tweet_scorer
-from agorameter.operators.normalize import flatten_comments, flatten_videos, usable_videos
+from agorameter.operators.normalize import (
+    failed_videos,
+    flatten_comments,
+    flatten_videos,
+    usable_videos,
+)
 from agorameter.plans.enrich import enrich
 from agorameter.plans.ingest import deliverable, ingest, undeliverable
 from agorameter.schemas import COMMENTS_SECTION, DATASETS, POSTS_SECTION
@@ -19,11 +25,11 @@ from agorameter.session import build_session
 from agorameter.sinks.files import write_channel_files
 from agorameter.sinks.topics import write_topic_files, write_topics
 from agorameter.sources.files import (
-    ARRAY,
     FORMS,
-    LINES,
+    INDENTED,
     read_flat_comments,
     read_flat_videos,
+    read_json_rejects,
     read_raw_videos,
 )
 from agorameter.sources.tables import (
@@ -44,7 +50,9 @@ def arguments() -> argparse.ArgumentParser:
     flatten.add_argument("--raw", required=True, help="files of collected videos")
     flatten.add_argument("--videos", required=True, help="output folder of flat videos")
     flatten.add_argument("--video-comments", required=True, help="output folder of comments")
-    flatten.add_argument("--form", choices=FORMS, default=ARRAY, help="form of the raw files")
+    flatten.add_argument("--form", choices=FORMS, default=INDENTED, help="form of the raw files")
+    flatten.add_argument("--rejects", help="folder for unreadable records and failed videos; "
+                         "without it an unreadable record fails the job")
 
     ingest = commands.add_parser("ingest", help="tables and flat records to topics")
     ingest.add_argument("--jdbc-url", help="database of the two tables")
@@ -53,7 +61,7 @@ def arguments() -> argparse.ArgumentParser:
     ingest.add_argument("--post-comments", default=COMMENTS_SECTION, help="the same for comments")
     ingest.add_argument("--videos", required=True)
     ingest.add_argument("--video-comments", required=True)
-    ingest.add_argument("--form", choices=FORMS, default=LINES, help="form of the video files")
+    ingest.add_argument("--form", choices=FORMS, default=INDENTED, help="form of the video files")
     ingest.add_argument("--rejects", required=True, help="folder for records without a topic")
 
     enrich = commands.add_parser("enrich", help="topics to enriched records")
@@ -76,7 +84,16 @@ def arguments() -> argparse.ArgumentParser:
 
 
 def run_flatten(spark: SparkSession, args: argparse.Namespace) -> None:
-    videos = usable_videos(read_raw_videos(spark, args.raw, args.form))
+    found = read_raw_videos(
+        spark, args.raw, args.form, strict=not args.rejects, long_counts=True
+    )
+    if args.rejects:
+        reason = F.lit("extraction failed").alias("reason")
+        failed = failed_videos(found).select(reason, F.to_json(F.struct(*found.columns)).alias("raw"))
+        unreadable = read_json_rejects(spark, args.raw, args.form)
+        rejects = unreadable.unionByName(failed, allowMissingColumns=True)
+        rejects.write.mode("append").parquet(args.rejects)
+    videos = usable_videos(found)
     write_channel_files(flatten_videos(videos), args.videos)
     write_channel_files(flatten_comments(videos), args.video_comments)
 
@@ -91,8 +108,8 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = ingest(
         table(args.posts),
         table(args.post_comments),
-        read_flat_videos(spark, args.videos, args.form),
-        read_flat_comments(spark, args.video_comments, args.form),
+        read_flat_videos(spark, args.videos, args.form, long_counts=True),
+        read_flat_comments(spark, args.video_comments, args.form, long_counts=True),
         names={name: args.topic_prefix + name for name in DATASETS},
     )
     if args.servers:

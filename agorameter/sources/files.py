@@ -4,73 +4,127 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from agorameter.functions.text import strip_whitespace
-from agorameter.schemas import FLAT_VIDEO, FLAT_VIDEO_COMMENT, RAW_VIDEO
-
+from agorameter.schemas import FLAT_VIDEO, FLAT_VIDEO_COMMENT, RAW_VIDEO, with_long_counts
 
 #: One array per file, one record per line, or an array pretty-printed record by record.
 ARRAY, LINES, INDENTED = FORMS = ("array", "lines", "indented")
 
 
 def read_json_records(
-    spark: SparkSession, paths: str | Sequence[str], schema: StructType, form: str = ARRAY
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: StructType,
+    form: str = INDENTED,
+    strict: bool = True,
+    long_counts: bool = False,
 ) -> DataFrame:
     """JSON files with a fixed schema, one row per record.
 
-    A file holds one array of records (``array``), or one record per line (``lines``). An
-    array file cannot be split, so the largest file bounds the time of the job; an array
-    written with an indent of four blanks can be, as ``indented``. Columns that stem from
-    folder names are left out.
+    A file holds an array with an indent of four blanks (``indented``), any other array
+    (``array``), or one record per line (``lines``). A text that is no record of this form
+    fails the job, also for a mere count; without ``strict`` it is left out here and returned
+    by :func:`read_json_rejects`. A field of the wrong type becomes NULL.
+
+    An ``array`` file cannot be split and lies in the memory of one task; the other forms are
+    read in parts. ``long_counts`` reads counters as 64-bit integers. Columns that stem from
+    folder names are left out; ``_metadata.file_name`` comes along for
+    :func:`with_file_channel`.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    schema = with_long_counts(schema) if long_counts else schema
+    texts = _texts(spark, paths, form)
+    good = _is_record(form)
+    if strict:
+        told = F.concat(
+            F.lit(f"not a record of form {form} in "), "file", F.lit(": "), F.substring("value", 1, 200)
+        )
+        good = F.when(good, True).otherwise(F.raise_error(told).cast("boolean"))
+    kept = texts.where(good)
+    if form == ARRAY:
+        rows = kept.select("file", F.inline(F.from_json("value", ArrayType(schema))))
+    else:
+        data = F.from_json("value", schema).alias("data")
+        rows = kept.select("file", F.inline(F.array(data)))
+    name = F.element_at(F.split("file", "/"), -1)
+    return rows.select(*schema.names, F.struct(name.alias("file_name")).alias("_metadata"))
+
+
+def read_json_rejects(
+    spark: SparkSession, paths: str | Sequence[str], form: str = INDENTED
+) -> DataFrame:
+    """``file, reason, raw`` of the texts that are no records of the form."""
+    reason = F.when(F.try_parse_json("value").isNull(), "not JSON").otherwise(f"not of form {form}")
+    return _texts(spark, paths, form).where(~_is_record(form)).select(
+        "file", reason.alias("reason"), F.col("value").alias("raw")
+    )
+
+
+def _texts(spark: SparkSession, paths: str | Sequence[str], form: str) -> DataFrame:
+    """``file, value``: the text of each record, or of each array; ``begun``: it begins like one."""
     if form not in FORMS:
         raise ValueError(f"form has to be one of {FORMS}")
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    file = F.col("_metadata.file_path").alias("file")
     if form == INDENTED:
-        return _indented_records(spark, paths, schema)
-    records = spark.read.schema(schema).option("multiLine", form == ARRAY).json(paths)
-    return records.select(*schema.names)
+        return _indented_texts(spark.read.option("lineSep", "\n    },\n").text(paths), file)
+    texts = spark.read.text(paths, wholetext=form == ARRAY)
+    texts = texts.select(file, "value", F.lit(True).alias("begun"))
+    return texts.where(F.col("value").rlike(r"\S"))
 
 
-def _indented_records(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
+def _indented_texts(pieces: DataFrame, file: Column) -> DataFrame:
     """Records of pretty-printed arrays, cut where a brace ends a line at the first level.
 
     A JSON string has no raw line end, so the cut cannot fall into a value; deeper levels
-    have more blanks. This lets many tasks read parts of one large file.
+    have more blanks. This lets many tasks read parts of one large file. A piece that does
+    not begin like a record stays whole and fails as one.
     """
-    pieces = spark.read.option("lineSep", "\n    },\n").text(paths, wholetext=False)
     value = F.col("value")
-    kept = pieces.select("value").filter(~value.rlike(r"\A\s*(\[\s*\])?\s*\z"))
+    kept = pieces.select(file, "value").filter(~value.rlike(r"\A\s*(\[\s*\])?\s*\z"))
     is_last = value.rlike(r"\n    \}\s*\]\s*\z")
     closed = F.when(is_last, F.regexp_replace(value, r"\]\s*\z", "")).otherwise(
         F.concat(value, F.lit("}"))
     )
-    record = F.when(
-        value.rlike(r"\A(\[\n)?    \{\n"), F.regexp_replace(closed, r"\A\[\n", "")
-    ).otherwise(F.raise_error(F.lit("not a JSON array indented by four blanks")))
-    return kept.select(F.from_json(record, schema).alias("data")).select("data.*")
+    begun = value.rlike(r"\A(\[\n)?    \{\n")
+    record = F.when(begun, F.regexp_replace(closed, r"\A\[\n", "")).otherwise(value)
+    # Bound here, so that the checks and the parser see one value.
+    bound = F.struct(record.alias("value"), begun.alias("begun"))
+    return kept.select("file", F.inline(F.array(bound)))
+
+
+def _is_record(form: str) -> Column:
+    """Whether the text is JSON of the right kind: an object, or an array of objects."""
+    first, last = ("{", "}") if form != ARRAY else ("[", "]")
+    value = F.col("value")
+    shaped = value.rlike(rf"\A\s*\{first}") & value.rlike(rf"\{last}\s*\z")
+    return F.coalesce(F.col("begun") & shaped & F.try_parse_json(value).isNotNull(), F.lit(False))
 
 
 def read_raw_videos(
-    spark: SparkSession, paths: str | Sequence[str], form: str = ARRAY
+    spark: SparkSession, paths: str | Sequence[str], form: str = INDENTED, **options
 ) -> DataFrame:
     """Collected videos with their nested comments."""
-    return read_json_records(spark, paths, RAW_VIDEO, form)
+    return _plain(read_json_records(spark, paths, RAW_VIDEO, form, **options))
 
 
 def read_flat_videos(
-    spark: SparkSession, paths: str | Sequence[str], form: str = ARRAY
+    spark: SparkSession, paths: str | Sequence[str], form: str = INDENTED, **options
 ) -> DataFrame:
-    return read_json_records(spark, paths, FLAT_VIDEO, form)
+    return _plain(read_json_records(spark, paths, FLAT_VIDEO, form, **options))
 
 
 def read_flat_comments(
-    spark: SparkSession, paths: str | Sequence[str], form: str = ARRAY
+    spark: SparkSession, paths: str | Sequence[str], form: str = INDENTED, **options
 ) -> DataFrame:
-    return read_json_records(spark, paths, FLAT_VIDEO_COMMENT, form)
+    return _plain(read_json_records(spark, paths, FLAT_VIDEO_COMMENT, form, **options))
+
+
+def _plain(records: DataFrame) -> DataFrame:
+    return records.drop("_metadata")
 
 
 def read_links(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

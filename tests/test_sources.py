@@ -48,14 +48,14 @@ def test_indented_arrays_are_read_in_parts(spark, tmp_path):
         found = sorted(map(repr, parts.collect()))
     finally:
         spark.conf.unset(size)
-    whole = files.read_raw_videos(spark, f"{tmp_path}/*.json")
+    whole = files.read_raw_videos(spark, f"{tmp_path}/*.json", files.ARRAY)
     assert found == sorted(map(repr, whole.collect())) and len(found) == 302
     assert parts.schema.simpleString() == RAW_VIDEO.simpleString()
 
 
 def test_other_arrays_are_not_taken_for_indented_ones(spark, tmp_path):
     (tmp_path / "ABC.json").write_text('[{"id_video": "a"}, {"id_video": "b"}]')
-    with pytest.raises(Exception, match="indented by four blanks"):
+    with pytest.raises(Exception, match="not a record of form indented"):
         files.read_raw_videos(spark, str(tmp_path), files.INDENTED).collect()
     with pytest.raises(ValueError):
         files.read_raw_videos(spark, str(tmp_path), "pretty")
@@ -64,7 +64,7 @@ def test_other_arrays_are_not_taken_for_indented_ones(spark, tmp_path):
 def test_raw_video_files(spark, tmp_path):
     video = {"id_video": "v", "comments": [{"cid": "c", "text": "t", "votes": 1}], "likes": 3}
     (tmp_path / "ABC.json").write_text(json.dumps([video, {"id_video": "w", "comments": []}]))
-    rows = files.read_raw_videos(spark, str(tmp_path)).orderBy("id_video").collect()
+    rows = files.read_raw_videos(spark, str(tmp_path), files.ARRAY).orderBy("id_video").collect()
     assert rows[0].comments[0].cid == "c" and rows[0].comments[0].author is None
     assert rows[1].comments == []
 
@@ -151,6 +151,39 @@ def test_search_options(spark):
     assert jobs.with_document_id(joined, POSTS.key).select("document_id").distinct().count() == 2
 
 
+@pytest.mark.parametrize(
+    ("form", "body"),
+    [
+        ("lines", json.dumps([{"id_video": "a"}], indent=4)),
+        ("lines", '{"id_video": "a"}\n{"id_video": '),
+        ("indented", '[{"id_video": "a"}]'),
+        ("indented", json.dumps([{"id_video": "a"}, {"id_video": "b"}], indent=4).replace("\n", "\r\n")),
+        ("indented", '{"id_video": "a"}\n{"id_video": "b"}\n'),
+        ("indented", json.dumps([{"id_video": "a"}, {"id_video": "b"}], indent=4)[:-20]),
+        ("array", '{"id_video": "a"}\n{"id_video": "b"}\n'),
+        ("array", '[{"id_video": "a"}, {"id_vid'),
+    ],
+)
+def test_a_wrong_form_is_an_error_and_a_reject(spark, tmp_path, form, body):
+    (tmp_path / "ABC.json").write_text(body, newline="")
+    with pytest.raises(Exception, match=f"not a record of form {form}"):
+        files.read_flat_videos(spark, str(tmp_path), form).count()
+    rejects = files.read_json_rejects(spark, str(tmp_path), form).collect()
+    assert rejects and all(r.file.endswith("ABC.json") and r.reason and r.raw for r in rejects)
+
+
+def test_a_damaged_record_costs_only_itself(spark, tmp_path):
+    records = [{"id_video": str(i), "views": 3_000_000_000} for i in range(5)]
+    body = json.dumps(records, indent=4).replace('"id_video": "2"', '"id_video": "2')
+    (tmp_path / "ABC_videos.json").write_text(body)
+    kept = files.read_json_records(spark, str(tmp_path), FLAT_VIDEO, strict=False, long_counts=True)
+    rows = files.with_file_channel(kept).collect()
+    assert sorted(r.id_video for r in rows) == ["0", "1", "3", "4"]
+    assert {(r.channel, r.views) for r in rows} == {("ABC", 3_000_000_000)}
+    (reject,) = files.read_json_rejects(spark, str(tmp_path)).collect()
+    assert reject.reason == "not JSON" and '"2' in reject.raw
+
+
 def test_exported_table_and_union(spark, tmp_path):
     path = str(tmp_path / "posts")
     spark.range(3).withColumn("candidate", F.lit("x")).write.parquet(path)

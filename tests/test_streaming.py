@@ -198,7 +198,9 @@ def test_trend_with_late_records(spark, tmp_path):
 
 def test_command_line(spark, tmp_path):
     """Nested files and table exports, through the topics, to enriched tables."""
-    folder = {n: str(tmp_path / n) for n in ("posts", "fbc", "v", "c", "t", "rejects", "out", "cp")}
+    folder = {n: str(tmp_path / n) for n in (
+        "posts", "fbc", "v", "c", "t", "rejects", "raw-rejects", "out", "cp",
+    )}
     raw = [
         {
             "channel": "ABC", "id_video": "v1", "title": "T", "fullText": "good news",
@@ -212,11 +214,13 @@ def test_command_line(spark, tmp_path):
     spark.sql("SELECT 'p1' uuid, timestamp '2024-09-01 00:00:00' timestamp, 'great' content").write.parquet(folder["posts"])
     spark.sql("SELECT 'k1' uuid, 'p1' post_id, 'hmm' content").write.parquet(folder["fbc"])
 
-    cli.main(["flatten", "--raw", f"{tmp_path}/ABC.json", "--form", "indented", "--videos", folder["v"],
-              "--video-comments", folder["c"]])
+    cli.main(["flatten", "--raw", f"{tmp_path}/ABC.json", "--videos", folder["v"],
+              "--video-comments", folder["c"], "--rejects", folder["raw-rejects"]])
+    (failed,) = spark.read.parquet(folder["raw-rejects"]).collect()
+    assert failed.reason == "extraction failed" and '"v2"' in failed.raw
     cli.main(["ingest", "--posts", folder["posts"], "--post-comments", folder["fbc"],
               "--videos", folder["v"], "--video-comments", folder["c"],
-              "--topics", folder["t"], "--rejects", folder["rejects"]])
+              "--form", "lines", "--topics", folder["t"], "--rejects", folder["rejects"]])
     datasets = [a for name in DATASETS for a in ("--dataset", name)]
     cli.main(["enrich", *datasets, "--topics", folder["t"], "--out", folder["out"],
               "--checkpoint", folder["cp"]])
