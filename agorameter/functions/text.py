@@ -34,8 +34,8 @@ def transcript(segments: Column | str) -> Column:
 
 
 def parse_votes(votes: Column | str) -> Column:
-    """Vote counter as integer; missing, empty or unreadable values count as 0."""
-    return F.coalesce(_column(votes).cast("string").try_cast("int"), F.lit(0))
+    """Vote counter as 64-bit integer; missing, empty or unreadable values count as 0."""
+    return F.coalesce(_column(votes).cast("string").try_cast("long"), F.lit(0))
 
 
 def watch_url(video_id: Column | str) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from agorameter.functions.text import expand_once
+
 CORRUPT = "_corrupt_record"
 
 
@@ -20,9 +22,10 @@ def parse_messages(df: DataFrame, schema: StructType, value: str = "value") -> D
     """The message's fields as columns.
 
     Keys outside the schema are ignored. A field of the wrong type becomes NULL and the
-    others are kept; a malformed message becomes a row of NULLs.
+    others are kept; a malformed message becomes a row of NULLs. A message is parsed once,
+    also where a later filter reads one of its fields.
     """
-    return df.select(F.from_json(decode(value), schema).alias("data")).select("data.*")
+    return df.select(expand_once(F.from_json(decode(value), schema)))
 
 
 def malformed_messages(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:

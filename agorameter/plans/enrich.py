@@ -6,6 +6,8 @@ batch or on a stream.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +32,17 @@ def score_records(
     scorer: Scorer | None = None,
     chunk_size: int = CHUNK_SIZE,
     errors: bool = False,
+    kinds: Sequence[str] | None = None,
 ) -> DataFrame:
     """Parsed records with the dataset's output columns; ``errors`` adds ``score_error``.
 
-    The scored text stays only where it is an output column.
+    The scored text stays only where it is an output column. ``kinds`` limits the scores to
+    ``sentiment`` or ``emotion``, for a report that reads only these.
     """
-    kinds = ("sentiment", "emotion") if dataset.emotion else ("sentiment",)
+    own = ("sentiment", "emotion") if dataset.emotion else ("sentiment",)
+    kinds = own if kinds is None else tuple(kinds)
+    if set(kinds) - set(own):
+        raise ValueError(f"{dataset.name} has scores of {own}")
     scores = score_text(dataset.text, scorer or default_scorer(), kinds, chunk_size, errors)
     text = () if dataset.text in dataset.columns else (dataset.text,)
     selected = select_renamed(records, dataset.columns + text, dict(dataset.renames))
@@ -49,13 +56,15 @@ def enrich(
     chunk_size: int = CHUNK_SIZE,
     errors: bool = False,
     long_counts: bool = False,
+    kinds: Sequence[str] | None = None,
 ) -> DataFrame:
     """Messages with a ``value`` column to the dataset's enriched records.
 
     ``long_counts`` reads counters as 64-bit integers instead of losing large ones.
     """
     schema = with_long_counts(dataset.message) if long_counts else dataset.message
-    return score_records(parse_messages(messages, schema), dataset, scorer, chunk_size, errors)
+    records = parse_messages(messages, schema)
+    return score_records(records, dataset, scorer, chunk_size, errors, kinds)
 
 
 def enrich_posts(messages: DataFrame, scorer: Scorer | None = None, **options) -> DataFrame:

@@ -114,7 +114,6 @@ def _common(
     parent: str | None,
     subject: str,
     engagement: Column,
-    emotion: bool = True,
     time: str = "timestamp",
 ) -> DataFrame:
     null = F.lit(None).cast("string")
@@ -128,7 +127,7 @@ def _common(
         engagement.alias("engagement"),
         "sentiment_label",
         *SENTIMENTS,
-        (F.col("emotion_label") if emotion else null).alias("emotion_label"),
+        (F.col("emotion_label") if "emotion_label" in df.columns else null).alias("emotion_label"),
     )
 
 
@@ -138,7 +137,7 @@ def cross_media(
     """The four enriched tables in one common layout.
 
     ``subject`` is the candidate or the channel; ``engagement`` the sum of reactions, the
-    likes of a video, or the votes of a comment.
+    likes of a video, or the votes of a comment. A table without emotions gives NULL there.
     """
     reactions = _reaction_sum()
     parts = [
@@ -148,7 +147,7 @@ def cross_media(
         ),
         _common(
             videos, YOUTUBE, VIDEOS.name, "id_video", None, "channel",
-            F.col("video_likes").cast("long"), emotion=False,
+            F.col("video_likes").cast("long"),
         ),
         _common(
             video_comments, YOUTUBE, VIDEO_COMMENTS.name, "comment_id", "id_video", "channel",
@@ -158,19 +157,22 @@ def cross_media(
     return reduce(DataFrame.unionByName, parts)
 
 
-def bias_breakdown(df: DataFrame) -> DataFrame:
+def bias_breakdown(
+    df: DataFrame, dimensions: Sequence[str] = ("channel_bias", "channel")
+) -> DataFrame:
     """Records and mean probabilities by channel leaning and channel, with subtotals.
 
-    ``level`` is 0 for a channel, 1 for a leaning's subtotal, 3 for the grand total. The
-    finest groups are aggregated first, so the roll-up multiplies groups, not records.
+    ``level`` is 0 for a channel, 1 for a leaning's subtotal, 3 for the grand total; other
+    dimensions, such as leaning, state and channel, are counted likewise. The finest groups
+    are aggregated first, so the roll-up multiplies groups, not records.
     """
-    finest = df.groupBy("channel_bias", "channel").agg(
+    finest = df.groupBy(*dimensions).agg(
         F.count("*").alias("n"),
         *[F.sum(F.col(x).cast("double")).alias(x) for x in SENTIMENTS],
         *_label_counts(),
     )
     records = F.sum("n")
-    return finest.rollup("channel_bias", "channel").agg(
+    return finest.rollup(*dimensions).agg(
         F.grouping_id().cast("int").alias("level"),
         records.alias("records"),
         *[(F.sum(x) / records).alias(f"mean_{x}") for x in SENTIMENTS],

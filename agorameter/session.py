@@ -40,13 +40,14 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, at_least: int | None = None) -> DataFrame:
-    """Use all cores for heavy per-row work when the input has few splits.
+#: Partitions that a user asks for inputs of too few splits, such as one small file.
+INPUT_PARTITIONS = "agorameter.inputPartitions"
 
-    Input that already has ``at_least`` partitions is returned untouched, so a large
-    scan is never shuffled. Batch only: a stream is widened at its source.
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a batch input out to the number of partitions in ``agorameter.inputPartitions``.
+
+    Without that setting the input is returned as it is: splits are the source's business.
     """
-    wanted = at_least or df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= wanted:
-        return df
-    return df.repartition(wanted)
+    wanted = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted and not df.isStreaming else df

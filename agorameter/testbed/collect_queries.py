@@ -159,3 +159,16 @@ def top_comments(spark, folder):
     flat = normalize.flatten_comments(inputs.raw_videos(spark, folder))
     narrow = flat.select("id_video", F.col("comment_cid").alias("comment_id"), "comment_votes")
     return collect.most_popular(narrow, 3, "id_video", "comment_votes", "comment_id")
+
+
+@register(
+    f"""SELECT id_video, comment_id, comment_votes, popularity FROM (
+          SELECT id_video, comment_id, comment_votes, CAST(row_number() OVER (
+              PARTITION BY id_video ORDER BY comment_votes DESC, comment_id) AS INTEGER) AS popularity
+          FROM ({sql.VIDEO_COMMENTS})) WHERE popularity <= 2000"""
+)
+def top_comments_deep(spark, folder):
+    """More rows per group than Spark bounds before its shuffle by itself."""
+    flat = normalize.flatten_comments(inputs.raw_videos(spark, folder))
+    narrow = flat.select("id_video", F.col("comment_cid").alias("comment_id"), "comment_votes")
+    return collect.most_popular(narrow, 2000, "id_video", "comment_votes", "comment_id")

@@ -12,20 +12,21 @@ from agorameter.testbed.registry import register, rounded, shipped
 from agorameter.testbed.wordlists import letter_scorer, scorer
 
 
-def posts(spark, folder) -> DataFrame:
-    return enrich.enrich_posts(inputs.post_messages(spark, folder), scorer())
+def posts(spark, folder, kinds=None) -> DataFrame:
+    return enrich.enrich_posts(inputs.post_messages(spark, folder), scorer(), kinds=kinds)
 
 
-def post_comments(spark, folder) -> DataFrame:
-    return enrich.enrich_post_comments(inputs.comment_messages(spark, folder), scorer())
+def post_comments(spark, folder, kinds=None) -> DataFrame:
+    return enrich.enrich_post_comments(inputs.comment_messages(spark, folder), scorer(), kinds=kinds)
 
 
-def videos(spark, folder) -> DataFrame:
-    return enrich.enrich_videos(inputs.video_messages(spark, folder), scorer())
+def videos(spark, folder, kinds=None) -> DataFrame:
+    return enrich.enrich_videos(inputs.video_messages(spark, folder), scorer(), kinds=kinds)
 
 
-def video_comments(spark, folder) -> DataFrame:
-    return enrich.enrich_video_comments(inputs.video_comment_messages(spark, folder), scorer())
+def video_comments(spark, folder, kinds=None) -> DataFrame:
+    messages = inputs.video_comment_messages(spark, folder)
+    return enrich.enrich_video_comments(messages, scorer(), kinds=kinds)
 
 
 @register(sql.rounded(sql.ENRICHED_POSTS))
@@ -65,7 +66,7 @@ FROM ({sql.ENRICHED_POSTS}) GROUP BY sentiment_label"""
 def post_mood(spark, folder):
     """Messages to scores to one line per label."""
     summary = (
-        posts(spark, folder)
+        posts(spark, folder, ["sentiment"])
         .groupBy("sentiment_label")
         .agg(
             F.count("*").alias("records"),

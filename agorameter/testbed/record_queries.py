@@ -67,7 +67,9 @@ def utc_strings(spark, folder):
 
 @register(
     """SELECT event_id, CASE WHEN event_type IN ('click', 'view')
-                             THEN CAST(event_id % 100 AS INTEGER) ELSE 0 END AS votes FROM events"""
+                             THEN event_id % 100
+                             WHEN event_type = 'signup' THEN 3000000000 + event_id
+                             ELSE 0 END AS votes FROM events"""
 )
 def votes_parse(spark, folder):
     kind = F.col("event_type")
@@ -75,6 +77,7 @@ def votes_parse(spark, folder):
         F.when(kind.isin("click", "view"), (F.col("event_id") % 100).cast("string"))
         .when(kind == "error", "")
         .when(kind == "purchase", "1.2K")
+        .when(kind == "signup", (F.lit(3_000_000_000) + F.col("event_id")).cast("string"))
     )
     return inputs.table(spark, folder, "events").select(
         "event_id", text.parse_votes(raw).alias("votes")

@@ -68,7 +68,7 @@ MEAN_COLUMNS = [f"mean_{x}" for x in SENTIMENTS]
         FROM ({sql.ENRICHED_POSTS}) GROUP BY 1, 2"""
 )
 def sentiment_trend(spark, folder):
-    trend = reports.sentiment_trend(posts(spark, folder), ["candidate"])
+    trend = reports.sentiment_trend(posts(spark, folder, ["sentiment"]), ["candidate"])
     return rounded(as_day(trend), *MEAN_COLUMNS)
 
 
@@ -78,7 +78,17 @@ def sentiment_trend(spark, folder):
         FROM ({sql.ENRICHED_POSTS}) GROUP BY 1, 2"""
 )
 def emotion_share(spark, folder):
-    return rounded(reports.emotion_share(posts(spark, folder), "candidate"), "share")
+    return rounded(reports.emotion_share(posts(spark, folder, ["emotion"]), "candidate"), "share")
+
+
+@register(
+    f"""SELECT channel, emotion_label, count(*) AS records,
+               round(count(*) / sum(count(*)) OVER (PARTITION BY channel), 6) AS share
+        FROM ({sql.ENRICHED_VIDEO_COMMENTS}) GROUP BY 1, 2"""
+)
+def emotion_share_by_channel(spark, folder):
+    rows = video_comments(spark, folder, ["emotion"])
+    return rounded(reports.emotion_share(rows, "channel"), "share")
 
 
 _REACTIONS = ", ".join(f'CAST(sum("{r}") AS BIGINT) AS sum_{r}' for r in inputs.COUNTERS)
@@ -92,7 +102,18 @@ _REACTION_SUM = " + ".join(f'"{r}"' for r in inputs.COUNTERS)
         FROM ({sql.ENRICHED_POSTS}) GROUP BY 1"""
 )
 def post_engagement(spark, folder):
-    return rounded(reports.post_engagement(posts(spark, folder)), "mean_reactions")
+    return rounded(reports.post_engagement(posts(spark, folder, ["sentiment"])), "mean_reactions")
+
+
+@register(
+    f"""SELECT sentiment_label, count(*) AS records, {_REACTIONS},
+               CAST(sum({_REACTION_SUM}) AS BIGINT) AS reactions,
+               round(avg({_REACTION_SUM}), 6) AS mean_reactions
+        FROM ({sql.ENRICHED_POST_COMMENTS}) GROUP BY 1"""
+)
+def post_comment_engagement(spark, folder):
+    rows = post_comments(spark, folder, ["sentiment"])
+    return rounded(reports.post_engagement(rows), "mean_reactions")
 
 
 _VIDEO_COUNTERS = ", ".join(
@@ -117,7 +138,8 @@ def video_engagement(spark, folder):
         FROM ({sql.ENRICHED_VIDEO_COMMENTS}) GROUP BY 1"""
 )
 def comment_engagement(spark, folder):
-    return rounded(reports.comment_engagement(video_comments(spark, folder)), "mean_votes")
+    rows = video_comments(spark, folder, ["sentiment"])
+    return rounded(reports.comment_engagement(rows), "mean_votes")
 
 
 def _common_sql(
@@ -148,12 +170,12 @@ _CROSS_MEDIA = " UNION ALL ".join(
 )
 
 
-def _all_media(spark, folder) -> DataFrame:
+def _all_media(spark, folder, kinds=None) -> DataFrame:
     return reports.cross_media(
-        posts(spark, folder),
-        post_comments(spark, folder),
+        posts(spark, folder, kinds),
+        post_comments(spark, folder, kinds),
         videos(spark, folder),
-        video_comments(spark, folder),
+        video_comments(spark, folder, kinds),
     )
 
 
@@ -171,17 +193,36 @@ def cross_media(spark, folder):
 def platform_trend(spark, folder):
     """Monthly sentiment of all media side by side."""
     dimensions = ["platform", "dataset"]
-    trend = reports.sentiment_trend(_all_media(spark, folder), dimensions, "event_time", "month")
+    rows = _all_media(spark, folder, ["sentiment"])
+    trend = reports.sentiment_trend(rows, dimensions, "event_time", "month")
     return rounded(as_day(trend), *MEAN_COLUMNS)
 
 
+@register(
+    f"""SELECT strftime(date_trunc('day', {day_sql("event_time")}), '%Y-%m-%d') AS bucket,
+               platform, subject, sentiment_label, count(*) AS records,
+               round(count(*) / sum(count(*)) OVER (
+                   PARTITION BY date_trunc('day', {day_sql("event_time")}), platform, subject), 6
+               ) AS share
+        FROM ({_CROSS_MEDIA})
+        GROUP BY date_trunc('day', {day_sql("event_time")}), platform, subject, sentiment_label"""
+)
+def subject_shares(spark, folder):
+    """Shares of the sentiment labels by day, platform and subject."""
+    rows = _all_media(spark, folder, ["sentiment"])
+    daily = rows.withColumn("bucket", reports.bucket("event_time"))
+    shares = reports.label_shares(daily, ["bucket", "platform", "subject"], "sentiment_label")
+    return rounded(as_day(shares), "share")
+
+
 @register(
     f"""SELECT platform, sentiment_label, count(*) AS records,
                round(count(*) / sum(count(*)) OVER (PARTITION BY platform), 6) AS share
         FROM ({_CROSS_MEDIA}) GROUP BY 1, 2"""
 )
 def sentiment_share(spark, folder):
-    shares = reports.label_shares(_all_media(spark, folder), ["platform"], "sentiment_label")
+    rows = _all_media(spark, folder, ["sentiment"])
+    shares = reports.label_shares(rows, ["platform"], "sentiment_label")
     return rounded(shares, "share")
 
 
@@ -197,6 +238,19 @@ def bias_rollup(spark, folder):
     return rounded(breakdown.withColumns(counts), *MEAN_COLUMNS)
 
 
+@register(
+    f"""SELECT channel_bias, state, channel,
+               CAST(grouping(channel_bias) * 4 + grouping(state) * 2 + grouping(channel)
+                    AS INTEGER) AS level,
+               count(*) AS records, {MEANS_SQL}, {_COUNTS}
+        FROM ({sql.ENRICHED_VIDEOS}) GROUP BY ROLLUP (channel_bias, state, channel)"""
+)
+def state_rollup(spark, folder):
+    breakdown = reports.bias_breakdown(videos(spark, folder), ("channel_bias", "state", "channel"))
+    counts = {f"{x}_records": F.col(f"{x}_records").cast("bigint") for x in SENTIMENTS}
+    return rounded(breakdown.withColumns(counts), *MEAN_COLUMNS)
+
+
 @register(
     """SELECT uuid, user_id, value FROM (
          SELECT 'user-' || user_id AS uuid, user_id, value,
@@ -228,8 +282,23 @@ _COMMENT_MEANS = [f"comment_{x}" for x in SENTIMENTS]
         FROM ({sql.ENRICHED_POSTS}) p LEFT JOIN ({_COMMENT_MOOD}) c ON p.uuid = c.post_id"""
 )
 def comment_mood(spark, folder):
-    parents = posts(spark, folder).select("uuid", "sentiment_label")
-    mood = reports.comment_mood(parents, post_comments(spark, folder))
+    parents = posts(spark, folder, ["sentiment"]).select("uuid", "sentiment_label")
+    mood = reports.comment_mood(parents, post_comments(spark, folder, ["sentiment"]))
+    return rounded(mood, *_COMMENT_MEANS)
+
+
+@register(
+    f"""SELECT v.id_video, v.sentiment_label, coalesce(comment_records, 0) AS comment_records,
+               {", ".join(_COMMENT_MEANS)}
+        FROM ({sql.ENRICHED_VIDEOS}) v LEFT JOIN (
+            SELECT id_video, count(*) AS comment_records,
+                   {", ".join(f"round(avg({x}), 6) AS comment_{x}" for x in SENTIMENTS)}
+            FROM ({sql.ENRICHED_VIDEO_COMMENTS}) GROUP BY id_video) c ON c.id_video = v.id_video"""
+)
+def video_comment_mood(spark, folder):
+    parents = videos(spark, folder).select("id_video", "sentiment_label")
+    comments = video_comments(spark, folder, ["sentiment"])
+    mood = reports.comment_mood(parents, comments, "id_video", "id_video")
     return rounded(mood, *_COMMENT_MEANS)
 
 
@@ -239,5 +308,5 @@ def comment_mood(spark, folder):
 )
 def orphan_comments(spark, folder):
     parents = _parsed(spark, folder, inputs.post_messages, POSTS)
-    orphans = reports.orphan_comments(parents, post_comments(spark, folder))
+    orphans = reports.orphan_comments(parents, post_comments(spark, folder, ["sentiment"]))
     return rounded(orphans, *_COMMENT_MEANS)

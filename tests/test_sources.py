@@ -213,7 +213,11 @@ def test_a_cluster_has_to_name_its_shared_folder():
     assert session.shared_folder(cluster(None, "local[2]"), "x")
 
 
-def test_spread_leaves_wide_input_alone(spark):
-    wide = spark.range(0, 100, 1, 8)
-    assert session.spread(wide, 8) is wide
-    assert session.spread(spark.range(0, 100, 1, 1), 6).rdd.getNumPartitions() == 6
+def test_spread_only_on_request(spark):
+    df = spark.range(0, 100, 1, 1)
+    assert session.spread(df) is df
+    spark.conf.set(session.INPUT_PARTITIONS, "6")
+    try:
+        assert session.spread(df).rdd.getNumPartitions() == 6
+    finally:
+        spark.conf.unset(session.INPUT_PARTITIONS)
