@@ -19,7 +19,7 @@ from agorameter.operators.normalize import (
     usable_videos,
 )
 from agorameter.plans.enrich import enrich
-from agorameter.plans.ingest import deliverable, ingest, undeliverable
+from agorameter.plans.ingest import ingest, with_reject_topic
 from agorameter.schemas import COMMENTS_SECTION, DATASETS, POSTS_SECTION
 from agorameter.session import build_session
 from agorameter.sinks.files import write_channel_files
@@ -35,6 +35,7 @@ from agorameter.sources.files import (
 from agorameter.sources.tables import (
     hash_predicates,
     jdbc_options,
+    prefix_ranges,
     read_exported_table,
     read_jdbc_table,
 )
@@ -62,13 +63,19 @@ def arguments() -> argparse.ArgumentParser:
     ingest.add_argument("--videos", required=True)
     ingest.add_argument("--video-comments", required=True)
     ingest.add_argument("--form", choices=FORMS, default=INDENTED, help="form of the video files")
-    ingest.add_argument("--rejects", required=True, help="folder for records without a topic")
+    ingest.add_argument("--rejects", default="rejects", help="topic for records that fit no other")
+    ingest.add_argument("--jdbc-hash", action="store_true",
+                        help="split tables by a hash of the key, not by ranges of it")
 
     enrich = commands.add_parser("enrich", help="topics to enriched records")
     enrich.add_argument("--dataset", action="append", choices=sorted(DATASETS), required=True)
     enrich.add_argument("--checkpoint", required=True, help="folder on shared storage")
     enrich.add_argument("--interval", help="keep running with this interval, e.g. '1 minute'")
     enrich.add_argument("--model", action="store_true", help="use the tweet classifiers")
+    enrich.add_argument("--max-errors", type=float, default=0.05,
+                        help="share of failed model calls above which the command fails")
+    enrich.add_argument("--max-files", type=int, help="most topic files in one batch")
+    enrich.add_argument("--max-offsets", type=int, help="most messages of a topic in one batch")
     enrich.add_argument("--min-partitions", type=int, help="split topics into more tasks")
     output = enrich.add_mutually_exclusive_group(required=True)
     output.add_argument("--out", help="folder for the enriched tables")
@@ -101,7 +108,8 @@ def run_flatten(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     def table(name: str) -> DataFrame:
         if args.jdbc_url:
-            parts = hash_predicates("uuid", args.jdbc_parts)
+            split = hash_predicates if args.jdbc_hash else prefix_ranges
+            parts = split("uuid", args.jdbc_parts)
             return read_jdbc_table(spark, jdbc_options(args.jdbc_url, name), parts)
         return read_exported_table(spark, name)
 
@@ -112,26 +120,27 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         read_flat_comments(spark, args.video_comments, args.form, long_counts=True),
         names={name: args.topic_prefix + name for name in DATASETS},
     )
+    messages = with_reject_topic(messages, args.topic_prefix + args.rejects)
     if args.servers:
-        write_topics(deliverable(messages), args.servers)
+        write_topics(messages, args.servers)
     else:
-        write_topic_files(deliverable(messages), args.topics)
-    undeliverable(messages).write.mode("append").parquet(args.rejects)
+        write_topic_files(messages, args.topics)
 
 
 def run_enrich(spark: SparkSession, args: argparse.Namespace) -> None:
     scorer = tweet_scorer() if args.model else default_scorer()
     trigger = args.interval or jobs.AVAILABLE_NOW
+    limit = {"maxOffsetsPerTrigger": str(args.max_offsets)} if args.max_offsets else {}
 
     def start(name: str):
         topic = args.topic_prefix + name
         if args.servers:
             messages = stream_topic(
-                spark, args.servers, topic, min_partitions=args.min_partitions
+                spark, args.servers, topic, min_partitions=args.min_partitions, **limit
             )
         else:
-            messages = stream_topic_files(spark, args.topics, topic)
-        records = enrich(messages, DATASETS[name], scorer)
+            messages = stream_topic_files(spark, args.topics, topic, args.max_files)
+        records = enrich(messages, DATASETS[name], scorer, errors=args.model, long_counts=True)
         checkpoint = f"{args.checkpoint}/{name}"
         if args.out:
             return jobs.start_table_sink(
@@ -144,6 +153,17 @@ def run_enrich(spark: SparkSession, args: argparse.Namespace) -> None:
 
     starters = [lambda name=name: start(name) for name in args.dataset]
     (jobs.run_together if args.interval else jobs.run_in_turn)(starters)
+    if args.model and args.out:
+        for name in args.dataset:
+            check_errors(spark.read.parquet(f"{args.out}/{name}"), name, args.max_errors)
+
+
+def check_errors(records: DataFrame, name: str, most: float) -> None:
+    """Report the failed model calls of a table; too many of them are an error."""
+    total, failed = records.agg(F.count("*"), F.count_if("score_error")).first()
+    print(f"{name}: {failed} of {total} records without a score")
+    if failed > most * total:
+        raise SystemExit(f"{name}: more than {most:.0%} of the model calls failed")
 
 
 RUN = {"flatten": run_flatten, "ingest": run_ingest, "enrich": run_enrich}

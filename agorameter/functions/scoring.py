@@ -161,6 +161,9 @@ _MODELS: dict[tuple[str, str], Predict] = {}
 
 def _loaded(key: tuple[str, str], loader: Callable[[], Predict]) -> Predict:
     if key not in _MODELS:
+        # A worker is reused by later scorers: it holds the models of one at a time.
+        for other in [k for k in _MODELS if k[0] != key[0]]:
+            del _MODELS[other]
         _MODELS[key] = loader()
     return _MODELS[key]
 

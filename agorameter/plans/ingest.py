@@ -17,10 +17,10 @@ from agorameter.schemas import COMMENTS_SECTION, FACEBOOK, POSTS_SECTION
 def messages_of(records: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame:
     """Tagged records as ``(key, value, topic)``; records that fit no topic have none.
 
-    The route is taken from the typed columns, so the messages need not be parsed again.
+    The route is taken from the typed columns, so the messages need not be parsed again. A
+    message without a topic holds its ``reject_reason``.
     """
-    marked = with_route(iso_datetimes(records), names).drop("reject_reason")
-    return to_messages(marked)
+    return to_messages(with_route(iso_datetimes(records), names))
 
 
 def ingest(
@@ -43,6 +43,11 @@ def ingest(
     return reduce(DataFrame.unionByName, [messages_of(df, names) for df in inputs])
 
 
+def with_reject_topic(messages: DataFrame, topic: str) -> DataFrame:
+    """Messages without a topic sent to one of their own, so that one pass writes all."""
+    return messages.withColumn("topic", F.coalesce("topic", F.lit(topic)))
+
+
 def deliverable(messages: DataFrame) -> DataFrame:
     """Messages that have a topic."""
     return messages.filter(F.col("topic").isNotNull())

@@ -107,5 +107,5 @@ def test_ingest(spark):
         "yt_comments": {"id_video": "v", "social": "youtube", "comment_text": "w"},
     }
     assert [json.loads(bytes(r.value)) for r in undeliverable(sent).collect()] == [
-        {"id_video": "v", "comment_text": "w"}
+        {"id_video": "v", "comment_text": "w", "reject_reason": "untagged"}
     ]

@@ -137,6 +137,20 @@ def test_hash_predicates_are_a_partition(spark):
     assert all(len(part) > 30 for part in parts)
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 16, 100])
+def test_key_ranges_are_a_partition(spark, n):
+    df = spark.range(400).selectExpr("id", "CASE WHEN id > 5 THEN md5(string(id)) END AS uuid")
+    df = df.unionByName(spark.sql("SELECT 1000L AS id, '~odd' AS uuid UNION ALL SELECT 1001L, ''"))
+    parts = [df.filter(p).collect() for p in tables.prefix_ranges("uuid", n)]
+    assert len(parts) == n
+    assert sorted(r.id for part in parts for r in part) == [*range(400), 1000, 1001]
+
+
+def test_mysql_reads_with_a_cursor():
+    assert tables.jdbc_options("jdbc:mysql://h/d", "t")["url"].endswith("?useCursorFetch=true")
+    assert tables.jdbc_options("jdbc:mysql://h/d?a=1", "t")["url"].endswith("&useCursorFetch=true")
+
+
 def test_search_options(spark):
     options = jobs.search_options("http://node", 9200)
     assert options["es.batch.write.retry.count"] == "10"

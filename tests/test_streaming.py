@@ -199,7 +199,7 @@ def test_trend_with_late_records(spark, tmp_path):
 def test_command_line(spark, tmp_path):
     """Nested files and table exports, through the topics, to enriched tables."""
     folder = {n: str(tmp_path / n) for n in (
-        "posts", "fbc", "v", "c", "t", "rejects", "raw-rejects", "out", "cp",
+        "posts", "fbc", "v", "c", "t", "raw-rejects", "out", "cp",
     )}
     raw = [
         {
@@ -220,7 +220,7 @@ def test_command_line(spark, tmp_path):
     assert failed.reason == "extraction failed" and '"v2"' in failed.raw
     cli.main(["ingest", "--posts", folder["posts"], "--post-comments", folder["fbc"],
               "--videos", folder["v"], "--video-comments", folder["c"],
-              "--form", "lines", "--topics", folder["t"], "--rejects", folder["rejects"]])
+              "--form", "lines", "--topics", folder["t"]])
     datasets = [a for name in DATASETS for a in ("--dataset", name)]
     cli.main(["enrich", *datasets, "--topics", folder["t"], "--out", folder["out"],
               "--checkpoint", folder["cp"]])
@@ -233,4 +233,14 @@ def test_command_line(spark, tmp_path):
         assert tuple(df.columns) == DATASETS[name].output_columns
     assert found["fb_posts"].first().timestamp == "2024-09-01T00:00:00"
     assert found["yt_videos"].first().comments == 2
-    assert spark.read.parquet(folder["rejects"]).count() == 1
+    (reject,) = spark.read.parquet(f"{folder['t']}/topic=rejects").collect()
+    assert json.loads(bytes(reject.value))["reject_reason"] == "unknown platform"
+
+
+def test_failed_model_calls_are_an_error(spark, capsys):
+    rows = [(i < 10,) for i in range(100)]
+    df = spark.createDataFrame(rows, "score_error boolean")
+    cli.check_errors(df, "fb_posts", 0.1)
+    assert "10 of 100" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        cli.check_errors(df, "fb_posts", 0.05)
