@@ -63,8 +63,9 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 SLOTS = 1 << 23
 
 
-def _slot(ids: Column) -> Column:
-    return F.pmod(F.xxhash64(ids), F.lit(SLOTS))
+def slot(column: str) -> Column:
+    """The place of an id in an id filter."""
+    return F.pmod(F.xxhash64(F.col(column)), F.lit(SLOTS))
 
 
 def id_filter(ids: DataFrame, column: str) -> np.ndarray:
@@ -73,10 +74,11 @@ def id_filter(ids: DataFrame, column: str) -> np.ndarray:
     It only saves shuffles: a clear bit proves absence, a set bit is decided by the join.
     At most SLOTS / 64 rows of 16 bytes come to the driver.
     """
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", F.lit(64)).cast("int"))
     words = (
-        ids.select(_slot(F.col(column)).alias("slot"))
+        ids.select(slot(column).alias("slot"))
         .groupBy(F.shiftright("slot", 6).alias("word"))
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", F.lit(64)).cast("int"))).alias("bits"))
+        .agg(F.bit_or(bit).alias("bits"))
         .toPandas()
     )
     bitmap = np.zeros(SLOTS // 64, dtype=np.int64)
@@ -84,14 +86,18 @@ def id_filter(ids: DataFrame, column: str) -> np.ndarray:
     return bitmap
 
 
+def among(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """False where a slot is surely not of an id of the filter."""
+    return (bitmap[slots >> 6] >> (slots & 63)) & 1 == 1
+
+
 def maybe_among(bitmap: np.ndarray, column: str) -> Column:
-    """False where the id is surely not among those of the filter."""
-    held = np.unpackbits(bitmap.view(np.uint8), bitorder="little")
+    """:func:`among` as a condition on an id column."""
 
     @F.pandas_udf("boolean")
     def look(slots):
         import pandas as pd
 
-        return pd.Series(held[slots.to_numpy()].astype(bool))
+        return pd.Series(among(bitmap, slots.to_numpy()))
 
-    return look(_slot(F.col(column)))
+    return look(slot(column))

@@ -62,7 +62,7 @@ def docs(spark):
         words = [f"w{chance.randint(0, 400)}" for _ in range(chance.choice([8, 20, 60, 200]))]
         for _ in range(14):
             copy = list(words)
-            for _ in range(chance.randint(0, max(1, len(words) // 40))):
+            for _ in range(chance.randint(0, max(1, len(words) // 25))):
                 copy[chance.randrange(len(copy))] = f"x{chance.randint(0, 10**6)}"
             texts.append(" ".join(copy))
     texts += ["A b", "a  B", "a b c", "", " \n", None, "z " * 5000, "Z " * 4000, "é É"]
@@ -77,6 +77,7 @@ def docs(spark):
 def test_against_all_pairs(docs, size, percent, limit, monkeypatch):
     """With all tokens frequent, some, and none."""
     monkeypatch.setattr(ngram_join, "rare_limit", lambda counts: limit)
+    monkeypatch.setattr(ngram_join, "TILE", 5 if limit < 1 else 512)
     plain = [(r.doc_id, r.text) for r in docs.collect()]
     rows = got(jaccard_components(docs, size=size, percent=percent))
     assert [r for r in rows if r[0] is None] == [r for r in rows if r[2] is None]
@@ -103,6 +104,22 @@ def test_linked_sets_share_an_entry():
             assert len(np.intersect1d(a, b)), (percent, len(x), len(y), limit)
 
 
+def test_profiles_never_rule_out_a_link():
+    chance = np.random.default_rng(3)
+    for n in (1, 20, 500, 30_000):
+        for kept in (0.5, 0.85, 0.95, 1.0):
+            x = np.unique(chance.integers(0, 2**64, n, dtype=np.uint64))
+            new = chance.integers(0, 2**64, n, dtype=np.uint64)[: int((1 - kept) * n)]
+            y = np.unique(np.concatenate((x[chance.random(len(x)) < kept], new)))
+            both = len(np.intersect1d(x, y))
+            a, b = (np.frombuffer(ngram_join.profile(s), np.uint8) for s in (x, y))
+            passed = ngram_join.may_link(a, b, np.array(len(x)), np.array(len(y)), 90)
+            if 100 * both >= 90 * (len(x) + len(y) - both):
+                assert passed
+            elif 20 <= n <= 500 and kept <= 0.85:
+                assert not passed
+
+
 def test_components(spark):
     chance = random.Random(3)
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, 900), (900, 7), (7, 7)]
