@@ -91,7 +91,9 @@ def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Number, checksum and round trip of the ids of all documents."""
     import public_tokenizers
 
-    pieces = sentencepiece.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    pieces = sentencepiece.load_pieces(
+        public_tokenizers.path("piece_bpe_32k.model"), merges=True
+    )
     return sentencepiece.encode(table(spark, folder, "documents"), pieces, digest=True)
 
 

@@ -2,8 +2,11 @@
 
 A text is normalised (a space in front, spaces as ▁) and cut into units that no piece crosses.
 The substrings of a unit up to the longest piece are exploded and equi-joined to the piece
-table; the edges found are grouped by unit, and a higher-order aggregate folds them to the best
-path: the largest sum of piece scores, where a character without a piece stands for its bytes.
+table; the edges found are grouped by unit, and a higher-order aggregate folds them to ids,
+where a character without a piece stands for its bytes. For a table of independent pieces the
+fold is Viterbi's: the path with the largest sum of scores. A table of merges does not mean that
+path; there the same edges are folded in the order of the merges, the best score first and the
+leftmost of equals, which gives the ids of the library.
 
 The ids of a unit depend on the unit alone. Units that are frequent in a bounded sample are
 encoded once and kept in the workers; all others go through the same lattice, grouped by
@@ -11,7 +14,7 @@ document, so any unit is encoded and the sample decides nothing but the cost.
 
 Nulls and edge cases: a null or empty text has no ids; rows that share an id share only the
 lookup of their units; a unit longer than ``LONGEST`` is cut into stretches of that size, each
-with its own best path; of equal paths the one with the longer last piece wins; a ▁ in a text
+with ids of its own; of equal paths the one with the longer last piece wins; a ▁ in a text
 decodes as a space; an empty table gives no row; extra columns are not read.
 """
 
@@ -46,6 +49,8 @@ class Pieces:
     first_byte: int
     longest: int
     unknown: float
+    #: Whether the scores order merges, and are not those of independent pieces.
+    merges: bool
     #: Neighbouring characters inside any piece: no edge crosses other neighbours.
     joints: frozenset[str]
 
@@ -53,7 +58,7 @@ class Pieces:
         return spark.createDataFrame(list(self.rows), "piece string, id int, score double")
 
 
-def load_pieces(path: str) -> Pieces:
+def load_pieces(path: str, merges: bool) -> Pieces:
     """The ordinary pieces of a model file with byte fallback and ids of bytes in a row."""
     from sentencepiece import SentencePieceProcessor
 
@@ -71,7 +76,7 @@ def load_pieces(path: str) -> Pieces:
     worst = min((s for _, _, s in rows if s > -1e8), default=0.0)
     joints = frozenset(p[i : i + 2] for p, _, _ in rows for i in range(len(p) - 1))
     longest = max((len(p) for p, _, _ in rows), default=1)
-    return Pieces(tuple(rows), byte_ids[0], longest, worst - PENALTY, joints)
+    return Pieces(tuple(rows), byte_ids[0], longest, worst - PENALTY, merges, joints)
 
 
 def normalised(text: str) -> str:
@@ -85,6 +90,93 @@ def cut_unit(unit: str, joints: frozenset[str]) -> list[str]:
     return [p[i : i + LONGEST] for p in parts for i in range(0, len(p), LONGEST)]
 
 
+def _byte_ids(character: Column, first_byte: int) -> Column:
+    """The ids of the bytes of a character."""
+    symbol = F.hex(F.encode(character, "utf-8"))
+    return F.transform(
+        F.sequence(F.lit(0), (F.length(symbol) / 2).cast("int") - 1),
+        lambda k: F.conv(F.substring(symbol, k * 2 + 1, F.lit(2)), 16, 10).cast("int") + first_byte,
+    )
+
+
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Ends are below this, so a span is one number.
+_WIDTH = 4 * LONGEST
+
+
+def _merged(word: Column, edges: Column, first_byte: int) -> Column:
+    """The ids after all merges that the edges ``(end, start, id, score)`` allow.
+
+    The state holds the borders of the symbols and the score of merging each with the next.
+    """
+    known = F.filter(edges, lambda e: e["id"].isNotNull())
+
+    def by_span(field: str) -> Column:
+        return F.map_from_entries(
+            F.transform(known, lambda e: F.struct(e["start"] * _WIDTH + e["end"], e[field]))
+        )
+
+    def fold(tables: Column) -> Column:
+        def score(start: Column, end: Column) -> Column:
+            return F.try_element_at(tables["scores"], start * _WIDTH + end)
+
+        def merge(state: Column, place: Column) -> Column:
+            """Join the symbol at a place with the next one."""
+            borders, scores = state["borders"], state["scores"]
+            before = F.when(
+                place > 0, F.array(score(F.get(borders, place - 1), F.get(borders, place + 2)))
+            ).otherwise(F.array().cast("array<double>"))
+            after = F.when(
+                place + 3 < F.size(borders),
+                F.array(score(F.get(borders, place), F.get(borders, place + 3))),
+            ).otherwise(F.array().cast("array<double>"))
+            return F.struct(
+                F.concat(
+                    F.slice(borders, F.lit(1), place + 1),
+                    F.slice(borders, place + 3, F.size(borders)),
+                ).alias("borders"),
+                F.concat(
+                    F.slice(scores, F.lit(1), F.greatest(place - 1, F.lit(0))),
+                    before,
+                    after,
+                    F.slice(scores, place + 3, F.size(scores) + 1),
+                ).alias("scores"),
+            )
+
+        def step(state: Column, _: Column) -> Column:
+            best = F.array_max(state["scores"])
+            place = (F.array_position(state["scores"], best) - 1).cast("int")
+            return F.when(best.isNull(), state).otherwise(
+                _bind(place, lambda at: merge(state, at))
+            )
+
+        n = F.length(word)
+        start = F.struct(
+            F.sequence(F.lit(0), n).alias("borders"),
+            F.when(
+                n > 1, F.transform(F.sequence(F.lit(0), n - 2), lambda i: score(i, i + 2))
+            ).otherwise(F.array().cast("array<double>")).alias("scores"),
+        )
+        borders = F.aggregate(F.sequence(F.lit(1), n), start, step)["borders"]
+
+        def symbol_ids(border: Column) -> Column:
+            def ids(i: Column) -> Column:
+                span = F.get(border, i) * _WIDTH + F.get(border, i + 1)
+                found = F.try_element_at(tables["ids"], span)
+                character = F.substring(word, F.get(border, i) + 1, F.lit(1))
+                return F.when(found.isNull(), _byte_ids(character, first_byte)).otherwise(F.array(found))
+
+            return F.flatten(F.transform(F.sequence(F.lit(0), F.size(border) - 2), ids))
+
+        return _bind(borders, symbol_ids)
+
+    return _bind(F.struct(by_span("score").alias("scores"), by_span("id").alias("ids")), fold)
+
+
 def _best_path(word: Column, edges: Column, first_byte: int) -> Column:
     """The ids of the best path through sorted edges ``(end, start, id, score)``."""
     start = F.struct(
@@ -109,11 +201,7 @@ def _best_path(word: Column, edges: Column, first_byte: int) -> Column:
     def back(best: Column) -> Column:
         def walk(state: Column, i: Column) -> Column:
             place = F.get(best, i)
-            symbol = F.hex(F.encode(F.substring(word, place["start"] + 1, F.lit(1)), "utf-8"))
-            as_bytes = F.transform(
-                F.sequence(F.lit(0), (F.length(symbol) / 2).cast("int") - 1),
-                lambda k: F.conv(F.substring(symbol, k * 2 + 1, F.lit(2)), 16, 10).cast("int") + first_byte,
-            )
+            as_bytes = _byte_ids(F.substring(word, place["start"] + 1, F.lit(1)), first_byte)
             ids = F.when(place["id"].isNull(), as_bytes).otherwise(F.array(place["id"]))
             return F.when(
                 state["at"] == i,
@@ -125,8 +213,7 @@ def _best_path(word: Column, edges: Column, first_byte: int) -> Column:
         return F.aggregate(F.sequence(n, F.lit(1), F.lit(-1)), first, walk)["ids"]
 
     best = F.aggregate(F.array_sort(edges), F.array(start), step)
-    # A one-element array binds the table of best places, so that it is folded once.
-    return F.get(F.transform(F.array(best), back), F.lit(0))
+    return _bind(best, back)
 
 
 def encode_units(units: DataFrame, pieces: Pieces, *group: str) -> DataFrame:
@@ -152,10 +239,10 @@ def encode_units(units: DataFrame, pieces: Pieces, *group: str) -> DataFrame:
         "id",
         F.coalesce("score", F.lit(pieces.unknown)).alias("score"),
     )
-    edges = found.groupBy(*group, "word").agg(F.collect_list(edge).alias("edges"))
-    return edges.select(
-        *group, "word", _best_path(F.col("word"), F.col("edges"), pieces.first_byte).alias("ids")
-    )
+    edges = found.groupBy(*group, "word").agg(F.collect_set(edge).alias("edges"))
+    fold = _merged if pieces.merges else _best_path
+    ids = fold(F.col("word"), F.col("edges"), pieces.first_byte)
+    return edges.select(*group, "word", ids.alias("ids"))
 
 
 def frequent_units(docs: DataFrame, pieces: Pieces) -> dict[str, bytes]:
@@ -209,8 +296,8 @@ def encode(
         for batch in batches:
             keys, words = [], []
             for name, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                units = set(UNIT.findall(normalised(body or ""))) - kept.keys()
-                parts = {p for u in units for p in cut_unit(u, joints)} - kept.keys()
+                units = {u for u in UNIT.findall(normalised(body or "")) if u not in kept}
+                parts = {p for u in units for p in cut_unit(u, joints) if p not in kept}
                 keys += [name] * len(parts)
                 words += parts
             yield pa.RecordBatch.from_arrays(

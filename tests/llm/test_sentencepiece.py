@@ -18,7 +18,17 @@ FOLDER = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def pieces():
-    return load_pieces(PATH)
+    return load_pieces(PATH, merges=False)
+
+
+@pytest.fixture(scope="module")
+def merges():
+    return load_pieces(PATH, merges=True)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return SentencePieceProcessor(model_file=PATH)
 
 
 def brute(text, pieces):
@@ -46,13 +56,13 @@ def brute(text, pieces):
     return ids
 
 
-def test_whole_table(spark, pieces):
+def test_whole_table(spark, library):
     docs = dict(map(tuple, table(spark, FOLDER, "documents").select("doc_id", "text").collect()))
     rows = queries.op9_sentencepiece(spark, FOLDER).collect()
     assert sorted(r.doc_id for r in rows) == sorted(docs)
     assert all(r.round_trip for r in rows)
-    for r in rows[:40]:
-        ids = brute(docs[r.doc_id], pieces)
+    for r in rows:
+        ids = library.encode(docs[r.doc_id] or "")
         assert (r.n_ids, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
 
 
@@ -76,17 +86,22 @@ def test_best_paths(docs, pieces, kept, monkeypatch):
     assert sorted(map(tuple, rows.collect()), key=repr) == sorted(expected, key=repr)
 
 
+def test_merges_give_the_ids_of_the_library(docs, merges, library, monkeypatch):
+    monkeypatch.setattr(sentencepiece, "KEPT", 20)
+    for r in encode(docs, merges).join(docs.select("doc_id", "text"), "doc_id").collect():
+        assert r.ids == library.encode(r.text or ""), r.text
+
+
 def test_decode(docs, pieces):
     rows = decode(encode(docs, pieces), pieces).collect()
     expected = [(r.doc_id, (r.text or "").replace("▁", " ")) for r in docs.collect()]
     assert sorted(map(tuple, rows), key=repr) == sorted(expected, key=repr)
 
 
-def test_the_library_decodes_the_ids(docs, pieces):
-    model = SentencePieceProcessor(model_file=PATH)
+def test_the_library_decodes_the_ids(docs, pieces, library):
     texts = {r.doc_id: r.text for r in docs.where("doc_id IS NOT NULL").collect()}
     for r in encode(docs, pieces).where("doc_id IS NOT NULL").collect():
-        assert model.decode(r.ids) == (texts[r.doc_id] or "").replace("▁", " ")
+        assert library.decode(r.ids) == (texts[r.doc_id] or "").replace("▁", " ")
 
 
 def test_stretches_of_a_long_unit(spark, pieces):
