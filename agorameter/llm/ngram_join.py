@@ -195,13 +195,19 @@ def _by_size(entries: DataFrame, percent: int) -> DataFrame:
     """Shared entries, split by classes of sizes that reach the threshold with each other.
 
     A class spans sizes up to the ratio of the threshold, so two sets that can link are in the
-    same or in neighbouring classes; each member goes to its class and to the next one.
+    same or in neighbouring classes; each member goes to its class and to the next one. A
+    class that only guests from the one before share has nothing new.
     """
     ratio = max(float(np.log(100 / percent)), 1e-6)
     # The small addend keeps sizes at the very ratio in neighbouring classes.
     level = F.floor(F.log("n") / (ratio + 1e-9))
-    both = _shared(entries).select("entry", "key", "n", F.explode(F.array(level, level + 1)).alias("level"))
-    return _shared(both.select(F.xxhash64("entry", "level").alias("entry"), "key", "n"))
+    both = _shared(entries).select("entry", "key", "n", F.posexplode(F.array(level, level + 1)))
+    members = both.select(F.xxhash64("entry", "col").alias("entry"), "key", "n", F.col("pos").alias("guest"))
+    groups = members.groupBy("entry").agg(
+        F.count("*").alias("members"), F.min("key").alias("a"), F.min("guest").alias("guests")
+    )
+    kept = groups.where("members > 1 AND guests = 0").drop("guests")
+    return members.drop("guest").join(kept, "entry")
 
 
 def _screened(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -261,7 +267,8 @@ def _apart(index: DataFrame, labels: DataFrame, classes: DataFrame, percent: int
         .select("entry", "members", "a", "key", "n", F.coalesce("component", "key").alias("label"))
     )
     mixed = (
-        labelled.groupBy("entry")
+        labelled.where("key <> a")
+        .groupBy("entry")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low <> high")
         .select("entry")
