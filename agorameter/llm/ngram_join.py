@@ -43,6 +43,9 @@ TILE = 512
 #: Parts that a profile counts the tokens in, and those of which it keeps the parity, in bytes.
 PARTS = 64
 PARITY = 64
+#: Sets from this size on have parities of as many more parts, so that they don't fill up.
+LARGE = 1024
+LARGE_PARITY = 1024
 
 
 def shingles(data: bytes | None, size: int) -> np.ndarray:
@@ -138,9 +141,23 @@ def profile(tokens: np.ndarray) -> bytes:
     The parities of the numbers of tokens are kept for more and other parts.
     """
     counted = np.bincount((tokens >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-    fine = (tokens >> np.uint64(20)).astype(np.int64) % (8 * PARITY)
-    odd = np.packbits((np.bincount(fine, minlength=8 * PARITY) & 1).astype(np.uint8))
-    return np.minimum(counted, 255).astype(np.uint8).tobytes() + odd.tobytes()
+    made = np.minimum(counted, 255).astype(np.uint8).tobytes() + _parities(tokens, PARITY)
+    return made + _parities(tokens, LARGE_PARITY) if len(tokens) >= LARGE else made
+
+
+def _parities(tokens: np.ndarray, size: int) -> bytes:
+    parts = (tokens >> np.uint64(20)).astype(np.int64) % (8 * size)
+    return np.packbits((np.bincount(parts, minlength=8 * size) & 1).astype(np.uint8)).tobytes()
+
+
+def large_may_link(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
+    """The same as :func:`may_link` by the parities that only large sets have."""
+    base = PARTS + PARITY
+    if len(x) == base or len(y) == base:
+        return True
+    odd = np.frombuffer(x, np.uint8)[base:] ^ np.frombuffer(y, np.uint8)[base:]
+    shared = (n + m - int(np.bitwise_count(odd).sum())) // 2
+    return 100 * shared >= percent * (n + m - shared)
 
 
 def may_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -181,8 +198,10 @@ def _sets(rows: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     return marked.mapInArrow(run, f"key {kind}, tokens binary")
 
 
-def _profiles(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PARTS + PARITY)
+def _profiles(made: list[bytes]) -> np.ndarray:
+    """The parts of profiles that all sets have, as rows."""
+    size = PARTS + PARITY
+    return np.frombuffer(b"".join([p[:size] for p in made]), np.uint8).reshape(-1, size)
 
 
 def _shared(entries: DataFrame) -> DataFrame:
@@ -217,8 +236,11 @@ def _screened(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(i).to_numpy() for i in (2, 3))
-            x, y = (_profiles(batch.column(i)) for i in (4, 5))
-            kept = pa.array(may_link(x, y, n, m, percent), pa.bool_())
+            x, y = (batch.column(i).to_pylist() for i in (4, 5))
+            passed = may_link(_profiles(x), _profiles(y), n, m, percent)
+            for i in np.flatnonzero(passed).tolist():
+                passed[i] = large_may_link(x[i], y[i], int(n[i]), int(m[i]), percent)
+            kept = pa.array(passed, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [c.filter(kept) for c in batch.columns[:2]], names=("a", "b")
             )
@@ -290,7 +312,8 @@ def _apart(index: DataFrame, labels: DataFrame, classes: DataFrame, percent: int
 
     def compare(rows: pa.Table) -> list[tuple]:
         keys, n, labels, own = (rows.column(c).to_numpy() for c in ("key", "n", "label", "own"))
-        profiles = _profiles(rows.column("profile").combine_chunks())
+        made = rows.column("profile").to_pylist()
+        profiles = _profiles(made)
         low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
         found = []
@@ -302,6 +325,8 @@ def _apart(index: DataFrame, labels: DataFrame, classes: DataFrame, percent: int
             if len(others):
                 passed = may_link(profiles[others], profiles[i], n[others], n[i], percent)
                 for j in others[passed].tolist():
+                    if not large_may_link(made[i], made[j], int(n[i]), int(n[j]), percent):
+                        continue
                     found.append((min(keys[i], keys[j]), max(keys[i], keys[j])))
         return found
 
