@@ -23,9 +23,10 @@ BEYOND = re.compile(f"[{chr(LIMIT)}-\U0010ffff]")
 #: The settings for which the split is valid, fixed values of the vocabulary file.
 NORMALIZER = ["NFC", "Replace", "Lowercase"]
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Most entries of a generation of the cache. A full one becomes the older generation, whose
+#: Most entries of a generation of the cache, some 20 MB in a worker that later stages use too.
+#: A full one becomes the older generation, whose
 #: entries move back when they are met again.
-ENTRIES = 400_000
+ENTRIES = 100_000
 #: Longer words are not kept.
 LONGEST = 64
 
