@@ -48,7 +48,8 @@ class Index:
         projected = x @ self.planes
         order = np.argsort(projected, axis=0, kind="stable")
         self.sorted = np.take_along_axis(projected, order, axis=0).T.copy()
-        self.order = order.T.astype(np.int32).copy()
+        # One array of places per projection, of the type that bincount takes.
+        self.order = list(np.ascontiguousarray(order.T))
         self.spread = max(float(projected.std()), 1e-9)
 
     def candidates(self, queries: np.ndarray, least: int = LEAST, share: float = SHARE):
@@ -79,11 +80,13 @@ class Index:
         """Count collisions window by window; only the new wings of each are added."""
         n = len(self.x)
         counts = np.zeros(n, dtype=np.int64)
-        start, end = low[0].copy(), low[0].copy()
+        start = end = low[0].tolist()
         found = np.zeros(0, dtype=np.int64)
         for lows, highs in zip(low, high, strict=True):
-            wings = [self.order[p, a:b] for p, (a, b) in enumerate(zip(lows, start, strict=True)) if a < b]
-            wings += [self.order[p, a:b] for p, (a, b) in enumerate(zip(end, highs, strict=True)) if a < b]
+            lows, highs = lows.tolist(), highs.tolist()  # plain numbers slice faster
+            left = zip(self.order, lows, start, strict=True)
+            right = zip(self.order, end, highs, strict=True)
+            wings = [places[a:b] for side in (left, right) for places, a, b in side if a < b]
             start, end = lows, highs
             if wings:
                 counts += np.bincount(np.concatenate(wings), minlength=n)
