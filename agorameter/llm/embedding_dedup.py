@@ -1,11 +1,13 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by heads of random signs, with a bound on what is missed.
 
-Vectors are ordered by a long code of random hyperplane signs, one code per pass. Each vector is
-compared with the next ones in the order; near ones share a long head of some pass's code. The
-order is cut into blocks of a fixed size, with the head of the next block as context, so no
-window is lost at a border and a block is bounded however many codes are equal. A block emits
-a spanning forest of its verified pairs, not all of them. Components are then completed: all
-pairs inside a component are counted, in tiles of bounded size.
+In each pass a vector gets a head of a few random hyperplane signs, and all vectors that share
+a head are compared. The number of vectors sets the length of a head, and that sets the number
+of passes: a pair at the threshold shares no head with chance ``MISS`` or less, however many
+vectors there are and however dense they lie, and a nearer pair with a smaller one. Few vectors
+have a head without signs, so all pairs are compared. A head that many vectors share is dealt
+out in tiles of bounded size, all of which meet. A tile emits a spanning forest of its pairs, not
+all of them. Components are then completed: all pairs inside a component are counted, in tiles
+of bounded size.
 
 Nulls and edge cases: vectors that are null, zero or hold null or non-finite components link
 with nothing, as do rows without an id (component null); vectors of different lengths don't
@@ -15,24 +17,25 @@ count as one; labels and other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agorameter.llm.common import cut, prepare
 from agorameter.llm.graph import components
 
-#: Passes, and signs per code.
-PASSES = 16
-BITS = 62
-#: Each vector is compared with so many after it.
-NEXT = 64
+#: The chance that a pair at the threshold is not compared in any pass, at most.
+MISS = 0.001
+#: Vectors that share a head on average, at most, if they lie at random.
+MEAN = 512
+#: Vectors with one head that meet in one tile, on either side, and rows compared at a time.
 BLOCK = 4096
+SLAB = 256
 #: Members of a component that meet in one tile, on either side.
 TILE = 1024
 SEED = 20240917
@@ -56,15 +59,23 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def codes(x: np.ndarray, passes: int) -> np.ndarray:
-    """One code per vector and pass: the first sign is the highest bit."""
+def plan(n: int, threshold: float) -> tuple[int, int]:
+    """Signs of a head, and passes, for ``n`` vectors."""
+    bits = max(0, math.ceil(math.log2(max(n, 1) / MEAN)))
+    share = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** bits
+    if share >= 1:
+        return bits, 1
+    if share <= 0:
+        return 0, 1
+    return bits, math.ceil(math.log(MISS) / math.log1p(-share))
+
+
+def heads(x: np.ndarray, bits: int, passes: int) -> Iterator[np.ndarray]:
+    """The head of each vector, pass by pass."""
     chance = np.random.default_rng((SEED, x.shape[1]))
-    weights = np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64)
-    made = np.empty((len(x), passes), dtype=np.int64)
-    for p in range(passes):
-        planes = chance.standard_normal((x.shape[1], BITS))
-        made[:, p] = ((x @ planes) >= 0) @ weights
-    return made
+    weights = np.int64(1) << np.arange(bits, dtype=np.int64)
+    for _ in range(passes):
+        yield ((x @ chance.standard_normal((x.shape[1], bits))) >= 0) @ weights
 
 
 def forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -86,82 +97,76 @@ def forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return kept
 
 
-def _ordered(classes: DataFrame, passes: int, kind: str, vector: str) -> DataFrame:
-    """``rank, pass, key, vector``: the place of each vector in the order of all passes."""
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = np.array(batch.column(2).to_pylist())
-            for size in np.unique(sizes):
-                part = batch.take(pa.array(np.flatnonzero(sizes == size)))
-                made = codes(unit(matrix(part.column(1), int(size))), passes)
-                for p in range(passes):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(made), p, np.int32)),
-                            pa.array(made[:, p]),
-                            part.column(0),
-                            part.column(1),
-                            part.column(2),
-                        ],
-                        names=("pass", "code", "key", "vector", "size"),
-                    )
-
-    schema = f"pass int, code long, key {kind}, vector {vector}, size int"
-    coded = classes.select("key", "vector", F.size("vector").alias("size")).mapInArrow(code, schema)
-    order = ["size", "pass", "code", "key"]
-    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = cut(coded.repartitionByRange(parts, *order).sortWithinPartitions(*order))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(batch.num_rows for batch in batches)
-        part = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part]), "n": pa.array([n])})
-
-    sizes = ordered.select("pass").mapInArrow(count, "part long, n long").toPandas()
-    sizes = sizes.sort_values("part")
-    firsts = dict(zip(sizes["part"], sizes["n"].cumsum() - sizes["n"], strict=True))
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = int(firsts.get(TaskContext.get().partitionId(), 0))
-        for batch in batches:
-            ranks = pa.array(np.arange(rank, rank + batch.num_rows))
-            rank += batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [ranks, *batch.columns], names=["rank", *batch.schema.names]
-            )
-
-    return ordered.select("pass", "key", "vector", "size").mapInArrow(
-        number, f"rank long, pass int, key {kind}, vector {vector}, size int"
+def linked(x: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Pairs that connect what the near pairs of ``left`` with ``right`` connect."""
+    found = []
+    for start in range(0, len(left), SLAB):
+        part = left[start : start + SLAB]
+        others = left[start:] if left is right else right
+        near = x[part] @ x[others].T >= threshold
+        i, j = np.nonzero(near)
+        # Each of the others hangs on the first that it is near, and the rest of those on that one.
+        first = near.argmax(axis=0)
+        hung = np.unique(j)
+        shared = np.zeros((len(part), len(part)), dtype=bool)
+        shared[i, first[j]] = True
+        i, j = np.nonzero(shared)
+        a, b = np.r_[part[first[hung]], part[j]], np.r_[others[hung], part[i]]
+        apart = a != b
+        found += zip(a[apart].tolist(), b[apart].tolist(), strict=True)
+    return forest(found)
+
+
+def near_edges(classes: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: pairs that connect all vectors found near each other."""
+    kind = classes.schema["key"].dataType.simpleString()
+    vector = classes.schema["vector"].dataType.simpleString()
+    bits, passes = plan(classes.count(), threshold)
+
+    def dealt(whole: bool) -> DataFrame:
+        """``size, pass, head`` of each vector and pass, and ``whole`` with key and vector."""
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sizes = batch.column(2).to_numpy()
+                for size in np.unique(sizes):
+                    part = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                    made = heads(unit(matrix(part.column(1), int(size))), bits, passes)
+                    for p, head in enumerate(made):
+                        columns = {"size": part.column(2), "pass": pa.array(np.full(len(head), p, np.int32)), "head": pa.array(head)}
+                        if whole:
+                            columns |= {"key": part.column(0), "vector": part.column(1)}
+                        yield pa.RecordBatch.from_pydict(columns)
+
+        schema = "size int, pass int, head long" + f", key {kind}, vector {vector}" * whole
+        return classes.select("key", "vector", F.size("vector").alias("size")).mapInArrow(deal, schema)
+
+    same = ["size", "pass", "head"]
+    large = dealt(False).groupBy(*same).agg(F.count("*").alias("members")).where(F.col("members") > BLOCK)
+    tiles = F.coalesce(F.ceil(F.col("members") / BLOCK).cast("int"), F.lit(1))
+    own = F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
+    tiled = (
+        dealt(True)
+        .join(large, same, "left")
+        .withColumn("tiles", tiles)
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .withColumn("low", F.least("own", "other"))
+        .withColumn("high", F.greatest("own", "other"))
     )
 
+    def compare(rows: pa.Table) -> pa.Table:
+        low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
+        x = unit(matrix(rows["vector"].combine_chunks(), rows["size"][0].as_py()))
+        own = rows["own"].to_numpy()
+        left = np.flatnonzero(own == low)
+        right = left if low == high else np.flatnonzero(own == high)
+        kept = np.array(linked(x, left, right, threshold), dtype=np.int64).reshape(-1, 2)
+        keys = rows["key"].combine_chunks()
+        return pa.table({"a": keys.take(pa.array(kept[:, 0])), "b": keys.take(pa.array(kept[:, 1]))})
 
-def near_edges(classes: DataFrame, threshold: float, passes: int = PASSES, window: int = NEXT) -> DataFrame:
-    """``(a, b)``: verified pairs that connect all vectors found near each other."""
-    kind = classes.schema["key"].dataType.simpleString()
-    vector = classes.schema["vector"].dataType.simpleString()
-    ranked = _ordered(classes, passes, kind, vector)
-    block = F.floor(F.col("rank") / BLOCK).cast("long")
-    head = (F.col("rank") % BLOCK < window) & (F.col("rank") >= BLOCK)
-    blocks = F.when(head, F.array(block, block - 1)).otherwise(F.array(block))
-    dealt = ranked.withColumn("block", F.explode(blocks))
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("rank", kind="stable")
-        found: list[tuple[int, int]] = []
-        strata = rows["size"].to_numpy() * np.int64(1 << 20) + rows["pass"].to_numpy()
-        for stratum in np.unique(strata):
-            places = np.flatnonzero(strata == stratum)
-            x = unit(np.stack(rows["vector"].iloc[places].to_numpy()).astype(np.float64))
-            for ahead in range(1, min(window, len(x) - 1) + 1):
-                cosine = np.einsum("ij,ij->i", x[:-ahead], x[ahead:])
-                near = np.flatnonzero(cosine >= threshold)
-                found += zip(places[near].tolist(), places[near + ahead].tolist(), strict=True)
-        kept = np.array(forest(found), dtype=np.int64).reshape(-1, 2)
-        keys = rows["key"].to_numpy()
-        return pd.DataFrame({"a": keys[kept[:, 0]], "b": keys[kept[:, 1]]})
-
-    return dealt.groupBy("block").applyInPandas(compare, f"a {kind}, b {kind}")
+    groups = tiled.select(*same, "low", "high", "own", "key", "vector").groupBy(*same, "low", "high")
+    return groups.applyInArrow(compare, f"a {kind}, b {kind}")
 
 
 def _links(members: DataFrame, threshold: float, kind: str) -> DataFrame:
@@ -202,13 +207,11 @@ def deduplicate(
     key: str = "vec_id",
     vector: str = "embedding",
     threshold: float = 0.9,
-    passes: int = PASSES,
-    window: int = NEXT,
 ) -> DataFrame:
     """``key, n_links, component_id, kept`` of each row.
 
-    Found are pairs within ``window`` places in one of ``passes`` orders, and all pairs inside
-    the components that these connect.
+    Found are pairs that share a head, all but ``MISS`` of those at the threshold, and all pairs
+    inside the components that these connect.
     """
     prepare(vectors.sparkSession)
     kind = vectors.schema[key].dataType.simpleString()
@@ -223,7 +226,7 @@ def deduplicate(
         .groupBy("digest")
         .agg(F.min("key").alias("key"), F.first("vector").alias("vector"), F.count("*").alias("ids"))
     )
-    labels = components(near_edges(classes, threshold, passes, window))
+    labels = components(near_edges(classes, threshold))
     members = cut(classes.join(labels, "key"))
     links = _links(members.select("component", "key", "vector", "ids"), threshold, kind)
     summary = (

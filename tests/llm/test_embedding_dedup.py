@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from agorameter.llm import embedding_dedup, queries, sql
-from agorameter.llm.embedding_dedup import deduplicate, forest
+from agorameter.llm.embedding_dedup import MEAN, MISS, deduplicate, forest, plan
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -82,3 +82,38 @@ def test_empty_table(spark, rows):
 
 def test_forest():
     assert forest([(1, 2), (2, 1), (1, 3), (2, 3), (5, 4)]) == [(1, 2), (1, 3), (5, 4)]
+
+
+@pytest.mark.parametrize("n", [1, 500, 50_000, 10**6, 5 * 10**7, 10**10])
+def test_the_miss_bound_holds_at_every_size(n):
+    bits, passes = plan(n, 0.9)
+    assert n / 2**bits <= MEAN
+    assert (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** passes <= MISS
+
+
+def test_pairs_in_a_dense_group(spark, monkeypatch):
+    """Pairs at the threshold among 6,000 vectors that lie close to a common direction."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 1024)
+    chance = np.random.default_rng(8)
+    n, pairs = 6000, 200
+    common = chance.standard_normal(64)
+    common /= np.linalg.norm(common)
+
+    def across(x):
+        x = x - (x @ common)[:, None] * common
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    ways = across(chance.standard_normal((n, 64)))
+    turn = across(chance.standard_normal((pairs, 64)))
+    turn -= (turn * ways[:pairs]).sum(axis=1, keepdims=True) * ways[:pairs]
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    # Others of the group have a cosine of some 0.7225, these of 0.905.
+    inner = (0.905 - 0.7225) / 0.2775
+    ways[-pairs:] = inner * ways[:pairs] + np.sqrt(1 - inner**2) * turn
+    x = 0.85 * common + np.sqrt(0.2775) * ways
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    assert near.sum() >= 2 * pairs
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in deduplicate(df).collect()}
+    assert sum(found.values()) >= 0.99 * near.sum()
