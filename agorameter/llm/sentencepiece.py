@@ -10,16 +10,18 @@ leftmost of equals, which gives the ids of the library.
 
 The ids of a unit depend on the unit alone. Units that are frequent in a bounded sample are
 encoded once and kept in the workers; all others go through the same lattice, grouped by
-document, so any unit is encoded and the sample decides nothing but the cost.
+document, so any unit is encoded and the sample decides nothing but the cost. The aggregate's
+time grows with the square of a unit's length, so units longer than ``LONGEST`` are folded whole
+in the task that assembles their document, in the same order of merges from a heap, or by Viterbi.
 
 Nulls and edge cases: a null or empty text has no ids; rows that share an id share only the
-lookup of their units; a unit longer than ``LONGEST`` is cut into stretches of that size, each
-with ids of its own; of equal paths the one with the longer last piece wins; a ▁ in a text
+lookup of their units; a unit is cut only where no piece crosses, however long it is; of equal paths the one with the longer last piece wins; a ▁ in a text
 decodes as a space; an empty table gives no row; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from agorameter.llm.common import prepare
 
 SPACE = "▁"
+#: Characters of the longest unit that goes through the lattice of joins.
 LONGEST = 256
 #: Documents of the sample (in expectation), and units kept in the workers.
 SAMPLE = 20_000
@@ -84,10 +87,79 @@ def normalised(text: str) -> str:
 
 
 def cut_unit(unit: str, joints: frozenset[str]) -> list[str]:
-    """The unit at all places that no piece crosses, and in stretches."""
+    """The unit at all places that no piece crosses."""
     places = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in joints]
-    parts = [unit[a:b] for a, b in zip([0, *places], [*places, len(unit)], strict=True)]
-    return [p[i : i + LONGEST] for p in parts for i in range(0, len(p), LONGEST)]
+    return [unit[a:b] for a, b in zip([0, *places], [*places, len(unit)], strict=True)]
+
+
+def _merged_borders(word: str, table: dict[str, tuple[int, float]]) -> list[int]:
+    """The borders after all merges, the best score first and the leftmost of equals."""
+    n = len(word)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    waiting: list[tuple[float, int, int, int]] = []
+
+    def offer(start: int) -> None:
+        """The symbol at ``start`` with the next one, if a piece spells both."""
+        middle = after[start]
+        if middle < n:
+            end = after[middle]
+            if found := table.get(word[start:end]):
+                heapq.heappush(waiting, (-found[1], start, middle, end))
+
+    for i in range(n - 1):
+        offer(i)
+    while waiting:
+        _, start, middle, end = heapq.heappop(waiting)
+        # A symbol that was joined to the one before it starts nowhere (0 comes after nothing).
+        if after[start] != middle or after[middle] != end:
+            continue
+        after[start], after[middle] = end, 0
+        if end < n:
+            before[end] = start
+        offer(start)
+        if before[start] >= 0:
+            offer(before[start])
+    borders = [0]
+    while borders[-1] < n:
+        borders.append(after[borders[-1]])
+    return borders
+
+
+def _best_borders(word: str, table: dict[str, tuple[int, float]], longest: int, unknown: float) -> list[int]:
+    """The borders of the best path; of equal ones the longer last piece."""
+    totals, starts = [0.0], [0]
+    for end in range(1, len(word) + 1):
+        best, at = float("-inf"), end - 1
+        for start in range(max(0, end - longest), end):
+            if found := table.get(word[start:end]):
+                total = totals[start] + found[1]
+            elif end - start == 1:
+                total = totals[start] + unknown
+            else:
+                continue
+            if total > best:
+                best, at = total, start
+        totals.append(best)
+        starts.append(at)
+    borders = [len(word)]
+    while borders[-1]:
+        borders.append(starts[borders[-1]])
+    return borders[::-1]
+
+
+def fold_long(word: str, pieces: Pieces, table: dict[str, tuple[int, float]]) -> list[int]:
+    """The ids of a word of any length; ``table`` has id and score of each piece."""
+    if pieces.merges:
+        borders = _merged_borders(word, table)
+    else:
+        borders = _best_borders(word, table, pieces.longest, pieces.unknown)
+    ids: list[int] = []
+    for a, b in zip(borders, borders[1:], strict=False):
+        if found := table.get(word[a:b]):
+            ids.append(found[0])
+        else:
+            ids += [x + pieces.first_byte for x in word[a:b].encode()]
+    return ids
 
 
 def _byte_ids(character: Column, first_byte: int) -> Column:
@@ -259,7 +331,8 @@ def frequent_units(docs: DataFrame, pieces: Pieces) -> dict[str, bytes]:
         total: Counter[str] = Counter()
         for unit, times in seen.items():
             for part in cut_unit(unit, pieces.joints):
-                total[part] += times
+                if len(part) <= LONGEST:
+                    total[part] += times
         words = list(total)
         for i in range(0, len(words), 1 << 16):
             part = words[i : i + (1 << 16)]
@@ -297,7 +370,9 @@ def encode(
             keys, words = [], []
             for name, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 units = {u for u in UNIT.findall(normalised(body or "")) if u not in kept}
-                parts = {p for u in units for p in cut_unit(u, joints) if p not in kept}
+                parts = {
+                    p for u in units for p in cut_unit(u, joints) if len(p) <= LONGEST and p not in kept
+                }
                 keys += [name] * len(parts)
                 words += parts
             yield pa.RecordBatch.from_arrays(
@@ -320,18 +395,24 @@ def encode(
 
         kept, pieces = known.value, shared.value
         spelled = {i: p for p, i, _ in pieces.rows}
+        found = {p: (i, score) for p, i, score in pieces.rows}
+
+        def parts_of(unit: str, mine: dict[str, bytes]) -> bytes:
+            packed = []
+            for part in cut_unit(unit, pieces.joints):
+                if len(part) > LONGEST and part not in mine:
+                    mine[part] = _pack(fold_long(part, pieces, found))
+                packed.append(kept.get(part) or mine[part])
+            return b"".join(packed)
+
         for batch in batches:
             out = []
             for body, added in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
                 mine = {x["word"]: _pack(x["ids"]) for x in added or ()}
                 whole = normalised(body or "")
                 packed = b"".join(
-                    [
-                        kept.get(u) or mine.get(u)
-                        or b"".join([kept.get(p) or mine[p] for p in cut_unit(u, pieces.joints)])
-                        for u in UNIT.findall(whole)
-                    ]
-                )
+                    [kept.get(u) or mine.get(u) or parts_of(u, mine) for u in UNIT.findall(whole)]
+                )
                 ids = memoryview(packed).cast("I")
                 if digest:
                     out.append((len(ids), zlib.crc32(packed), spell(ids, spelled, pieces.first_byte) == whole))

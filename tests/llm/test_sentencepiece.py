@@ -113,6 +113,26 @@ def test_stretches_of_a_long_unit(spark, pieces):
     assert row.round_trip and row.n_ids <= sum(map(len, parts))
 
 
+@pytest.mark.parametrize("size", [257, 300, 10_000])
+def test_long_units_are_folded_whole(spark, merges, library, size):
+    chance = random.Random(size)
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = ["ab" * size, "a" * size, "=" * size, " " * size, "\n" * size, "the" * size, "ation=" * size]
+    texts += ["".join(chance.choices(letters, k=size)) for letters in (base64, "0123456789abcdef", "aetion", "é字a")]
+    texts += [f"x {t} y" for t in texts]
+    texts = [t[:size] if len(t) > size + 4 else t for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in encode(df, merges).collect():
+        assert r.ids == library.encode(texts[r.doc_id]), texts[r.doc_id][:40]
+
+
+def test_long_units_by_the_best_path(spark, pieces):
+    texts = ["ab" * 150, "".join(random.Random(3).choices("aetion", k=700))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in encode(df, pieces).collect():
+        assert r.ids == brute(texts[r.doc_id], pieces)
+
+
 def test_units_and_cuts(pieces):
     text = normalised("ab  cd \n\n e▁")
     assert "".join(UNIT.findall(text)) == text
