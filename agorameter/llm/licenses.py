@@ -27,60 +27,60 @@ from agorameter.llm.common import prepare
 
 #: Phrases of the base scan and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-#: Label, keyword that every match holds, and how the license is named.
+#: Label, word that every match holds, and how the license is named; a blank stands for any white space.
 LICENSES = (
     ("agpl", "affero", r"(?:gnu )?affero general public"),
     ("agpl", "agpl", r"(?:gnu )?agpl[ -]?(?:v|version )?[0-9.]*"),
     ("apache", "apache", r"apache(?: software)?(?:,? (?:v|version )?[12](?:\.[01])?)?"),
-    ("apsl", "apple public", r"apple public(?: source)?"),
+    ("apsl", "apple", r"apple public(?: source)?"),
     ("artistic", "artistic", r"(?:perl )?artistic(?: [12](?:\.0)?)?"),
-    ("blueoak", "blue oak", r"blue oak(?: model)?"),
+    ("blueoak", "oak", r"blue oak(?: model)?"),
     ("bsd", "bsd", r"(?:(?:the )?(?:new|simplified|modified|revised|[0-4][ -]clause) )?bsd(?:[ -][0-4][ -]clause)?"),
     ("bsl", "boost", r"boost software"),
-    ("busl", "business source", r"business source"),
+    ("busl", "business", r"business source"),
     ("cc0", "cc0", r"(?:creative commons )?cc0(?: 1\.0)?(?: universal)?"),
-    ("cc", "creative commons", r"creative commons(?: attribution)?(?:[ -](?:sharealike|noncommercial|noderivs))*"),
+    ("cc", "commons", r"creative commons(?: attribution)?(?:[ -](?:sharealike|noncommercial|noderivs))*"),
     ("cc", "cc-by", r"cc-by(?:-(?:sa|nc|nd))*(?:[- ][1-4]\.0)?"),
-    ("cddl", "common development", r"common development and distribution"),
+    ("cddl", "development", r"common development and distribution"),
     ("cddl", "cddl", r"cddl(?:[ -]1\.[01])?"),
     ("cecill", "cecill", r"cecill(?:-[abc])?"),
-    ("cpl", "common public", r"common public"),
-    ("ecl", "educational community", r"educational community"),
+    ("cpl", "common", r"common public"),
+    ("ecl", "educational", r"educational community"),
     ("epl", "eclipse", r"eclipse(?: public)?"),
-    ("eupl", "european union", r"european union public"),
+    ("eupl", "european", r"european union public"),
     ("eupl", "eupl", r"eupl"),
-    ("fdl", "free documentation", r"(?:gnu )?free documentation"),
+    ("fdl", "documentation", r"(?:gnu )?free documentation"),
     ("ftl", "freetype", r"freetype(?: project)?"),
     ("gpl", "gpl", r"(?:gnu )?gpl[ -]?(?:v|version )?[23]?(?:\.0)?"),
-    ("gpl", "general public", r"(?:gnu )?general public"),
-    ("hpnd", "historical permission", r"historical permission notice"),
-    ("ijg", "independent jpeg", r"independent jpeg group"),
-    ("ipl", "ibm public", r"ibm public"),
+    ("gpl", "general", r"(?:gnu )?general public"),
+    ("hpnd", "historical", r"historical permission notice"),
+    ("ijg", "jpeg", r"independent jpeg group"),
+    ("ipl", "ibm", r"ibm public"),
     ("isc", "isc", r"isc"),
     ("lgpl", "lgpl", r"(?:gnu )?lgpl[ -]?(?:v|version )?[23]?(?:\.[01])?"),
-    ("lgpl", "lesser general", r"(?:gnu )?lesser general public"),
-    ("lgpl", "library general", r"(?:gnu )?library general public"),
-    ("lppl", "latex project", r"latex project public"),
+    ("lgpl", "lesser", r"(?:gnu )?lesser general public"),
+    ("lgpl", "library", r"(?:gnu )?library general public"),
+    ("lppl", "latex", r"latex project public"),
     ("mit", "mit", r"(?:mit(?:[/ ]x11)?|mit \(expat\))"),
     ("mit", "expat", r"expat"),
     ("mit", "x11", r"x11"),
     ("mpl", "mozilla", r"mozilla(?: public)?"),
     ("mpl", "mpl", r"mpl[ -]?(?:v|version )?[12](?:\.[01])?"),
-    ("mspl", "microsoft public", r"microsoft (?:public|reciprocal)"),
+    ("mspl", "microsoft", r"microsoft (?:public|reciprocal)"),
     ("ncsa", "ncsa", r"(?:university of illinois/)?ncsa(?: open source)?"),
-    ("odbl", "open database", r"open (?:data commons )?(?:open )?database"),
-    ("ofl", "open font", r"(?:sil )?open font"),
+    ("odbl", "database", r"open (?:data commons )?(?:open )?database"),
+    ("ofl", "font", r"(?:sil )?open font"),
     ("openssl", "openssl", r"openssl"),
-    ("osl", "open software", r"open software"),
+    ("osl", "software", r"open software"),
     ("php", "php", r"php"),
     ("postgresql", "postgresql", r"postgresql"),
-    ("psf", "python software", r"python software foundation"),
-    ("qpl", "q public", r"q public"),
+    ("psf", "python", r"python software foundation"),
+    ("qpl", "public", r"q public"),
     ("ruby", "ruby", r"ruby"),
-    ("sspl", "server side public", r"server side public"),
+    ("sspl", "server", r"server side public"),
     ("unicode", "unicode", r"unicode(?: terms| data files)?"),
     ("unlicense", "unlicense", r"unlicense"),
-    ("upl", "universal permissive", r"universal permissive"),
+    ("upl", "permissive", r"universal permissive"),
     ("vim", "vim", r"vim"),
     ("w3c", "w3c", r"w3c(?: software)?"),
     ("wtfpl", "wtfpl", r"wtfpl"),
@@ -95,17 +95,17 @@ PHRASINGS = (
     (4, 0.8, r"licen[sc]e\s*[:=]\s*[\"']?{}\b"),
     (5, 0.7, r"\b{}(?:\s+public)?\s+licen[sc]e"),
 )
-#: Label, keyword, priority, confidence and wording of passages of license texts and notices.
+#: Label, word, priority, confidence and wording of passages of license texts and notices; blanks as above.
 PASSAGES = (
-    ("mit", "permission is hereby granted", 1, 0.95, r"permission is hereby granted,\s+free of charge,\s+to any person\s+obtaining a copy"),
-    ("isc", "permission to use, copy", 1, 0.9, r"permission to use, copy, modify,?\s+and(?:/or)?\s+distribute this\s+software"),
-    ("bsd", "redistribution and use", 1, 0.95, r"redistribution and use in source and binary\s+forms"),
-    ("gpl", "free software", 1, 0.85, r"this (?:program|library) is free software[;:,]\s+you can redistribute it"),
-    ("mpl", "source code form is subject", 1, 0.95, r"this source code form is subject to the terms"),
+    ("mit", "hereby", 1, 0.95, r"permission is hereby granted,\s+free of charge,\s+to any person\s+obtaining a copy"),
+    ("isc", "permission", 1, 0.9, r"permission to use, copy, modify,?\s+and(?:/or)?\s+distribute this\s+software"),
+    ("bsd", "redistribution", 1, 0.95, r"redistribution and use in source and binary\s+forms"),
+    ("gpl", "redistribute", 1, 0.85, r"this (?:program|library) is free software[;:,]\s+you can redistribute it"),
+    ("mpl", "subject", 1, 0.95, r"this source code form is subject to the terms"),
     ("unlicense", "unencumbered", 1, 0.95, r"free and unencumbered software released into the\s+public domain"),
-    ("zlib", "altered source versions", 1, 0.9, r"altered source versions must be plainly marked"),
-    ("public-domain", "public domain", 3, 0.8, r"(?:released|dedicated|placed|is)\s+(?:in|to|into)\s+the\s+public domain"),
-    ("proprietary", "all rights reserved", 6, 0.5, r"all rights reserved"),
+    ("zlib", "altered", 1, 0.9, r"altered source versions must be plainly marked"),
+    ("public-domain", "domain", 3, 0.8, r"(?:released|dedicated|placed|is)\s+(?:in|to|into)\s+the\s+public domain"),
+    ("proprietary", "reserved", 6, 0.5, r"all rights reserved"),
     ("proprietary", "proprietary", 4, 0.7, r"proprietary and confidential|confidential and proprietary"),
     ("copyright", "copyright", 7, 0.3, r"copyright\s+(?:\(c\)|©|[12][0-9]{3})"),
 )
@@ -119,13 +119,19 @@ class Rule(NamedTuple):
     pattern: re.Pattern
 
 
+def _spaced(wording: str) -> str:
+    """The wording with white space of any kind and length for each blank."""
+    wording = re.sub(r"\[[^]]* [^]]*\]", lambda m: f"(?: |{m[0].replace(' ', '')})", wording)
+    return wording.replace(" ", r"\s+")
+
+
 def _rules() -> tuple[Rule, ...]:
     made = [
-        Rule(label, keyword, priority, confidence, re.compile(wording.replace("{}", rf"{name}")))
+        Rule(label, keyword, priority, confidence, re.compile(wording.replace("{}", _spaced(name))))
         for priority, confidence, wording in PHRASINGS
         for label, keyword, name in LICENSES
     ]
-    made += [Rule(*passage[:4], re.compile(passage[4])) for passage in PASSAGES]
+    made += [Rule(*passage[:4], re.compile(_spaced(passage[4]))) for passage in PASSAGES]
     return tuple(sorted(made, key=lambda r: r.priority))
 
 

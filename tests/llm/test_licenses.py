@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -7,7 +8,7 @@ import pytest
 
 from agorameter.llm import queries
 from agorameter.llm.common import table
-from agorameter.llm.licenses import BASE, RULES, Detection, detect, resolve, scan, summary
+from agorameter.llm.licenses import BASE, LICENSES, PASSAGES, RULES, Detection, detect, resolve, scan, summary
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -90,3 +91,51 @@ def test_every_match_holds_its_keyword():
     for rule in RULES:
         for gate in (rule.keyword,):
             assert gate == gate.lower()
+
+
+def spelled(parsed):
+    """Texts that a wording stands for: optional parts left out and once, all branches."""
+    ways = []
+    for kind, what in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            ways.append([chr(what)])
+        elif name == "IN":
+            first, value = what[0]
+            ways.append([" " if str(first) == "CATEGORY" else chr(value[0] if str(first) == "RANGE" else value)])
+        elif name == "MAX_REPEAT":
+            least, most, inner = what
+            ways.append(sorted({w * k for w in spelled(inner) for k in {least, min(int(most), least + 1)}}))
+        elif name == "SUBPATTERN":
+            ways.append(spelled(what[3]))
+        else:
+            assert name == "BRANCH"
+            ways.append([w for branch in what[1] for w in spelled(branch)])
+    return ["".join(w) for w in itertools.product(*ways)]
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "  \t"])
+def test_variants_of_names_and_passages_pass_their_gates(blank):
+    for label, _, name in LICENSES:
+        for variant in spelled(re._parser.parse(name)):
+            text = f"under the {variant} license".replace(" ", blank)
+            own = [r for r in RULES if r.label == label and r.keyword in text]
+            assert any(r.pattern.search(text) for r in own), text
+            assert detect(text), text
+    for label, _, _, _, wording in PASSAGES:
+        for variant in spelled(re._parser.parse(wording)):
+            assert label in [d.label for d in detect(variant.replace(" ", blank))], variant
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("Microsoft Reciprocal License", "mspl"),
+        ("GNU Lesser General\nPublic License", "lgpl"),
+        ("Mozilla\nPublic License", "mpl"),
+        ("Open Data Commons Database License", "odbl"),
+        ("Permission is\nhereby granted, free of charge, to any person obtaining a copy", "mit"),
+    ],
+)
+def test_wrapped_names(text, label):
+    assert [d.label for d in detect(text)] == [label]
