@@ -68,15 +68,16 @@ def slot(column: str) -> Column:
     return F.pmod(F.xxhash64(F.col(column)), F.lit(SLOTS))
 
 
-def id_filter(ids: DataFrame, column: str) -> np.ndarray:
+def id_filter(ids: DataFrame, column: str, place: Column | None = None) -> np.ndarray:
     """A bitmap of fixed size that says which ids may be among ``ids``.
 
     It only saves shuffles: a clear bit proves absence, a set bit is decided by the join.
-    At most SLOTS / 64 rows of 16 bytes come to the driver.
+    At most SLOTS / 64 rows of 16 bytes come to the driver. ``place`` gives the place of an id
+    where it is not :func:`slot` of its column.
     """
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", F.lit(64)).cast("int"))
     words = (
-        ids.select(slot(column).alias("slot"))
+        ids.select((slot(column) if place is None else place).alias("slot"))
         .groupBy(F.shiftright("slot", 6).alias("word"))
         .agg(F.bit_or(bit).alias("bits"))
         .toPandas()
@@ -101,3 +102,26 @@ def maybe_among(bitmap: np.ndarray, column: str) -> Column:
         return pd.Series(among(bitmap, slots.to_numpy()))
 
     return look(slot(column))
+
+
+#: At most so many groups of a table can hold this share of its rows each, or more.
+HEAVY = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str) -> DataFrame:
+    """Each row with the columns of its group, a row of no group with nulls.
+
+    ``groups`` has one row per group and its number of rows in ``size``. A group that holds a
+    share of ``1 / HEAVY`` of the rows in groups is sent to every task, and there are at most
+    ``HEAVY`` of these; all others meet their rows by a shuffle that no key can tilt. Both
+    tables are read twice: hand over cut ones.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    heavy = F.col(size) * HEAVY >= F.lit(total)
+    few = groups.where(heavy).withColumn("__heavy", F.lit(True))
+    met = rows.join(F.broadcast(few), on, "left")
+    added = [c for c in groups.columns if c not in on]
+    light = met.where("__heavy IS NULL").drop("__heavy", *added)
+    return met.where("__heavy").drop("__heavy").unionByName(
+        light.join(groups.where(~heavy), on, "left")
+    )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from agorameter.llm import (
     embedding_dedup,
+    exact_dedup,
     language,
     licenses,
     neighbours,
@@ -102,6 +103,11 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, folder, "documents")))
 
 
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The row that stays of all documents with the same text but for white space."""
+    return exact_dedup.groups(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -115,10 +121,12 @@ QUERIES: dict[str, Query] = {
         op8_substring_dedup,
         op9_sentencepiece,
         op10_license_scan,
+        op13_exact_dedup,
     )
 }
 SQL: dict[str, str] = {
     "op3_ngram_join": sql.JACCARD,
     "op6_embedding_dedup": sql.EMBEDDINGS,
     "op8_substring_dedup": sql.SUBSTRINGS,
+    "op13_exact_dedup": sql.EXACT,
 }

@@ -85,3 +85,15 @@ SELECT e.vec_id, coalesce(o.n, 0)::BIGINT AS n_links,
        e.vec_id = least(e.vec_id, r.b) AS kept
 FROM embeddings e LEFT JOIN own o ON o.a = e.vec_id LEFT JOIN least_reached r ON r.a = e.vec_id
 """
+
+EXACT = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body
+    FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST) = 1 AS kept,
+       sha256(body) AS text_sha256
+FROM texts
+WINDOW same AS (PARTITION BY body)
+"""
