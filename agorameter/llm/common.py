@@ -68,12 +68,14 @@ def slot(column: str) -> Column:
     return F.pmod(F.xxhash64(F.col(column)), F.lit(SLOTS))
 
 
-def id_filter(ids: DataFrame, column: str, place: Column | None = None) -> np.ndarray:
+def id_filter(
+    ids: DataFrame, column: str, place: Column | None = None, size: int = SLOTS
+) -> np.ndarray:
     """A bitmap of fixed size that says which ids may be among ``ids``.
 
     It only saves shuffles: a clear bit proves absence, a set bit is decided by the join.
-    At most SLOTS / 64 rows of 16 bytes come to the driver. ``place`` gives the place of an id
-    where it is not :func:`slot` of its column.
+    At most ``size / 64`` rows of 16 bytes come to the driver. ``place`` gives the place of an id
+    where it is not :func:`slot` of its column; it is less than ``size``.
     """
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", F.lit(64)).cast("int"))
     words = (
@@ -82,7 +84,7 @@ def id_filter(ids: DataFrame, column: str, place: Column | None = None) -> np.nd
         .agg(F.bit_or(bit).alias("bits"))
         .toPandas()
     )
-    bitmap = np.zeros(SLOTS // 64, dtype=np.int64)
+    bitmap = np.zeros(max(1, size // 64), dtype=np.int64)
     bitmap[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
     return bitmap
 

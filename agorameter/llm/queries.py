@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agorameter.llm import (
+    conversation_trie,
+    divergence,
     embedding_dedup,
     exact_dedup,
     language,
@@ -103,6 +105,16 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, folder, "documents")))
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Differences between the sources of each language, and the terms they use most."""
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, each begun by the first of its five."""
+    return conversation_trie.trie(table(spark, folder, "conversations"))
+
+
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The row that stays of all documents with the same text but for white space."""
     return exact_dedup.groups(table(spark, folder, "documents"))
@@ -121,6 +133,8 @@ QUERIES: dict[str, Query] = {
         op8_substring_dedup,
         op9_sentencepiece,
         op10_license_scan,
+        op11_divergence,
+        op12_conversation_trie,
         op13_exact_dedup,
     )
 }
@@ -128,5 +142,7 @@ SQL: dict[str, str] = {
     "op3_ngram_join": sql.JACCARD,
     "op6_embedding_dedup": sql.EMBEDDINGS,
     "op8_substring_dedup": sql.SUBSTRINGS,
+    "op11_divergence": sql.DIVERGENCE,
+    "op12_conversation_trie": sql.CONVERSATIONS,
     "op13_exact_dedup": sql.EXACT,
 }
