@@ -5,8 +5,8 @@ group, that is a source within a language, gives every kept term the smoothed sh
 ``p = 1 + floor(10^9 (count + 1) / (N + V))``; two shares differ by ``floor((p - q)^2 / q)``.
 
 1. A task counts the terms of its documents by group and sends one row per group, term and
-   stretch of input. Terms that stay get dense ids, so that a block of ids holds at most
-   ``1 << BLOCK_BITS`` terms.
+   stretch of input. The terms of a language that stay are numbered without gaps, so that all
+   its blocks of ids but the last hold ``1 << BLOCK_BITS`` terms.
 2. Every group has one array of sorted ids and counts per block. Pairs of groups are tasks: the
    arrays of ``TILE`` groups meet those of ``TILE`` others, block by block. Each unordered
    pair is merged once: the ids of the shorter array gallop through the longer one, which
@@ -187,6 +187,23 @@ def _pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
     return met.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 
+def _numbered(kept: DataFrame) -> DataFrame:
+    """The kept terms with an ``id`` that counts the terms of a language without gaps.
+
+    The terms of a language are one run of rows in each partition, so only the sizes of the
+    runs have to be added up.
+    """
+    part = F.shiftright("row", 33).alias("part")
+    runs = kept.groupBy("lang", part).agg(F.count("*").alias("size"), F.min("row").alias("first"))
+    before = Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    return (
+        kept.select("lang", "row", "by", part)
+        .join(starts, ["lang", "part"])
+        .select("lang", "by", (F.col("start") + F.col("row") - F.col("first")).alias("id"))
+    )
+
+
 def _over_used(kept: DataFrame, groups: DataFrame) -> DataFrame:
     """``lang, source, item, value, rank`` of the terms a group uses more than its language."""
     rows = kept.select("lang", "term", F.col("total").alias("everywhere"), F.inline("by"))
@@ -228,7 +245,8 @@ def audit(docs: DataFrame) -> DataFrame:
         )
         .where(F.col("docs") >= LEAST_DOCS)
         .drop("docs")
-        .withColumn("id", F.monotonically_increasing_id())
+        .sortWithinPartitions("lang")
+        .withColumn("row", F.monotonically_increasing_id())
     )
     own = kept.select("lang", F.inline("by")).groupBy("lang", "source").agg(
         F.sum("n").alias("total"), F.count("*").alias("terms")
@@ -248,6 +266,6 @@ def audit(docs: DataFrame) -> DataFrame:
             }
         )
     )
-    pairs = _ranked(_pairs(kept, groups)).withColumn("part", F.lit("pair"))
+    pairs = _ranked(_pairs(_numbered(kept), groups)).withColumn("part", F.lit("pair"))
     over = _over_used(kept, groups).withColumn("part", F.lit("term"))
     return pairs.unionByName(over).select("lang", "source", "part", "item", "value", "rank")
