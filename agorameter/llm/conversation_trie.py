@@ -6,7 +6,8 @@ A node is a distinct sequence of first turns; its members are the conversations
 it, and it is named after the smallest of them and its depth.
 
 1. The turns of a conversation are dealt out by its id, sorted by Spark, and streamed through a
-   chain of digests: each prefix has the digest of the one before and of its last turn.
+   chain of digests: each prefix has the digest of the one before and of its last turn. A text
+   is left where it is; only its digest and its size travel.
 2. A count-min sketch counts the digests of all prefixes. Where one of its rows says one, the
    prefix is surely no other conversation's, nor is any longer one: this tail of single nodes is
    written by the task that screens it. Only possibly shared prefixes are shuffled, and grouped
@@ -20,7 +21,7 @@ it, and it is named after the smallest of them and its depth.
    order as a stream.
 
 Nulls and edge cases: a null role or text is an empty one; a null turn comes first, turns of
-one number are ordered by role and text, repeated rows are turns of their own; rows without
+one number are ordered by role and digest, repeated rows are turns of their own; rows without
 conversation are left out; an empty table gives no row; only the columns ``conv_id``, ``turn``,
 ``role`` and ``text`` are read.
 """
@@ -51,7 +52,7 @@ CHAIN = "conv long, depth long, a long, b long, size long, last boolean"
 
 
 def _turns(conversations: DataFrame) -> DataFrame:
-    """Turns of all rebuilt conversations in order of ``conv, part, place, turn, role, text``.
+    """Turns of all rebuilt conversations in order of ``conv, part, place, turn, role, digest``.
 
     Part 0 holds the turns of the batch's first conversation, part 1 all own turns, of which
     the first ``lent`` are still to be skipped.
@@ -60,26 +61,28 @@ def _turns(conversations: DataFrame) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv"),
         F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"),
+        F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest"),
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("size"),
     )
     lent = (F.crc32(F.col("conv").cast("string")) % LENT).alias("lent")
-    order = Window.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    order = Window.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), "role", "digest")
     firsts = (
         rows.where(F.col("conv") % BATCH == 0)
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") < LENT)
-        .select(F.col("conv").alias("first"), "place", "turn", "role", "text")
+        .select(F.col("conv").alias("first"), "place", "turn", "role", "digest", "size")
     )
     convs = rows.select("conv").distinct().select("conv", lent).where("lent > 0")
     convs = convs.withColumn("first", F.col("conv") - F.col("conv") % BATCH)
     lent_turns = convs.join(firsts, "first").where("place <= lent")
-    own = rows.select("conv", F.lit(1).alias("part"), F.lit(0).alias("place"), "turn", "role", "text", lent)
+    columns = ("turn", "role", "digest", "size")
+    own = rows.select("conv", F.lit(1).alias("part"), F.lit(0).alias("place"), *columns, lent)
     both = own.unionByName(
-        lent_turns.select("conv", F.lit(0).alias("part"), "place", "turn", "role", "text", "lent")
+        lent_turns.select("conv", F.lit(0).alias("part"), "place", *columns, "lent")
     )
     return both.repartition("conv").sortWithinPartitions(
-        "conv", "part", "place", F.col("turn").asc_nulls_first(), "role", "text"
-    ).select("conv", "part", "role", "text", "lent")
+        "conv", "part", "place", F.col("turn").asc_nulls_first(), "role", "digest"
+    ).select("conv", "part", "role", "digest", "size", "lent")
 
 
 def _chains(turns: DataFrame) -> DataFrame:
@@ -89,7 +92,7 @@ def _chains(turns: DataFrame) -> DataFrame:
         current, skipped, depth, digest, pending = None, 0, 0, b"", None
         for batch in batches:
             rows: list[tuple] = []
-            for conv, part, role, text, lent in zip(
+            for conv, part, role, text, size, lent in zip(
                 *(c.to_pylist() for c in batch.columns), strict=True
             ):
                 if conv != current:
@@ -102,11 +105,11 @@ def _chains(turns: DataFrame) -> DataFrame:
                     continue
                 rows.append((*pending, False))
                 depth += 1
-                role, text = role.encode(), text.encode()
+                role = role.encode()
                 link = digest + len(role).to_bytes(8, "little") + role + text
                 digest = hashlib.blake2b(link, digest_size=16).digest()
                 halves = np.frombuffer(digest, dtype=np.int64).tolist()
-                pending = (conv, depth, *halves, len(text))
+                pending = (conv, depth, *halves, size)
             yield _batch(rows)
         if pending:
             yield _batch([(*pending, True)])

@@ -103,7 +103,7 @@ CONVERSATIONS = """
 WITH src AS (
     SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
            row_number() OVER (PARTITION BY conv_id
-                              ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+                              ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS place
     FROM conversations WHERE conv_id IS NOT NULL
 ), convs AS (
     SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS turns,

@@ -19,8 +19,9 @@ def brute(rows):
     turns = defaultdict(list)
     for conv, turn, role, text in rows:
         if conv is not None:
-            turns[conv].append((turn is not None, turn or 0, role or "", text or ""))
-    plain = {c: [t[2:] for t in sorted(x)] for c, x in turns.items()}
+            digest = hashlib.sha256((text or "").encode()).digest()
+            turns[conv].append((turn is not None, turn or 0, role or "", digest, text or ""))
+    plain = {c: [(t[2], t[4]) for t in sorted(x)] for c, x in turns.items()}
     members, ends = defaultdict(set), defaultdict(list)
     for c in plain:
         h = zlib.crc32(str(c).encode()) % 9
