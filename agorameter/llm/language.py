@@ -9,19 +9,20 @@ sampled texts that no shard has seen.
 Nulls and edge cases: a null text, or one without a letter, is ``und`` with score 0; rows
 without a language are predicted but never learned from; without any learned language all is
 ``und``; ties go to the language that sorts first; repeated rows count as often as they occur;
-texts of any length are counted whole, in stretches of bounded size.
+texts of any length are counted whole, in stretches of bounded size; an empty table gives no
+row; extra columns are not read, and two named like the new ones are replaced.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agorameter.llm.common import cut, prepare
@@ -34,14 +35,16 @@ class Settings:
     """Parameters of the classifier.
 
     ``sample`` bounds the texts per language that weights and temperature are fitted on
-    (in expectation, by a hash of the id); ``languages`` bounds the learned languages, the most
-    frequent first. Counts are taken over all training texts.
+    (in expectation, by a hash of the id); all languages are learned. ``weights`` bounds the
+    weights of a task: with more languages than ``weights / buckets`` the n-grams share fewer
+    buckets, ``fewest`` at least. Counts are taken over all training texts.
     """
 
     buckets: int = 1 << 15
     longest: int = 3
     sample: int = 1500
-    languages: int = 256
+    weights: int = 1 << 23
+    fewest: int = 1 << 12
     held_back: float = 0.2
     shards: int = 4
     passes: int = 3
@@ -181,6 +184,14 @@ class Model:
         return self.languages[best], float(p[best])
 
 
+def fitted(settings: Settings, languages: int) -> Settings:
+    """The settings with as many buckets as the weights of so many languages leave."""
+    buckets = settings.buckets
+    while buckets > settings.fewest and buckets * languages > settings.weights:
+        buckets //= 2
+    return replace(settings, buckets=buckets)
+
+
 def document_frequencies(texts: DataFrame, settings: Settings) -> tuple[np.ndarray, int]:
     """Documents per bucket over all texts, and documents with a letter.
 
@@ -220,14 +231,13 @@ def fit(
         r["lang"]: r["n"]
         for r in rows.groupBy("lang")
         .agg(F.count("text").alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(settings.languages)
         .collect()
         if r["n"]
     }
     languages = sorted(sizes)
     if not languages:
         return Model([], np.ones(settings.buckets), np.zeros((settings.buckets, 0)), 1.0, settings)
+    settings = fitted(settings, len(languages))
     frequency, total = document_frequencies(rows.select("text"), settings)
     idf = np.log((1 + total) / (1 + frequency)) + 1
     labels = {name: i for i, name in enumerate(languages)}
@@ -255,7 +265,10 @@ def fit(
         .where(_share("lang", sizes, settings.sample))
         .mapInArrow(represent, "label int, order long, places binary, weights binary")
     )
-    back = F.pmod(F.xxhash64("order", F.lit(1)), F.lit(1000)) < int(1000 * settings.held_back)
+    # The driver gets a logit per held-back text and language, of both a bounded number.
+    most = settings.weights / (settings.sample * len(languages) ** 2)
+    held_share = int(1e6 * min(settings.held_back, most))
+    back = F.pmod(F.xxhash64("order", F.lit(1)), F.lit(1_000_000)) < held_share
     shard = F.pmod(F.xxhash64("order", F.lit(2)), F.lit(settings.shards)).cast("int")
 
     def train_shard(part: pd.DataFrame) -> pd.DataFrame:
@@ -302,10 +315,23 @@ def fit(
 def _share(lang: str, sizes: dict[str, int], bound: int) -> Column:
     """Rows of each language by a hash of their order, about ``bound`` at most."""
     place = F.pmod(F.xxhash64("order", F.lit(3)), F.lit(1_000_000))
-    share = F.lit(0)
-    for name, n in sizes.items():
-        share = F.when(F.col(lang) == name, min(1_000_000, round(1e6 * bound / n))).otherwise(share)
-    return place < share
+    shares = [F.lit(min(1_000_000, max(1, round(1e6 * bound / n)))) for n in sizes.values()]
+    share = F.map_from_arrays(F.array(*map(F.lit, sizes)), F.array(*shares))
+    return place < F.coalesce(F.element_at(share, F.col(lang)), F.lit(0))
+
+
+def scored(model: Model, spark: SparkSession, text: str = "text") -> Column:
+    """``struct<lang_pred, score>`` of a text column; the other columns stay where they are."""
+    prepare(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang_pred string, score double")
+    def run(texts):
+        found = [shared.value.predict(x) for x in texts]
+        labels, scores = zip(*found, strict=True) if found else ((), ())
+        return pd.DataFrame({"lang_pred": labels, "score": scores}).astype({"score": "float64"})
+
+    return run(F.col(text))
 
 
 def predict(

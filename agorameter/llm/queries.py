@@ -35,8 +35,9 @@ def fold(parts: int) -> Column:
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of all documents, learned from those outside fold 1 of 3."""
-    docs = table(spark, folder, "documents").withColumn("held_out", fold(3) == 1)
-    model = language.fit(docs.where(~F.col("held_out")))
+    held_out = F.coalesce(fold(3) == 1, F.lit(False))
+    docs = table(spark, folder, "documents").withColumn("held_out", held_out)
+    model = language.fit(docs.where(fold(3) != 1))
     return language.predict(docs, model, keep=["doc_id", "held_out"])
 
 
@@ -81,7 +82,8 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
         labels.select(F.col("doc_id").alias("key"), F.col("quality").alias("label")), "key"
     )
     scored = quality.predict(vectors, quality.fit(labelled)).withColumnRenamed("key", "doc_id")
-    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+    held_out = F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted")
 
 
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:

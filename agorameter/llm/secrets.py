@@ -54,7 +54,9 @@ KINDS = (
     Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", "eyJ"),
     Kind(
         "pem",
-        r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]+",
+        # Up to its end mark, or else the lines of a key: one of 40 characters, others of 20.
+        r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]++-----END [A-Z ]{0,20}PRIVATE KEY-----"
+        r"|\s*[A-Za-z0-9+/]{40}[A-Za-z0-9+/=]*(?:[\r\n]+[A-Za-z0-9+/=]{20,}){0,400})",
         "PRIVATE KEY-----",
     ),
 )

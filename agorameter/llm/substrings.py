@@ -36,7 +36,7 @@ from agorameter.llm.words import SPACES, mix, window_hashes, word_hashes
 
 WINDOW = 20
 #: Windows that a task gathers before it compares and sends them.
-STRETCH = 1 << 20
+STRETCH = 1 << 17
 
 
 class _Sender:
@@ -237,11 +237,13 @@ def remove_repeats(
     Removed is each word in a window whose words also start earlier: in a document with a
     smaller id, or earlier in the same one. The kept words replace the text if any word is
     removed, or with ``digest`` come as ``kept_sha256`` for every row. ``keep`` names the
-    columns to return besides, by default all.
+    columns to return besides, by default all; those that have a new name go.
     """
     prepare(docs.sparkSession)
     starts = repeated_starts(docs, key, text, window, start or max(1, window // 2))
+    made = {"n_words", "n_removed", "kept_sha256" if digest else text}
     columns = list(docs.columns if keep is None else keep)
+    columns = [c for c in columns if c == text or c not in made]
     carried = [F.lit(0).alias("__"), *(F.col(c) for c in columns if digest or c != text)]
     own = F.struct(*carried).alias("own")
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("data"), own)
@@ -285,7 +287,7 @@ def remove_repeats(
     schema = schema.add("kept", "string" if digest else "binary")
     result = both.mapInArrow(run, schema)
     if digest:
-        made = F.col("kept").alias("kept_sha256")
-        return result.select(*(F.col(f"own.`{c}`") for c in columns), "n_words", "n_removed", made)
+        last = F.col("kept").alias("kept_sha256")
+        return result.select(*(F.col(f"own.`{c}`") for c in columns), "n_words", "n_removed", last)
     values = [F.col("kept").cast("string").alias(c) if c == text else F.col(f"own.`{c}`") for c in columns]
     return result.select(*values, F.col("n_words"), F.col("n_removed"))

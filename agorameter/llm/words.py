@@ -14,7 +14,7 @@ import numpy as np
 SPACES = bytes(32 if b in b"\t\n\v\f\r" else b for b in range(256))
 LOWER = SPACES.lower()
 #: Bytes that are hashed at once; a longer word is hashed by itself.
-STRETCH = 1 << 20
+STRETCH = 1 << 17
 #: Odd multipliers and a seed, of no meaning.
 BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93

@@ -8,8 +8,10 @@
 4. ``secret_scan``: secrets are replaced by a mark.
 5. ``pack``: the texts as pieces of sequences of 2048 ids.
 
-A missing text is in no language and goes in the first stage; rows that repeat an id are
-reduced to one in the second; an empty table gives empty tables.
+A missing text is in no language and goes in the first stage. Rows are told apart by id and
+text: rows of one id with different texts, or without id, are documents of their own, and of
+several near-duplicates one stays, with the smallest id that no other text has, if any. Extra
+columns may have any names but that of the text; an empty table gives empty tables.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 import sys
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -32,51 +34,87 @@ LEAST_SCORE = 0.3
 
 
 def _as_documents(changed: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of the documents, with the size of the new text."""
-    if "n_chars" in docs.columns:
-        size = F.length("text").cast(docs.schema["n_chars"].dataType)
-        changed = changed.withColumn("n_chars", size)
-    return changed.select(*docs.columns)
+    """The columns of the documents, from the struct ``own``, with the new text and its size."""
+
+    def column(name: str) -> Column:
+        if name == "n_chars":
+            return F.length("text").cast(docs.schema[name].dataType).alias(name)
+        return F.col("text") if name == "text" else F.col(f"own.`{name}`").alias(name)
+
+    return changed.select(*(column(c) for c in docs.columns))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language."""
-    model = language.fit(docs)
-    renamed = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    scored = language.predict(renamed, model, keep=["row"])
-    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return scored.where(known).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    found = language.scored(language.fit(docs), spark)
+    return docs.where((found["lang_pred"] != language.UNKNOWN) & (found["score"] >= LEAST_SCORE))
+
+
+def _with_keys(docs: DataFrame) -> DataFrame:
+    """``__key, text, own``: a number for each id, or for each text where an id has several.
+
+    Rows without id, and those whose id has several rows, get numbers beyond all ids by id and
+    digest of the text, from a table that is written once. ``own`` holds the columns.
+    """
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("own"))
+    repeated = cut(
+        docs.groupBy(F.col("doc_id").alias("id")).count().where("count > 1 OR id IS NULL").select("id")
+    )
+    if repeated.isEmpty():
+        return rows.select(F.col("doc_id").alias("__key"), "text", "own")
+    beyond = docs.agg(F.max("doc_id")).first()[0] or 0
+    among = F.col("doc_id").isNull() | maybe_among(id_filter(repeated, "id"), "doc_id")
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    same = F.col("doc_id").eqNullSafe(F.col("id"))
+    shared = docs.where(among).select("doc_id", digest.alias("__digest"))
+    numbers = cut(
+        shared.join(repeated, same, "left_semi")
+        .distinct()
+        .orderBy(F.col("doc_id").asc_nulls_last(), "__digest")
+        .select(
+            F.col("doc_id").alias("id"),
+            F.col("__digest").alias("digest"),
+            (F.monotonically_increasing_id() + (beyond + 1)).alias("number"),
+        )
+    )
+    met = rows.where(among).join(
+        numbers, same & (digest == F.col("digest")), "left"
+    ).select(F.coalesce("number", "doc_id").alias("__key"), "text", "own")
+    return rows.where(~among).select(F.col("doc_id").alias("__key"), "text", "own").unionByName(met)
 
 
 def ngram_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; rows without an id stay."""
+    """One document of each group of near-duplicates."""
     prepare(spark)
-    found = ngram_join.jaccard_components(docs, size=5, percent=80)
+    rows = _with_keys(docs)
+    found = ngram_join.jaccard_components(rows, key="__key", size=5, percent=80)
     groups = cut(
-        found.where("doc_id IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.count("*").alias("rows"), (F.min("component_id") == F.col("doc_id")).alias("first"))
+        found.groupBy("__key")
+        .agg(F.count("*").alias("rows"), (F.min("component_id") == F.col("__key")).alias("first"))
         .where("rows > 1 OR NOT first")
-        .select(F.col("doc_id").alias("__id"), "first")
+        .select(F.col("__key").alias("key"), "first")
     )
-    # Only rows whose id may be among these are shuffled.
-    among = F.col("doc_id").isNotNull() & maybe_among(id_filter(groups, "__id"), "doc_id")
-    met = docs.where(among).join(groups, F.col("doc_id") == F.col("__id"), "left")
-    alone = met.where("__id IS NULL")
-    first = met.where("first").dropDuplicates(["doc_id"])
-    rest = alone.unionByName(first).select(*docs.columns)
-    return docs.where(~among).unionByName(rest)
+    # Only rows whose key may be among these are shuffled.
+    among = maybe_among(id_filter(groups, "key"), "__key")
+    met = rows.where(among).join(groups, F.col("__key") == F.col("key"), "left")
+    alone = met.where("key IS NULL").select("own.*")
+    first = met.where("first").dropDuplicates(["__key"]).select("own.*")
+    return rows.where(~among).select("own.*").unionByName(alone).unionByName(first)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words that earlier ones have."""
-    return _as_documents(substrings.remove_repeats(docs), docs)
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select("doc_id", "text", F.struct(*others).alias("own"))
+    return _as_documents(substrings.remove_repeats(rows, keep=["own", "text"]), docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets replaced."""
     prepare(spark)
-    return _as_documents(secrets.redact(docs), docs)
+    own = F.struct(*(c for c in docs.columns if c != "text")).alias("own")
+    rows = docs.select("doc_id", "text", "source", own)
+    return _as_documents(secrets.redact(rows), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,3 +79,35 @@ def test_temperature():
     logits[np.arange(4000), np.where(right, labels, 1 - labels)] = 10.0
     t = temperature(logits, labels)
     assert abs(1 / (1 + np.exp(-10 / t)) - 0.8) < 0.02
+
+
+def brute_counts(text, settings):
+    """Bucket counts from the n-grams of the whole normalised text, one by one."""
+    total = [0] * settings.buckets
+    body, shift = naive(text, settings)[1], 32 - (settings.buckets.bit_length() - 1)
+    for size in range(1, settings.longest + 1):
+        for start in range(len(body) - size + 1):
+            hashed = 0
+            for place, char in enumerate(body[start : start + size]):
+                hashed = (hashed + ord(char) * language.PLACES[place]) % 2**32
+            hashed = (hashed ^ hashed >> 15) * (0x2C1B3C6D + 2 * (size - 1)) % 2**32
+            total[hashed >> shift] += 1
+    return total
+
+
+@pytest.mark.parametrize("text", ["The cat, 2 dogs", "ÀÉ  ñandú!", "日本 語 x", "a" * 99])
+def test_counts_against_single_grams(text):
+    assert counts(text, Settings(buckets=256)).tolist() == brute_counts(text, Settings(buckets=256))
+
+
+def test_every_language_is_learned(spark):
+    """300 languages, each of a letter of its own: none is left out."""
+    names = [chr(0x4E00 + i) for i in range(300)]
+    rows = [(i, name * 9 + " " + name, name) for i in range(6) for name in names]
+    docs = spark.createDataFrame([(i, t, lang) for i, (_, t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    settings = Settings(weights=1 << 20)
+    model = language.fit(docs, settings=settings)
+    assert model.languages == sorted(names)
+    assert model.weights.shape == (1 << 12, 300)
+    found = language.predict(docs, model, keep=["lang"]).collect()
+    assert sum(r.lang == r.lang_pred for r in found) >= 0.9 * len(found)

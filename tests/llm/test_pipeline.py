@@ -81,6 +81,30 @@ def test_near_duplicates(steps):
     assert after == sorted({x for x in before if x[0] in stay or x[0] is None}, key=repr)
 
 
+def test_rows_are_told_apart_by_id_and_text(spark):
+    """Different texts of one id both stay, copies without id leave one, names may clash."""
+    names = "doc_id long, text string, lang string, source string, n_chars long, first int, "
+    names += "__id int, n_words int, n_removed int, key string, row int, own int, number int"
+    texts = ["the first text of its own kind here", "another document with other words in it"]
+    texts += ["nobody knows the number of this text", "unique words in one more document"]
+    rows = [(5, texts[0]), (5, texts[1]), (None, texts[2]), (None, texts[2]), (None, texts[3])]
+    rows += [(9, texts[2]), (9, texts[2]), (5, texts[0] + "\n"), (12, None), (None, None), (12, None)]
+    given = [(i, t, "en", "s", 3, 1, 2, 3, 4, "k", 5, 6, 7) for i, t in rows]
+    docs = spark.createDataFrame(given, names)
+    found = corpus_pipeline.ngram_dedup(spark, docs, FOLDER)
+    assert found.dtypes == docs.dtypes
+    left = sorted(((r.doc_id, (r.text or "").strip()) for r in found.collect()), key=repr)
+    assert left == sorted(
+        [(5, texts[0]), (5, texts[1]), (9, texts[2]), (None, texts[3]), (12, ""), (None, "")], key=repr
+    )
+    assert all(r[4:] == (3, 1, 2, 3, 4, "k", 5, 6, 7) for r in found.collect())
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.substring_dedup, corpus_pipeline.secret_scan):
+        assert stage(spark, docs, FOLDER).dtypes == docs.dtypes
+    assert corpus_pipeline.substring_dedup(spark, docs, FOLDER).count() == len(rows)
+    assert corpus_pipeline.secret_scan(spark, docs, FOLDER).count() == len(rows)
+    assert corpus_pipeline.pack(spark, docs, FOLDER).count() == len(rows)
+
+
 def test_substrings(steps):
     texts = dict(plain(steps[2]))
     expected = [
