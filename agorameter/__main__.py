@@ -40,7 +40,7 @@ from agorameter.sources.tables import (
     read_jdbc_table,
 )
 from agorameter.sources.topics import stream_topic, stream_topic_files
-from agorameter.streaming import jobs
+from agorameter.streaming import jobs, latest
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -73,7 +73,7 @@ def arguments() -> argparse.ArgumentParser:
     enrich.add_argument("--interval", help="keep running with this interval, e.g. '1 minute'")
     enrich.add_argument("--model", action="store_true", help="use the tweet classifiers")
     enrich.add_argument("--max-errors", type=float, default=0.05,
-                        help="share of failed model calls above which the command fails")
+                        help="share of failed model calls in new records above which it ends")
     enrich.add_argument("--max-files", type=int, help="most topic files in one batch")
     enrich.add_argument("--max-offsets", type=int, help="most messages of a topic in one batch")
     enrich.add_argument("--min-partitions", type=int, help="split topics into more tasks")
@@ -81,6 +81,13 @@ def arguments() -> argparse.ArgumentParser:
     output.add_argument("--out", help="folder for the enriched tables")
     output.add_argument("--search", help="nodes of the search store")
     enrich.add_argument("--search-port", type=int, default=9200)
+    versions = enrich.add_mutually_exclusive_group()
+    versions.add_argument("--latest", action="store_true",
+                          help="keep only the latest version of each record; needs --out")
+    versions.add_argument("--distinct", metavar="DELAY",
+                          help="drop records that are repeated within this time, e.g. '1 day'")
+    enrich.add_argument("--buckets", type=int, default=64,
+                        help="buckets of a table of latest versions; fixed by its first batch")
 
     for command in (ingest, enrich):
         topics = command.add_mutually_exclusive_group(required=True)
@@ -128,6 +135,8 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_enrich(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.latest and not args.out:
+        raise SystemExit("--latest needs --out")
     scorer = tweet_scorer() if args.model else default_scorer()
     trigger = args.interval or jobs.AVAILABLE_NOW
     limit = {"maxOffsetsPerTrigger": str(args.max_offsets)} if args.max_offsets else {}
@@ -142,6 +151,14 @@ def run_enrich(spark: SparkSession, args: argparse.Namespace) -> None:
             messages = stream_topic_files(spark, args.topics, topic, args.max_files)
         records = enrich(messages, DATASETS[name], scorer, errors=args.model, long_counts=True)
         checkpoint = f"{args.checkpoint}/{name}"
+        if args.model:
+            records = jobs.with_call_counts(records)
+        if args.distinct:
+            records = jobs.without_repeats(records, DATASETS[name].key, args.distinct)
+        if args.latest:
+            key, *version = DATASETS[name].key
+            write = latest.latest_writer(f"{args.out}/{name}", key, *version, buckets=args.buckets)
+            return jobs.start_batch_sink(records, write, checkpoint, trigger, name)
         if args.out:
             return jobs.start_table_sink(
                 records, f"{args.out}/{name}", checkpoint, trigger, name=name
@@ -152,18 +169,8 @@ def run_enrich(spark: SparkSession, args: argparse.Namespace) -> None:
         )
 
     starters = [lambda name=name: start(name) for name in args.dataset]
-    (jobs.run_together if args.interval else jobs.run_in_turn)(starters)
-    if args.model and args.out:
-        for name in args.dataset:
-            check_errors(spark.read.parquet(f"{args.out}/{name}"), name, args.max_errors)
-
-
-def check_errors(records: DataFrame, name: str, most: float) -> None:
-    """Report the failed model calls of a table; too many of them are an error."""
-    total, failed = records.agg(F.count("*"), F.count_if("score_error")).first()
-    print(f"{name}: {failed} of {total} records without a score")
-    if failed > most * total:
-        raise SystemExit(f"{name}: more than {most:.0%} of the model calls failed")
+    limit_of_errors = jobs.CallLimit(args.max_errors) if args.model else None
+    (jobs.run_together if args.interval else jobs.run_in_turn)(starters, limit_of_errors)
 
 
 RUN = {"flatten": run_flatten, "ingest": run_ingest, "enrich": run_enrich}

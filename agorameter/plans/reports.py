@@ -181,16 +181,20 @@ def bias_breakdown(
 
 
 def latest_snapshot(
-    df: DataFrame, key: str = "uuid", version: str = "retrieving_time"
+    df: DataFrame,
+    key: str = "uuid",
+    version: str = "retrieving_time",
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """The latest version of each record. Equal versions are settled by the other columns.
 
-    Records without a key, such as those of malformed messages, are all kept. Spark keeps one
+    ``within`` names columns that the key decides; a table that is dealt out by them is not
+    shuffled again. Records without a key, such as those of malformed messages, are all kept. Spark keeps one
     row per key in every input partition before it shuffles.
     """
-    ties = [F.asc(f"`{c}`") for c in df.columns if c not in (key, version)]
+    ties = [F.asc(f"`{c}`") for c in df.columns if c not in (key, version, *within)]
     alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-    order = Window.partitionBy(key, "_alone").orderBy(F.desc(version), *ties)
+    order = Window.partitionBy(*within, key, "_alone").orderBy(F.desc(version), *ties)
     placed = df.withColumn("_alone", alone).withColumn("_place", F.row_number().over(order))
     return placed.filter("_place = 1").drop("_place", "_alone")
 

@@ -160,20 +160,85 @@ def without_repeats(df: DataFrame, key: Sequence[str], delay: str = "1 day") ->
     return kept.drop("_alone", "_arrived")
 
 
-def run_in_turn(starters: Iterable[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
-    """Start each query after the one before has ended; returns the ended queries."""
+#: Name under which a stream counts its model calls, and the calls before which no share is judged.
+CALLS = "calls"
+LEAST_CALLS = 100
+
+
+class TooManyErrors(RuntimeError):
+    """More model calls than allowed have failed."""
+
+
+def with_call_counts(records: DataFrame, flag: str = "score_error") -> DataFrame:
+    """The stream, counting its records and those without a score in each batch's progress.
+
+    The counts are taken while a batch runs: nothing is read again, whatever the sink is.
+    """
+    total, failed = F.count("*").alias("total"), F.count_if(F.col(flag)).alias("failed")
+    return records.observe(CALLS, total, failed)
+
+
+class CallLimit:
+    """Ends a query of :func:`with_call_counts` whose new records fail too often.
+
+    Judged are the records since the query was started, once there are ``least`` of them, or
+    at its end.
+    """
+
+    def __init__(self, most: float, least: int = LEAST_CALLS):
+        self.most, self.least = most, least
+        self.seen: dict[str, tuple[int, int, int]] = {}
+
+    def __call__(self, query: StreamingQuery, ended: bool = False) -> None:
+        run = str(query.runId)
+        last, total, failed = self.seen.get(run, (-1, 0, 0))
+        for progress in query.recentProgress:
+            counts = progress.observedMetrics.get(CALLS)
+            if counts is not None and progress.batchId > last:
+                last = progress.batchId
+                total, failed = total + counts["total"], failed + counts["failed"]
+        self.seen[run] = last, total, failed
+        if (ended or total >= self.least) and failed > self.most * total:
+            raise TooManyErrors(
+                f"{query.name}: {failed} of {total} new records without a score, "
+                f"more than {self.most:.0%}"
+            )
+
+
+Check = Callable[..., None]
+
+
+def run_in_turn(
+    starters: Iterable[Callable[[], StreamingQuery]], check: Check | None = None
+) -> list[StreamingQuery]:
+    """Start each query after the one before has ended; returns the ended queries.
+
+    ``check(query)`` is called while a query runs and ``check(query, ended=True)`` after it; an
+    error it raises stops the query.
+    """
     ended = []
     for start in starters:
         query = start()
-        query.awaitTermination()
+        try:
+            while not query.awaitTermination(POLL_SECONDS):
+                if check:
+                    check(query)
+            if check:
+                check(query, ended=True)
+        finally:
+            if query.isActive:
+                query.stop()
         ended.append(query)
     return ended
 
 
-def run_together(starters: Iterable[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
+def run_together(
+    starters: Iterable[Callable[[], StreamingQuery]], check: Check | None = None
+) -> list[StreamingQuery]:
     """Start all queries and wait for all of them.
 
-    When one fails the others are stopped and its error is raised, whichever it is.
+    When one fails, or ``check`` of one raises an error, the others are stopped and the error is
+    raised, whichever it is.
     """
     queries = [start() for start in starters]
     try:
@@ -181,9 +246,13 @@ def run_together(starters: Iterable[Callable[[], StreamingQuery]]) -> list[Strea
             for query in queries:
                 if query.exception() is not None:
                     query.awaitTermination()  # raises the error of the query
+                if check:
+                    check(query)
             time.sleep(POLL_SECONDS)
         for query in queries:
             query.awaitTermination()
+            if check:
+                check(query, ended=True)
     finally:
         for query in queries:
             if query.isActive:

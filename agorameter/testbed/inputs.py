@@ -138,11 +138,15 @@ def raw_videos(spark: SparkSession, folder: str) -> DataFrame:
     return with_channel_metadata(plain_videos(spark, folder), channels(spark, folder))
 
 
-def post_messages(spark: SparkSession, folder: str) -> DataFrame:
-    posts = tag(iso_datetimes(posts_table(spark, folder)), FACEBOOK, POSTS_SECTION)
+def as_post_messages(posts: DataFrame) -> DataFrame:
+    posts = tag(iso_datetimes(posts), FACEBOOK, POSTS_SECTION)
     return to_messages(posts, F.lit("fb_posts"), F.col("uuid"))
 
 
+def post_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return as_post_messages(posts_table(spark, folder))
+
+
 def comment_messages(spark: SparkSession, folder: str) -> DataFrame:
     comments = tag(iso_datetimes(comments_table(spark, folder)), FACEBOOK, COMMENTS_SECTION)
     return to_messages(comments, F.lit("fb_comments"), F.col("uuid"))

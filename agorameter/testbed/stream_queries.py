@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from agorameter.operators import route
+from agorameter.operators import messages, route
 from agorameter.plans import enrich
-from agorameter.schemas import DATASETS, POST_COMMENTS
+from agorameter.schemas import DATASETS, POST_COMMENTS, POSTS
 from agorameter.session import shared_folder
 from agorameter.sinks import topics as topic_sinks
 from agorameter.sources import tables, topics
-from agorameter.streaming import jobs, trends
+from agorameter.streaming import jobs, latest, trends
 from agorameter.testbed import inputs, sql
 from agorameter.testbed.registry import register, rounded
 from agorameter.testbed.report_queries import MEANS_SQL, MEAN_COLUMNS, as_day, day_sql
@@ -109,3 +109,46 @@ def stream_trend(spark, folder):
     trend = trends.streaming_trend(enrich.enrich_posts(stream, scorer()), ["candidate"])
     jobs.run_in_turn([lambda: jobs.start_table_sink(trend, f"{out}/table", f"{out}/checkpoint")])
     return rounded(as_day(spark.read.parquet(f"{out}/table")), *MEAN_COLUMNS)
+
+
+_VERSIONS = f"""
+SELECT uuid, retrieving_time, candidate FROM ({sql.POSTS})
+UNION ALL SELECT uuid, strftime(CAST(retrieving_time AS TIMESTAMP) + INTERVAL 1 DAY, '{sql.ISO}'), 'newer'
+FROM ({sql.POSTS}) WHERE CAST(uuid[5:] AS BIGINT) % 3 = 0
+UNION ALL SELECT uuid, strftime(CAST(retrieving_time AS TIMESTAMP) - INTERVAL 1 DAY, '{sql.ISO}'), 'older'
+FROM ({sql.POSTS}) WHERE CAST(uuid[5:] AS BIGINT) % 2 = 0"""
+
+
+def _versions(spark, folder) -> str:
+    """Topic files with posts, the posts again, and newer and older versions of some."""
+
+    def version(part: int, days: int, name: str):
+        def make(spark, folder):
+            posts = inputs.posts_table(spark, folder)
+            number = F.substring("uuid", 5, 20).cast("long")
+            moved = F.col("retrieving_time") + F.expr(f"INTERVAL {days} DAYS")
+            changed = posts.where(number % part == 0).withColumns(
+                {"retrieving_time": moved, "candidate": F.lit(name)}
+            )
+            return inputs.as_post_messages(changed)
+
+        return make
+
+    again = (inputs.post_messages, version(3, 1, "newer"), version(2, -1, "older"))
+    return _sent(spark, folder, inputs.post_messages, *again)
+
+
+@register(
+    f"""SELECT uuid, retrieving_time, candidate FROM ({_VERSIONS})
+        QUALIFY row_number() OVER (PARTITION BY uuid ORDER BY retrieving_time DESC) = 1"""
+)
+def stream_latest(spark, folder):
+    """Posts that came several times and in several versions: the latest one is in the table."""
+    sent, out = _versions(spark, folder), shared_folder(spark, "stream-latest")
+    parsed = messages.parse_messages(
+        topics.stream_topic_files(spark, sent, "fb_posts", max_files=1), POSTS.message
+    )
+    write = latest.latest_writer(f"{out}/table", *POSTS.key, buckets=8)
+    jobs.run_in_turn([lambda: jobs.start_batch_sink(parsed, write, f"{out}/checkpoint")])
+    table = latest.read_latest(spark, f"{out}/table", parsed.schema)
+    return table.select("uuid", "retrieving_time", "candidate")

@@ -4,14 +4,15 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from agorameter import __main__ as cli
 from agorameter.operators.messages import to_messages
-from agorameter.plans import enrich
+from agorameter.plans import enrich, reports
 from agorameter.schemas import DATASETS, POSTS
 from agorameter.sinks.topics import write_topic_files
 from agorameter.sources.topics import stream_topic_files
-from agorameter.streaming import jobs, trends
+from agorameter.streaming import jobs, latest, trends
 
 
 def send(spark, path, rows, topic="fb_posts"):
@@ -237,10 +238,104 @@ def test_command_line(spark, tmp_path):
     assert json.loads(bytes(reject.value))["reject_reason"] == "unknown platform"
 
 
-def test_failed_model_calls_are_an_error(spark, capsys):
-    rows = [(i < 10,) for i in range(100)]
-    df = spark.createDataFrame(rows, "score_error boolean")
-    cli.check_errors(df, "fb_posts", 0.1)
-    assert "10 of 100" in capsys.readouterr().out
-    with pytest.raises(SystemExit):
-        cli.check_errors(df, "fb_posts", 0.05)
+def flagged(spark, path, failing):
+    """A stream of enriched posts some of which have no score."""
+    stream = stream_topic_files(spark, path, "fb_posts", max_files=1)
+    records = enrich.enrich_posts(stream).withColumn("score_error", F.col("uuid").startswith(failing))
+    return jobs.with_call_counts(records)
+
+
+@pytest.mark.parametrize("run", ["turn", "interval"])
+def test_failed_model_calls_end_a_job(spark, tmp_path, run):
+    """Judged on new records alone, for any sink, while it runs on or at its end."""
+    source, out, checkpoint = (str(tmp_path / n) for n in ("topics", "out", "c"))
+    send(spark, source, posts("bad", 2) + posts("ok", 30))
+    trigger = jobs.AVAILABLE_NOW if run == "turn" else "1 second"
+    together = jobs.run_in_turn if run == "turn" else jobs.run_together
+
+    def starter(sink="table"):
+        records = flagged(spark, source, "bad")
+        if sink == "table":
+            return lambda: jobs.start_table_sink(records, out, checkpoint, trigger, run)
+        write = jobs.batch_folder_writer(out + "2")
+        return lambda: jobs.start_batch_sink(records, write, checkpoint + "2", trigger, run)
+
+    if run == "turn":
+        together([starter()], jobs.CallLimit(0.1))
+        send(spark, source, posts("bad", 3) + posts("ok", 2))
+        with pytest.raises(jobs.TooManyErrors, match="3 of 5"):
+            together([starter()], jobs.CallLimit(0.1))
+    with pytest.raises(jobs.TooManyErrors, match="bad|without a score"):
+        together([starter("folders")], jobs.CallLimit(0.01, least=20))
+    assert not [q for q in spark.streams.active if q.name == run]
+
+
+def test_latest_versions(spark, tmp_path):
+    """Repeats, a newer and an older version, rows without key, and a repeated batch."""
+    path = str(tmp_path / "latest")
+    write = latest.latest_writer(path, "k", "v", buckets=4)
+    names = "k string, v string, n int"
+    batches = [
+        [("a", "2", 1), ("b", "5", 1), (None, "1", 1)],
+        [("a", "2", 1), ("a", "1", 9), ("b", "6", 2), ("c", None, 1), ("c", None, 1)],
+        [("b", "3", 7), ("c", "0", 2), (None, "1", 1), ("d", "1", 1)],
+        [("e", "1", 1)],
+    ]
+    frames = [spark.createDataFrame(rows, names) for rows in batches]
+    for n in (0, 1, 1, 2, 3, 3):
+        write(frames[n], n)
+    everything = frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])
+    expected = sorted(map(tuple, reports.latest_snapshot(everything, "k", "v").collect()), key=str)
+    assert sorted(map(tuple, latest.read_latest(spark, path).collect()), key=str) == expected
+    assert expected == sorted(
+        [("a", "2", 1), ("b", "6", 2), ("c", "0", 2), ("d", "1", 1), ("e", "1", 1)]
+        + [(None, "1", 1)] * 2, key=str
+    )
+    assert latest.drop_replaced(spark, path) > 0 and latest.drop_replaced(spark, path) == 0
+    assert sorted(map(tuple, latest.read_latest(spark, path).collect()), key=str) == expected
+
+
+def test_latest_arrival_without_versions(spark, tmp_path):
+    path = str(tmp_path / "latest")
+    write = latest.latest_writer(path, "k", buckets=2)
+    for n, value in enumerate("xyz"):
+        write(spark.createDataFrame([("a", value), (value, value)], "k string, v string"), n)
+    found = latest.read_latest(spark, path).select("k", "v").collect()
+    assert sorted(map(tuple, found)) == [("a", "z"), ("x", "x"), ("y", "y"), ("z", "z")]
+    empty = latest.read_latest(spark, str(tmp_path / "none"), StructType().add("k", "string"))
+    assert empty.count() == 0
+
+
+def test_enrich_latest_and_distinct(spark, tmp_path):
+    source = str(tmp_path / "topics")
+    for version, text in (("1", "good"), ("3", "great"), ("2", "bad"), ("3", "great")):
+        rows = [("a", version, "2024-09-01T00:00:00", text)]
+        send(spark, source, rows)
+    for flag, extra in (("latest", ["--buckets", "2"]), ("distinct", [])):
+        out, value = str(tmp_path / flag), ["1 day"] if flag == "distinct" else []
+        cli.main(["enrich", "--dataset", "fb_posts", "--topics", source, "--out", out, "--max-files", "1",
+                  "--checkpoint", f"{tmp_path}/c-{flag}", f"--{flag}", *value, *extra])
+    (kept,) = latest.read_latest(spark, f"{tmp_path}/latest/fb_posts").collect()
+    assert (kept.retrieving_time, kept.content) == ("3", "great")
+    distinct = spark.read.parquet(f"{tmp_path}/distinct/fb_posts").collect()
+    assert sorted(r.retrieving_time for r in distinct) == ["1", "2", "3"]
+    with pytest.raises(SystemExit, match="--out"):
+        cli.main(["enrich", "--dataset", "fb_posts", "--topics", source, "--search", "x",
+                  "--checkpoint", str(tmp_path / "c"), "--latest"])
+
+
+def test_files_that_vanish(spark, tmp_path):
+    """A stream whose source files are gone goes on with those that are there."""
+    source, out = str(tmp_path / "topics"), str(tmp_path / "out")
+
+    def run():
+        stream = enrich.enrich_posts(stream_topic_files(spark, source, "fb_posts"))
+        jobs.run_in_turn([lambda: jobs.start_table_sink(stream, out, str(tmp_path / "c"))])
+        return spark.read.parquet(out).count()
+
+    send(spark, source, posts("a", 2))
+    assert run() == 2
+    for file in (tmp_path / "topics" / "topic=fb_posts").glob("*.parquet"):
+        file.unlink()
+    send(spark, source, posts("b", 3))
+    assert run() == 5
