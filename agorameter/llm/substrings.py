@@ -31,7 +31,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from agorameter.llm.common import cut, id_filter, maybe_among, prepare
+from agorameter.llm.common import among, cut, id_filter, maybe_among, prepare, slot
 from agorameter.llm.words import SPACES, mix, window_hashes, word_hashes
 
 WINDOW = 20
@@ -247,17 +247,24 @@ def remove_repeats(
     carried = [F.lit(0).alias("__"), *(F.col(c) for c in columns if digest or c != text)]
     own = F.struct(*carried).alias("own")
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("data"), own)
-    among = maybe_among(id_filter(starts, "key"), "key")
-    apart = rows.where(~among).select(
-        "*",
+    bitmap = id_filter(starts, "key")
+    # Rows that stay as they are are left out or kept by the function that makes the result: a
+    # filter before it would be a second Python worker in the same task.
+    apart = rows.select(
+        "data",
         F.lit(None).cast("array<int>").alias("starts"),
         F.lit(None).cast("boolean").alias("copy"),
+        "own",
+        slot("key").alias("slot"),
+    )
+    met = _joined(rows.where(maybe_among(bitmap, "key")), starts, "left").select(
+        "data", "starts", "copy", "own"
     )
-    met = _joined(rows.where(among), starts, "left").select("key", "data", "own", "starts", "copy")
-    both = apart.unionByName(met).select("data", "starts", "copy", "own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if batch.num_columns == 5:
+                batch = batch.filter(pa.array(~among(bitmap, batch.column(4).to_numpy())))
             sizes, removed, kept = [], [], []
             for data, first, copy in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 words = (data or b"").translate(SPACES).split()
@@ -283,9 +290,9 @@ def remove_repeats(
             arrays = [batch.column(3), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), last]
             yield pa.RecordBatch.from_arrays(arrays, names=("own", "n_words", "n_removed", "kept"))
 
-    schema = both.select("own").schema.add("n_words", "long").add("n_removed", "long")
+    schema = apart.select("own").schema.add("n_words", "long").add("n_removed", "long")
     schema = schema.add("kept", "string" if digest else "binary")
-    result = both.mapInArrow(run, schema)
+    result = apart.mapInArrow(run, schema).unionByName(met.mapInArrow(run, schema))
     if digest:
         last = F.col("kept").alias("kept_sha256")
         return result.select(*(F.col(f"own.`{c}`") for c in columns), "n_words", "n_removed", last)
