@@ -20,8 +20,8 @@ from agorameter.operators.normalize import (
 )
 from agorameter.plans.enrich import enrich
 from agorameter.plans.ingest import ingest, with_reject_topic
-from agorameter.schemas import COMMENTS_SECTION, DATASETS, POSTS_SECTION
-from agorameter.session import build_session
+from agorameter.schemas import COMMENTS_SECTION, DATASETS, POSTS_SECTION, RAW_VIDEO
+from agorameter.session import build_session, remove_folder, shared_folder
 from agorameter.sinks.files import write_channel_files
 from agorameter.sinks.topics import write_topic_files, write_topics
 from agorameter.sources.files import (
@@ -29,8 +29,7 @@ from agorameter.sources.files import (
     INDENTED,
     read_flat_comments,
     read_flat_videos,
-    read_json_rejects,
-    read_raw_videos,
+    read_json_marked,
 )
 from agorameter.sources.tables import (
     hash_predicates,
@@ -98,18 +97,29 @@ def arguments() -> argparse.ArgumentParser:
 
 
 def run_flatten(spark: SparkSession, args: argparse.Namespace) -> None:
-    found = read_raw_videos(
-        spark, args.raw, args.form, strict=not args.rejects, long_counts=True
-    )
+    """The files are read and parsed once, into a table that all outputs read."""
+    stage = shared_folder(spark, "flatten")
+    found = read_json_marked(spark, args.raw, RAW_VIDEO, args.form, long_counts=True)
+    if not args.rejects:
+        told = F.concat(
+            F.lit(f"not a record of form {args.form} in "), "file", F.lit(": "), F.substring("raw", 1, 200)
+        )
+        reason = F.when(F.col("reason").isNotNull(), F.raise_error(told).cast("string"))
+        found = found.withColumn("reason", reason)
+    found.write.parquet(stage)
+    staged = spark.read.schema(found.schema).parquet(stage)
+    records = staged.where("reason IS NULL").select("data.*")
     if args.rejects:
         reason = F.lit("extraction failed").alias("reason")
-        failed = failed_videos(found).select(reason, F.to_json(F.struct(*found.columns)).alias("raw"))
-        unreadable = read_json_rejects(spark, args.raw, args.form)
+        raw = F.to_json(F.struct(*records.columns)).alias("raw")
+        failed = failed_videos(records).select(reason, raw)
+        unreadable = staged.where("reason IS NOT NULL").select("file", "reason", "raw")
         rejects = unreadable.unionByName(failed, allowMissingColumns=True)
-        rejects.write.mode("append").parquet(args.rejects)
-    videos = usable_videos(found)
+        rejects.write.mode("overwrite").parquet(args.rejects)
+    videos = usable_videos(records)
     write_channel_files(flatten_videos(videos), args.videos)
     write_channel_files(flatten_comments(videos), args.video_comments)
+    remove_folder(spark, stage)
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -40,6 +40,12 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder, in whatever store it is; false if there was none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 #: Partitions that a user asks for inputs of too few splits, such as one small file.
 INPUT_PARTITIONS = "agorameter.inputPartitions"
 
@@ -51,3 +57,22 @@ def spread(df: DataFrame) -> DataFrame:
     """
     wanted = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
     return df.repartition(int(wanted)) if wanted and not df.isStreaming else df
+
+
+def shipped(spark: SparkSession) -> None:
+    """Make the package importable in the Python workers, wherever the driver was started."""
+    import shutil
+    import tempfile
+    from pathlib import Path
+
+    import agorameter
+
+    if getattr(spark.sparkContext, "_agorameter_shipped", False):
+        return
+    # Only staged here: the driver serves the file to all workers.
+    root = Path(agorameter.__file__).parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='agorameter-')}/agorameter", "zip", root.parent, root.name
+    )
+    spark.sparkContext.addPyFile(archive)
+    spark.sparkContext._agorameter_shipped = True

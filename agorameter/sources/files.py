@@ -10,9 +10,11 @@ from pyspark.sql.types import ArrayType, StructType
 
 from agorameter.functions.text import strip_whitespace
 from agorameter.schemas import FLAT_VIDEO, FLAT_VIDEO_COMMENT, RAW_VIDEO, with_long_counts
+from agorameter.sources.arrays import read_array_texts
 
-#: One array per file, one record per line, or an array pretty-printed record by record.
-ARRAY, LINES, INDENTED = FORMS = ("array", "lines", "indented")
+#: One array per file, one record per line, an array pretty-printed record by record, or an
+#: array of any layout that many tasks read in parts.
+ARRAY, LINES, INDENTED, SPLIT = FORMS = ("array", "lines", "indented", "split")
 
 
 def read_json_records(
@@ -31,7 +33,7 @@ def read_json_records(
     by :func:`read_json_rejects`. A field of the wrong type becomes NULL.
 
     An ``array`` file cannot be split and lies in the memory of one task; the other forms are
-    read in parts. ``long_counts`` reads counters as 64-bit integers. Columns that stem from
+    read in parts. ``split`` reads arrays of any layout, at the cost of scanning them before. ``long_counts`` reads counters as 64-bit integers. Columns that stem from
     folder names are left out; ``_metadata.file_name`` comes along for
     :func:`with_file_channel`.
     """
@@ -63,11 +65,39 @@ def read_json_rejects(
     )
 
 
+def read_json_marked(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: StructType,
+    form: str = INDENTED,
+    long_counts: bool = False,
+) -> DataFrame:
+    """``file, data, reason, raw`` of every text: a record, or why it is none and the text.
+
+    Both come from one scan, so a job that keeps rejects beside records writes this table
+    once and reads its columns as often as it likes.
+    """
+    schema = with_long_counts(schema) if long_counts else schema
+    texts = _texts(spark, paths, form).withColumn("good", _is_record(form))
+    raw = F.when(~F.col("good"), F.col("value")).alias("raw")
+    reason = F.when(F.col("good"), None).when(F.try_parse_json("value").isNull(), "not JSON")
+    reason = reason.otherwise(f"not of form {form}").alias("reason")
+    value = F.when(F.col("good"), F.col("value"))
+    if form == ARRAY:
+        found = F.explode_outer(F.from_json(value, ArrayType(schema)))
+        rows = texts.select("file", found.alias("data"), reason, raw, "good")
+        # An empty array has no record; a reject keeps its row.
+        return rows.where("data IS NOT NULL OR NOT good").drop("good")
+    return texts.select("file", F.from_json(value, schema).alias("data"), reason, raw)
+
+
 def _texts(spark: SparkSession, paths: str | Sequence[str], form: str) -> DataFrame:
     """``file, value``: the text of each record, or of each array; ``begun``: it begins like one."""
     if form not in FORMS:
         raise ValueError(f"form has to be one of {FORMS}")
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if form == SPLIT:
+        return read_array_texts(spark, paths)
     file = F.col("_metadata.file_path").alias("file")
     if form == INDENTED:
         return _indented_texts(spark.read.option("lineSep", "\n    },\n").text(paths), file)

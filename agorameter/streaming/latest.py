@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from agorameter.plans.reports import latest_snapshot
+from agorameter.session import remove_folder
 
 #: The version of records that have none of their own: the batch they came with.
 ARRIVAL = "_arrival"
@@ -117,7 +118,5 @@ def drop_replaced(spark: SparkSession, path: str) -> int:
     dropped = 0
     for row in all_written:
         if row[BATCH] < current[row.bucket]:
-            folder = f"{path}/data/{BATCH}={row[BATCH]}/{BUCKET}={row.bucket}"
-            target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            dropped += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            dropped += remove_folder(spark, f"{path}/data/{BATCH}={row[BATCH]}/{BUCKET}={row.bucket}")
     return dropped

@@ -146,3 +146,12 @@ def exported_table(spark, folder):
     path = shared_folder(spark, "export")
     inputs.posts_table(spark, folder).write.parquet(path)
     return tables.read_exported_table(spark, path).select("uuid", "candidate", "like", "love")
+
+
+@register(_NESTED_SQL)
+def split_arrays(spark, folder):
+    """One array per file without line ends, each file read in parts by several tasks."""
+    path, videos = shared_folder(spark, "split"), inputs.raw_videos(spark, folder)
+    _write_arrays(videos, F.to_json(F.struct(*videos.columns)), " ", path)
+    found = _comments_and_votes(files.read_raw_videos(spark, path, files.SPLIT))
+    return found

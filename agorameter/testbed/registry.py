@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agorameter.schemas import SENTIMENTS
+from agorameter.session import shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+__all__ = ["Entry", "REGISTRY", "register", "rounded", "shipped"]
+
+
 class Entry(NamedTuple):
     query: Query
     sql: str | None
@@ -34,22 +38,3 @@ def register(twin: str | None = None) -> Callable[[Query], Query]:
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
     """Six decimals, so that both engines print the same value."""
     return df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in columns or SENTIMENTS})
-
-
-def shipped(spark: SparkSession) -> None:
-    """Make the package importable in the Python workers, wherever the driver was started."""
-    import shutil
-    import tempfile
-    from pathlib import Path
-
-    import agorameter
-
-    if getattr(spark.sparkContext, "_agorameter_shipped", False):
-        return
-    # Only staged here: the driver serves the file to all workers.
-    root = Path(agorameter.__file__).parent
-    archive = shutil.make_archive(
-        f"{tempfile.mkdtemp(prefix='agorameter-')}/agorameter", "zip", root.parent, root.name
-    )
-    spark.sparkContext.addPyFile(archive)
-    spark.sparkContext._agorameter_shipped = True

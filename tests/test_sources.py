@@ -53,6 +53,77 @@ def test_indented_arrays_are_read_in_parts(spark, tmp_path):
     assert parts.schema.simpleString() == RAW_VIDEO.simpleString()
 
 
+LAYOUTS = {
+    "compact": {"separators": (",", ":")},
+    "plain": {},
+    "two": {"indent": 2},
+    "tabs": {"indent": "\t"},
+    "none": {"indent": 0},
+    "crlf": {"indent": 4},
+}
+
+
+@pytest.mark.parametrize("size", ["400", "3000", "100000"])
+def test_arrays_of_any_layout_are_read_in_parts(spark, tmp_path, size):
+    """Parts far smaller than a record, and larger ones, give what a JSON library reads."""
+    hard = ['}', '"}', '\\\\', '\\"}{[', ']}]', 'é😀}', "},\n {", '\\u007d', ""]
+
+    def video(i):
+        comments = [{"cid": f"{i}-{j}", "text": hard[(i + j) % 9] * (1 + i % 3), "votes": j} for j in range(i % 4)]
+        return {"id_video": f"{i}{hard[i % 9]}", "title": hard[-i % 9], "views": i, "comments": comments}
+
+    records = [video(i) for i in range(18)]
+    records.append({"id_video": "large", "fullText": "x}" * 300, "comments": []})
+    for name, layout in LAYOUTS.items():
+        text = json.dumps(records, ensure_ascii=name == "plain", **layout)
+        text = text.replace("\n", "\r\n") + "\r\n" if name == "crlf" else text
+        (tmp_path / f"{name}.json").write_bytes(text.encode("utf-8-sig" if name == "two" else "utf-8"))
+    (tmp_path / "empty.json").write_text("[ ]")
+    (tmp_path / "blank.json").write_text(" \n")
+    setting = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(setting, size)
+    try:
+        found = files.read_raw_videos(spark, f"{tmp_path}/*.json", files.SPLIT)
+        assert size != "400" or found.rdd.getNumPartitions() > 50
+        rows = [r.asDict(recursive=True) for r in found.collect()]
+        assert files.read_json_rejects(spark, f"{tmp_path}/*.json", files.SPLIT).count() == 0
+    finally:
+        spark.conf.unset(setting)
+    whole = [{n: r.get(n) for n in RAW_VIDEO.names} for r in records]
+    for record in whole:
+        names = RAW_VIDEO["comments"].dataType.elementType.names
+        record["comments"] = [{n: c.get(n) for n in names} for c in record["comments"]]
+    assert sorted(map(repr, rows)) == sorted(map(repr, whole * len(LAYOUTS)))
+
+
+def test_rejects_of_split_arrays(spark, tmp_path):
+    texts = {
+        "lines": '{"id_video": "a"}\n{"id_video": "b"}',
+        "comma": '[{"id_video": "c"} {"id_video": "d"}, {"id_video": "e"}]',
+        "open": '[{"id_video": "f"}, {"id_video": ',
+        "after": '[{"id_video": "g"}] more',
+        "value": '[{"id_video": "h"}, 5, {"id_video": "i"}, 6]',
+        "broken": '[{"id_video": "j"}, {"id_video": k}, {"id_video": "l"}]',
+        "ended": '[{"id_video": "m"}',
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    good = files.read_flat_videos(spark, str(tmp_path), files.SPLIT, strict=False)
+    assert {r.id_video for r in good.collect()} == set("cefghjlm")
+    rejects = files.read_json_rejects(spark, str(tmp_path), files.SPLIT).collect()
+    found = sorted((r.file.split("/")[-1][:-5], r.raw) for r in rejects)
+    assert found == [
+        ("after", "] more"), ("broken", '{"id_video": k}'), ("comma", '{"id_video": "d"}'),
+        ("ended", ""), ("lines", '{"id_video": "a"'), ("open", ', {"id_video":'), ("value", ", 6]"),
+        ("value", '5, {"id_video": "i"}'),
+    ]
+    with pytest.raises(Exception, match="not a record of form split"):
+        files.read_flat_videos(spark, str(tmp_path), files.SPLIT).collect()
+    marked = files.read_json_marked(spark, str(tmp_path), FLAT_VIDEO, files.SPLIT).collect()
+    assert sorted(r.data.id_video for r in marked if r.reason is None) == sorted("cefghjlm")
+    assert sorted(r.raw for r in marked if r.reason) == sorted(r.raw for r in rejects)
+
+
 def test_other_arrays_are_not_taken_for_indented_ones(spark, tmp_path):
     (tmp_path / "ABC.json").write_text('[{"id_video": "a"}, {"id_video": "b"}]')
     with pytest.raises(Exception, match="not a record of form indented"):
