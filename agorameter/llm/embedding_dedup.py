@@ -1,24 +1,28 @@
-"""Near-duplicate vectors by heads of random signs, with a bound on what is missed.
+"""Near-duplicate vectors by sorted projection passes.
 
-In each pass a vector gets a head of a few random hyperplane signs, and all vectors that share
-a head are compared. The number of vectors sets the length of a head, and that sets the number
-of passes: a pair at the threshold shares no head with chance ``MISS`` or less, however many
-vectors there are and however dense they lie, and a nearer pair with a smaller one. Few vectors
-have a head without signs, so all pairs are compared. A head that many vectors share is dealt
-out in tiles of bounded size, all of which meet. A tile emits a spanning forest of its pairs, not
-all of them. Components are then completed: all pairs inside a component are counted, in tiles
-of bounded size.
+In each pass a vector gets a code of random hyperplane signs, and all vectors are ordered by
+their codes. Each is compared with the ``NEXT`` ones after it in the order, and its window widens
+over the whole run of vectors that share the head of its code. The number of vectors sets the
+length of a head, and that sets the number of passes: a pair at the threshold shares no head
+with chance ``MISS`` or less, however many vectors there are and however dense they lie, and
+a nearer pair with a smaller one.
+
+The order is cut into blocks of a fixed size. A block is compared within itself, with the first
+ones of the next block as context, and, where a run goes on, with the other blocks of the run, one
+pair of blocks to a task; so a task is bounded however long a run is. It emits a spanning forest
+of its verified pairs, not all of them, and the passes' pairs are united. Components are then
+completed: all pairs inside a component are counted, in tiles of bounded size.
 
 Nulls and edge cases: vectors that are null, zero or hold null or non-finite components link
 with nothing, as do rows without an id (component null); vectors of different lengths don't
 link; equal vectors are compared once, as a class with its number of ids; rows that share an id
-count as one; labels and other columns are not read.
+count as one; an empty table gives no row; labels and other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,7 +37,12 @@ from agorameter.llm.graph import components
 MISS = 0.001
 #: Vectors that share a head on average, at most, if they lie at random.
 MEAN = 512
-#: Vectors with one head that meet in one tile, on either side, and rows compared at a time.
+#: Signs of a code, and of a head at least.
+BITS = 48
+LEAST_HEAD = 4
+#: Each vector is compared with so many after it, whatever their heads.
+NEXT = 32
+#: Vectors of a block of the order, and rows compared at a time.
 BLOCK = 4096
 SLAB = 256
 #: Members of a component that meet in one tile, on either side.
@@ -61,21 +70,17 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 def plan(n: int, threshold: float) -> tuple[int, int]:
     """Signs of a head, and passes, for ``n`` vectors."""
-    bits = max(0, math.ceil(math.log2(max(n, 1) / MEAN)))
-    share = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** bits
-    if share >= 1:
-        return bits, 1
-    if share <= 0:
-        return 0, 1
-    return bits, math.ceil(math.log(MISS) / math.log1p(-share))
+    head = min(BITS, max(LEAST_HEAD, math.ceil(math.log2(max(n, 1) / MEAN))))
+    share = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** head
+    return head, 1 if share >= 1 else math.ceil(math.log(MISS) / math.log1p(-max(share, 1e-6)))
 
 
-def heads(x: np.ndarray, bits: int, passes: int) -> Iterator[np.ndarray]:
-    """The head of each vector, pass by pass."""
+def codes(x: np.ndarray, passes: int) -> Iterator[np.ndarray]:
+    """The code of each vector, pass by pass; the first sign is the highest bit."""
     chance = np.random.default_rng((SEED, x.shape[1]))
-    weights = np.int64(1) << np.arange(bits, dtype=np.int64)
+    weights = np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64)
     for _ in range(passes):
-        yield ((x @ chance.standard_normal((x.shape[1], bits))) >= 0) @ weights
+        yield ((x @ chance.standard_normal((x.shape[1], BITS))) >= 0) @ weights
 
 
 def forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -117,56 +122,130 @@ def linked(x: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float)
     return forest(found)
 
 
-def near_edges(classes: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b)``: pairs that connect all vectors found near each other."""
+def _ordered(classes: DataFrame, head: int, passes: int) -> DataFrame:
+    """``rank, size, pass, head, key, vector``: the place of each vector in the order of all passes."""
     kind = classes.schema["key"].dataType.simpleString()
     vector = classes.schema["vector"].dataType.simpleString()
-    bits, passes = plan(classes.count(), threshold)
-
-    def dealt(whole: bool) -> DataFrame:
-        """``size, pass, head`` of each vector and pass, and ``whole`` with key and vector."""
-
-        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                sizes = batch.column(2).to_numpy()
-                for size in np.unique(sizes):
-                    part = batch.take(pa.array(np.flatnonzero(sizes == size)))
-                    made = heads(unit(matrix(part.column(1), int(size))), bits, passes)
-                    for p, head in enumerate(made):
-                        columns = {"size": part.column(2), "pass": pa.array(np.full(len(head), p, np.int32)), "head": pa.array(head)}
-                        if whole:
-                            columns |= {"key": part.column(0), "vector": part.column(1)}
-                        yield pa.RecordBatch.from_pydict(columns)
-
-        schema = "size int, pass int, head long" + f", key {kind}, vector {vector}" * whole
-        return classes.select("key", "vector", F.size("vector").alias("size")).mapInArrow(deal, schema)
-
-    same = ["size", "pass", "head"]
-    large = dealt(False).groupBy(*same).agg(F.count("*").alias("members")).where(F.col("members") > BLOCK)
-    tiles = F.coalesce(F.ceil(F.col("members") / BLOCK).cast("int"), F.lit(1))
-    own = F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int")
-    tiled = (
-        dealt(True)
-        .join(large, same, "left")
-        .withColumn("tiles", tiles)
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .withColumn("low", F.least("own", "other"))
-        .withColumn("high", F.greatest("own", "other"))
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(2).to_numpy()
+            for size in np.unique(sizes):
+                part = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                for p, made in enumerate(codes(unit(matrix(part.column(1), int(size))), passes)):
+                    number = pa.array(np.full(len(made), p, np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(2), number, pa.array(made), part.column(0), part.column(1)],
+                        names=("size", "pass", "code", "key", "vector"),
+                    )
+
+    schema = f"size int, pass int, code long, key {kind}, vector {vector}"
+    coded = classes.select("key", "vector", F.size("vector").alias("size")).mapInArrow(code, schema)
+    order = ["size", "pass", "code", "key"]
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = coded.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ordered = cut(dealt.withColumn("row", F.monotonically_increasing_id()))
+    # The row number holds the partition and the place in it; sizes of partitions give the rank.
+    part = F.shiftright("row", 33)
+    sizes = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()
+    firsts, total = {}, 0
+    for row in sizes:
+        firsts[row.part], total = total, total + row.n
+    first = F.element_at(F.create_map(*(F.lit(x) for pair in firsts.items() for x in pair)), part)
+    place = F.col("row").bitwiseAND(F.lit((1 << 33) - 1))
+    rank = (first + place) if firsts else place
+    return ordered.select(
+        rank.cast("long").alias("rank"),
+        "size",
+        "pass",
+        F.shiftright("code", BITS - head).alias("head"),
+        "key",
+        "vector",
+    )
+
+
+def near_edges(classes: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: verified pairs that connect all vectors found near each other."""
+    kind = classes.schema["key"].dataType.simpleString()
+    ranked = _ordered(classes, *plan(classes.count(), threshold))
+    block = F.floor(F.col("rank") / BLOCK)
+    run = ["size", "pass", "head"]
+    # Runs over several blocks, by block: no block has more than a block's rows of one.
+    wide = (
+        ranked.groupBy(*run)
+        .agg(F.min(block).alias("from"), F.max(block).alias("to"))
+        .where(F.col("from") < F.col("to"))
+        .withColumn("block", F.explode(F.sequence("from", "to")))
+    )
+    own = F.col("block")
+
+    def pair(low: Column, high: Column) -> Column:
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    def pairs(blocks: Column, of: Callable[[Column], Column]) -> Column:
+        return F.coalesce(F.transform(blocks, of), F.array().cast("array<struct<low:bigint,high:bigint>>"))
+
+    context = (F.col("rank") % BLOCK < NEXT) & (own > 0)
+    earlier = F.when(F.col("from") < own, F.sequence(F.col("from"), own - 1))
+    later = F.when(own < F.col("to"), F.sequence(own + 1, F.col("to")))
+    met = F.concat(
+        F.array(pair(own, own)),
+        pairs(F.when(context, F.array(own - 1)), lambda b: pair(b, b)),
+        pairs(earlier, lambda b: pair(b, own)),
+        pairs(later, lambda b: pair(own, b)),
+    )
+    dealt = (
+        ranked.withColumn("block", block)
+        .join(wide, [*run, "block"], "left")
+        .select("rank", *run, "key", "vector", F.inline(met))
+        .repartition("low", "high")
     )
 
     def compare(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("rank")
         low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
-        x = unit(matrix(rows["vector"].combine_chunks(), rows["size"][0].as_py()))
-        own = rows["own"].to_numpy()
-        left = np.flatnonzero(own == low)
-        right = left if low == high else np.flatnonzero(own == high)
-        kept = np.array(linked(x, left, right, threshold), dtype=np.int64).reshape(-1, 2)
+        rank, size = rows["rank"].to_numpy(), rows["size"].to_numpy()
+        run_of = np.stack([rows[c].to_numpy() for c in run])
+        found: list[tuple[int, int]] = []
+        for length in np.unique(size):
+            places = np.flatnonzero(size == length)
+            x = unit(matrix(rows["vector"].combine_chunks().take(pa.array(places)), int(length)))
+            at, of = rank[places] // BLOCK, run_of[:, places]
+            if low != high:
+                near = linked(x, np.flatnonzero(at == low), np.flatnonzero(at == high), threshold)
+            else:
+                near = neighbours(x, of, int((at == low).sum()), threshold)
+            found += [(int(places[i]), int(places[j])) for i, j in near]
+        kept = np.array(found, dtype=np.int64).reshape(-1, 2)
         keys = rows["key"].combine_chunks()
         return pa.table({"a": keys.take(pa.array(kept[:, 0])), "b": keys.take(pa.array(kept[:, 1]))})
 
-    groups = tiled.select(*same, "low", "high", "own", "key", "vector").groupBy(*same, "low", "high")
-    return groups.applyInArrow(compare, f"a {kind}, b {kind}")
+    return dealt.groupBy("low", "high").applyInArrow(compare, f"a {kind}, b {kind}")
+
+
+def neighbours(
+    x: np.ndarray, runs: np.ndarray, own: int, threshold: float
+) -> list[tuple[int, int]]:
+    """Near pairs in windows over rows in order; the first ``own`` are the block's, the rest context.
+
+    ``runs`` has a column of length, pass and head for each row. A window never leaves its pass.
+    """
+    found: list[tuple[int, int]] = []
+    borders = np.flatnonzero((runs[:, 1:own] != runs[:, : own - 1]).any(axis=0)) + 1 if own > 1 else []
+    edges = [0, *borders, own]
+    for start, end in zip(edges[:-1], edges[1:], strict=True):
+        if end - start > 1:
+            places = np.arange(start, end)
+            found += linked(x, places, places, threshold)
+    for ahead in range(1, min(NEXT, len(x) - 1) + 1):
+        left = np.arange(min(own, len(x) - ahead))
+        right = left + ahead
+        # Of one pass, but not of one run, which has been compared.
+        new = (runs[1, left] == runs[1, right]) & ((runs[2, left] != runs[2, right]) | (right >= own))
+        left, right = left[new], right[new]
+        near = np.einsum("ij,ij->i", x[left], x[right]) >= threshold
+        found += zip(left[near].tolist(), right[near].tolist(), strict=True)
+    return forest(found)
 
 
 def _links(members: DataFrame, threshold: float, kind: str) -> DataFrame:
@@ -198,7 +277,9 @@ def _links(members: DataFrame, threshold: float, kind: str) -> DataFrame:
                 total[right] += ids[part] @ near
         return pd.DataFrame({"key": keys, "links": total})
 
-    counted = dealt.groupBy("component", "low", "high").applyInPandas(count, f"key {kind}, links long")
+    # By the whole key: the rows come dealt out by component, which would keep one in one task.
+    tile = ["component", "low", "high"]
+    counted = dealt.repartition(*tile).groupBy(*tile).applyInPandas(count, f"key {kind}, links long")
     return counted.groupBy("key").agg(F.sum("links").alias("links"))
 
 
@@ -210,8 +291,8 @@ def deduplicate(
 ) -> DataFrame:
     """``key, n_links, component_id, kept`` of each row.
 
-    Found are pairs that share a head, all but ``MISS`` of those at the threshold, and all pairs
-    inside the components that these connect.
+    Found are pairs that are neighbours in the order of a pass or share a head there, all but
+    ``MISS`` of those at the threshold, and all pairs inside the components that these connect.
     """
     prepare(vectors.sparkSession)
     kind = vectors.schema[key].dataType.simpleString()

@@ -5,7 +5,16 @@ import numpy as np
 import pytest
 
 from agorameter.llm import embedding_dedup, queries, sql
-from agorameter.llm.embedding_dedup import MEAN, MISS, deduplicate, forest, plan
+from agorameter.llm.embedding_dedup import (
+    LEAST_HEAD,
+    MEAN,
+    MISS,
+    NEXT,
+    deduplicate,
+    forest,
+    neighbours,
+    plan,
+)
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -86,9 +95,34 @@ def test_forest():
 
 @pytest.mark.parametrize("n", [1, 500, 50_000, 10**6, 5 * 10**7, 10**10])
 def test_the_miss_bound_holds_at_every_size(n):
-    bits, passes = plan(n, 0.9)
-    assert n / 2**bits <= MEAN
-    assert (1 - (1 - np.arccos(0.9) / np.pi) ** bits) ** passes <= MISS
+    head, passes = plan(n, 0.9)
+    assert head >= LEAST_HEAD and n / 2**head <= MEAN
+    assert (1 - (1 - np.arccos(0.9) / np.pi) ** head) ** passes <= MISS
+
+
+def test_windows_and_runs():
+    """All pairs of a run, and the next ones beyond it, but not those of another pass."""
+    chance = np.random.default_rng(3)
+    x = embedding_dedup.unit(chance.standard_normal((200, 4)))
+    runs = np.stack((np.full(200, 4), np.arange(200) // 120, np.arange(200) // 20))
+    own = 150
+    found = neighbours(x, runs, own, 0.5)
+    expected = [
+        (i, j)
+        for i in range(own)
+        for j in range(i + 1, 200)
+        if runs[1, i] == runs[1, j] and x[i] @ x[j] >= 0.5
+        and ((runs[2, i] == runs[2, j] and j < own) or j - i <= NEXT)
+    ]
+
+    def groups(pairs):
+        label = list(range(200))
+        for _ in range(200):
+            for a, b in pairs:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    assert set(found) and groups(found) == groups(expected)
 
 
 def test_pairs_in_a_dense_group(spark, monkeypatch):
