@@ -192,11 +192,22 @@ def latest_snapshot(
     shuffled again. Records without a key, such as those of malformed messages, are all kept. Spark keeps one
     row per key in every input partition before it shuffles.
     """
-    ties = [F.asc(f"`{c}`") for c in df.columns if c not in (key, version, *within)]
+    return with_place(df, key, version, within).filter("_place = 1").drop("_place")
+
+
+def with_place(
+    df: DataFrame, key: str, version: str, within: Sequence[str] = (), last: Sequence[str] = ()
+) -> DataFrame:
+    """Each row with its place among the versions of its key, 1 for the latest.
+
+    ``last`` names the columns that settle equal versions after all others.
+    """
+    known = (key, version, *within, *last)
+    ties = [F.asc(f"`{c}`") for c in df.columns if c not in known] + [F.asc(c) for c in last]
     alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     order = Window.partitionBy(*within, key, "_alone").orderBy(F.desc(version), *ties)
     placed = df.withColumn("_alone", alone).withColumn("_place", F.row_number().over(order))
-    return placed.filter("_place = 1").drop("_place", "_alone")
+    return placed.drop("_alone")
 
 
 def mood_by_parent(comments: DataFrame, parent: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
-from agorameter.plans.reports import latest_snapshot
+from agorameter.plans.reports import latest_snapshot, with_place
 from agorameter.session import remove_folder
 
 #: The version of records that have none of their own: the batch they came with.
@@ -65,14 +65,31 @@ def _stored(
     return reader.schema(wide).parquet(*folders).select(*wide.names)
 
 
+#: 1 for a version that entered the table with a batch, -1 for the one it replaced.
+SIGN = "_sign"
+
+
+def _changes(both: DataFrame) -> DataFrame:
+    """What a batch changed: new winners, and old ones that lost; repeats change nothing."""
+    entered = F.col("_place") == 1
+    sign = F.when(entered & F.col("_new"), 1).when(~entered & ~F.col("_new"), -1)
+    return both.withColumn(SIGN, sign).where(F.col(SIGN).isNotNull()).drop("_place", "_new", BUCKET)
+
+
 def latest_writer(
-    path: str, key: str, version: str | None = None, buckets: int = 64
+    path: str,
+    key: str,
+    version: str | None = None,
+    buckets: int = 64,
+    changed: Callable[[DataFrame, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A repeatable batch writer for ``start_batch_sink``: one row per key, the latest version.
 
     Without ``version`` a later batch wins. Equal versions are settled by the other columns,
     rows without a key are all kept. ``buckets`` is fixed by the first batch of a table; choose
-    it so that a bucket of the full table is read and written by one task.
+    it so that a bucket of the full table is read and written by one task. ``changed(rows,
+    batch_id)`` gets the rows that entered and left the table, with :data:`SIGN`, before the
+    batch is committed; it has to be repeatable.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -88,10 +105,17 @@ def latest_writer(
             touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
             present = {b: known[b][0] for b in touched if b in known}
             old = _stored(spark, path, present, batch.schema)
-            both = old.unionByName(rows).repartition(max(1, len(touched)), BUCKET)
-            merged = latest_snapshot(both, key, order, within=(BUCKET,))
+            both = old.withColumn("_new", F.lit(False)).unionByName(rows.withColumn("_new", F.lit(True)))
+            both = both.repartition(max(1, len(touched)), BUCKET)
+            placed = with_place(both, key, order, within=(BUCKET,), last=("_new",))
+            if changed:
+                placed = placed.persist()
+            merged = placed.where("_place = 1").drop("_place", "_new")
             target = merged.write.mode("overwrite").partitionBy(BUCKET)
             target.parquet(f"{path}/data/{BATCH}={batch_id}")
+            if changed:
+                changed(_changes(placed), batch_id)
+                placed.unpersist()
             done = spark.createDataFrame([(b, count) for b in touched], "bucket int, buckets int")
             done.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/{BATCH}={batch_id}")
         finally:
@@ -106,6 +130,11 @@ def read_latest(spark: SparkSession, path: str, schema: StructType | None = None
     return _stored(spark, path, batches, schema).drop(BUCKET)
 
 
+def committed(spark: SparkSession, path: str) -> DataFrame:
+    """The batches that the table consists of, in column ``_batch``."""
+    return spark.read.schema(f"bucket int, {BATCH} long").parquet(f"{path}/commits").select(BATCH).distinct()
+
+
 def drop_replaced(spark: SparkSession, path: str) -> int:
     """Delete the buckets that a later committed batch replaced; returns how many.
 

@@ -56,7 +56,7 @@ def video_comments_over_time(spark, folder):
 
 
 MEANS_SQL = ", ".join(f"round(avg({x}), 6) AS mean_{x}" for x in SENTIMENTS)
-_COUNTS = ", ".join(
+LABEL_COUNTS_SQL = ", ".join(
     f"count(*) FILTER (sentiment_label = '{x}') AS {x}_records" for x in SENTIMENTS
 )
 MEAN_COLUMNS = [f"mean_{x}" for x in SENTIMENTS]
@@ -64,7 +64,7 @@ MEAN_COLUMNS = [f"mean_{x}" for x in SENTIMENTS]
 
 @register(
     f"""SELECT strftime({day_sql("timestamp")}, '%Y-%m-%d') AS bucket, candidate,
-               count(*) AS records, {MEANS_SQL}, {_COUNTS}
+               count(*) AS records, {MEANS_SQL}, {LABEL_COUNTS_SQL}
         FROM ({sql.ENRICHED_POSTS}) GROUP BY 1, 2"""
 )
 def sentiment_trend(spark, folder):
@@ -187,7 +187,7 @@ def cross_media(spark, folder):
 
 @register(
     f"""SELECT strftime(date_trunc('month', {day_sql("event_time")}), '%Y-%m-%d') AS bucket,
-               platform, dataset, count(*) AS records, {MEANS_SQL}, {_COUNTS}
+               platform, dataset, count(*) AS records, {MEANS_SQL}, {LABEL_COUNTS_SQL}
         FROM ({_CROSS_MEDIA}) GROUP BY 1, 2, 3"""
 )
 def platform_trend(spark, folder):
@@ -229,7 +229,7 @@ def sentiment_share(spark, folder):
 @register(
     f"""SELECT channel_bias, channel,
                CAST(grouping(channel_bias) * 2 + grouping(channel) AS INTEGER) AS level,
-               count(*) AS records, {MEANS_SQL}, {_COUNTS}
+               count(*) AS records, {MEANS_SQL}, {LABEL_COUNTS_SQL}
         FROM ({sql.ENRICHED_VIDEOS}) GROUP BY ROLLUP (channel_bias, channel)"""
 )
 def bias_rollup(spark, folder):
@@ -242,7 +242,7 @@ def bias_rollup(spark, folder):
     f"""SELECT channel_bias, state, channel,
                CAST(grouping(channel_bias) * 4 + grouping(state) * 2 + grouping(channel)
                     AS INTEGER) AS level,
-               count(*) AS records, {MEANS_SQL}, {_COUNTS}
+               count(*) AS records, {MEANS_SQL}, {LABEL_COUNTS_SQL}
         FROM ({sql.ENRICHED_VIDEOS}) GROUP BY ROLLUP (channel_bias, state, channel)"""
 )
 def state_rollup(spark, folder):
@@ -273,23 +273,26 @@ _COMMENT_MOOD = f"""
 SELECT post_id, count(*) AS comment_records,
        {", ".join(f"round(avg({x}), 6) AS comment_{x}" for x in SENTIMENTS)}
 FROM ({sql.ENRICHED_POST_COMMENTS}) GROUP BY post_id"""
-_COMMENT_MEANS = [f"comment_{x}" for x in SENTIMENTS]
+COMMENT_MEANS = [f"comment_{x}" for x in SENTIMENTS]
 
 
-@register(
-    f"""SELECT uuid, p.sentiment_label, coalesce(comment_records, 0) AS comment_records,
-               {", ".join(_COMMENT_MEANS)}
+COMMENT_MOOD_SQL = f"""SELECT uuid, p.sentiment_label, coalesce(comment_records, 0) AS comment_records,
+               {", ".join(COMMENT_MEANS)}
         FROM ({sql.ENRICHED_POSTS}) p LEFT JOIN ({_COMMENT_MOOD}) c ON p.uuid = c.post_id"""
-)
+ORPHANS_SQL = f"""SELECT c.* FROM ({_COMMENT_MOOD}) c
+        WHERE NOT EXISTS (SELECT 1 FROM documents WHERE 'doc-' || doc_id = c.post_id)"""
+
+
+@register(COMMENT_MOOD_SQL)
 def comment_mood(spark, folder):
     parents = posts(spark, folder, ["sentiment"]).select("uuid", "sentiment_label")
     mood = reports.comment_mood(parents, post_comments(spark, folder, ["sentiment"]))
-    return rounded(mood, *_COMMENT_MEANS)
+    return rounded(mood, *COMMENT_MEANS)
 
 
 @register(
     f"""SELECT v.id_video, v.sentiment_label, coalesce(comment_records, 0) AS comment_records,
-               {", ".join(_COMMENT_MEANS)}
+               {", ".join(COMMENT_MEANS)}
         FROM ({sql.ENRICHED_VIDEOS}) v LEFT JOIN (
             SELECT id_video, count(*) AS comment_records,
                    {", ".join(f"round(avg({x}), 6) AS comment_{x}" for x in SENTIMENTS)}
@@ -299,14 +302,11 @@ def video_comment_mood(spark, folder):
     parents = videos(spark, folder).select("id_video", "sentiment_label")
     comments = video_comments(spark, folder, ["sentiment"])
     mood = reports.comment_mood(parents, comments, "id_video", "id_video")
-    return rounded(mood, *_COMMENT_MEANS)
+    return rounded(mood, *COMMENT_MEANS)
 
 
-@register(
-    f"""SELECT c.* FROM ({_COMMENT_MOOD}) c
-        WHERE NOT EXISTS (SELECT 1 FROM documents WHERE 'doc-' || doc_id = c.post_id)"""
-)
+@register(ORPHANS_SQL)
 def orphan_comments(spark, folder):
     parents = _parsed(spark, folder, inputs.post_messages, POSTS)
     orphans = reports.orphan_comments(parents, post_comments(spark, folder, ["sentiment"]))
-    return rounded(orphans, *_COMMENT_MEANS)
+    return rounded(orphans, *COMMENT_MEANS)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from agorameter.operators import messages, route
-from agorameter.plans import enrich
+from agorameter.plans import enrich, reports
 from agorameter.schemas import DATASETS, POST_COMMENTS, POSTS
 from agorameter.session import shared_folder
 from agorameter.sinks import topics as topic_sinks
 from agorameter.sources import tables, topics
-from agorameter.streaming import jobs, latest, trends
-from agorameter.testbed import inputs, sql
+from agorameter.streaming import incremental, jobs, latest, moods, trends
+from agorameter.testbed import inputs, report_queries, sql
 from agorameter.testbed.registry import register, rounded
 from agorameter.testbed.report_queries import MEANS_SQL, MEAN_COLUMNS, as_day, day_sql
 from agorameter.testbed.wordlists import scorer
@@ -152,3 +152,73 @@ def stream_latest(spark, folder):
     jobs.run_in_turn([lambda: jobs.start_batch_sink(parsed, write, f"{out}/checkpoint")])
     table = latest.read_latest(spark, f"{out}/table", parsed.schema)
     return table.select("uuid", "retrieving_time", "candidate")
+
+
+#: Far beyond all stand-in times: messages of this day move the watermarks past all others.
+_END = "2031-01-01T00:00:00"
+
+
+def _closing(kind: str):
+    """One message of the last day, in its own file."""
+
+    def make(spark, folder):
+        names = "uuid string, post_id string, timestamp string, content string, candidate string"
+        last = spark.createDataFrame([("end", "end-of-" + kind, _END, "", "end")], names)
+        return messages.to_messages(last, F.lit(f"fb_{kind}"), F.col("uuid"))
+
+    return make
+
+
+def _met(spark, folder):
+    """Streams of posts and comments, the last message of each in a batch of its own."""
+    sent = _sent(
+        spark, folder, inputs.post_messages, inputs.comment_messages, _closing("posts"), _closing("comments")
+    )
+
+    def stream(name):
+        found = topics.stream_topic_files(spark, sent, name, max_files=1)
+        return enrich.enrich(found, DATASETS[name], scorer(), kinds=["sentiment"])
+
+    # Stand-in comments lie anywhere around their posts, and files come in any order.
+    return stream("fb_posts"), stream("fb_comments"), {"delay": "200 days", "before": "200 days", "after": "200 days"}
+
+
+@register(report_queries.COMMENT_MOOD_SQL)
+def stream_comment_mood(spark, folder):
+    """Posts with the mood of their comments, by an outer join of two streams."""
+    posts, comments, ranges = _met(spark, folder)
+    out = shared_folder(spark, "stream-mood")
+    mood = moods.streaming_comment_mood(posts, comments, **ranges)
+    jobs.run_in_turn([lambda: jobs.start_table_sink(mood, f"{out}/table", f"{out}/checkpoint")])
+    found = spark.read.schema(mood.schema).parquet(f"{out}/table").where("uuid <> 'end'")
+    return rounded(found, *report_queries.COMMENT_MEANS)
+
+
+@register(report_queries.ORPHANS_SQL)
+def stream_orphans(spark, folder):
+    """Mood of comments whose posts never came, from two streams."""
+    posts, comments, ranges = _met(spark, folder)
+    out = shared_folder(spark, "stream-orphans")
+    orphans = moods.streaming_orphans(posts, comments, **ranges)
+    jobs.run_in_turn([lambda: jobs.start_table_sink(orphans, f"{out}/table", f"{out}/checkpoint")])
+    found = spark.read.schema(orphans.schema).parquet(f"{out}/table").where("post_id <> 'end-of-comments'")
+    return rounded(reports.mood_by_parent(found, "post_id"), *report_queries.COMMENT_MEANS)
+
+
+@register(
+    f"""SELECT strftime({report_queries.day_sql("e.timestamp")}, '%Y-%m-%d') AS bucket, v.candidate,
+               count(*) AS records, {report_queries.MEANS_SQL}, {report_queries.LABEL_COUNTS_SQL}
+        FROM (SELECT uuid, candidate FROM ({_VERSIONS})
+              QUALIFY row_number() OVER (PARTITION BY uuid ORDER BY retrieving_time DESC) = 1) v
+        JOIN ({sql.ENRICHED_POSTS}) e ON e.uuid = v.uuid GROUP BY 1, 2"""
+)
+def incremental_trend(spark, folder):
+    """Daily trend kept up to date by batches with re-scraped posts, some under a new name."""
+    sent, out = _versions(spark, folder), shared_folder(spark, "incremental")
+    stream = topics.stream_topic_files(spark, sent, "fb_posts", max_files=1)
+    enriched = enrich.enrich_posts(stream, scorer(), kinds=["sentiment"])
+    changed = incremental.trend_changes(f"{out}/trend", ["candidate"])
+    write = latest.latest_writer(f"{out}/table", *POSTS.key, buckets=4, changed=changed)
+    jobs.run_in_turn([lambda: jobs.start_batch_sink(enriched, write, f"{out}/checkpoint")])
+    trend = incremental.read_trend(spark, f"{out}/trend", f"{out}/table", ["candidate"])
+    return rounded(as_day(trend), *MEAN_COLUMNS)

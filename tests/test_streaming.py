@@ -12,7 +12,7 @@ from agorameter.plans import enrich, reports
 from agorameter.schemas import DATASETS, POSTS
 from agorameter.sinks.topics import write_topic_files
 from agorameter.sources.topics import stream_topic_files
-from agorameter.streaming import jobs, latest, trends
+from agorameter.streaming import incremental, jobs, latest, moods, trends
 
 
 def send(spark, path, rows, topic="fb_posts"):
@@ -339,3 +339,67 @@ def test_files_that_vanish(spark, tmp_path):
         file.unlink()
     send(spark, source, posts("b", 3))
     assert run() == 5
+
+
+def test_incremental_trend_equals_a_full_one(spark, tmp_path):
+    """Versions that move a record to another day, label or name, a repeated batch, and folding."""
+    names = "uuid string, retrieving_time string, timestamp string, candidate string, "
+    names += "sentiment_label string, negative float, neutral float, positive float"
+    table, path = str(tmp_path / "table"), str(tmp_path / "trend")
+    write = latest.latest_writer(table, "uuid", "retrieving_time", 3, incremental.trend_changes(path, ["candidate"]))
+
+    def row(i, version, day=1, name="x", label="neutral", score=0.1):
+        return (f"{i}" if i else None, version, f"2024-09-0{day}T10:00:00", name, label, score, 0.3, 0.7)
+
+    batches = [
+        [row(i, "1", 1 + i % 3, score=0.1 * i) for i in range(12)],
+        [row(1, "2", 5), row(2, "2", name="y"), row(3, "0", 9), row(4, "1", 2, score=0.4), row(0, "1")],
+        [row(1, "3", 6, label="positive"), row(2, "3", name="x"), row(20, "1", 1), row(20, "2", 2)],
+        [row(5, "9", None or 7, None)],
+    ]
+    frames = [spark.createDataFrame(rows, names) for rows in batches]
+    everything = frames[0]
+    for n, frame in enumerate(frames):
+        everything = everything if n == 0 else everything.unionByName(frame)
+        for _ in range(2 if n in (0, 2) else 1):
+            write(frame, n)
+        if n == 2:
+            incremental.fold_changes(spark, path, table, ["candidate"])
+        full = reports.sentiment_trend(reports.latest_snapshot(everything), ["candidate"])
+        found = incremental.read_trend(spark, path, table, ["candidate"])
+        rounded = [[tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.select(*full.columns).collect()] for df in (full, found)]
+        assert sorted(rounded[0], key=repr) == sorted(rounded[1], key=repr)
+
+
+def test_comments_meet_posts(spark, tmp_path):
+    """A post without comments, comments before their post, out of range, and without one."""
+    source = str(tmp_path / "topics")
+    scores = {"negative": 0.0, "neutral": 0.5, "positive": 1.0}
+    posts_of = [("p1", "2024-09-01T00:00:00"), ("p2", "2024-09-02T00:00:00"), ("end", "2025-01-01T00:00:00")]
+    comments_of = [
+        ("p1", "2024-09-03T00:00:00"), ("p1", "2024-08-31T20:00:00"), ("p1", "2024-11-01T00:00:00"),
+        ("nobody", "2024-09-02T00:00:00"), ("end", "2025-01-01T00:00:00"),
+    ]
+
+    def send_all(name, rows, key):
+        schema = f"{key} string, timestamp string"
+        for i, part in enumerate((rows[:-1], rows[-1:])):
+            df = spark.createDataFrame(part, schema).withColumns({k: F.lit(v) for k, v in scores.items()})
+            df.withColumn("sentiment_label", F.lit("positive")).coalesce(1).write.mode("append").parquet(f"{source}/{name}")
+            assert i < 2
+
+    send_all("posts", posts_of, "uuid")
+    send_all("comments", comments_of, "post_id")
+
+    def stream(name):
+        schema = spark.read.parquet(f"{source}/{name}").schema
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{source}/{name}")
+
+    for make, name in ((moods.streaming_comment_mood, "mood"), (moods.streaming_orphans, "orphans")):
+        found = make(stream("posts"), stream("comments"))
+        out = str(tmp_path / name)
+        jobs.run_in_turn([lambda: jobs.start_table_sink(found, out, f"{out}-c")])
+    mood = {r.uuid: r.comment_records for r in spark.read.parquet(str(tmp_path / "mood")).collect()}
+    assert mood == {"p1": 2, "p2": 0}
+    orphans = spark.read.parquet(str(tmp_path / "orphans")).collect()
+    assert sorted((r.post_id, r.event_time.month) for r in orphans) == [("nobody", 9), ("p1", 11)]
