@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from agorameter.functions import text, time
-from agorameter.operators import collect, normalize
+from agorameter.operators import collect, normalize, search
 from agorameter.plans import links
 from agorameter.testbed import inputs, sql
 from agorameter.testbed.registry import register
@@ -172,3 +173,85 @@ def top_comments_deep(spark, folder):
     flat = normalize.flatten_comments(inputs.raw_videos(spark, folder))
     narrow = flat.select("id_video", F.col("comment_cid").alias("comment_id"), "comment_votes")
     return collect.most_popular(narrow, 2000, "id_video", "comment_votes", "comment_id")
+
+
+#: Words of the benchmark's passages stand in for keywords: the first so many in their order.
+KEYWORDS = 2000
+
+
+def _keywords(spark, folder) -> list[str]:
+    words = F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("keyword")
+    found = inputs.table(spark, folder, "benchmark").select(words).where("length(keyword) >= 4")
+    return [r.keyword for r in found.distinct().orderBy("keyword").limit(KEYWORDS).collect()]
+
+
+@register(
+    f"""WITH words AS (
+         SELECT DISTINCT keyword FROM (
+           SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS keyword FROM benchmark)
+         WHERE length(keyword) >= 4 ORDER BY keyword LIMIT {KEYWORDS})
+       SELECT keyword, count(*) AS documents,
+              CAST(sum(strpos(lower(text), keyword) - 1) AS BIGINT) AS first_places
+       FROM documents JOIN words ON contains(lower(text), keyword) GROUP BY keyword"""
+)
+def keyword_hits(spark, folder):
+    """Up to 2000 keywords at once: the documents that hold each, and where it stands first."""
+    docs = inputs.documents(spark, folder)
+    hits = search.keyword_hits(docs, "text", _keywords(spark, folder), ["doc_id"])
+    firsts = hits.groupBy("doc_id", "keyword").agg(F.min("start").alias("first"))
+    return firsts.groupBy("keyword").agg(
+        F.count("*").alias("documents"), F.sum("first").alias("first_places")
+    )
+
+
+_SEARCHES = """
+SELECT n_name AS channel, TIMESTAMP '2024-09-01' + to_days(CAST(n_nationkey % 9 AS INTEGER)) AS lo,
+       TIMESTAMP '2024-10-05' + to_days(CAST(n_nationkey * 4 AS INTEGER)) AS hi FROM nation
+UNION ALL SELECT n_name, TIMESTAMP '2024-12-01 06:30:00', TIMESTAMP '2024-12-20' FROM nation WHERE n_nationkey % 2 = 0"""
+
+
+def _searches(spark, folder):
+    nation = inputs.table(spark, folder, "nation")
+    key = F.col("n_nationkey").cast("int")
+
+    def at(day: str) -> Column:
+        return F.lit(day).cast("timestamp")
+
+    first = nation.select(
+        F.col("n_name").alias("channel"),
+        F.make_interval(days=key % 9).alias("_after"),
+        F.make_interval(days=key * 4).alias("_until"),
+    ).select(
+        "channel",
+        (at("2024-09-01") + F.col("_after")).alias("start"),
+        (at("2024-10-05") + F.col("_until")).alias("end"),
+    )
+    again = nation.where(key % 2 == 0).select(
+        F.col("n_name").alias("channel"),
+        at("2024-12-01 06:30:00").alias("start"),
+        at("2024-12-20").alias("end"),
+    )
+    return first.unionByName(again)
+
+
+@register(
+    f"""SELECT v.channel, id_video, CAST(n AS INTEGER) AS tile_no,
+               strftime(lo + to_days(CAST(n * 10 AS INTEGER)), '{sql.ISO}') AS tile_start,
+               strftime(least(lo + to_days(CAST(n * 10 + 10 AS INTEGER)), hi), '{sql.ISO}') AS tile_end
+        FROM ({sql.VIDEOS}) v JOIN ({_SEARCHES}) s ON s.channel = v.channel, unnest(range(20)) AS t(n)
+        WHERE CAST(v.timestamp AS TIMESTAMP) >= lo + to_days(CAST(n * 10 AS INTEGER))
+          AND CAST(v.timestamp AS TIMESTAMP) < least(lo + to_days(CAST(n * 10 + 10 AS INTEGER)), hi)"""
+)
+def tile_assignments(spark, folder):
+    """Videos in the search tiles of their channels, each channel with ranges of its own."""
+    videos = inputs.raw_videos(spark, folder).select(
+        "channel", "id_video", time.event_time("timestamp").alias("published")
+    )
+    placed = search.assign_tiles(videos, _searches(spark, folder))
+    return placed.select(
+        "channel",
+        "id_video",
+        "tile_no",
+        time.iso_string("tile_start").alias("tile_start"),
+        time.iso_string("tile_end").alias("tile_end"),
+    )
