@@ -37,6 +37,7 @@ from agorameter.sources.tables import (
     prefix_ranges,
     read_exported_table,
     read_jdbc_table,
+    sampled_ranges,
 )
 from agorameter.sources.topics import stream_topic, stream_topic_files
 from agorameter.streaming import jobs, latest
@@ -63,8 +64,11 @@ def arguments() -> argparse.ArgumentParser:
     ingest.add_argument("--video-comments", required=True)
     ingest.add_argument("--form", choices=FORMS, default=INDENTED, help="form of the video files")
     ingest.add_argument("--rejects", default="rejects", help="topic for records that fit no other")
-    ingest.add_argument("--jdbc-hash", action="store_true",
-                        help="split tables by a hash of the key, not by ranges of it")
+    split = ingest.add_mutually_exclusive_group()
+    split.add_argument("--jdbc-hash", action="store_true",
+                       help="split tables by a hash of the key, not by sampled ranges of it")
+    split.add_argument("--jdbc-prefix", action="store_true",
+                       help="split tables by ranges of keys that are random hexadecimal digits")
 
     enrich = commands.add_parser("enrich", help="topics to enriched records")
     enrich.add_argument("--dataset", action="append", choices=sorted(DATASETS), required=True)
@@ -125,8 +129,14 @@ def run_flatten(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     def table(name: str) -> DataFrame:
         if args.jdbc_url:
-            split = hash_predicates if args.jdbc_hash else prefix_ranges
-            parts = split("uuid", args.jdbc_parts)
+            hashed = hash_predicates("uuid", args.jdbc_parts)
+            if args.jdbc_hash:
+                parts = hashed
+            elif args.jdbc_prefix:
+                parts = prefix_ranges("uuid", args.jdbc_parts)
+            else:
+                column = jdbc_options(args.jdbc_url, f"(SELECT uuid FROM {name}) AS listed")
+                parts = sampled_ranges(read_jdbc_table(spark, column, hashed), "uuid", args.jdbc_parts)
             return read_jdbc_table(spark, jdbc_options(args.jdbc_url, name), parts)
         return read_exported_table(spark, name)
 

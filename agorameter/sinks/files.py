@@ -6,15 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_channel_files(df: DataFrame, path: str, channel: str = "channel") -> None:
+#: Records of one file, at most.
+FILE_RECORDS = 1_000_000
+
+
+def sized(df: DataFrame, folder: str) -> DataFrame:
+    """The rows dealt out for a write into a folder per value of a column.
+
+    Adaptive execution gives each task about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``:
+    small folders share a task and have one file each, a folder that holds most of the bytes is
+    split over many tasks. So the number of files follows the bytes, not tasks times folders.
+    """
+    return df.hint("rebalance", F.col(folder))
+
+
+def write_channel_files(
+    df: DataFrame, path: str, channel: str = "channel", file_records: int = FILE_RECORDS
+) -> None:
     """JSON line files in one folder per channel, replacing earlier output.
 
-    Every task writes its own part of a channel, so a channel that holds most of the
-    rows stays spread over many tasks. The records keep their channel field; the folder
-    is named by a copy.
+    The number of files of a channel follows its size, see :func:`sized`. The records keep
+    their channel field; the folder is named by a copy.
     """
-    copy = df.withColumn("channel_code", F.col(channel))
-    copy.write.partitionBy("channel_code").mode("overwrite").json(path)
+    copy = sized(df.withColumn("channel_code", F.col(channel)), "channel_code")
+    writer = copy.write.option("maxRecordsPerFile", file_records)
+    writer.partitionBy("channel_code").mode("overwrite").json(path)
 
 
 def write_links(df: DataFrame, path: str, column: str = "url") -> None:

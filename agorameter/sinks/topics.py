@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from agorameter.sinks.files import FILE_RECORDS, sized
+
 
 def write_topics(df: DataFrame, servers: str, **options: str) -> None:
     """Send each row to the topic it names; needs the Kafka package on the classpath."""
@@ -17,5 +19,7 @@ def write_topics(df: DataFrame, servers: str, **options: str) -> None:
 
 
 def write_topic_files(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Keep each row in the folder of the topic it names."""
-    df.select("key", "value", "topic").write.partitionBy("topic").mode(mode).parquet(path)
+    """Keep each row in the folder of the topic it names, in files sized by their bytes."""
+    dealt = sized(df.select("key", "value", "topic"), "topic")
+    writer = dealt.write.option("maxRecordsPerFile", FILE_RECORDS)
+    writer.partitionBy("topic").mode(mode).parquet(path)

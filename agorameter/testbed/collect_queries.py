@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from agorameter.functions import text, time
-from agorameter.operators import collect, normalize, search
+from agorameter.operators import collect, history, normalize, search
 from agorameter.plans import links
 from agorameter.testbed import inputs, sql
 from agorameter.testbed.registry import register
@@ -255,3 +255,22 @@ def tile_assignments(spark, folder):
         time.iso_string("tile_start").alias("tile_start"),
         time.iso_string("tile_end").alias("tile_end"),
     )
+
+
+@register(
+    """SELECT DISTINCT regexp_replace(url, '[?#].*$', '') AS url FROM pages
+       WHERE regexp_replace(url, '[?#].*$', '') NOT IN (
+           SELECT regexp_replace(url, '[?#].*$', '') FROM pages WHERE page_id % 3 <> 0)
+       UNION SELECT 'https://www.youtube.com/watch?v=' || doc_id FROM documents WHERE doc_id % 3 = 0"""
+)
+def new_links(spark, folder):
+    """Addresses of pages and videos that were not collected before."""
+    pages = inputs.table(spark, folder, "pages").select(
+        F.regexp_replace("url", r"[?#].*$", "").alias("url"), "page_id"
+    )
+    docs = inputs.table(spark, folder, "documents").select(
+        text.watch_url(F.col("doc_id").cast("string")).alias("url"), F.col("doc_id").alias("page_id")
+    )
+    links = pages.unionByName(docs)
+    known = links.where(F.col("page_id") % 3 != 0)
+    return history.new_links(links.select("url"), known.select("url"))

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from agorameter.operators import search
+from agorameter.operators import history, search
 from tests.conftest import plan_of
 
 
@@ -90,3 +90,18 @@ def test_links_of_many_channels(spark):
     assert sorted((r.channel_id, r.url[-2:], r.tile_no) for r in found) == [
         ("a", "v1", 0), ("a", "v4", 1), ("b", "v1", 0),
     ]
+
+
+def test_new_links_are_exact_and_few_known_ones_move(spark):
+    links = spark.range(0, 3000, 3).selectExpr("concat('u', id) AS url")
+    links = links.unionByName(links.limit(50)).unionByName(spark.createDataFrame([(None,)], "url string"))
+    known = spark.range(1500, 200_000).selectExpr("concat('u', id) AS url")
+    found = history.new_links(links, known, bits=1 << 16)
+    assert sorted(r.url for r in found.collect()) == sorted(f"u{i}" for i in range(0, 1500, 3))
+    words = history.bloom(links.where("url IS NOT NULL"), "url", 1 << 16)
+    moved = history.possibly_in(known, "url", words, 1 << 16).count()
+    share = history.false_share(1000, 1 << 16)
+    assert 500 <= moved <= 500 + 198_500 * share * 3 + 10
+    # A full filter lets all through, and the result is the same.
+    again = history.new_links(links, known, bits=64)
+    assert sorted(r.url for r in again.collect()) == sorted(r.url for r in found.collect())

@@ -306,3 +306,42 @@ def test_spread_only_on_request(spark):
         assert session.spread(df).rdd.getNumPartitions() == 6
     finally:
         spark.conf.unset(session.INPUT_PARTITIONS)
+
+
+@pytest.mark.parametrize("kind", ["doc-{}", "{:x}", "{:08d}", "Ab{}cD", "o'{}\\\\x", "ä{}"])
+def test_sampled_ranges_are_even(spark, kind):
+    """Keys of any look, small samples, repeated keys and rows without one."""
+    rows = [(kind.format(i * i % 9973 + i),) for i in range(4000)] + [(None,)] * 5 + [("zz",)] * 3
+    df = spark.createDataFrame(rows, "uuid string").coalesce(2)
+    parts = tables.sampled_ranges(df, "uuid", 8, sample=1500)
+    sizes = [df.where(p).count() for p in parts]
+    assert sum(sizes) == len(rows) and len(sizes) == 8
+    assert max(sizes) <= 2 * len(rows) / 8
+    assert tables.sampled_ranges(df.limit(0), "uuid", 8) == ["1 = 1"]
+    assert tables.sampled_ranges(df, "uuid", 1) == ["1 = 1"]
+
+
+def test_files_follow_bytes(spark, tmp_path):
+    """A hot channel has several files, all others one, however many tasks there are."""
+    path = str(tmp_path / "videos")
+    df = spark.range(0, 30_000, 1, 40).selectExpr(
+        "IF(id % 10 < 8, 'HOT', concat('C', id % 10)) AS channel", "repeat(sha(string(id)), 4) AS title"
+    )
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "400k")
+    try:
+        file_sinks.write_channel_files(df, path)
+        topic_sinks.write_topic_files(
+            to_messages(df.withColumn("topic", F.concat(F.lit("t"), "channel"))), str(tmp_path / "t")
+        )
+    finally:
+        spark.conf.unset(setting)
+    files_of = {p.name: list(p.glob("part-*")) for p in (tmp_path / "videos").glob("channel_code=*")}
+    assert len(files_of) == 3 and 3 <= len(files_of["channel_code=HOT"]) <= 20
+    assert all(len(v) <= 2 for k, v in files_of.items() if not k.endswith("HOT"))
+    sizes = [f.stat().st_size for f in files_of["channel_code=HOT"]]
+    assert max(sizes) <= 4 * sum(sizes) / len(sizes)
+    assert len(list((tmp_path / "t").glob("*/part-*"))) <= 30
+    assert files.read_flat_videos(spark, path, files.LINES).count() == 30_000
+    file_sinks.write_channel_files(df, path, file_records=1000)
+    assert len(list((tmp_path / "videos").glob("*/part-*"))) >= 30
