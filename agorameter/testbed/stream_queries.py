@@ -10,7 +10,7 @@ from agorameter.schemas import DATASETS, POST_COMMENTS, POSTS
 from agorameter.session import shared_folder
 from agorameter.sinks import topics as topic_sinks
 from agorameter.sources import tables, topics
-from agorameter.streaming import incremental, jobs, latest, moods, trends
+from agorameter.streaming import incremental, jobs, late, latest, moods, trends
 from agorameter.testbed import inputs, report_queries, sql
 from agorameter.testbed.registry import register, rounded
 from agorameter.testbed.report_queries import MEANS_SQL, MEAN_COLUMNS, as_day, day_sql
@@ -222,3 +222,35 @@ def incremental_trend(spark, folder):
     jobs.run_in_turn([lambda: jobs.start_batch_sink(enriched, write, f"{out}/checkpoint")])
     trend = incremental.read_trend(spark, f"{out}/trend", f"{out}/table", ["candidate"])
     return rounded(as_day(trend), *MEAN_COLUMNS)
+
+
+def _half(rest: int):
+    """Every second post, in one file."""
+
+    def make(spark, folder):
+        posts = inputs.posts_table(spark, folder)
+        chosen = posts.where(F.substring("uuid", 5, 20).cast("long") % 2 == rest)
+        return inputs.as_post_messages(chosen).coalesce(1)
+
+    return make
+
+
+@register(
+    f"""SELECT strftime(date_trunc('day', {day_sql("timestamp")}), '%Y-%m-%d') AS bucket, candidate,
+               count(*) AS records, {MEANS_SQL} FROM ({sql.ENRICHED_POSTS}) GROUP BY 1, 2"""
+)
+def stream_trend_late(spark, folder):
+    """Daily trend of a stream in any order, with repeats: windows and late records together."""
+    sent = _sent(spark, folder, _half(0), _half(0), _half(1), _closing("posts"))
+    out = shared_folder(spark, "stream-late")
+    stream = topics.stream_topic_files(spark, sent, "fb_posts", max_files=1)
+    scored = enrich.enrich_posts(stream, scorer(), kinds=["sentiment"])
+    rows = late.trend_and_arrivals(scored, ["uuid"], ["candidate"], delay="30 days")
+    write = late.late_writer(out, ["uuid"])
+    jobs.run_in_turn([lambda: jobs.start_batch_sink(rows, write, f"{out}/checkpoint")])
+    windows = spark.read.parquet(f"{out}/trend").select("bucket", "candidate", "records", *MEAN_COLUMNS)
+    missed = reports.sentiment_trend(late.read_late(spark, out, scored.schema), ["candidate"])
+    both = windows.unionByName(missed.select(*windows.columns)).where("candidate <> 'end'")
+    means = [(F.sum(F.col(m) * F.col("records")) / F.sum("records")).alias(m) for m in MEAN_COLUMNS]
+    summed = both.groupBy("bucket", "candidate").agg(F.sum("records").alias("records"), *means)
+    return rounded(as_day(summed), *MEAN_COLUMNS)

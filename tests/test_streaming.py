@@ -12,7 +12,7 @@ from agorameter.plans import enrich, reports
 from agorameter.schemas import DATASETS, POSTS
 from agorameter.sinks.topics import write_topic_files
 from agorameter.sources.topics import stream_topic_files
-from agorameter.streaming import incremental, jobs, latest, moods, trends
+from agorameter.streaming import incremental, jobs, late, latest, moods, trends
 
 
 def send(spark, path, rows, topic="fb_posts"):
@@ -403,3 +403,37 @@ def test_comments_meet_posts(spark, tmp_path):
     assert mood == {"p1": 2, "p2": 0}
     orphans = spark.read.parquet(str(tmp_path / "orphans")).collect()
     assert sorted((r.post_id, r.event_time.month) for r in orphans) == [("nobody", 9), ("p1", 11)]
+
+
+def test_late_records_are_an_output(spark, tmp_path):
+    """Windows and late records hold each record once: repeats, late ones, no key, no time."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    names = "uuid string, timestamp string, candidate string, negative float, neutral float, positive float"
+    batches = [
+        [("a", 1), ("b", 2), ("a", 1)],
+        [("a", 1), ("c", 20), ("b", 2), (None, 3), ("x", None)],
+        [("d", 2), ("e", 19), ("c", 20)],
+        [("d", 2), ("f", 1), ("a", 1), ("g", 21), ("f", 1)],
+        [("h", 28)],
+        [("f", 1), ("e", 19), ("i", 3)],
+    ]
+    for rows in batches:
+        made = [(k, d and f"2024-09-{d:02}T10:00:00", "x", 0.1, 0.2, 0.7) for k, d in rows]
+        spark.createDataFrame(made, names).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(names).option("maxFilesPerTrigger", 1).parquet(source)
+    rows = late.trend_and_arrivals(stream, ["uuid"], ["candidate"], delay="2 days")
+    write = late.late_writer(out, ["uuid"])
+
+    def twice(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id in (1, 3):
+            write(batch, batch_id)
+
+    jobs.run_in_turn([lambda: jobs.start_batch_sink(rows, twice, str(tmp_path / "c"))])
+    windows = {r.bucket.day: r.records for r in spark.read.parquet(f"{out}/trend").collect()}
+    # The watermark that drops a record is that of the batch before: "d" is in time, its repeat not.
+    assert windows == {1: 1, 2: 2, 19: 1, 20: 1, 21: 1}
+    missed = [(r.uuid, r.reason) for r in late.read_late(spark, out, stream.schema).collect()]
+    assert sorted(missed, key=str) == sorted(
+        [("f", "late"), ("i", "late"), (None, "no key"), ("x", "no time")], key=str
+    )
