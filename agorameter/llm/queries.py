@@ -102,6 +102,21 @@ def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece.encode(table(spark, folder, "documents"), pieces, digest=True)
 
 
+def sentencepiece_viterbi(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded by the best path through the lattice, decoded, and compared."""
+    import public_tokenizers
+
+    pieces = sentencepiece.load_pieces(
+        public_tokenizers.path("piece_bpe_32k.model"), merges=False
+    )
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = cut(sentencepiece.encode(docs, pieces))
+    decoded = sentencepiece.decode(encoded, pieces).withColumnRenamed("text", "decoded")
+    met = docs.join(encoded, "doc_id").join(decoded, "doc_id")
+    same = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
+    return met.select("doc_id", F.size("ids").alias("n_ids"), same.alias("round_trip"))
+
+
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and detections of all documents."""
     return licenses.summary(licenses.scan(table(spark, folder, "documents")))
@@ -134,6 +149,7 @@ QUERIES: dict[str, Query] = {
         op7_quality,
         op8_substring_dedup,
         op9_sentencepiece,
+        sentencepiece_viterbi,
         op10_license_scan,
         op11_divergence,
         op12_conversation_trie,

@@ -9,8 +9,9 @@ path; there the same edges are folded in the order of the merges, the best score
 leftmost of equals, which gives the ids of the library.
 
 The ids of a unit depend on the unit alone. Units that are frequent in a bounded sample are
-encoded once and kept in the workers; all others go through the same lattice, grouped by
-document, so any unit is encoded and the sample decides nothing but the cost. The aggregate's
+encoded once and kept in the workers; all others go through the same lattice once each, and are
+joined back to their documents, so any unit is encoded and the sample decides nothing but the
+cost. The aggregate's
 time grows with the square of a unit's length, so units longer than ``LONGEST`` are folded whole
 in the task that assembles their document, in the same order of merges from a heap, or by Viterbi.
 
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agorameter.llm.common import prepare
+from agorameter.llm.common import cut, prepare
 
 SPACE = "▁"
 #: Characters of the longest unit that goes through the lattice of joins.
@@ -361,7 +362,13 @@ def encode(
     spark = prepare(docs.sparkSession).sparkContext
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    known = spark.broadcast(frequent_units(rows, pieces))
+    frequent = frequent_units(rows, pieces)
+    spelled = {i: p for p, i, _ in pieces.rows}
+    known = spark.broadcast(frequent)
+    # Frequent units whose ids do not spell them; looked up where a digest is asked for.
+    unsound = {
+        u for u, packed in frequent.items() if spell(memoryview(packed).cast("I"), spelled, pieces.first_byte) != u
+    }
     shared = spark.broadcast(pieces)
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,11 +387,12 @@ def encode(
                 names=("key", "word"),
             )
 
-    rest = rows.mapInArrow(others, f"key {kind}, word string")
+    # Each different unit is folded once; the hot ones are kept in the workers already.
+    rest = cut(rows.mapInArrow(others, f"key {kind}, word string"))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rest = rest.repartition(parts, "key")
+    folded = encode_units(rest.select("word").distinct().repartition(parts, "word"), pieces)
     own = (
-        encode_units(rest, pieces, "key")
+        rest.join(folded, "word")
         .groupBy("key")
         .agg(F.collect_list(F.struct("word", "ids")).alias("own"))
     )
@@ -397,25 +405,31 @@ def encode(
         spelled = {i: p for p, i, _ in pieces.rows}
         found = {p: (i, score) for p, i, score in pieces.rows}
 
+        def spells(unit: str, packed: bytes) -> bool:
+            return spell(memoryview(packed).cast("I"), spelled, pieces.first_byte) == unit
+
         def parts_of(unit: str, mine: dict[str, bytes]) -> bytes:
+            # Kept for its next place in the text.
             packed = []
             for part in cut_unit(unit, pieces.joints):
                 if len(part) > LONGEST and part not in mine:
                     mine[part] = _pack(fold_long(part, pieces, found))
                 packed.append(kept.get(part) or mine[part])
-            return b"".join(packed)
+            return mine.setdefault(unit, b"".join(packed))
 
         for batch in batches:
             out = []
             for body, added in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
                 mine = {x["word"]: _pack(x["ids"]) for x in added or ()}
-                whole = normalised(body or "")
-                packed = b"".join(
-                    [kept.get(u) or mine.get(u) or parts_of(u, mine) for u in UNIT.findall(whole)]
-                )
+                units = UNIT.findall(normalised(body or ""))
+                packed = b"".join([kept.get(u) or mine.get(u) or parts_of(u, mine) for u in units])
                 ids = memoryview(packed).cast("I")
                 if digest:
-                    out.append((len(ids), zlib.crc32(packed), spell(ids, spelled, pieces.first_byte) == whole))
+                    # A text is its units, so its ids spell it where those of each unit spell the
+                    # unit; decode() gives a space for a space sign of the text.
+                    same = SPACE not in (body or "") and unsound.isdisjoint(units)
+                    same = same and all(spells(u, mine[u]) for u in set(units) if u not in kept)
+                    out.append((len(ids), zlib.crc32(packed), same))
                 else:
                     out.append(ids.tolist())
             if digest:

@@ -151,3 +151,13 @@ def test_units_and_cuts(pieces):
 
 def test_empty_table(docs, pieces):
     assert encode(docs.limit(0), pieces).collect() == []
+
+
+def test_whole_table_by_the_best_path(spark, pieces):
+    """Encoded by Viterbi, decoded by joins, and the same as before."""
+    docs = dict(map(tuple, table(spark, FOLDER, "documents").select("doc_id", "text").collect()))
+    rows = {r.doc_id: r for r in queries.sentencepiece_viterbi(spark, FOLDER).collect()}
+    assert sorted(rows) == sorted(docs)
+    assert all(r.round_trip for r in rows.values())
+    for i in sorted(docs, key=lambda i: len(docs[i] or ""))[:25]:
+        assert rows[i].n_ids == len(brute(docs[i], pieces))
