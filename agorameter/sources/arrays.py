@@ -216,32 +216,40 @@ def _joined(ends: DataFrame) -> DataFrame:
     # A record begins after the end that completed the one before, or with its file.
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     numbered = ends.withColumn("record", F.coalesce(F.sum(F.col("begun").cast("int")).over(before), F.lit(0)))
-    whole = numbered.groupBy("file", "record").agg(
-        F.array_sort(F.collect_list(F.struct("block", "place", "value"))).alias("ends"),
-        F.max("begun").alias("complete"),
-        F.min("block").alias("block"),
-        F.min("place").alias("place"),
-    )
+    dealt = numbered.repartition("file", "record").sortWithinPartitions("file", "record", "block", "place")
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for file, texts, complete, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                text = "".join(texts)
-                if complete:
-                    rows.append((file, *_record(text, first)))
-                    continue
-                rest = text.strip(SPACE)
-                if first and rest.lstrip("\ufeff" + SPACE).startswith("["):
-                    rest = rest.lstrip("\ufeff" + SPACE)[1:].lstrip(SPACE)
-                if rest != "]":
-                    rows.append((file, rest, False))
+        current, texts, complete = None, [], False
+
+        def row() -> list[tuple]:
+            if current is None:
+                return []
+            file, record = current
+            text, first = "".join(texts), record == 0
+            if complete:
+                return [(file, *_record(text, first))]
+            rest = text.strip(SPACE)
+            if first and rest.lstrip("\ufeff" + SPACE).startswith("["):
+                rest = rest.lstrip("\ufeff" + SPACE)[1:].lstrip(SPACE)
+            return [] if rest == "]" else [(file, rest, False)]
+
+        def emit(rows: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
             kinds = (pa.string(), pa.string(), pa.bool_())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=("file", "value", "begun"))
+            return pa.RecordBatch.from_arrays(arrays, names=("file", "value", "begun"))
 
-    first = (F.col("record") == 0).alias("first")
-    return whole.select("file", F.col("ends.value").alias("texts"), "complete", first).mapInArrow(
+        for batch in batches:
+            rows: list[tuple] = []
+            for file, record, value, begun in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (file, record) != current:
+                    rows += row()
+                    current, texts, complete = (file, record), [], False
+                texts.append(value)
+                complete |= begun
+            yield emit(rows)
+        yield emit(row())
+
+    return dealt.select("file", "record", "value", "begun").mapInArrow(
         put_together, "file string, value string, begun boolean"
     )

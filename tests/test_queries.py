@@ -34,7 +34,9 @@ def test_entry(spark):
 
 
 BATCH = [
-    name for name in QUERIES if not name.startswith("stream_") and not name.endswith("_files")
+    name
+    for name in QUERIES
+    if not name.startswith(("stream_", "incremental_")) and not name.endswith("_files")
 ]
 
 
