@@ -140,12 +140,12 @@ def failed_videos(spark, folder):
 
 
 @register(
-    """SELECT doc_id, 'CBSNews' AS channel, 'LEAN_DEMOCRAT' AS channel_bias, 'NY' AS state
+    """SELECT doc_id, 'Harbour9' AS channel, 'SIDE_B' AS channel_bias, 'QX' AS state
        FROM documents"""
 )
 def channel_constants(spark, folder):
     df = inputs.table(spark, folder, "documents").select("doc_id")
-    return normalize.with_channel(df, "CBSNews", "NY", "LEAN_DEMOCRAT")
+    return normalize.with_channel(df, "Harbour9", "QX", "SIDE_B")
 
 
 @register(

@@ -82,8 +82,8 @@ def test_channel_metadata(spark):
     assert [(r.n, r.channel_bias, r.state) for r in rows] == [
         (1, "DEMOCRAT", "NY"), (2, "DEMOCRAT", "NY"), (3, None, None),
     ]
-    constants = n.with_channel(spark.range(1), "CBSNews", "NY", "LEAN_DEMOCRAT").first()
-    assert tuple(constants) == (0, "CBSNews", "LEAN_DEMOCRAT", "NY")
+    constants = n.with_channel(spark.range(1), "Harbour9", "QX", "SIDE_B").first()
+    assert tuple(constants) == (0, "Harbour9", "SIDE_B", "QX")
 
 
 def test_only_small_channel_tables_are_broadcast(spark, tmp_path):
