@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from agorameter.llm import language, ngram_join, packing, secrets, substrings  # noqa: E402
-from agorameter.llm.common import cut, id_filter, maybe_among, prepare, remove_folder  # noqa: E402
+from agorameter.llm.common import cut, id_filter, maybe_among, prepare  # noqa: E402
 from agorameter.llm.queries import word_vocabulary  # noqa: E402
-from agorameter.session import shared_folder  # noqa: E402
+from agorameter.session import remove_folder, shared_folder  # noqa: E402
 
 #: Below this calibrated probability a text counts as none of the learned languages.
 LEAST_SCORE = 0.3
