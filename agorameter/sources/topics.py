@@ -51,6 +51,16 @@ def stream_topic_files(
     return reader.parquet(f"{path}/topic={topic}")
 
 
+def files_per_batch(spark: SparkSession, path: str, topic: str, batches: int) -> int:
+    """The ``max_files`` that reads what a topic holds now in at most ``batches`` micro-batches.
+
+    A batch into a table costs as much as the table, so a backlog read in steps of fixed size
+    costs the square of its size.
+    """
+    files = spark.read.schema(StructType(ENVELOPE.fields[:2])).parquet(f"{path}/topic={topic}").inputFiles()
+    return max(1, -(-len(files) // batches))
+
+
 def read_topic_files(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
     """The present content of topic files; all topics unless one is named."""
     df = spark.read.schema(ENVELOPE).parquet(path)

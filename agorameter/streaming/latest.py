@@ -82,6 +82,7 @@ def latest_writer(
     version: str | None = None,
     buckets: int = 64,
     changed: Callable[[DataFrame, int], None] | None = None,
+    keep_replaced: bool = True,
 ) -> Callable[[DataFrame, int], None]:
     """A repeatable batch writer for ``start_batch_sink``: one row per key, the latest version.
 
@@ -89,7 +90,9 @@ def latest_writer(
     rows without a key are all kept. ``buckets`` is fixed by the first batch of a table; choose
     it so that a bucket of the full table is read and written by one task. ``changed(rows,
     batch_id)`` gets the rows that entered and left the table, with :data:`SIGN`, before the
-    batch is committed; it has to be repeatable.
+    batch is committed; it has to be repeatable. Without ``keep_replaced`` a batch deletes what
+    the one before it replaced, which no repeat can ask for any more: the table takes twice its
+    size at most, and a reader that opened it two batches ago loses its files.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -98,6 +101,8 @@ def latest_writer(
             batch = batch.withColumn(ARRIVAL, F.lit(batch_id).cast("long"))
         order = version or ARRIVAL
         known = _commits(spark, path, before=batch_id)
+        if not keep_replaced:
+            _drop_before(spark, path, known)
         count = next((n for _, n in known.values()), buckets)
         # Materialised once: the bucket of a row without key has to stay the same.
         rows = latest_snapshot(batch, key, order).withColumn(BUCKET, _bucket(key, count)).persist()
@@ -135,6 +140,16 @@ def committed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"bucket int, {BATCH} long").parquet(f"{path}/commits").select(BATCH).distinct()
 
 
+def _drop_before(spark: SparkSession, path: str, known: dict[int, tuple[int, int]]) -> None:
+    """Delete the buckets that the last batch of ``known`` replaced."""
+    last = max((n for n, _ in known.values()), default=None)
+    if last is None:
+        return
+    for bucket, (batch, _) in _commits(spark, path, before=last).items():
+        if known[bucket][0] == last:
+            remove_folder(spark, f"{path}/data/{BATCH}={batch}/{BUCKET}={bucket}")
+
+
 def drop_replaced(spark: SparkSession, path: str) -> int:
     """Delete the buckets that a later committed batch replaced; returns how many.
 

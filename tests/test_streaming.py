@@ -11,7 +11,7 @@ from agorameter.operators.messages import to_messages
 from agorameter.plans import enrich, reports
 from agorameter.schemas import DATASETS, POSTS
 from agorameter.sinks.topics import write_topic_files
-from agorameter.sources.topics import stream_topic_files
+from agorameter.sources.topics import files_per_batch, stream_topic_files
 from agorameter.streaming import incremental, jobs, late, latest, moods, trends
 
 
@@ -295,6 +295,29 @@ def test_latest_versions(spark, tmp_path):
     assert sorted(map(tuple, latest.read_latest(spark, path).collect()), key=str) == expected
 
 
+def test_latest_deletes_what_was_replaced(spark, tmp_path):
+    """The table and the state that a repeat of the last batch reads are all that is left."""
+    path = tmp_path / "latest"
+    write = latest.latest_writer(str(path), "k", "v", buckets=2, keep_replaced=False)
+    frames = [
+        spark.createDataFrame([(f"k{i}", f"{n}{i}") for i in range(20)], "k string, v string") for n in range(5)
+    ]
+    for n in (0, 1, 1, 2, 3, 3, 4, 4):
+        write(frames[n], n)
+        assert latest.read_latest(spark, str(path)).exceptAll(frames[n]).count() == 0
+        assert latest.read_latest(spark, str(path)).count() == 20
+        held = {int(x.parent.name.split("=")[1]) for x in path.glob("data/_batch=*/_bucket=*")}
+        assert held == {n} | {max(0, n - 1)}
+
+
+@pytest.mark.parametrize("files, most", [(1, 1), (4, 1), (5, 2), (9, 3)])
+def test_backlog_in_few_batches(spark, tmp_path, files, most):
+    path = str(tmp_path / "in")
+    for i in range(files):
+        send(spark, path, posts(str(i), 1))
+    assert files_per_batch(spark, path, "fb_posts", 4) == most
+
+
 def test_latest_arrival_without_versions(spark, tmp_path):
     path = str(tmp_path / "latest")
     write = latest.latest_writer(path, "k", buckets=2)
