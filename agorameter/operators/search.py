@@ -15,6 +15,8 @@ from agorameter.session import shipped
 
 #: Keywords that an automaton in every worker may hold, and the characters of all of them.
 MOST_KEYWORDS, MOST_CHARACTERS = 1_000_000, 50_000_000
+#: Hits that a worker holds before it hands them on; a text is not divided.
+HELD_HITS = 50_000
 HIT = "keyword string, start int, end int"
 
 
@@ -60,19 +62,26 @@ def keyword_hits(
     shipped(spark)
     shared = spark.sparkContext.broadcast(list(chosen.values()))
 
+    def handed(batch: pa.RecordBatch, rows: list, found: list) -> pa.RecordBatch:
+        kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[1:]]
+        columns = list(zip(*found, strict=True)) if found else [[]] * 3
+        kinds = (pa.string(), pa.int32(), pa.int32())
+        hits = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([*kept, *hits], names=[*names, "keyword", "start", "end"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(shared.value)
         for batch in batches:
             rows, found = [], []
-            for i, value in enumerate(batch.column(0).to_pylist()):
+            for i, cell in enumerate(batch.column(0)):
+                value = cell.as_py()
                 for last, (size, keyword) in machine.iter(lowered(value)) if value else ():
                     rows.append(i)
                     found.append((keyword, last + 1 - size, last + 1))
-            kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[1:]]
-            columns = list(zip(*found, strict=True)) if found else [[]] * 3
-            kinds = (pa.string(), pa.int32(), pa.int32())
-            hits = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*kept, *hits], names=[*names, "keyword", "start", "end"])
+                if len(rows) >= HELD_HITS:
+                    yield handed(batch, rows, found)
+                    rows, found = [], []
+            yield handed(batch, rows, found)
 
     schema = df.select(*names).schema.add("keyword", "string").add("start", "integer").add("end", "integer")
     return df.select(F.col(text).alias("__text"), *names).mapInArrow(run, schema)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pyarrow as pa
 import pytest
 
 from agorameter.operators import history, search
@@ -48,6 +49,20 @@ def test_keywords_are_bounded(spark, monkeypatch):
         search.keyword_hits(df, "text", ["a", "b"])
 
 
+def test_hits_are_handed_on_in_pieces(spark, monkeypatch):
+    """A worker holds the hits of a few texts, not those of a whole batch."""
+    df, taken = spark.createDataFrame([("x", 1)], "text string, id int"), []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: taken.append(run) or self)
+    monkeypatch.setattr(search, "HELD_HITS", 50)
+    search.keyword_hits(df, "text", ["ab"], ["id"])
+    batch = pa.RecordBatch.from_pydict({"__text": ["ab " * 10, None] * 50, "id": list(range(100))})
+    pieces = list(taken[0](iter([batch])))
+    assert max(x.num_rows for x in pieces) < 60
+    found = pa.Table.from_batches(pieces)
+    assert found["id"].to_pylist() == [i for i in range(0, 100, 2) for _ in range(10)]
+    assert found["start"].to_pylist() == [0, 3, 6, 9, 12, 15, 18, 21, 24, 27] * 50
+
+
 def test_tiles_against_all_ranges(spark):
     chance, start = random.Random(4), dt.datetime(2024, 9, 1)
 
