@@ -137,17 +137,20 @@ class ModelScorer:
         loaders = {k: self._loaders[k] for k in kinds}
         batch_size, scorer_id = self._batch_size, self._id
 
+        def scored(lists: pa.Array) -> pa.Array:
+            columns = [
+                _chunk_probabilities(
+                    lists, _loaded((scorer_id, kind), loader), LABELS[kind], batch_size
+                )
+                for kind, loader in loaders.items()
+            ]
+            chunk_structs = pa.StructArray.from_arrays(columns, list(loaders))
+            nulls = lists.is_null() if lists.null_count else None
+            return pa.ListArray.from_arrays(_offsets(lists), chunk_structs, mask=nulls)
+
         def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for lists in batches:
-                columns = [
-                    _chunk_probabilities(
-                        lists, _loaded((scorer_id, kind), loader), LABELS[kind], batch_size
-                    )
-                    for kind, loader in loaders.items()
-                ]
-                chunk_structs = pa.StructArray.from_arrays(columns, list(loaders))
-                nulls = lists.is_null() if lists.null_count else None
-                yield pa.ListArray.from_arrays(_offsets(lists), chunk_structs, mask=nulls)
+                yield pa.concat_arrays([scored(part) for part in _parts(lists)])
 
         element = T.StructType([T.StructField(k, T.ArrayType(T.DoubleType())) for k in kinds])
         # Non-deterministic keeps the optimizer from calling the model twice when a later
@@ -168,6 +171,22 @@ def _loaded(key: tuple[str, str], loader: Callable[[], Predict]) -> Predict:
     return _MODELS[key]
 
 
+#: Chunks that a worker holds as Python objects at a time; a row is not divided.
+HELD_CHUNKS = 4096
+
+
+def _parts(lists: pa.Array) -> Iterator[pa.Array]:
+    """The rows in order, in slices of about :data:`HELD_CHUNKS` chunks."""
+    start, chunks = 0, 0
+    for row, size in enumerate(pc.fill_null(pc.list_value_length(lists), 0).to_pylist()):
+        chunks += size
+        if chunks >= HELD_CHUNKS:
+            yield lists.slice(start, row + 1 - start)
+            start, chunks = row + 1, 0
+    if start < len(lists) or not start:
+        yield lists.slice(start)
+
+
 def _offsets(lists: pa.ListArray) -> pa.Array:
     """Row boundaries in the flattened chunks, starting at 0."""
     ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(lists), 0))

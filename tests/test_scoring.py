@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 from functools import partial
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,6 +159,16 @@ def test_model_failures_stay_in_their_row(texts, batch_size):
     assert (rows[6].negative, rows[6].positive) == (0.0, pytest.approx(0.7))
 
 
+def test_model_holds_few_chunks_at_a_time():
+    """A batch is scored in slices of rows, which together are the batch."""
+    lists = pa.array([["a"] * 3000, None, [], ["b"] * 2000, ["c"], ["d"] * 9000, None, ["x"]])
+    for whole in (lists, lists.slice(3), lists.slice(0, 0)):
+        parts = list(scoring._parts(whole))
+        assert pa.concat_arrays(parts).equals(whole)
+        assert all(len(p.flatten()) - len(p[-1].as_py() or ()) < scoring.HELD_CHUNKS for p in parts if len(p))
+    assert len(list(scoring._parts(lists))) == 3
+
+
 def test_model_means(texts):
     row = scored(texts(["z" * 1200]), model())[0]
     assert [row.negative, row.neutral, row.positive] == pytest.approx([0.1, 0.2, 0.3])
