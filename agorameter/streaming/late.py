@@ -30,6 +30,8 @@ from agorameter.streaming.latest import BATCH
 TIME, DAY = "event_time", "_day"
 ARRIVED, ACCEPTED, WINDOW = "arrived", "accepted", "window"
 LATE, NO_KEY, NO_TIME = "late", "no key", "no time"
+#: Files of a day that a batch writes, at most, so that a batch of one day has several tasks.
+DAY_FILES = 4
 
 
 def _means() -> list[Column]:
@@ -46,15 +48,25 @@ def trend_and_arrivals(
 ) -> DataFrame:
     """``kind, record, trend``: records that arrived or were accepted, and closed windows.
 
-    The stream to hand to :func:`late_writer`. State is a key per accepted record of the time
+    The stream to hand to :func:`late_writer`. Of accepted records only key and time are handed on,
+    so each branch shuffles and computes no more than it needs. State is a key per accepted record of the time
     of ``delay``, and a row per open window and dimension value.
     """
     timed = df.withColumn(TIME, event_time(time))
     usable = reduce(and_, [F.col(c).isNotNull() for c in (*key, TIME)])
-    once = timed.where(usable).withWatermark(TIME, delay).dropDuplicatesWithinWatermark(list(key))
-    record = F.struct(*timed.columns).alias("record")
+
+    def once(*columns: str) -> DataFrame:
+        chosen = timed.where(usable).select(*dict.fromkeys([*key, TIME, *columns]))
+        return chosen.withWatermark(TIME, delay).dropDuplicatesWithinWatermark(list(key))
+
+    def record(*columns: str) -> Column:
+        kinds = {f.name: f.dataType for f in timed.schema}
+        fields = [F.col(c) if c in columns else F.lit(None).cast(kinds[c]).alias(c) for c in kinds]
+        return F.struct(*fields).alias("record")
+
     windows = (
-        once.groupBy(F.window(TIME, window).alias("_window"), *dimensions)
+        once(*dimensions, *SENTIMENTS)
+        .groupBy(F.window(TIME, window).alias("_window"), *dimensions)
         .agg(F.count("*").alias("records"), *_means())
         .select(
             F.struct(
@@ -66,8 +78,8 @@ def trend_and_arrivals(
         )
     )
     parts = [
-        timed.select(F.lit(ARRIVED).alias("kind"), record),
-        once.select(F.lit(ACCEPTED).alias("kind"), record),
+        timed.select(F.lit(ARRIVED).alias("kind"), record(*timed.columns)),
+        once().select(F.lit(ACCEPTED).alias("kind"), record(*key, TIME)),
         windows.select(F.lit(WINDOW).alias("kind"), "trend"),
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -80,7 +92,10 @@ def late_writer(path: str, key: Sequence[str]) -> Callable[[DataFrame, int], Non
         spark, keys = batch.sparkSession, list(key)
 
         def put(df: DataFrame, name: str, *partitions: str) -> None:
-            writer = df.write.mode("overwrite").partitionBy(*partitions)
+            # Else every task writes a file of every day. A stream has no adaptive rebalancing.
+            salt = F.pmod(F.xxhash64(*keys), F.lit(DAY_FILES))
+            dealt = df.repartition(*partitions, salt) if partitions else df
+            writer = dealt.write.mode("overwrite").partitionBy(*partitions)
             writer.parquet(f"{path}/{name}/{BATCH}={batch_id}")
 
         batch = batch.persist()

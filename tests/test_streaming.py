@@ -460,3 +460,21 @@ def test_late_records_are_an_output(spark, tmp_path):
     assert sorted(missed, key=str) == sorted(
         [("f", "late"), ("i", "late"), (None, "no key"), ("x", "no time")], key=str
     )
+
+
+def test_late_writer_files_follow_days(spark, tmp_path):
+    """Many tasks that hold all days do not write a file each for every day."""
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    source, out = str(tmp_path / "in"), tmp_path / "out"
+    names = "uuid string, timestamp string, candidate string, negative float, neutral float, positive float"
+    made = [(f"k{i}", f"2024-09-{1 + i % 5:02}T10:00:00", "x", 0.1, 0.2, 0.7) for i in range(800)]
+    spark.createDataFrame(made, names).write.parquet(source)
+    stream = spark.readStream.schema(names).parquet(source)
+    rows = late.trend_and_arrivals(stream, ["uuid"], ["candidate"])
+    write = late.late_writer(str(out), ["uuid"])
+    try:
+        jobs.run_in_turn([lambda: jobs.start_batch_sink(rows, write, str(tmp_path / "c"))])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert 5 <= len(list(out.glob("accepted/_batch=0/*/*.parquet"))) <= 5 * late.DAY_FILES
+    assert late.read_late(spark, str(out), stream.schema).count() == 0
