@@ -22,11 +22,15 @@ decodes as a space; an empty table gives no row; extra columns are not read.
 from __future__ import annotations
 
 import heapq
+import json
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import add
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +43,8 @@ LONGEST = 256
 #: Documents of the sample (in expectation), and units kept in the workers.
 SAMPLE = 20_000
 KEPT = 300_000
+#: Places of the piece table in a row's expressions.
+BUCKETS = 1 << 17
 #: How much worse than the worst piece a character without one is.
 PENALTY = 10.0
 UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
@@ -60,6 +66,10 @@ class Pieces:
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(self.rows), "piece string, id int, score double")
 
+    def spelled(self) -> dict[int, bytes]:
+        """The bytes that each id of a piece or byte stands for."""
+        return {self.first_byte + b: bytes([b]) for b in range(256)} | {i: p.encode() for p, i, _ in self.rows}
+
 
 def load_pieces(path: str, merges: bool) -> Pieces:
     """The ordinary pieces of a model file with byte fallback and ids of bytes in a row."""
@@ -82,12 +92,22 @@ def load_pieces(path: str, merges: bool) -> Pieces:
     return Pieces(tuple(rows), byte_ids[0], longest, worst - PENALTY, merges, joints)
 
 
+def units_of(text: str) -> list[str]:
+    """The units of a text: with single spaces and line ends they are cut without the pattern."""
+    if text[:1] == " " or "  " in text or "\n\n" in text or SPACE in text:
+        return UNIT.findall(normalised(text))
+    marked = normalised(text).replace(SPACE, " " + SPACE).replace("\n", " \n ")
+    return list(filter(None, marked.split(" ")))
+
+
 def normalised(text: str) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
 
 def cut_unit(unit: str, joints: frozenset[str]) -> list[str]:
     """The unit at all places that no piece crosses."""
+    if joints.issuperset(map(add, unit, unit[1:])):
+        return [unit]
     places = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in joints]
     return [unit[a:b] for a, b in zip([0, *places], [*places, len(unit)], strict=True)]
 
@@ -176,81 +196,120 @@ def _bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-#: Ends are below this, so a span is one number.
-_WIDTH = 4 * LONGEST
+def _constant(value: list, kind: str) -> Column:
+    """A list as one constant, which every task has once."""
+    return F.from_json(F.lit(json.dumps(value)), f"array<{kind}>")
+
+
+def _buckets(pieces: Pieces) -> Column:
+    """The piece table by the hash of the piece, so that a substring meets those that share its hash."""
+    held: list[list | None] = [None] * BUCKETS
+    for piece, i, score in pieces.rows:
+        at = zlib.crc32(piece.encode()) % BUCKETS
+        held[at] = [*(held[at] or ()), {"piece": piece, "id": i, "score": score}]
+    return _constant(held, "array<struct<piece: string, id: int, score: double>>")
+
+
+def _find(buckets: Column, text: Column) -> Column:
+    """The piece that a text is, or null."""
 
+    def equal(t: Column) -> Column:
+        held = F.get(buckets, (F.crc32(t) % BUCKETS).cast("int"))
+        return F.get(F.filter(held, lambda e: e["piece"] == t), F.lit(0))
 
-def _merged(word: Column, edges: Column, first_byte: int) -> Column:
-    """The ids after all merges that the edges ``(end, start, id, score)`` allow.
+    return _bind(text, equal)
+
+
+def _merged(word: Column, buckets: Column, pieces: Pieces) -> Column:
+    """The ids after all merges, folded over the edges that the merges meet.
 
     The state holds the borders of the symbols and the score of merging each with the next.
     """
-    known = F.filter(edges, lambda e: e["id"].isNotNull())
 
-    def by_span(field: str) -> Column:
-        return F.map_from_entries(
-            F.transform(known, lambda e: F.struct(e["start"] * _WIDTH + e["end"], e[field]))
+    def span(start: Column, end: Column) -> Column:
+        return F.substring(word, start + 1, end - start)
+
+    def score(start: Column, end: Column) -> Column:
+        return _find(buckets, span(start, end))["score"]
+
+    def merge(state: Column, place: Column) -> Column:
+        """Join the symbol at a place with the next one."""
+        borders, scores = state["borders"], state["scores"]
+        before = F.when(
+            place > 0, F.array(score(F.get(borders, place - 1), F.get(borders, place + 2)))
+        ).otherwise(F.array().cast("array<double>"))
+        after = F.when(
+            place + 3 < F.size(borders),
+            F.array(score(F.get(borders, place), F.get(borders, place + 3))),
+        ).otherwise(F.array().cast("array<double>"))
+        return F.struct(
+            F.concat(
+                F.slice(borders, F.lit(1), place + 1),
+                F.slice(borders, place + 3, F.size(borders)),
+            ).alias("borders"),
+            F.concat(
+                F.slice(scores, F.lit(1), F.greatest(place - 1, F.lit(0))),
+                before,
+                after,
+                F.slice(scores, place + 3, F.size(scores) + 1),
+            ).alias("scores"),
         )
 
-    def fold(tables: Column) -> Column:
-        def score(start: Column, end: Column) -> Column:
-            return F.try_element_at(tables["scores"], start * _WIDTH + end)
-
-        def merge(state: Column, place: Column) -> Column:
-            """Join the symbol at a place with the next one."""
-            borders, scores = state["borders"], state["scores"]
-            before = F.when(
-                place > 0, F.array(score(F.get(borders, place - 1), F.get(borders, place + 2)))
-            ).otherwise(F.array().cast("array<double>"))
-            after = F.when(
-                place + 3 < F.size(borders),
-                F.array(score(F.get(borders, place), F.get(borders, place + 3))),
-            ).otherwise(F.array().cast("array<double>"))
-            return F.struct(
-                F.concat(
-                    F.slice(borders, F.lit(1), place + 1),
-                    F.slice(borders, place + 3, F.size(borders)),
-                ).alias("borders"),
-                F.concat(
-                    F.slice(scores, F.lit(1), F.greatest(place - 1, F.lit(0))),
-                    before,
-                    after,
-                    F.slice(scores, place + 3, F.size(scores) + 1),
-                ).alias("scores"),
-            )
-
-        def step(state: Column, _: Column) -> Column:
-            best = F.array_max(state["scores"])
+    def step(state: Column, _: Column) -> Column:
+        def join(best: Column) -> Column:
             place = (F.array_position(state["scores"], best) - 1).cast("int")
-            return F.when(best.isNull(), state).otherwise(
-                _bind(place, lambda at: merge(state, at))
+            return F.when(best.isNull(), state).otherwise(_bind(place, lambda at: merge(state, at)))
+
+        return _bind(F.array_max(state["scores"]), join)
+
+    n = F.length(word)
+    start = F.struct(
+        F.sequence(F.lit(0), n).alias("borders"),
+        F.when(
+            n > 1, F.transform(F.sequence(F.lit(0), n - 2), lambda i: score(i, i + 2))
+        ).otherwise(F.array().cast("array<double>")).alias("scores"),
+    )
+    borders = F.aggregate(F.sequence(F.lit(1), n), start, step)["borders"]
+
+    def symbol_ids(border: Column) -> Column:
+        def ids(i: Column) -> Column:
+            symbol = span(F.get(border, i), F.get(border, i + 1))
+            return _bind(
+                _find(buckets, symbol)["id"],
+                lambda found: F.when(found.isNull(), _byte_ids(symbol, pieces.first_byte)).otherwise(F.array(found)),
             )
 
-        n = F.length(word)
-        start = F.struct(
-            F.sequence(F.lit(0), n).alias("borders"),
-            F.when(
-                n > 1, F.transform(F.sequence(F.lit(0), n - 2), lambda i: score(i, i + 2))
-            ).otherwise(F.array().cast("array<double>")).alias("scores"),
-        )
-        borders = F.aggregate(F.sequence(F.lit(1), n), start, step)["borders"]
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(border) - 2), ids))
+
+    return _bind(borders, symbol_ids)
+
 
-        def symbol_ids(border: Column) -> Column:
-            def ids(i: Column) -> Column:
-                span = F.get(border, i) * _WIDTH + F.get(border, i + 1)
-                found = F.try_element_at(tables["ids"], span)
-                character = F.substring(word, F.get(border, i) + 1, F.lit(1))
-                return F.when(found.isNull(), _byte_ids(character, first_byte)).otherwise(F.array(found))
+def _edges(word: Column, buckets: Column, pieces: Pieces) -> Column:
+    """The edges ``(end, start, id, score)`` of a word by end and start, all single characters among them."""
 
-            return F.flatten(F.transform(F.sequence(F.lit(0), F.size(border) - 2), ids))
+    def to(end: Column) -> Column:
+        def edge(start: Column) -> Column:
+            found = _find(buckets, F.substring(word, start + 1, end - start))
+            return _bind(
+                found,
+                lambda e: F.when(
+                    e.isNotNull() | (end - start == 1),
+                    F.struct(
+                        end.alias("end"), start.alias("start"), e["id"].alias("id"),
+                        F.coalesce(e["score"], F.lit(pieces.unknown)).alias("score"),
+                    ),
+                ),
+            )
 
-        return _bind(borders, symbol_ids)
+        starts = F.sequence(F.greatest(end - pieces.longest, F.lit(0)), end - 1)
+        return F.filter(F.transform(starts, edge), lambda e: e.isNotNull())
 
-    return _bind(F.struct(by_span("score").alias("scores"), by_span("id").alias("ids")), fold)
+    return F.flatten(F.transform(F.sequence(F.lit(1), F.length(word)), to))
 
 
-def _best_path(word: Column, edges: Column, first_byte: int) -> Column:
-    """The ids of the best path through sorted edges ``(end, start, id, score)``."""
+def _best_path(word: Column, buckets: Column, pieces: Pieces) -> Column:
+    """The ids of the best path through the edges of a word."""
+    edges, first_byte = _edges(word, buckets, pieces), pieces.first_byte
     start = F.struct(
         F.lit(0.0).alias("total"), F.lit(0).alias("start"), F.lit(None).cast("int").alias("id")
     )
@@ -284,41 +343,24 @@ def _best_path(word: Column, edges: Column, first_byte: int) -> Column:
         first = F.struct(n.alias("at"), F.array().cast("array<int>").alias("ids")).cast(kind)
         return F.aggregate(F.sequence(n, F.lit(1), F.lit(-1)), first, walk)["ids"]
 
-    best = F.aggregate(F.array_sort(edges), F.array(start), step)
+    best = F.aggregate(edges, F.array(start), step)
     return _bind(best, back)
 
 
-def encode_units(units: DataFrame, pieces: Pieces, *group: str) -> DataFrame:
-    """``ids`` of each distinct row ``(*group, word)``; words have at least one character.
-
-    The exploded substrings stay in the partition of their word, and the piece table, bounded
-    by the vocabulary, is broadcast: nothing is shuffled but what ``units`` needs itself.
-    """
-    size = F.length("word")
-    starts = units.select(*group, "word", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
-    longest = F.least(F.lit(pieces.longest), size - F.col("start"))
-    spans = starts.select(
-        "*", F.explode(F.sequence(F.lit(1), longest)).alias("chars")
-    ).select(
-        *group, "word", "start", "chars", F.substring("word", F.col("start") + 1, F.col("chars")).alias("piece")
-    )
-    found = spans.join(F.broadcast(pieces.table(units.sparkSession)), "piece", "left").where(
-        F.col("id").isNotNull() | (F.col("chars") == 1)
-    )
-    edge = F.struct(
-        (F.col("start") + F.col("chars")).alias("end"),
-        "start",
-        "id",
-        F.coalesce("score", F.lit(pieces.unknown)).alias("score"),
-    )
-    edges = found.groupBy(*group, "word").agg(F.collect_set(edge).alias("edges"))
+def folded(words: Column, pieces: Pieces) -> Column:
+    """The ids of each word of an array; words have at least one character."""
     fold = _merged if pieces.merges else _best_path
-    ids = fold(F.col("word"), F.col("edges"), pieces.first_byte)
-    return edges.select(*group, "word", ids.alias("ids"))
+    return _bind(_buckets(pieces), lambda buckets: F.transform(words, lambda w: fold(w, buckets, pieces)))
+
+
+def encode_units(units: DataFrame, pieces: Pieces, *group: str) -> DataFrame:
+    """``ids`` of each distinct row ``(*group, word)``; words have at least one character."""
+    ids = folded(F.array("word"), pieces)
+    return units.select(*group, "word").distinct().select(*group, "word", F.get(ids, F.lit(0)).alias("ids"))
 
 
 def frequent_units(docs: DataFrame, pieces: Pieces) -> dict[str, bytes]:
-    """Ids of the most frequent units of a sample, as little-endian 16- or 32-bit numbers."""
+    """Ids of the most frequent units of a sample, as little-endian 32-bit numbers."""
     n = docs.count()
     share = min(1_000_000, -(-1_000_000 * SAMPLE // max(1, n)))
     sample = docs.where(F.pmod(F.xxhash64("key", F.lit(5)), F.lit(1_000_000)) < share)
@@ -327,7 +369,7 @@ def frequent_units(docs: DataFrame, pieces: Pieces) -> dict[str, bytes]:
         seen: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column(1).to_pylist():
-                seen.update(UNIT.findall(normalised(text or "")))
+                seen.update(units_of(text or ""))
         total: Counter[str] = Counter()
         for unit, times in seen.items():
             for part in cut_unit(unit, pieces.joints):
@@ -351,121 +393,145 @@ def frequent_units(docs: DataFrame, pieces: Pieces) -> dict[str, bytes]:
 
 
 def _pack(ids) -> bytes:
-    return b"".join([int(i).to_bytes(4, "little") for i in ids])
+    return np.asarray(ids, "<i4").tobytes()
+
+
+def _fill(packed: list[bytes], first: np.ndarray, ends: np.ndarray, values: np.ndarray):
+    """All ids of rows whose holes are filled, and where the ids of each row end, from 0.
+
+    A hole is the negative number of one of the row's words, from -1 on; ``first`` is the place
+    of a row's first word, ``ends`` has the ends of all words in ``values``, from their start.
+    """
+    flat = np.frombuffer(b"".join(packed), "<i4")
+    sizes = np.array([len(x) // 4 for x in packed], np.int64)
+    holes = np.flatnonzero(flat < 0)
+    word = np.repeat(first, sizes)[holes] - 1 - flat[holes]
+    begin, long = ends[word], ends[word + 1] - ends[word]
+    times = np.ones(len(flat), np.int64)
+    times[holes] = long
+    stops = np.concatenate([np.zeros(1, np.int64), np.cumsum(times)])
+    filled = np.repeat(flat, times)
+    step = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
+    filled[np.repeat(stops[holes], long) + step] = values[np.repeat(begin, long) + step]
+    return filled, stops[np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])]
 
 
 def encode(
     docs: DataFrame, pieces: Pieces, key: str = "doc_id", text: str = "text", digest: bool = False
 ) -> DataFrame:
-    """``key`` and ``ids`` of each row, or with ``digest`` their number, checksum and round trip."""
-    spark = prepare(docs.sparkSession).sparkContext
+    """``key`` and ``ids`` of each row, or with ``digest`` their number, checksum and round trip.
+
+    Nothing is shuffled: a text becomes the ids of its kept units with holes for its other
+    parts, which are folded in an array beside them, and then the holes are filled.
+    """
+    session = prepare(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     frequent = frequent_units(rows, pieces)
-    spelled = {i: p for p, i, _ in pieces.rows}
-    known = spark.broadcast(frequent)
-    # Frequent units whose ids do not spell them; looked up where a digest is asked for.
-    unsound = {
-        u for u, packed in frequent.items() if spell(memoryview(packed).cast("I"), spelled, pieces.first_byte) != u
-    }
-    shared = spark.broadcast(pieces)
-
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, joints = known.value, shared.value.joints
-        for batch in batches:
-            keys, words = [], []
-            for name, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                units = {u for u in UNIT.findall(normalised(body or "")) if u not in kept}
-                parts = {
-                    p for u in units for p in cut_unit(u, joints) if len(p) <= LONGEST and p not in kept
-                }
-                keys += [name] * len(parts)
-                words += parts
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, batch.schema.field(0).type), pa.array(words, pa.string())],
-                names=("key", "word"),
-            )
-
-    rest = rows.mapInArrow(others, f"key {kind}, word string")
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rest = rest.repartition(parts, "key")
-    own = (
-        encode_units(rest, pieces, "key")
-        .groupBy("key")
-        .agg(F.collect_list(F.struct("word", "ids")).alias("own"))
-    )
-    joined = rows.join(own, rows["key"].eqNullSafe(own["key"]), "left").select(rows["key"], "text", "own")
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
+    spelled = pieces.spelled()
+    # Frequent parts whose ids do not spell them; looked up where a digest is asked for.
+    unsound = {u for u, packed in frequent.items() if spell(memoryview(packed).cast("i"), spelled) != u}
+    known = session.sparkContext.broadcast(frequent)
+    shared = session.sparkContext.broadcast(pieces)
 
+    def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, pieces = known.value, shared.value
-        spelled = {i: p for p, i, _ in pieces.rows}
-        found = {p: (i, score) for p, i, score in pieces.rows}
+        spelled, table = pieces.spelled(), {p: (i, score) for p, i, score in pieces.rows}
 
-        def spells(unit: str, packed: bytes) -> bool:
-            return spell(memoryview(packed).cast("I"), spelled, pieces.first_byte) == unit
-
-        def parts_of(unit: str, mine: dict[str, bytes]) -> bytes:
-            # Kept for its next place in the text.
+        def holes(unit: str, mine: dict[str, bytes], words: list[str]) -> bytes:
+            """The ids of a unit that is not kept, kept for its next place in the text."""
             packed = []
             for part in cut_unit(unit, pieces.joints):
-                if len(part) > LONGEST and part not in mine:
-                    mine[part] = _pack(fold_long(part, pieces, found))
+                if part not in kept and part not in mine:
+                    if len(part) > LONGEST:
+                        mine[part] = _pack(fold_long(part, pieces, table))
+                    else:
+                        words.append(part)
+                        mine[part] = _pack([-len(words)])
                 packed.append(kept.get(part) or mine[part])
             return mine.setdefault(unit, b"".join(packed))
 
+        def sound(units: list[str], mine: dict[str, bytes]) -> bool:
+            """Whether the ids of kept and long parts spell them."""
+            if not unsound.isdisjoint(units):
+                return False
+            if unsound and any(p in unsound for u in mine for p in cut_unit(u, pieces.joints)):
+                return False
+            long = (p for p in mine if len(p) > LONGEST)
+            return all(
+                spell(memoryview(mine[p]).cast("i"), spelled) == p for p in long if p in cut_unit(p, pieces.joints)
+            )
+
         for batch in batches:
-            out = []
-            for body, added in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
-                mine = {x["word"]: _pack(x["ids"]) for x in added or ()}
-                units = UNIT.findall(normalised(body or ""))
-                packed = b"".join([kept.get(u) or mine.get(u) or parts_of(u, mine) for u in units])
-                ids = memoryview(packed).cast("I")
-                if digest:
-                    # A text is its units, so its ids spell it where those of each unit spell the
-                    # unit; decode() gives a space for a space sign of the text.
-                    same = SPACE not in (body or "") and unsound.isdisjoint(units)
-                    same = same and all(spells(u, mine[u]) for u in set(units) if u not in kept)
-                    out.append((len(ids), zlib.crc32(packed), same))
-                else:
-                    out.append(ids.tolist())
+            out: list[tuple[bytes, list[str], bool]] = []
+            for body in batch.column(1).to_pylist():
+                units, mine, words = units_of(body or ""), {}, []
+                for unit in set(units).difference(kept):
+                    holes(unit, mine, words)
+                packed = b"".join([kept.get(u) or mine[u] for u in units])
+                # A text is its units, so its ids spell it where those of each unit spell the
+                # unit; decode() gives a space for a space sign of the text.
+                out.append((packed, words, digest and SPACE not in (body or "") and sound(units, mine)))
+            packed, words, same = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(packed, pa.binary()),
+                    pa.array(words, pa.list_(pa.string())),
+                    pa.array(same, pa.bool_()),
+                ],
+                names=["key", "packed", "words", "same"],
+            )
+
+    cut_rows = rows.mapInArrow(cut_texts, f"key {kind}, packed binary, words array<string>, same boolean")
+    met = cut_rows.select("*", folded(F.col("words"), pieces).alias("own"))
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelled = shared.value.spelled()
+        for batch in batches:
+            packed = batch.column(1).to_pylist()
+            own = batch.column(4)
+            first = own.offsets.to_numpy().astype(np.int64)
+            ends = own.values.offsets.to_numpy().astype(np.int64)
+            values = own.values.values.to_numpy(zero_copy_only=False)
+            ids, stops = _fill(packed, first[:-1], ends, values)
             if digest:
-                n, crc, same = zip(*out, strict=True) if out else ((), (), ())
-                arrays = [pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
+                same = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
+                words, one = batch.column(2).flatten().to_pylist(), values.tolist()
+                for k, word in enumerate(words, int(first[0])):
+                    if spell(one[ends[k] : ends[k + 1]], spelled) != word:
+                        same[np.searchsorted(first, k, "right") - 1] = False
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(stops, stops[1:], strict=False)]
+                arrays = [pa.array(np.diff(stops), pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
                 names = ["key", "n_ids", "ids_crc32", "round_trip"]
             else:
-                arrays, names = [pa.array(out, pa.list_(pa.int32()))], ["key", "ids"]
+                made = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(ids, pa.int32()))
+                arrays, names = [made], ["key", "ids"]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)
 
     made = "n_ids long, ids_crc32 long, round_trip boolean" if digest else "ids array<int>"
-    return joined.mapInArrow(assemble, f"key {kind}, {made}").withColumnRenamed("key", key)
+    return met.mapInArrow(assemble, f"key {kind}, {made}").withColumnRenamed("key", key)
 
 
-def spell(ids, spelled: dict[int, str], first_byte: int) -> str:
+def spell(ids, spelled: dict[int, bytes]) -> str:
     """The normalised text of ids: pieces and bytes one after the other."""
-    parts = [
-        spelled[i].encode() if i in spelled else bytes([i - first_byte]) for i in ids
-    ]
-    return b"".join(parts).decode("utf-8", "replace")
+    return b"".join([spelled[i] for i in ids]).decode("utf-8", "replace")
 
 
 def decode(encoded: DataFrame, pieces: Pieces, key: str = "doc_id") -> DataFrame:
-    """``key`` and ``text`` from ``key`` and ``ids``: explode, join to the pieces, put together."""
-    rows = encoded.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), "ids")
-    rows = rows.repartition("row")
-    spelled = F.hex(F.encode("piece", "utf-8"))
-    by_byte = F.lpad(F.hex(F.col("id") - pieces.first_byte), 2, "0")
-    table = F.broadcast(pieces.table(encoded.sparkSession))
-    one = rows.select("row", "key", F.posexplode_outer("ids").alias("place", "id")).join(table, "id", "left")
-    body = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("place", "hexed"))), lambda x: x["hexed"]), ""
-    )
-    whole = F.decode(F.unhex(F.coalesce("body", F.lit(""))), "utf-8")
-    plain = F.translate(whole, SPACE, " ")
-    return (
-        one.withColumn("hexed", F.when(F.col("id").isNotNull(), F.coalesce(spelled, by_byte)))
-        .groupBy("row", "key")
-        .agg(body.alias("body"))
-        .select(F.col("key").alias(key), F.substring(plain, F.lit(2), F.length(plain)).alias("text"))
+    """``key`` and ``text`` from ``key`` and ``ids``: each id looked up in its row, and put together."""
+    table: list[str | None] = [None] * (1 + max((i for _, i, _ in pieces.rows), default=0))
+    for piece, i, _ in pieces.rows:
+        table[i] = piece.encode().hex().upper()
+
+    def body(spelled: Column) -> Column:
+        def bytes_of(i: Column) -> Column:
+            return F.coalesce(F.get(spelled, i), F.lpad(F.hex(i - pieces.first_byte), 2, "0"))
+
+        return F.array_join(F.transform("ids", bytes_of), "")
+
+    hexes = F.coalesce(_bind(_constant(table, "string"), body), F.lit(""))
+    plain = F.translate(F.decode(F.unhex(hexes), "utf-8"), SPACE, " ")
+    return encoded.select(F.col(key), plain.alias("text")).select(
+        F.col(key), F.substring("text", F.lit(2), F.length("text")).alias("text")
     )
