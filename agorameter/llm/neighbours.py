@@ -2,9 +2,9 @@
 
 Every vector is indexed: it is dealt to a shard, and a shard keeps one sorted array per random
 projection. For each query a window around its own projection grows in every array at once
-(virtual rehashing), and a vector that lies in enough of the windows is a candidate. Windows
-grow until the candidates of the shard are a stated share of it; then their exact cosines are
-computed. The queries are a stated set; they meet the shards in blocks, and only the best of
+(virtual rehashing), and a vector that lies in enough of the windows is a candidate. The windows
+are the first whose candidates are a stated share of the shard, sought from those of the query
+before; then exact cosines are computed. The queries are a stated set; they meet the shards in blocks, and only the best of
 each shard go on to the merge.
 
 Nulls and edge cases: vectors that are null, zero or hold null or non-finite components take no
@@ -48,8 +48,10 @@ class Index:
         projected = x @ self.planes
         order = np.argsort(projected, axis=0, kind="stable")
         self.sorted = np.take_along_axis(projected, order, axis=0).T.copy()
-        # One array of places per projection, of the type that bincount takes.
-        self.order = list(np.ascontiguousarray(order.T))
+        # The place of each vector in each sorted array.
+        kind = np.uint16 if len(x) < 1 << 16 else np.uint32
+        self.ranks = np.empty(self.sorted.shape, dtype=kind)
+        np.put_along_axis(self.ranks, order.T, np.arange(len(x), dtype=kind)[None, :], axis=1)
         self.spread = max(float(projected.std()), 1e-9)
 
     def candidates(self, queries: np.ndarray, least: int = LEAST, share: float = SHARE):
@@ -65,35 +67,69 @@ class Index:
         widths = [FIRST * self.spread]
         while widths[-1] <= widest:
             widths.append(widths[-1] * GROWTH)
-        # The ends of all windows: (width, projection, query).
-        low = np.empty((len(widths), PROJECTIONS, len(queries)), dtype=np.int32)
-        high = np.empty_like(low)
-        for p in range(PROJECTIONS):
-            for w, width in enumerate(widths):
-                low[w, p] = np.searchsorted(self.sorted[p], projected[:, p] - width, "left")
-                high[w, p] = np.searchsorted(self.sorted[p], projected[:, p] + width, "right")
-        return [
-            self._grow(low[:, :, q], high[:, :, q], needed, wanted) for q in range(len(queries))
-        ]
-
-    def _grow(self, low: np.ndarray, high: np.ndarray, needed: int, wanted: int) -> np.ndarray:
-        """Count collisions window by window; only the new wings of each are added."""
-        n = len(self.x)
-        counts = np.zeros(n, dtype=np.int64)
-        start = end = low[0].tolist()
-        found = np.zeros(0, dtype=np.int64)
-        for lows, highs in zip(low, high, strict=True):
-            lows, highs = lows.tolist(), highs.tolist()  # plain numbers slice faster
-            left = zip(self.order, lows, start, strict=True)
-            right = zip(self.order, end, highs, strict=True)
-            wings = [places[a:b] for side in (left, right) for places, a, b in side if a < b]
-            start, end = lows, highs
-            if wings:
-                counts += np.bincount(np.concatenate(wings), minlength=n)
-                found = np.flatnonzero(counts >= needed)
+        ends: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def windows(w: int) -> tuple[np.ndarray, np.ndarray]:
+            """Where the windows of a width start and how many vectors they hold, by query."""
+            if w not in ends:
+                low, high = (
+                    np.array([
+                        np.searchsorted(places, around + way * widths[w], side)
+                        for places, around in zip(self.sorted, projected.T, strict=True)
+                    ])
+                    for way, side in ((-1, "left"), (1, "right"))
+                )
+                ends[w] = low.T.astype(self.ranks.dtype), (high - low).T.astype(self.ranks.dtype)
+            return ends[w]
+
+        def collided(q: int, w: int) -> np.ndarray:
+            """The vectors that lie in enough windows of a width around a query."""
+            low, held = windows(w)
+            # A place before the window wraps around to a large number.
+            inside = self.ranks - low[q][:, None] < held[q][:, None]
+            counts = inside.view(np.uint8).sum(axis=0, dtype=np.min_scalar_type(PROJECTIONS))
+            return np.flatnonzero(counts >= needed)
+
+        found, w = [], 0
+        for q in range(len(queries)):
+            best, w = self._grow(lambda w, q=q: collided(q, w), w, len(widths) - 1, wanted)
+            found.append(best)
+        return found
+
+    def _grow(self, collided, w: int, widest: int, wanted: int) -> tuple[np.ndarray, int]:
+        """The vectors of the first width that has enough of them, or of the widest, and that width.
+
+        Wider windows hold what narrower ones do, so the width is sought from that of the query before.
+        """
+        below, found, step = -1, collided(w), 1
+        if len(found) >= wanted:
+            enough = w
+            while below < 0 < enough:
+                w = max(0, enough - step)
+                tried = collided(w)
+                if len(tried) < wanted:
+                    below = w
+                    break
+                enough, found, step = w, tried, step * 2
+        else:
+            enough, below = widest, w
+            while True:
+                w = min(widest, below + step)
+                if w == below:
+                    return found, w
+                found = collided(w)
                 if len(found) >= wanted:
+                    enough = w
                     break
-        return found
+                below, step = w, step * 2
+        while enough - below > 1:
+            w = (below + enough) // 2
+            tried = collided(w)
+            if len(tried) >= wanted:
+                enough, found = w, tried
+            else:
+                below = w
+        return found, enough
 
 
 def _blocks(n: int, size: int) -> int:
@@ -132,16 +168,14 @@ def search(
     def find(data: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         columns: dict[str, list] = {"query_id": [], "key": [], "score": []}
         if len(data) and len(queries):
-            x = unit(np.stack(data["vector"].to_numpy()).astype(np.float64))
-            y = unit(np.stack(queries["vector"].to_numpy()).astype(np.float64))
-            keys = data["key"].to_numpy()
             raw = np.stack(data["vector"].to_numpy()).astype(np.float64)
-            index = Index(x)
-            own = queries["key"].to_numpy()
             asked = np.stack(queries["vector"].to_numpy()).astype(np.float64)
-            for q, places in enumerate(index.candidates(y, least, share)):
+            keys, own = data["key"].to_numpy(), queries["key"].to_numpy()
+            found = Index(unit(raw)).candidates(unit(asked), least, share)
+            (raw, lengths), (asked, sizes) = scaled(raw), scaled(asked)
+            for q, places in enumerate(found):
                 places = places[keys[places] != own[q]]
-                scores = cosine(raw[places], asked[q])
+                scores = (raw[places] * asked[q]).sum(axis=1) / (lengths[places] * sizes[q])
                 best = np.lexsort((keys[places], -scores))[:k]
                 columns["query_id"] += [own[q]] * len(best)
                 columns["key"] += keys[places[best]].tolist()
@@ -162,10 +196,7 @@ def search(
     )
 
 
-def cosine(x: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Cosines of the rows with the query; equal rows get equal values."""
-    # A power of two takes the size out without a rounding.
+def scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that a power of two brings near one, which takes no rounding, and their lengths."""
     x = x * np.exp2(-np.frexp(np.abs(x).max(axis=1, initial=0))[1].astype(float))[:, None]
-    query = query * np.exp2(-float(np.frexp(np.abs(query).max())[1]))
-    lengths = np.sqrt((x * x).sum(axis=1)) * np.sqrt((query * query).sum())
-    return (x * query).sum(axis=1) / lengths
+    return x, np.sqrt((x * x).sum(axis=1))

@@ -94,6 +94,31 @@ def test_windows_count_every_collision():
         assert q in found and 50 <= len(found) < 200
 
 
+@pytest.mark.parametrize("wanted", [(0, 0.02), (10, 0.1), (96, 0.12), (0, 0.9)])
+def test_windows_are_the_first_with_enough(wanted):
+    """Those that grow step by step from the narrowest, and few of them are looked at."""
+    chance = np.random.default_rng(5)
+    x = chance.standard_normal((500, 16))
+    x[:100] = x[0]
+    x[400:] *= 30
+    queries = np.concatenate([x[95:105], x[395:405], chance.standard_normal((5, 16))])
+    index = neighbours.Index(x)
+    enough = wanted[0] + int(np.ceil(wanted[1] * len(x)))
+    apart = np.sort(np.abs((x @ index.planes)[None] - (queries @ index.planes)[:, None]), axis=2)
+    needed = int(np.ceil(neighbours.COLLISIONS * neighbours.PROJECTIONS))
+    looks = []
+    grow = index._grow
+    index._grow = lambda collided, *a: grow(lambda w: looks.append(w) or collided(w), *a)
+    found = index.candidates(queries, *wanted)
+    for q, places in enumerate(found):
+        reached = apart[q, :, needed - 1]
+        width = neighbours.FIRST * index.spread
+        while (reached <= width).sum() < enough:
+            width *= neighbours.GROWTH
+        assert places.tolist() == np.flatnonzero(reached <= width).tolist()
+    assert len(looks) < 12 * len(queries)
+
+
 def test_empty_and_few(spark, rows):
     df = spark.createDataFrame(rows[:3], "vec_id long, embedding array<double>")
     assert search(df.limit(0), F.lit(True)).collect() == []
