@@ -112,9 +112,10 @@ def sentencepiece_viterbi(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     encoded = cut(sentencepiece.encode(docs, pieces))
     decoded = sentencepiece.decode(encoded, pieces).withColumnRenamed("text", "decoded")
-    met = docs.join(encoded, "doc_id").join(decoded, "doc_id")
+    counted = encoded.select("doc_id", F.size("ids").alias("n_ids"))
+    met = docs.join(counted, "doc_id").join(decoded, "doc_id")
     same = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
-    return met.select("doc_id", F.size("ids").alias("n_ids"), same.alias("round_trip"))
+    return met.select("doc_id", "n_ids", same.alias("round_trip"))
 
 
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:

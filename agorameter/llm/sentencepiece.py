@@ -45,6 +45,8 @@ SAMPLE = 20_000
 KEPT = 300_000
 #: Places of the piece table in a row's expressions.
 BUCKETS = 1 << 17
+#: Units of several parts that a worker keeps at a time.
+WHOLE = 50_000
 #: How much worse than the worst piece a character without one is.
 PENALTY = 10.0
 UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
@@ -96,8 +98,8 @@ def units_of(text: str) -> list[str]:
     """The units of a text: with single spaces and line ends they are cut without the pattern."""
     if text[:1] == " " or "  " in text or "\n\n" in text or SPACE in text:
         return UNIT.findall(normalised(text))
-    marked = normalised(text).replace(SPACE, " " + SPACE).replace("\n", " \n ")
-    return list(filter(None, marked.split(" ")))
+    marked = text.replace(" ", " " + SPACE).replace("\n", " \n ")
+    return list(filter(None, (SPACE + marked).split(" "))) if text else []
 
 
 def normalised(text: str) -> str:
@@ -106,10 +108,9 @@ def normalised(text: str) -> str:
 
 def cut_unit(unit: str, joints: frozenset[str]) -> list[str]:
     """The unit at all places that no piece crosses."""
-    if joints.issuperset(map(add, unit, unit[1:])):
-        return [unit]
-    places = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in joints]
-    return [unit[a:b] for a, b in zip([0, *places], [*places, len(unit)], strict=True)]
+    pairs = enumerate(map(add, unit, unit[1:]), 1)
+    places = [i for i, pair in pairs if pair not in joints]
+    return [unit[a:b] for a, b in zip([0, *places], [*places, len(unit)], strict=True)] if places else [unit]
 
 
 def _merged_borders(word: str, table: dict[str, tuple[int, float]]) -> list[int]:
@@ -212,12 +213,8 @@ def _buckets(pieces: Pieces) -> Column:
 
 def _find(buckets: Column, text: Column) -> Column:
     """The piece that a text is, or null."""
-
-    def equal(t: Column) -> Column:
-        held = F.get(buckets, (F.crc32(t) % BUCKETS).cast("int"))
-        return F.get(F.filter(held, lambda e: e["piece"] == t), F.lit(0))
-
-    return _bind(text, equal)
+    held = F.get(buckets, (F.crc32(text) % BUCKETS).cast("int"))
+    return F.get(F.filter(held, lambda e: e["piece"] == text), F.lit(0))
 
 
 def _merged(word: Column, buckets: Column, pieces: Pieces) -> Column:
@@ -438,40 +435,47 @@ def encode(
         kept, pieces = known.value, shared.value
         spelled, table = pieces.spelled(), {p: (i, score) for p, i, score in pieces.rows}
 
-        def holes(unit: str, mine: dict[str, bytes], words: list[str]) -> bytes:
+        # Units put together from kept parts alone.
+        whole: dict[str, bytes] = {}
+
+        def put_together(unit: str, mine: dict[str, bytes], words: list[str]) -> bytes:
             """The ids of a unit that is not kept, kept for its next place in the text."""
-            packed = []
-            for part in cut_unit(unit, pieces.joints):
+            parts = cut_unit(unit, pieces.joints)
+            for part in parts:
                 if part not in kept and part not in mine:
                     if len(part) > LONGEST:
                         mine[part] = _pack(fold_long(part, pieces, table))
                     else:
                         words.append(part)
-                        mine[part] = _pack([-len(words)])
-                packed.append(kept.get(part) or mine[part])
-            return mine.setdefault(unit, b"".join(packed))
-
-        def sound(units: list[str], mine: dict[str, bytes]) -> bool:
+                        mine[part] = (-len(words)).to_bytes(4, "little", signed=True)
+            packed = b"".join([kept.get(p) or mine[p] for p in parts])
+            if all(p in kept for p in parts):
+                if len(whole) >= WHOLE:
+                    whole.clear()
+                whole[unit] = packed
+            return mine.setdefault(unit, packed)
+
+        def sound(units: list[str]) -> bool:
             """Whether the ids of kept and long parts spell them."""
-            if not unsound.isdisjoint(units):
-                return False
-            if unsound and any(p in unsound for u in mine for p in cut_unit(u, pieces.joints)):
+            if unsound and any(p in unsound for u in units for p in cut_unit(u, pieces.joints)):
                 return False
-            long = (p for p in mine if len(p) > LONGEST)
-            return all(
-                spell(memoryview(mine[p]).cast("i"), spelled) == p for p in long if p in cut_unit(p, pieces.joints)
-            )
+            long = (p for u in units if len(u) > LONGEST for p in cut_unit(u, pieces.joints) if len(p) > LONGEST)
+            return all(spell(fold_long(p, pieces, table), spelled) == p for p in long)
 
         for batch in batches:
             out: list[tuple[bytes, list[str], bool]] = []
             for body in batch.column(1).to_pylist():
                 units, mine, words = units_of(body or ""), {}, []
-                for unit in set(units).difference(kept):
-                    holes(unit, mine, words)
-                packed = b"".join([kept.get(u) or mine[u] for u in units])
+                found = list(map(kept.get, units))
+                at = -1
+                for _ in range(found.count(None)):
+                    at = found.index(None, at + 1)
+                    unit = units[at]
+                    found[at] = whole.get(unit) or mine.get(unit) or put_together(unit, mine, words)
                 # A text is its units, so its ids spell it where those of each unit spell the
                 # unit; decode() gives a space for a space sign of the text.
-                out.append((packed, words, digest and SPACE not in (body or "") and sound(units, mine)))
+                same = digest and SPACE not in (body or "") and sound(units)
+                out.append((b"".join(found), words, same))
             packed, words, same = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [

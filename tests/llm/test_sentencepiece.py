@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -149,6 +150,33 @@ def test_units_and_cuts(pieces):
         assert not table & set(crossing)
 
 
+def steps(df):
+    """The shuffles, joins, explosions and groupings of the plan, without the pieces in its constants."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"^[ :+-]*(?:\*\(\d+\) )?(\w*(?:Exchange|Generate|Join|Aggregate)\w*)", plan, re.M)
+
+
+@pytest.mark.parametrize("digest", [False, True])
+def test_nothing_is_shuffled(docs, pieces, digest):
+    """Neither edges nor ids become rows, which spilled and grew beyond the disk."""
+    encoded = encode(docs.limit(3).localCheckpoint(), pieces, digest=digest)
+    assert steps(encoded.repartition(2)) and not steps(encoded)
+
+
+def test_decoding_stays_in_the_row(spark, pieces):
+    rows = spark.createDataFrame([(1, [13, None, 5]), (None, None), (1, [])], "doc_id long, ids array<int>")
+    assert not steps(decode(rows, pieces))
+    assert sorted((r.doc_id or 0, len(r.text)) for r in decode(rows, pieces).collect())[:2] == [(0, 0), (1, 0)]
+
+
+def test_units_of_a_text():
+    """The short way cuts as the pattern does."""
+    chance = random.Random(2)
+    for _ in range(3000):
+        text = "".join(chance.choices(["a", "b.", " ", "\n", "é", "\t", "▁", "\r"], [5, 3, 4, 2, 1, 1, 0.2, 1], k=chance.randint(0, 9)))
+        assert sentencepiece.units_of(text) == UNIT.findall(normalised(text)), repr(text)
+
+
 def test_empty_table(docs, pieces):
     assert encode(docs.limit(0), pieces).collect() == []
 
