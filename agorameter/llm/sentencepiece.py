@@ -1,18 +1,18 @@
-"""Encoding and decoding with a piece table as a relational lattice.
+"""Encoding and decoding with a piece table as a lattice in the row.
 
 A text is normalised (a space in front, spaces as ▁) and cut into units that no piece crosses.
-The substrings of a unit up to the longest piece are exploded and equi-joined to the piece
-table; the edges found are grouped by unit, and a higher-order aggregate folds them to ids,
-where a character without a piece stands for its bytes. For a table of independent pieces the
-fold is Viterbi's: the path with the largest sum of scores. A table of merges does not mean that
-path; there the same edges are folded in the order of the merges, the best score first and the
-leftmost of equals, which gives the ids of the library.
+The substrings of a unit up to the longest piece are looked up in the piece table, which is a
+constant of hashed buckets; a higher-order aggregate folds the edges found to ids, where a
+character without a piece stands for its bytes. For a table of independent pieces the fold is
+Viterbi's: the path with the largest sum of scores. A table of merges does not mean that path;
+there the edges that merges meet are folded in the order of the merges, the best score first and
+the leftmost of equals, which gives the ids of the library.
 
 The ids of a unit depend on the unit alone. Units that are frequent in a bounded sample are
-encoded once and kept in the workers; all others go through the same lattice, grouped by
-document, so any unit is encoded and the sample decides nothing but the cost. The aggregate's
+encoded once and kept in the workers; all others go through the same lattice in an array of
+their document, so any unit is encoded and the sample decides nothing but the cost. The aggregate's
 time grows with the square of a unit's length, so units longer than ``LONGEST`` are folded whole
-in the task that assembles their document, in the same order of merges from a heap, or by Viterbi.
+in the task that cuts their document, in the same order of merges from a heap, or by Viterbi.
 
 Nulls and edge cases: a null or empty text has no ids; rows that share an id share only the
 lookup of their units; a unit is cut only where no piece crosses, however long it is; of equal paths the one with the longer last piece wins; a ▁ in a text
