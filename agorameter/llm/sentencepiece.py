@@ -9,8 +9,11 @@ there the edges that merges meet are folded in the order of the merges, the best
 the leftmost of equals, which gives the ids of the library.
 
 The ids of a unit depend on the unit alone. Units that are frequent in a bounded sample are
-encoded once and kept in the workers; all others go through the same lattice in an array of
-their document, so any unit is encoded and the sample decides nothing but the cost. The aggregate's
+encoded once and kept in the workers, which receive them from each other and not from the driver.
+With merges, the pieces that stand beside each other in a kept unit do so in any other unit too
+(see :func:`known_path`), so a unit with a path of such neighbours has its ids from kept ones. All
+others go through the same lattice in an array of their document, so any unit is encoded and the
+sample decides nothing but the cost. The aggregate's
 time grows with the square of a unit's length, so units longer than ``LONGEST`` are folded whole
 in the task that cuts their document, in the same order of merges from a heap, or by Viterbi.
 
@@ -23,12 +26,15 @@ from __future__ import annotations
 
 import heapq
 import json
+import pickle
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from operator import add
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +46,15 @@ from agorameter.llm.common import prepare
 SPACE = "▁"
 #: Characters of the longest unit that goes through the lattice of joins.
 LONGEST = 256
-#: Documents of the sample (in expectation), and units kept in the workers.
+#: Documents of the sample (in expectation), and units encoded for the workers. Those met at
+#: least ``OFTEN`` times are kept, the others only show which pieces are neighbours. Without
+#: merges all are kept.
 SAMPLE = 20_000
 KEPT = 300_000
+OFTEN = 4
 #: Places of the piece table in a row's expressions.
 BUCKETS = 1 << 17
-#: Units of several parts that a worker keeps at a time.
+#: Units that a worker puts together from kept ones and keeps at a time.
 WHOLE = 50_000
 #: How much worse than the worst piece a character without one is.
 PENALTY = 10.0
@@ -108,9 +117,13 @@ def normalised(text: str) -> str:
 
 def cut_unit(unit: str, joints: frozenset[str]) -> list[str]:
     """The unit at all places that no piece crosses."""
-    pairs = enumerate(map(add, unit, unit[1:]), 1)
-    places = [i for i, pair in pairs if pair not in joints]
-    return [unit[a:b] for a, b in zip([0, *places], [*places, len(unit)], strict=True)] if places else [unit]
+    inside = list(map(joints.__contains__, map(add, unit, unit[1:])))
+    parts, start = [], 0
+    for _ in range(inside.count(False)):
+        end = inside.index(False, start) + 1
+        parts.append(unit[start:end])
+        start = end
+    return [*parts, unit[start:]]
 
 
 def _merged_borders(word: str, table: dict[str, tuple[int, float]]) -> list[int]:
@@ -356,8 +369,81 @@ def encode_units(units: DataFrame, pieces: Pieces, *group: str) -> DataFrame:
     return units.select(*group, "word").distinct().select(*group, "word", F.get(ids, F.lit(0)).alias("ids"))
 
 
-def frequent_units(docs: DataFrame, pieces: Pieces) -> dict[str, bytes]:
-    """Ids of the most frequent units of a sample, as little-endian 32-bit numbers."""
+class Kept:
+    """The units that workers keep, from the compressed parts that :func:`frequent_units` made.
+
+    A worker unpacks them once; the driver only hands the parts on.
+    """
+
+    def __init__(self, parts: list[bytes], pieces: Pieces):
+        self.parts, self.pieces = parts, pieces
+
+    @cached_property
+    def unpacked(self) -> tuple[dict[str, bytes], dict[bytes, tuple[int, dict[str, bytes]]]]:
+        """The ids of each unit, and by the id of a piece the pieces known to follow it.
+
+        These come with the length of the longest; after no id come the pieces known to be left
+        whole. Ids are little-endian 32-bit numbers.
+        """
+        ids: dict[str, bytes] = {}
+        pairs = [np.zeros(0, "<i8")]
+        for part in self.parts:
+            found, beside = pickle.loads(zlib.decompress(part))
+            ids |= found
+            pairs.append(np.frombuffer(beside, "<i8"))
+        spelled = {i: (piece, _pack([i])) for piece, i, _ in self.pieces.rows}
+        follow: dict[bytes, dict[str, bytes]] = {}
+        for pair in np.unique(np.concatenate(pairs)).tolist():
+            (_, before), (piece, own) = spelled.get(pair >> 32, ("", b"")), spelled[pair & 0xFFFFFFFF]
+            follow.setdefault(before, {})[piece] = own
+        return ids, {i: (max(map(len, after)), after) for i, after in follow.items()}
+
+
+def neighbours_of(units: list[list[int]], pieces: Pieces) -> bytes:
+    """The pieces of merged units, each with the one before it and each with -1; bytes are left out.
+
+    A pair is one 64-bit number, the id before in its upper half.
+    """
+    flat = np.array([i for ids in units for i in (-1, *ids)], np.int64)
+    byte = (flat >= pieces.first_byte) & (flat < pieces.first_byte + 256)
+    good = ~byte & (flat >= 0)
+    before, after = flat[:-1], flat[1:]
+    beside = good[1:] & good[:-1]
+    alone = np.unique(flat[good]) | (np.int64(-1) << 32)
+    return np.concatenate([alone, np.unique((before << 32 | after)[beside])]).astype("<i8").tobytes()
+
+
+def known_path(word: str, kept: dict[str, bytes], follow: dict[bytes, tuple[int, dict[str, bytes]]]) -> bytes | None:
+    """The ids of a merged word if all neighbours on a path through it are known ones, or None.
+
+    Merges inside two neighbouring pieces come in the same order whatever stands around them, up
+    to the first one that crosses their border. So pieces end up beside each other in a word just
+    if they do so where the two stand alone, and a path of which that is true at each border has
+    the ids of the word. Any start of the word has one such path at most, so each is tried once,
+    from the longest kept start on.
+    """
+    n = len(word)
+    seen: set[int] = set()
+    for start in range(n - 1, -1, -1):
+        ids = kept.get(word[:start]) if start else b""
+        if ids is None or start in seen:
+            continue
+        todo = [(start, ids)]
+        while todo:
+            at, ids = todo.pop()
+            seen.add(at)
+            if after := follow.get(ids[-4:]):
+                reach, known = after
+                if n - at <= reach and (one := known.get(word[at:])):
+                    return ids + one
+                for end in range(at + 1, min(n, at + reach + 1)):
+                    if (one := known.get(word[at:end])) and end not in seen:
+                        todo.append((end, ids + one))
+    return None
+
+
+def frequent_units(docs: DataFrame, pieces: Pieces) -> Kept:
+    """The most frequent units of a sample with their ids, encoded and packed in the tasks."""
     n = docs.count()
     share = min(1_000_000, -(-1_000_000 * SAMPLE // max(1, n)))
     sample = docs.where(F.pmod(F.xxhash64("key", F.lit(5)), F.lit(1_000_000)) < share)
@@ -385,8 +471,20 @@ def frequent_units(docs: DataFrame, pieces: Pieces) -> dict[str, bytes]:
         .limit(KEPT)
     )
     spread = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    found = encode_units(top.select("word").repartition(spread, "word"), pieces).toPandas()
-    return {w: _pack(ids) for w, ids in zip(found["word"], found["ids"], strict=True)}
+    found = encode_units(top.repartition(spread, "word"), pieces, "n")
+    often = OFTEN if pieces.merges else 1
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelled = pieces.spelled()
+        for batch in batches:
+            times, words, units = (c.to_pylist() for c in batch.columns)
+            # Ids that do not spell their unit are left to the lattice, which finds them out.
+            rows = zip(times, words, units, strict=True)
+            own = {w: _pack(ids) for n, w, ids in rows if n >= often and spell(ids, spelled) == w}
+            beside = neighbours_of(units, pieces) if pieces.merges else b""
+            yield pa.RecordBatch.from_pydict({"part": pa.array([zlib.compress(pickle.dumps((own, beside)), 1)], pa.binary())})
+
+    return Kept([r.part for r in found.mapInArrow(pack, "part binary").collect()], pieces)
 
 
 def _pack(ids) -> bytes:
@@ -424,41 +522,58 @@ def encode(
     session = prepare(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    frequent = frequent_units(rows, pieces)
-    spelled = pieces.spelled()
-    # Frequent parts whose ids do not spell them; looked up where a digest is asked for.
-    unsound = {u for u, packed in frequent.items() if spell(memoryview(packed).cast("i"), spelled) != u}
-    known = session.sparkContext.broadcast(frequent)
-    shared = session.sparkContext.broadcast(pieces)
+    shared = session.sparkContext.broadcast(frequent_units(rows, pieces))
 
     def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, pieces = known.value, shared.value
+        pieces = shared.value.pieces
+        kept, follow = shared.value.unpacked
         spelled, table = pieces.spelled(), {p: (i, score) for p, i, score in pieces.rows}
 
-        # Units put together from kept parts alone.
+        # Units put together from kept ones alone.
         whole: dict[str, bytes] = {}
 
-        def put_together(unit: str, mine: dict[str, bytes], words: list[str]) -> bytes:
-            """The ids of a unit that is not kept, kept for its next place in the text."""
+        def remember(unit: str, packed: bytes) -> bytes:
+            if len(whole) >= WHOLE:
+                whole.clear()
+            whole[unit] = packed
+            return packed
+
+        def ids_of(part: str, mine: dict[str, bytes], words: list[str]) -> bytes:
+            """The ids of a part, or the hole for them."""
+            if found := kept.get(part) or whole.get(part) or mine.get(part):
+                return found
+            if len(part) > LONGEST:
+                mine[part] = _pack(fold_long(part, pieces, table))
+            elif follow and (path := known_path(part, kept, follow)):
+                return remember(part, path)
+            else:
+                words.append(part)
+                mine[part] = (-len(words)).to_bytes(4, "little", signed=True)
+            return mine[part]
+
+        def look_up(unit: str, mine: dict[str, bytes], words: list[str]) -> bytes:
+            """The ids of all parts of a unit, kept for its next place."""
+            if found := kept.get(unit) or whole.get(unit) or mine.get(unit):
+                return found
             parts = cut_unit(unit, pieces.joints)
-            for part in parts:
-                if part not in kept and part not in mine:
-                    if len(part) > LONGEST:
-                        mine[part] = _pack(fold_long(part, pieces, table))
-                    else:
-                        words.append(part)
-                        mine[part] = (-len(words)).to_bytes(4, "little", signed=True)
-            packed = b"".join([kept.get(p) or mine[p] for p in parts])
-            if all(p in kept for p in parts):
-                if len(whole) >= WHOLE:
-                    whole.clear()
-                whole[unit] = packed
-            return mine.setdefault(unit, packed)
+            packed = b"".join([ids_of(p, mine, words) for p in parts])
+            if len(parts) == 1:
+                return packed
+            if any(p in mine for p in parts):
+                return mine.setdefault(unit, packed)
+            return remember(unit, packed)
+
+        def put_together(unit: str, mine: dict[str, bytes], words: list[str]) -> bytes:
+            """The ids of a unit that is not kept: most are a word and marks, which no piece joins."""
+            at = len(unit.rstrip(punctuation))
+            if 0 < at < len(unit) and unit[at - 1 : at + 1] not in pieces.joints:
+                return look_up(unit[:at], mine, words) + look_up(unit[at:], mine, words)
+            return look_up(unit, mine, words)
 
         def sound(units: list[str]) -> bool:
-            """Whether the ids of kept and long parts spell them."""
-            if unsound and any(p in unsound for u in units for p in cut_unit(u, pieces.joints)):
-                return False
+            """Whether the ids of long parts spell them; those of kept ones and of paths do."""
+            if max(map(len, units), default=0) <= LONGEST:
+                return True
             long = (p for u in units if len(u) > LONGEST for p in cut_unit(u, pieces.joints) if len(p) > LONGEST)
             return all(spell(fold_long(p, pieces, table), spelled) == p for p in long)
 
@@ -491,7 +606,7 @@ def encode(
     met = cut_rows.select("*", folded(F.col("words"), pieces).alias("own"))
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = shared.value.spelled()
+        spelled = shared.value.pieces.spelled()
         for batch in batches:
             packed = batch.column(1).to_pylist()
             own = batch.column(4)

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from agorameter.llm import queries, sentencepiece
@@ -189,3 +190,33 @@ def test_whole_table_by_the_best_path(spark, pieces):
     assert all(r.round_trip for r in rows.values())
     for i in sorted(docs, key=lambda i: len(docs[i] or ""))[:25]:
         assert rows[i].n_ids == len(brute(docs[i], pieces))
+
+
+def test_known_neighbours_give_the_ids_of_merges(spark, merges, library):
+    """Units that are not kept get their ids from the neighbours in others, without a fold."""
+    chance = random.Random(11)
+    syllables = ["the", "ing", "er", "tion", "on", "re", "é", "Ü", "123", "st", "\U00013000"]
+    words = ["".join(chance.choices(syllables, k=chance.randint(1, 6))) for _ in range(4000)]
+    texts = [" ".join(words[i : i + 20]) for i in range(0, 2000, 20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "key long, text string")
+    kept, follow = sentencepiece.frequent_units(docs, merges).unpacked
+    table = {p: (i, score) for p, i, score in merges.rows}
+    new = {p for w in words[2000:] for p in cut_unit(normalised(w), merges.joints)} - set(kept)
+    found = {w: sentencepiece.known_path(w, kept, follow) for w in new}
+    assert sum(path is not None for path in found.values()) > len(new) / 2 > 100
+    for word, path in found.items():
+        if path is not None:
+            assert np.frombuffer(path, "<i4").tolist() == sentencepiece.fold_long(word, merges, table), word
+    rows = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    for r in encode(rows, merges).collect():
+        assert r.ids == library.encode(words[r.doc_id]), words[r.doc_id]
+
+
+def test_the_driver_holds_no_kept_units(docs, merges, pieces):
+    """They come packed from the tasks and are unpacked in the workers only."""
+    rows = docs.select(F.col("doc_id").alias("key"), "text")
+    for own in (merges, pieces):
+        kept = sentencepiece.frequent_units(rows, own)
+        assert kept.parts and all(isinstance(p, bytes | bytearray) for p in kept.parts)
+        assert "unpacked" not in vars(kept)
+    assert len(kept.unpacked[0]) > 20 and not kept.unpacked[1]
