@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 #: Records of one file, at most.
 FILE_RECORDS = 1_000_000
+#: Texts take a third less room than with the default.
+CODEC = "zstd"
 
 
 def sized(df: DataFrame, folder: str) -> DataFrame:

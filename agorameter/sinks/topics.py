@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from agorameter.sinks.files import FILE_RECORDS, sized
+from agorameter.sinks.files import CODEC, FILE_RECORDS, sized
 
 
 def write_topics(df: DataFrame, servers: str, **options: str) -> None:
@@ -18,8 +18,12 @@ def write_topics(df: DataFrame, servers: str, **options: str) -> None:
     )
 
 
-def write_topic_files(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Keep each row in the folder of the topic it names, in files sized by their bytes."""
-    dealt = sized(df.select("key", "value", "topic"), "topic")
-    writer = dealt.write.option("maxRecordsPerFile", FILE_RECORDS)
-    writer.partitionBy("topic").mode(mode).parquet(path)
+def write_topic_files(df: DataFrame, path: str, mode: str = "append", dealt: bool = True) -> None:
+    """Keep each row in the folder of the topic it names, in files sized by their bytes.
+
+    Without ``dealt`` the rows are not shuffled and each task writes its own files, for rows of
+    one topic from an input of even splits.
+    """
+    rows = df.select("key", "value", "topic")
+    writer = (sized(rows, "topic") if dealt else rows).write.option("maxRecordsPerFile", FILE_RECORDS)
+    writer.option("compression", CODEC).partitionBy("topic").mode(mode).parquet(path)

@@ -42,12 +42,17 @@ def read_topic(spark: SparkSession, servers: str, topic: str, **options) -> Data
 
 
 def stream_topic_files(
-    spark: SparkSession, path: str, topic: str, max_files: int | None = None
+    spark: SparkSession, path: str, topic: str, max_files: int | None = None, clean: bool = False
 ) -> DataFrame:
-    """A topic kept as files, as ``write_topic_files`` lays them out."""
+    """A topic kept as files, as ``write_topic_files`` lays them out.
+
+    With ``clean`` the files of a batch are deleted once it is done, for a topic of one reader.
+    """
     reader = spark.readStream.schema(StructType(ENVELOPE.fields[:2]))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if clean:
+        reader = reader.option("cleanSource", "delete")
     return reader.parquet(f"{path}/topic={topic}")
 
 

@@ -1,7 +1,7 @@
 """A table with the latest version of each record, kept up to date by a stream.
 
-Records live in buckets by a hash of their key. A batch is first reduced to one version per
-key; then each bucket it touches is rewritten from its present files and the batch, as
+Records live in buckets by a hash of their key. Each bucket that a batch touches is rewritten
+from its present files and the batch, a group of buckets at a time, as
 
     <path>/data/_batch=<n>/_bucket=<b>/…    the bucket as batch n left it
     <path>/commits/_batch=<n>/…             the buckets of batch n; written last, so it commits
@@ -13,7 +13,7 @@ and reads those of earlier batches only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +21,19 @@ from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from agorameter.plans.reports import latest_snapshot, with_place
-from agorameter.session import remove_folder
+from agorameter.session import dropped_shuffles, remove_folder
+from agorameter.sinks.files import CODEC
 
 #: The version of records that have none of their own: the batch they came with.
 ARRIVAL = "_arrival"
 BUCKET = "_bucket"
 BATCH = "_batch"
+#: The batch with which a row entered a table whose changes are handed on.
+SINCE = "_since"
+#: Parts in which a batch rewrites its buckets, at most: what is shuffled at a time is as much less.
+ROUNDS = 4
+#: Times the mean from which a bucket's rows of a batch are reduced to one per key before the shuffle.
+UNEVEN = 4
 
 
 def _bucket(key: str, buckets: int):
@@ -58,7 +65,7 @@ def _stored(
     folders = [f"{path}/data/{BATCH}={n}/{BUCKET}={b}" for b, n in sorted(batches.items())]
     reader = spark.read.option("basePath", f"{path}/data")
     if schema is None:
-        return reader.parquet(*folders).drop(BATCH)
+        return reader.parquet(*folders).drop(BATCH, SINCE)
     wide = StructType(list(schema.fields)).add(BUCKET, "integer")
     if not folders:
         return spark.createDataFrame([], wide)
@@ -69,11 +76,22 @@ def _stored(
 SIGN = "_sign"
 
 
-def _changes(both: DataFrame) -> DataFrame:
-    """What a batch changed: new winners, and old ones that lost; repeats change nothing."""
-    entered = F.col("_place") == 1
-    sign = F.when(entered & F.col("_new"), 1).when(~entered & ~F.col("_new"), -1)
-    return both.withColumn(SIGN, sign).where(F.col(SIGN).isNotNull()).drop("_place", "_new", BUCKET)
+def _changes(old: DataFrame, new: DataFrame, key: str, batch_id: int) -> DataFrame:
+    """What a batch changed: new winners, and old ones that lost; repeats change nothing.
+
+    Both are read from the files of the buckets before and after, so only the columns that the
+    report asks for are read.
+    """
+    entered = new.where(F.col(SINCE) == batch_id)
+    left = old.join(entered.select(key), key, "left_semi").select(*old.columns)
+    signed = entered.withColumn(SIGN, F.lit(1)).unionByName(left.withColumn(SIGN, F.lit(-1)))
+    return signed.drop(SINCE, BUCKET)
+
+
+def _rounds(spark: SparkSession, buckets: list[int]) -> Iterator[list[int]]:
+    """The buckets in a few groups, none of which is too small for the cores."""
+    step = max(spark.sparkContext.defaultParallelism, -(-len(buckets) // ROUNDS))
+    return (buckets[i : i + step] for i in range(0, len(buckets), step))
 
 
 def latest_writer(
@@ -104,23 +122,33 @@ def latest_writer(
         if not keep_replaced:
             _drop_before(spark, path, known)
         count = next((n for _, n in known.values()), buckets)
+        schema = StructType(list(batch.schema.fields)).add(SINCE, "long")
         # Materialised once: the bucket of a row without key has to stay the same.
-        rows = latest_snapshot(batch, key, order).withColumn(BUCKET, _bucket(key, count)).persist()
+        rows = batch.withColumns({SINCE: F.lit(batch_id).cast("long"), BUCKET: _bucket(key, count)}).persist()
+        target = f"{path}/data/{BATCH}={batch_id}"
         try:
-            touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-            present = {b: known[b][0] for b in touched if b in known}
-            old = _stored(spark, path, present, batch.schema)
-            both = old.withColumn("_new", F.lit(False)).unionByName(rows.withColumn("_new", F.lit(True)))
-            both = both.repartition(max(1, len(touched)), BUCKET)
-            placed = with_place(both, key, order, within=(BUCKET,), last=("_new",))
-            if changed:
-                placed = placed.persist()
-            merged = placed.where("_place = 1").drop("_place", "_new")
-            target = merged.write.mode("overwrite").partitionBy(BUCKET)
-            target.parquet(f"{path}/data/{BATCH}={batch_id}")
-            if changed:
-                changed(_changes(placed), batch_id)
-                placed.unpersist()
+            with dropped_shuffles(spark):
+                sizes = {r[0]: r[1] for r in rows.groupBy(BUCKET).count().collect()}
+                touched = sorted(sizes)
+                present = {b: known[b][0] for b in touched if b in known}
+                even = max(sizes.values(), default=0) * len(sizes) <= UNEVEN * sum(sizes.values())
+                remove_folder(spark, target)
+                for group in _rounds(spark, touched):
+                    new = rows.where(F.col(BUCKET).isin(group))
+                    if not even:
+                        new = latest_snapshot(new, key, order, within=(BUCKET,))
+                    old = _stored(spark, path, {b: present[b] for b in group if b in present}, schema)
+                    # More parts than buckets, as few of them then meet in one.
+                    both = old.unionByName(new).repartition(4 * len(group), BUCKET)
+                    # Of equal rows the one that came first stays.
+                    placed = with_place(both, key, order, within=(BUCKET,), last=(SINCE,))
+                    merged = placed.where("_place = 1").drop("_place", *(() if changed else (SINCE,)))
+                    writer = merged.write.mode("append").option("compression", CODEC)
+                    writer.partitionBy(BUCKET).parquet(target)
+                if changed:
+                    old = _stored(spark, path, present, schema)
+                    now = _stored(spark, path, dict.fromkeys(touched, batch_id), schema)
+                    changed(_changes(old, now, key, batch_id), batch_id)
             done = spark.createDataFrame([(b, count) for b in touched], "bucket int, buckets int")
             done.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/{BATCH}={batch_id}")
         finally:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -310,6 +311,75 @@ def test_latest_deletes_what_was_replaced(spark, tmp_path):
         assert held == {n} | {max(0, n - 1)}
 
 
+def _shuffle_files(spark):
+    """Names of the shuffle files that Spark holds, in local mode."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = manager.getAllFiles().mkString("\n").split("\n")
+    return {f for f in files if "/shuffle_" in f}
+
+
+def _in_time(condition, seconds=20):
+    end = time.time() + seconds
+    while not condition() and time.time() < end:
+        time.sleep(0.2)
+    return condition()
+
+
+def test_latest_rewrites_groups_of_buckets(spark, tmp_path):
+    """A part of the table is shuffled at a time, and no shuffle file outlives its batch."""
+    path, seen = str(tmp_path / "latest"), []
+    changed = lambda rows, n: seen.append(sorted(map(tuple, rows.select("k", "v", "_sign").collect())))
+    write = latest.latest_writer(path, "k", "v", buckets=16, changed=changed, keep_replaced=False)
+    frames = [
+        spark.createDataFrame([(f"k{i}", f"{max(1, n * (i % 2))}", "x" * 50) for i in range(400)], "k string, v string, t string")
+        for n in range(3)
+    ]
+    before = _shuffle_files(spark)
+    for n in (0, 1, 2, 2):
+        write(frames[n], n)
+        jobs_of = {f.name.split("-", 2)[2] for f in (tmp_path / "latest" / "data" / f"_batch={n}").glob("*/part-*")}
+        assert len(jobs_of) == latest.ROUNDS
+    assert _in_time(lambda: not _shuffle_files(spark) - before)
+    table = latest.read_latest(spark, path)
+    assert table.columns == ["k", "v", "t"]
+    assert sorted(map(tuple, table.select("k", "v").collect())) == sorted((f"k{i}", "2" if i % 2 else "1") for i in range(400))
+    odd = [f"k{i}" for i in range(1, 400, 2)]
+    moved = sorted([(k, "1", -1) for k in odd] + [(k, "2", 1) for k in odd])
+    assert seen == [sorted((f"k{i}", "1", 1) for i in range(400)), [], moved, moved]
+
+
+def test_latest_of_a_hot_key(spark, tmp_path):
+    """Most rows of a batch have one key, rows without key come too, and a report begins later."""
+    path, seen = str(tmp_path / "latest"), []
+    write = latest.latest_writer(path, "k", "v", buckets=16)
+    names = "k string, v int, n int"
+    first = spark.createDataFrame([("hot", i % 50, i) for i in range(500)] + [(f"k{i}", 1, i) for i in range(40)], names)
+    write(first, 0)
+    expected = {("hot", 49, 49), *((f"k{i}", 1, i) for i in range(40))}
+    assert set(map(tuple, latest.read_latest(spark, path).collect())) == expected
+    write = latest.latest_writer(path, "k", "v", changed=lambda rows, n: seen.extend(map(tuple, rows.collect())))
+    second = spark.createDataFrame([("hot", 49, 49)] * 500 + [("k1", 2, 0), (None, 1, 1), (None, 1, 1)], names)
+    write(second, 1)
+    assert sorted(seen, key=str) == sorted([("k1", 2, 0, 1), ("k1", 1, 1, -1), (None, 1, 1, 1), (None, 1, 1, 1)], key=str)
+    found = latest.read_latest(spark, path).collect()
+    assert sorted(map(tuple, found), key=str) == sorted([*(expected - {("k1", 1, 1)}), ("k1", 2, 0), (None, 1, 1), (None, 1, 1)], key=str)
+    write(second.limit(0), 2)
+    assert len(seen) == 4 and latest.read_latest(spark, path).count() == len(found)
+
+
+def test_topic_files_are_deleted_behind_their_reader(spark, tmp_path):
+    """Files are written without a shuffle, and each goes once the batch after its own begins."""
+    source, out = tmp_path / "topics", str(tmp_path / "out")
+    rows = spark.range(0, 40, 1, 4).selectExpr("concat('a', id) AS uuid", "'good' AS content")
+    write_topic_files(to_messages(rows, F.lit("fb_posts")), str(source), dealt=False)
+    files = lambda: list(source.glob("*/part-*"))
+    assert len(files()) == 4 and all(f.name.endswith(".zstd.parquet") for f in files())
+    stream = enrich.enrich_posts(stream_topic_files(spark, str(source), "fb_posts", max_files=1, clean=True))
+    jobs.run_in_turn([lambda: jobs.start_table_sink(stream, out, str(tmp_path / "c"))])
+    assert spark.read.parquet(out).select("uuid").distinct().count() == 40
+    assert _in_time(lambda: len(files()) <= 1)
+
+
 @pytest.mark.parametrize("files, most", [(1, 1), (4, 1), (5, 2), (9, 3)])
 def test_backlog_in_few_batches(spark, tmp_path, files, most):
     path = str(tmp_path / "in")
