@@ -113,7 +113,7 @@ def latest_writer(
     size at most, and a reader that opened it two batches ago loses its files.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def rewrite(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if version is None:
             batch = batch.withColumn(ARRIVAL, F.lit(batch_id).cast("long"))
@@ -127,33 +127,36 @@ def latest_writer(
         rows = batch.withColumns({SINCE: F.lit(batch_id).cast("long"), BUCKET: _bucket(key, count)}).persist()
         target = f"{path}/data/{BATCH}={batch_id}"
         try:
-            with dropped_shuffles(spark):
-                sizes = {r[0]: r[1] for r in rows.groupBy(BUCKET).count().collect()}
-                touched = sorted(sizes)
-                present = {b: known[b][0] for b in touched if b in known}
-                even = max(sizes.values(), default=0) * len(sizes) <= UNEVEN * sum(sizes.values())
-                remove_folder(spark, target)
-                for group in _rounds(spark, touched):
-                    new = rows.where(F.col(BUCKET).isin(group))
-                    if not even:
-                        new = latest_snapshot(new, key, order, within=(BUCKET,))
-                    old = _stored(spark, path, {b: present[b] for b in group if b in present}, schema)
-                    # More parts than buckets, as few of them then meet in one.
-                    both = old.unionByName(new).repartition(4 * len(group), BUCKET)
-                    # Of equal rows the one that came first stays.
-                    placed = with_place(both, key, order, within=(BUCKET,), last=(SINCE,))
-                    merged = placed.where("_place = 1").drop("_place", *(() if changed else (SINCE,)))
-                    writer = merged.write.mode("append").option("compression", CODEC)
-                    writer.partitionBy(BUCKET).parquet(target)
-                if changed:
-                    old = _stored(spark, path, present, schema)
-                    now = _stored(spark, path, dict.fromkeys(touched, batch_id), schema)
-                    changed(_changes(old, now, key, batch_id), batch_id)
+            sizes = {r[0]: r[1] for r in rows.groupBy(BUCKET).count().collect()}
+            touched = sorted(sizes)
+            present = {b: known[b][0] for b in touched if b in known}
+            even = max(sizes.values(), default=0) * len(sizes) <= UNEVEN * sum(sizes.values())
+            remove_folder(spark, target)
+            for group in _rounds(spark, touched):
+                new = rows.where(F.col(BUCKET).isin(group))
+                if not even:
+                    new = latest_snapshot(new, key, order, within=(BUCKET,))
+                old = _stored(spark, path, {b: present[b] for b in group if b in present}, schema)
+                # More parts than buckets, as few of them then meet in one.
+                both = old.unionByName(new).repartition(4 * len(group), BUCKET)
+                # Of equal rows the one that came first stays.
+                placed = with_place(both, key, order, within=(BUCKET,), last=(SINCE,))
+                merged = placed.where("_place = 1").drop("_place", *(() if changed else (SINCE,)))
+                writer = merged.write.mode("append").option("compression", CODEC)
+                writer.partitionBy(BUCKET).parquet(target)
+            if changed:
+                old = _stored(spark, path, present, schema)
+                now = _stored(spark, path, dict.fromkeys(touched, batch_id), schema)
+                changed(_changes(old, now, key, batch_id), batch_id)
             done = spark.createDataFrame([(b, count) for b in touched], "bucket int, buckets int")
             done.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/{BATCH}={batch_id}")
         finally:
             rows.unpersist()
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with dropped_shuffles(batch.sparkSession):
+            rewrite(batch, batch_id)
+
     return write
 
 
